@@ -1,0 +1,29 @@
+"""Predicates used by the analysis queries and by key joins."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def ci_equals(c: Column, value: str) -> Column:
+    """Case-insensitive equality, ``lower(c) = lower(value)``."""
+    return F.lower(c) == F.lower(F.lit(value))
+
+
+def ci_like(c: Column, pattern: str) -> Column:
+    """Case-insensitive LIKE."""
+    return c.ilike(pattern)
+
+
+def keys_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Plain equality on every key column."""
+    return reduce(lambda a, b: a & b, [left[k] == right[k] for k in keys])
+
+
+def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality on every key column: a NULL key is one bucket, not lost."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
