@@ -85,10 +85,10 @@ def tracked_changes(changes: DataFrame, e: Entity, track: Sequence[str]) -> Data
     w = Window.partitionBy(*e.keys).orderBy(e.sequence, *e.tiebreak)
     is_del = F.coalesce(F.expr(e.delete_when), F.lit(False))
     h = row_hash([F.col(c) for c in track])
-    rows = changes.withColumn("_th", h).withColumn("_del", is_del)
-    prev_h, prev_del = F.lag("_th").over(w), F.lag("_del").over(w)
-    keep = prev_h.isNull() | F.col("_del") | prev_del | (prev_h != F.col("_th"))
-    return rows.where(keep).drop("_th", "_del")
+    rows = changes.withColumn("_th", h).withColumn("_del", is_del) \
+        .withColumn("_ph", F.lag("_th").over(w)).withColumn("_pd", F.lag("_del").over(w))
+    keep = F.col("_ph").isNull() | F.col("_del") | F.col("_pd") | (F.col("_ph") != F.col("_th"))
+    return rows.where(keep).drop("_th", "_del", "_ph", "_pd")
 
 
 def deleted_keys(dwh: DataFrame, e: Entity) -> DataFrame:
