@@ -180,3 +180,21 @@ def _r2b(w):
 @register("kpi_totals")
 def _r3(w):
     return reports.kpi_totals(w)
+
+
+for _name in ("fact_listing", "orders_by_truck_key", "orders_by_truck", "monthly_trend_by_key", "fact_for_one_truck",
+              "sales_by_hour_and_day", "best_truck_last_week", "hourly_two_trucks", "avg_order_value_by_location",
+              "best_item_on_sunday", "daily_sales_by_truck", "daily_sales_by_location", "date_roles",
+              "conformed_dim_lookup", "fct_temporal_left", "fact_incremental"):
+    register(_name)(lambda w, _n=_name: getattr(reports, _n)(w))
+
+
+@register("dim_scd2")
+def _dim_scd2(w):
+    return star.dim_scd2(w.dwh_header, ["order_id"], "WK_ORDER_HEADER", "WKR_ORDER_HEADER", "MK_ORDER",
+                         ["truck_id", "order_currency", "order_total"])
+
+
+@register("scd1_dim_grouped")
+def _scd1_grouped(w):
+    return w.dim_customer
