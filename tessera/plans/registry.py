@@ -198,3 +198,339 @@ def _dim_scd2(w):
 @register("scd1_dim_grouped")
 def _scd1_grouped(w):
     return w.dim_customer
+
+
+# ----------------------------------------------------------- plain (spark, sf_dir) queries
+def query(name: str):
+    def deco(fn: Query):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+LOAD_TS = "2024-06-01 00:00:00"   # load time parameter of the staging runs
+RUN_ID = "run-0001"
+
+
+@query("scan_explicit_schema")
+def _scan_explicit(spark, sf_dir):
+    from tessera.sources.scan import ORDERS_SCHEMA, scan
+    return scan(spark, sf_dir, "orders*.parquet", ORDERS_SCHEMA)
+
+
+@query("scan_inferred")
+def _scan_inferred(spark, sf_dir):
+    from tessera.sources.scan import scan
+    return scan(spark, sf_dir, "customer*.parquet")
+
+
+@query("stage_admin_columns")
+def _stage(spark, sf_dir):
+    from tessera.sources.ingest import stage
+    from tessera.sources.scan import ORDERS_SCHEMA, scan
+    return stage(scan(spark, sf_dir, "orders*.parquet", ORDERS_SCHEMA), "objectstore", RUN_ID, LOAD_TS)
+
+
+def _control(spark, sf_dir):
+    from tessera.sources.ingest import control_table
+    # Control rows: one per staged source (fixed configuration of the staging run).
+    return control_table(spark, [
+        ("objectstore", sf_dir, "orders*.parquet", "staging", "stg_orders", "parquet", True, "full"),
+        ("objectstore", sf_dir, "lineitem*.parquet", "staging", "stg_lineitem", "parquet", True, "incremental"),
+        ("objectstore", sf_dir, "events*.parquet", "staging", "stg_events", "parquet", True, "incremental"),
+        ("objectstore", sf_dir, "part*.parquet", "staging", "stg_part", "parquet", False, "full"),
+    ])
+
+
+def _run(spark, sf_dir, mode):
+    import uuid
+    from tessera.session import scratch_path
+    from tessera.sources.ingest import run_loads
+    return run_loads(spark, _control(spark, sf_dir), mode, RUN_ID, LOAD_TS,
+                     root=scratch_path(spark, "staging", uuid.uuid4().hex))
+
+
+@query("ingest_full")
+def _ingest_full(spark, sf_dir):
+    _, results = _run(spark, sf_dir, "full")
+    return spark.read.parquet(results[0].path)
+
+
+@query("ingest_incremental")
+def _ingest_incremental(spark, sf_dir):
+    _, results = _run(spark, sf_dir, "incremental")
+    return spark.read.parquet(next(r.path for r in results if r.target_table == "stg_lineitem"))
+
+
+@query("load_report")
+def _load_report(spark, sf_dir):
+    report, _ = _run(spark, sf_dir, "both")
+    return report
+
+
+@query("change_feed_from_version")
+def _cf_from(spark, sf_dir):
+    from tessera.operators.changes import changes_from
+    return changes_from(Warehouse.of(spark, sf_dir).header_feed, 1)
+
+
+@query("cdc_adapter")
+def _cdc_adapter(spark, sf_dir):
+    """A CDC table with native metadata (op code, sequence, op time) mapped to the feed shape."""
+    from tessera.operators.changes import cdc_adapter
+    feed = Warehouse.of(spark, sf_dir).header_feed
+    code = (F.when(F.col("_change_type") == "insert", "I").when(F.col("_change_type") == "update_postimage", "U")
+            .when(F.col("_change_type") == "delete", "D").otherwise("B"))
+    native = feed.select("order_id", "order_currency", "order_total", code.alias("op"),
+                         F.col("_commit_version").alias("lsn"), F.col("_commit_timestamp").alias("op_ts"))
+    return cdc_adapter(native, source="cdc")
+
+
+@query("rescued_rows")
+def _rescued(spark, sf_dir):
+    """Malformed JSON kept as text in a corrupt-record column instead of failing the read.
+    The fixture cuts the payload of every 50th event to three characters."""
+    from tessera.sources.tables import load
+    ev = load(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 50 == 0, F.substring("props", 1, 3)).otherwise(F.col("props"))
+    parsed = F.from_json(raw, "k INT, _corrupt_record STRING",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return ev.select("event_id", parsed.alias("p")).select("event_id", "p.k", "p._corrupt_record")
+
+
+@query("clustered_write")
+def _clustered(spark, sf_dir):
+    import uuid
+    from tessera.operators.layout import clustered_write
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "datamart", f"fct_sales_line_{uuid.uuid4().hex}")
+    clustered_write(Warehouse.of(spark, sf_dir).fct_sales_line, path,
+                    ["MK_TRUCK", "MK_LOCATION", "MK_DATE", "MK_CURRENCY"])
+    return spark.read.parquet(path)
+
+
+@query("param_query")
+def _param(spark, sf_dir):
+    """Named parameters bound into SQL text."""
+    from tessera.sources.tables import load
+    load(spark, sf_dir, "orders").createOrReplaceTempView("orders_src")
+    return spark.sql("SELECT o_orderstatus, COUNT(*) AS orders, "
+                     "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue "
+                     "FROM orders_src WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) AND o_orderpriority = :prio "
+                     "GROUP BY o_orderstatus",
+                     args={"since": "1998-01-01 00:00:00", "prio": "1-URGENT"})
+
+
+# ----------------------------------------------------------- table changes
+def _stg(w):
+    from tessera.sources.fixtures import stg_order_header
+    return stg_order_header(w.spark, w.sf_dir)
+
+
+_STG = ["order_id", "truck_id", "location_id", "customer_id", "discount_id", "shift_id", "shift_start_time",
+        "shift_end_time", "order_channel", "order_ts", "served_ts", "order_currency", "order_amount",
+        "order_tax_amount", "order_discount_amount", "order_total", "load_ts"]
+
+
+@register("merge_insert_only")
+def _merge(w):
+    from tessera.operators.changes import as_of, merge_insert_only
+    target = as_of(w.header_feed, ["order_id"], version=2).select(*_STG)
+    return merge_insert_only(target, _stg(w), ["order_id"])
+
+
+@register("update_where")
+def _update(w):
+    from tessera.operators.changes import update_where
+    return update_where(_stg(w), F.col("order_currency") == "F",
+                        {"order_total": (F.col("order_total") + 1).cast("decimal(18,4)")})
+
+
+@register("delete_where")
+def _delete(w):
+    from tessera.operators.changes import delete_where
+    return delete_where(_stg(w), F.col("order_ts") < F.lit("1996-01-01").cast("timestamp_ntz"))
+
+
+@register("as_of_version")
+def _as_of_v(w):
+    from tessera.operators.changes import as_of
+    return as_of(w.header_feed, ["order_id"], version=1).select(*_STG, "_commit_version")
+
+
+@register("as_of_timestamp")
+def _as_of_ts(w):
+    from tessera.operators.changes import as_of
+    return as_of(w.header_feed, ["order_id"], ts="1998-01-01 00:00:00").select(*_STG, "_commit_version")
+
+
+@register("version_history")
+def _vh(w):
+    from tessera.operators.changes import version_history
+    return version_history(w.header_feed)
+
+
+# ----------------------------------------------------------- change data
+@register("cdc_filter")
+def _cdc_filter(w):
+    from tessera.operators.changes import cdc_filter, crud_code
+    return cdc_filter(w.header_feed).select("order_id", "_commit_version", "_change_type",
+                                            crud_code(F.col("_change_type")).alias("WA_CRUD"))
+
+
+@register("snapshot_diff")
+def _diff(w):
+    from tessera.operators.changes import as_of, snapshot_diff
+    old = as_of(w.header_feed, ["order_id"], version=0).select(*_STG)
+    new = as_of(w.header_feed, ["order_id"], version=2).select(*_STG)
+    return snapshot_diff(old, new, ["order_id"], 3, F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+@register("row_hash")
+def _row_hash(w):
+    return w.header_tagged.select("order_id", "_commit_timestamp", "WA_CRUD", "WA_HASH")
+
+
+@register("hash_reconcile")
+def _reconcile(w):
+    """Latest staged row per key against the current history row, by row hash."""
+    from tessera.operators.changes import as_of, reconcile
+    src = quality.tag(as_of(w.header_feed, ["order_id"]), HEADER).select("order_id", "WA_HASH")
+    tgt = w.dwh_header.where("WA_ISCURR = 1").select("order_id", "WA_HASH")
+    return reconcile(src, tgt, ["order_id"])
+
+
+@register("fk_hash")
+def _fk_hash(w):
+    """Reference-key hash on lines, joined to the header by hash."""
+    from tessera.functions.hashing import key_hash
+    d = w.dwh_detail.where("WA_ISCURR = 1").select(
+        "order_detail_id", F.col("order_id").alias("WK_REF_BUS_ORDER_HEADER"),
+        key_hash([F.col("order_id")]).alias("WK_REF_HASH_ORDER_HEADER"))
+    h = w.dwh_header.where("WA_ISCURR = 1").select(key_hash([F.col("order_id")]).alias("_h"), "order_currency")
+    return d.join(h, d.WK_REF_HASH_ORDER_HEADER == h._h, "left").drop("_h")
+
+
+@register("canonical_union")
+def _canonical(w):
+    """Customer activity from two sources in one entity, with provenance."""
+    from tessera.sources.tables import load
+    o = load(w.spark, w.sf_dir, "orders").select(
+        F.col("o_custkey").alias("party_id"), F.col("o_orderdate").alias("activity_ts"),
+        F.col("o_totalprice").cast("decimal(18,4)").alias("amount"), F.col("o_orderstatus").alias("status"))
+    e = load(w.spark, w.sf_dir, "events").select(
+        F.col("user_id").alias("party_id"), F.col("ts").alias("activity_ts"),
+        F.col("value").cast("decimal(18,4)").alias("amount"), F.col("event_type").alias("kind"))
+    return o.withColumn("source", F.lit("orders")).unionByName(
+        e.withColumn("source", F.lit("events")), allowMissingColumns=True)
+
+
+# ----------------------------------------------------------- audit and lineage
+def _audit(w):
+    from tessera.sources.fixtures import audit_log
+    log = audit_log(w.spark, w.sf_dir)
+    now = F.lit(log.agg(F.max("event_time")).scalar())
+    return log, now
+
+
+@register("audit_recent")
+def _audit_recent(w):
+    from tessera.operators.audit import audit_recent
+    log, now = _audit(w)
+    return audit_recent(log, now, 7, "DEMO", 100)
+
+
+@register("audit_object")
+def _audit_object(w):
+    from tessera.operators.audit import audit_object
+    log, now = _audit(w)
+    return audit_object(log, now, 7, "DEMO", "config", "pipeline_sources", 50)
+
+
+@register("audit_pipeline_events")
+def _audit_pipe(w):
+    from tessera.operators.audit import audit_pipeline_events
+    log, now = _audit(w)
+    return audit_pipeline_events(log, now, 7, 100)
+
+
+@register("audit_summary")
+def _audit_summary(w):
+    from tessera.operators.audit import audit_summary
+    log, now = _audit(w)
+    return audit_summary(log, now, 7, "DEMO", 50)
+
+
+LINEAGE_TARGETS = ["demo.integration.t1", "demo.integration.t5", "demo.integration.t50", "demo.integration.t500"]
+
+
+def _edges(w):
+    from tessera.sources.fixtures import lineage_edges
+    return lineage_edges(w.spark, w.sf_dir)
+
+
+@register("lineage_direct")
+def _lin_direct(w):
+    from tessera.operators.lineage import lineage_direct
+    return lineage_direct(_edges(w), LINEAGE_TARGETS, 20)
+
+
+@register("lineage_downstream")
+def _lin_down(w):
+    from tessera.operators.lineage import lineage_walk
+    return lineage_walk(_edges(w), "demo.integration.t1", "downstream", 5)
+
+
+@register("lineage_upstream")
+def _lin_up(w):
+    from tessera.operators.lineage import lineage_walk
+    return lineage_walk(_edges(w), "demo.integration.t1500", "upstream", 5)
+
+
+@register("lineage_impact")
+def _lin_impact(w):
+    from tessera.operators.lineage import lineage_impact
+    return lineage_impact(_edges(w), "demo.integration.t2")
+
+
+# ----------------------------------------------------------- streaming
+def _stream_paths(spark, name):
+    import uuid
+    from tessera.session import scratch_path
+    root = scratch_path(spark, "streams", f"{name}_{uuid.uuid4().hex}")
+    return root, f"{root}/_checkpoint"
+
+
+@register("quarantine_stream")
+def _q_stream(w):
+    from tessera.streaming.feeds import read_feed_stream, write_feed
+    from tessera.streaming.pipelines import run_quarantine_stream
+    root, ck = _stream_paths(w.spark, "quarantine")
+    feed = w.header_feed
+    write_feed(feed, f"{root}/feed")
+    stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
+    run_quarantine_stream(stream, HEADER, f"{root}/dwq", ck)
+    return w.spark.read.parquet(f"{root}/dwq")
+
+
+@register("scd1_stream")
+def _scd1_stream(w):
+    from tessera.streaming.feeds import read_feed_stream, write_feed
+    from tessera.streaming.pipelines import run_scd1_stream
+    root, ck = _stream_paths(w.spark, "scd1")
+    feed = w.events_feed
+    write_feed(feed, f"{root}/feed")
+    stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
+    return run_scd1_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck)
+
+
+@register("stream_static_asof")
+def _stream_static(w):
+    from tessera.streaming.feeds import read_feed_stream, write_feed
+    from tessera.streaming.pipelines import run_stream_static_asof
+    root, ck = _stream_paths(w.spark, "asof")
+    feed = w.detail_feed
+    write_feed(feed, f"{root}/feed")
+    stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
+    run_stream_static_asof(stream, DETAIL, w.dwh_header, ["order_id"], "order_ts", f"{root}/out", ck)
+    return w.spark.read.parquet(f"{root}/out")
