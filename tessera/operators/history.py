@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import row_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
-    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, global_row_number, keyed_next, latest_per_key,
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, latest_per_key, number_in_place, range_lead,
 )
 from tessera.operators.quality import ADMIN, enforce_fail_rules
 
@@ -41,12 +41,13 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     if track:
         rows = tracked_changes(rows, e, track)
     seq = e.sequence
-    rows = keyed_next(rows, e.keys, [seq, *e.tiebreak], seq, "__END_AT", hot_rows, chunk_rows, fraction)
+    # one range shuffle on (key, hot-key chunk): the lead, the survivor filter and
+    # the numbering all run on that layout, in (key, sequence) order
+    rows = range_lead(rows, e.keys, [seq, *e.tiebreak], seq, "__END_AT", hot_rows, chunk_rows, fraction)
     versions = (rows.where(F.col("__END_AT").isNull() | (F.col("__END_AT") != F.col(seq)))
                 .where(_not(e.delete_when))
-                .withColumnRenamed(seq, "__START_AT"))
-    versions = versions.select(*e.column_names, *ADMIN, "__START_AT", "__END_AT")
-    numbered = global_row_number(versions, [*e.keys, "__START_AT"], e.wk)
+                .select(*e.column_names, *ADMIN, F.col(seq).alias("__START_AT"), "__END_AT"))
+    numbered = number_in_place(versions, e.wk)
     return numbered.select(e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT")
 
 

@@ -1,16 +1,18 @@
 """Keyed window operations that stay balanced when one key holds a large share of rows.
 
-* :func:`keyed_next` is ``lead(v) OVER (PARTITION BY key ORDER BY seq)``.  Keys that a
-  sample shows to be hot are split into ordered chunks of their sequence range; the
-  window runs per (key, chunk) and each chunk's last row takes the first value of
-  the key's next chunk from a small table.  Chunking never changes the answer,
-  only the balance, so an approximate hot-key list is safe.
+* :func:`range_lead` is ``lead(v) OVER (PARTITION BY key ORDER BY seq)`` over a
+  range partitioning on (key, chunk).  Keys that a sample shows to be hot are
+  split into ordered chunks of their sequence range, so no task receives a whole
+  hot key; each chunk's last row takes the first value of the key's next chunk
+  from a small broadcast table.  Chunking never changes the answer, only the
+  balance, so an approximate hot-key list is safe.  The output stays range
+  partitioned and sorted by (key, sequence), which :func:`number_in_place`
+  turns into ``row_number() OVER (ORDER BY key, sequence)`` without another
+  shuffle.
 * :func:`latest_per_key` is ``row_number() = 1`` alone in its window, which Spark
   plans as a partial ``WindowGroupLimit`` before the shuffle (one row per key and
   map task crosses the network, whatever the skew).
-* :func:`global_row_number` is ``row_number() OVER (ORDER BY ...)`` without the
-  single-partition sort: a sampled range partitioning, a per-partition counter and
-  prefix offsets over a table with one row per partition.
+* :func:`global_row_number` numbers any frame in a given order the same way.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, materialize
 
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
 CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
@@ -32,11 +34,15 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a small derived table and broadcast it only if its row count is
-    within ``max_rows``; beyond that it is returned for a shuffled join."""
-    small = cut_lineage(df)
-    n = small.count()
+    """Materialise a small derived table (its rows counted on the write) and
+    broadcast it only if the count is within ``max_rows``; beyond that it is
+    returned for a shuffled join."""
+    small, n = materialize(df, "small")
     return (F.broadcast(small) if n <= max_rows else small), n
 
 
@@ -45,15 +51,22 @@ def seq_number(c: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
+def _is_time(df: DataFrame, c: str) -> bool:
+    return df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+
+
+def _num(df: DataFrame, seq: str) -> Column:
+    return seq_number(F.col(seq)) if _is_time(df, seq) else F.col(seq).cast("double")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
              chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """Keys whose sampled row count says they exceed ``hot_rows``, with the sampled
-    sequence range and a chunk count.  Its size is bounded by the sample size
-    divided by ``hot_rows * fraction``."""
+    sequence range and a chunk count.  At most ``sample rows / (hot_rows *
+    fraction)`` keys qualify, which bounds the table."""
     sample = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
-    num = seq_number(F.col(seq)) if _is_time(df, seq) else F.col(seq).cast("double")
     return (
-        sample.select(*keys, num.alias("_num"))
+        sample.select(*keys, _num(df, seq).alias("_num"))
         .groupBy(*keys)
         .agg((F.count("*") / F.lit(fraction)).alias("_rows"), F.min("_num").alias("_lo"), F.max("_num").alias("_hi"))
         .where(F.col("_rows") > hot_rows)
@@ -61,86 +74,98 @@ def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_K
     )
 
 
-def _is_time(df: DataFrame, c: str) -> bool:
-    return df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Null-safe join on keys, keeping the left key columns only."""
-    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+               extra: Sequence[str] = ()) -> DataFrame:
+    """Null-safe join on keys (plus plain equality on ``extra``), keeping the left
+    key columns only."""
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in [*keys, *extra]],
+                     *[c for c in right.columns if c not in keys and c not in extra])
     cond = None
     for k in keys:
         c = left[k].eqNullSafe(r[f"_rk_{k}"])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])
+    for k in extra:
+        c = left[k] == r[f"_rk_{k}"]
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in [*keys, *extra]])
 
 
-def keyed_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-               hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS,
-               fraction: float = SAMPLE_FRACTION) -> DataFrame:
+def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+               hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
+               partitions: int | None = None) -> DataFrame:
     """``lead(value) OVER (PARTITION BY keys ORDER BY order)`` as column ``out``.
 
-    ``order[0]`` must be the sequence column; hot keys are chunked on it.
+    ``order[0]`` is the sequence column; hot keys are chunked on it.  The result
+    is range partitioned on (keys, chunk) and sorted by (keys, order) within
+    each partition.
     """
     seq = order[0]
     hot, n_hot = sized_broadcast(hot_keys(df, keys, seq, hot_rows, chunk_rows, fraction))
-    if n_hot == 0:
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        return df.withColumn(out, F.lead(value).over(w))
-
-    num = seq_number(F.col(seq)) if _is_time(df, seq) else F.col(seq).cast("double")
-    span = F.col("_hi") - F.col("_lo") + 1
-    raw = F.floor((num - F.col("_lo")) * F.col("_nchunks") / span)
-    chunk = F.when(F.col("_nchunks").isNull(), F.lit(0)).otherwise(
-        F.greatest(F.lit(0), F.least(raw, F.col("_nchunks") - 1)))
-    withc = _join_keys(df, hot, keys, "left").withColumn("_chunk", chunk.cast("long")) \
-        .withColumn("_hot", F.col("_nchunks").isNotNull()).drop("_lo", "_hi", "_nchunks")
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_cols(order))
-    withc = withc.withColumn(out, F.lead(value).over(w))
-
+    if n_hot:
+        span = F.col("_hi") - F.col("_lo") + 1
+        raw = F.floor((_num(df, seq) - F.col("_lo")) * F.col("_nchunks") / span)
+        chunk = F.when(F.col("_nchunks").isNull(), F.lit(0)).otherwise(
+            F.greatest(F.lit(0), F.least(raw, F.col("_nchunks") - 1)))
+        withc = _join_keys(df, hot, keys, "left").withColumn("_chunk", chunk.cast("long")) \
+            .withColumn("_hot", F.col("_nchunks").isNotNull()).drop("_lo", "_hi", "_nchunks")
+    else:
+        # no chunk column at all: a constant one would be folded out of the window's
+        # partitioning, and the range layout would then no longer satisfy it
+        withc = df
+    part = [*keys, "_chunk"] if n_hot else list(keys)
+    ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
+    led = ranged.withColumn(out, F.lead(value).over(Window.partitionBy(*part).orderBy(*_cols(order))))
+    if not n_hot:
+        return led
     # first value of every chunk of a hot key, then the next chunk's first value
-    order_struct = F.struct(*_cols(order))
     heads = (withc.where("_hot").groupBy(*keys, "_chunk")
-             .agg(F.min_by(F.col(value), order_struct).alias("_head")))
-    wk = Window.partitionBy(*keys).orderBy("_chunk")
-    heads = heads.select(*keys, "_chunk", F.lead("_head").over(wk).alias("_next_head"))
-    heads_b, _ = sized_broadcast(heads)
-    fixed = _join_keys(withc, heads_b.withColumnRenamed("_chunk", "_hchunk"), keys, "left") \
-        .where(F.col("_hchunk").isNull() | (F.col("_hchunk") == F.col("_chunk")))
-    # rows of non-hot keys meet no head row; rows of hot keys meet exactly their chunk's row
+             .agg(F.min_by(F.col(value), F.struct(*_cols(order))).alias("_head")))
+    heads = heads.select(*keys, "_chunk", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_chunk"))
+                         .alias("_next_head"))
+    heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
+    fixed = _join_keys(led, heads_b, keys, "left", extra=["_chunk"])
     return fixed.withColumn(out, F.when(F.col("_hot") & F.col(out).isNull(), F.col("_next_head"))
-                            .otherwise(F.col(out))) \
-        .drop("_chunk", "_hot", "_hchunk", "_next_head")
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the first by ``order_desc`` (columns given descending)."""
-    ordering = [F.col(c).desc() if isinstance(c, str) else c for c in order_desc]
-    w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+                            .otherwise(F.col(out))).drop("_chunk", "_hot", "_next_head")
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (ORDER BY order)`` computed in parallel.
+def number_in_place(df: DataFrame, name: str) -> DataFrame:
+    """Dense row numbers in the frame's current global order: partitions in
+    range order, rows in their order within each partition.
 
-    The rows are range-partitioned on ``order`` (sampled bounds, balanced even when
-    one key dominates), sorted within partitions and counted per partition; the
-    number is the partition's prefix offset plus the row's place in it.  The
-    numbered rows are checkpointed first so the counts and the numbers come from
-    one materialisation.  ``order`` must be unique for a deterministic result.
+    Each row gets its partition id and place; the frame is written once (so the
+    numbers and the per-partition counts come from one materialisation); the
+    number is the prefix offset of the partition (a table with one row per
+    partition, broadcast) plus the row's place.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    stored = cut_lineage(tagged, "numbered")
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    # one row per partition: the broadcast is bounded by the partition count
-    return ranged.join(F.broadcast(offsets), "_pid") \
+    return stored.join(F.broadcast(offsets), "_pid") \
         .withColumn(name, (F.col("_off") + local + 1).cast("long")) \
         .drop("_pid", "_mid", "_off")
+
+
+def global_row_number(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (ORDER BY order)`` without a single-partition sort:
+    sampled range partitioning (balanced even when one key dominates), a sort
+    within partitions, then :func:`number_in_place`.  ``order`` must be unique
+    for a deterministic result."""
+    ranged = df.repartitionByRange(_partitions(df, partitions), *order).sortWithinPartitions(*order)
+    return number_in_place(ranged, name)
+
+
+def keyed_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+               hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS,
+               fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """Alias of :func:`range_lead` for callers that do not need the layout."""
+    return range_lead(df, keys, order, value, out, hot_rows, chunk_rows, fraction)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str | Column]) -> DataFrame:
+    """One row per key: the first by ``order_desc`` (columns given descending)."""
+    ordering = [F.col(c).desc() if isinstance(c, str) else c for c in order_desc]
+    w = Window.partitionBy(*keys).orderBy(*ordering)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -96,18 +96,20 @@ HEADER_DIMS = (
 )
 
 
-def lookup_conformed(fact: DataFrame, dwh: DataFrame, wkr: str, dims: Sequence[tuple[str, str]]) -> DataFrame:
-    """Replace each attribute by its conformed surrogate via null-safe lookups.
+def lookup_conformed(fact: DataFrame, dwh: DataFrame, wkr: str, dims: Sequence[tuple[str, str]],
+                     tables=None) -> DataFrame:
+    """Attach each attribute's conformed surrogate via null-safe lookups.
     Each lookup table has one row per attribute value; it is broadcast when its
-    counted size allows, otherwise joined by shuffle."""
+    counted size allows, otherwise joined by shuffle.  ``tables(attr, mk)`` may
+    supply prebuilt lookup tables."""
     out = fact
     for mk, attr in dims:
-        keys, _ = sized_broadcast(conformed_keys(dwh, attr, wkr, mk))
+        keys = tables(attr, mk) if tables else sized_broadcast(conformed_keys(dwh, attr, wkr, mk))[0]
         out = _join_keys(out, keys, [attr], "left")
     return out
 
 
-def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED) -> DataFrame:
+def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) -> DataFrame:
     """Order-grain fact from the current header versions."""
     cur = dwh_header.where(F.col("WA_ISCURR") == 1)
     base = cur.select(
@@ -120,7 +122,8 @@ def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED) -> DataFrame:
     if key_mode == AS_WRITTEN:
         keyed = base.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS})
     else:
-        keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS)
+        keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS,
+                                 (lambda a, m: lookup("header", a, m)) if lookup else None)
     return keyed.select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "order_id", "order_amount", "order_tax_amount",
                         "order_discount_amount", "order_total", "time_to_serve_seconds", "order_ts", "served_ts")
 
@@ -144,7 +147,7 @@ def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts
 
 
 def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str = CONFORMED,
-                   how: str = "inner") -> DataFrame:
+                   how: str = "inner", lookup=None) -> DataFrame:
     """Line-grain fact: the as-of join of lines to header versions plus a subtotal."""
     sl = sales_line(dwh_detail, dwh_header, how=how)
     base = sl.select(
@@ -158,8 +161,10 @@ def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str =
         keyed = base.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS}) \
             .withColumn("MK_MENU_ITEM", F.col("WKR_ORDER_DETAIL"))
     else:
-        keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS)
-        keyed = lookup_conformed(keyed, dwh_detail, "WKR_ORDER_DETAIL", [("MK_MENU_ITEM", "menu_item_id")])
+        keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS,
+                                 (lambda a, m: lookup("header", a, m)) if lookup else None)
+        keyed = lookup_conformed(keyed, dwh_detail, "WKR_ORDER_DETAIL", [("MK_MENU_ITEM", "menu_item_id")],
+                                 (lambda a, m: lookup("detail", a, m)) if lookup else None)
     return keyed.select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "MK_MENU_ITEM", "order_id", "order_detail_id",
                         "line_number", "quantity", "unit_price", "price", "order_item_discount_amount",
                         "line_subtotal", "order_ts", "served_ts")

@@ -13,7 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import history, quality, star
+from tessera.operators.keyed import sized_broadcast
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
+from tessera.session import cut_lineage
 from tessera.sources import fixtures
 
 _CACHE: dict[tuple[str, str, str], "Warehouse"] = {}
@@ -22,6 +24,14 @@ _CACHE: dict[tuple[str, str, str], "Warehouse"] = {}
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED):
         self.spark, self.sf_dir, self.key_mode = spark, sf_dir, key_mode
+        self._small: dict[str, DataFrame] = {}
+
+    def _bounded(self, name: str, build) -> DataFrame:
+        """A dimension-sized table: materialised once, broadcast when its counted
+        size allows (else joined by shuffle)."""
+        if name not in self._small:
+            self._small[name], _ = sized_broadcast(build())
+        return self._small[name]
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED) -> "Warehouse":
@@ -69,22 +79,24 @@ class Warehouse:
     def dw_events(self) -> DataFrame:
         return history.scd2(quality.clean(self.events_tagged), EVENTS)
 
-    # history views -------------------------------------------------------
-    @property
+    # history views (computed once per run and kept, since every mart reads them)
+    @cached_property
     def dwh_header(self) -> DataFrame:
-        return history.history_view(self.dw_header, HEADER)
+        return cut_lineage(history.history_view(self.dw_header, HEADER), "dwh_header")
 
-    @property
+    @cached_property
     def dwh_detail(self) -> DataFrame:
-        return history.history_view(self.dw_detail, DETAIL)
+        return cut_lineage(history.history_view(self.dw_detail, DETAIL), "dwh_detail")
 
-    @property
+    @cached_property
     def dwh_events(self) -> DataFrame:
-        return history.history_view(self.dw_events, EVENTS)
+        return cut_lineage(history.history_view(self.dw_events, EVENTS), "dwh_events")
 
     # dimensions ------------------------------------------------------------
     def dim(self, attr: str, mk: str, key_mode: str | None = None) -> DataFrame:
-        return star.dim_scd1(self.dwh_header, attr, HEADER.wkr, mk, key_mode=key_mode or self.key_mode)
+        mode = key_mode or self.key_mode
+        return self._bounded(f"dim_{attr}_{mode}",
+                             lambda: star.dim_scd1(self.dwh_header, attr, HEADER.wkr, mk, key_mode=mode))
 
     @property
     def dim_truck(self) -> DataFrame:
@@ -112,24 +124,31 @@ class Warehouse:
 
     @property
     def dim_shift(self) -> DataFrame:
-        return star.dim_shift(self.dwh_header, self.key_mode)
+        return self._bounded("dim_shift", lambda: star.dim_shift(self.dwh_header, self.key_mode))
 
     @property
     def dim_menu_item(self) -> DataFrame:
-        return star.dim_scd1(self.dwh_detail, "menu_item_id", DETAIL.wkr, "MK_MENU_ITEM", key_mode=self.key_mode)
+        return self._bounded("dim_menu_item", lambda: star.dim_scd1(
+            self.dwh_detail, "menu_item_id", DETAIL.wkr, "MK_MENU_ITEM", key_mode=self.key_mode))
 
     @property
     def dim_date(self) -> DataFrame:
-        return star.dim_date(self.dwh_header)
+        return self._bounded("dim_date", lambda: star.dim_date(self.dwh_header))
 
-    # facts -------------------------------------------------------------------
-    @property
+    # facts (materialised, as the fact tables of the datamart) ---------------
+    @cached_property
     def fct_order(self) -> DataFrame:
-        return star.fct_order(self.dwh_header, self.key_mode)
+        return cut_lineage(star.fct_order(self.dwh_header, self.key_mode, lookup=self.conformed), "fct_order")
 
-    @property
+    @cached_property
     def fct_sales_line(self) -> DataFrame:
-        return star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode)
+        return cut_lineage(star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode,
+                                               lookup=self.conformed), "fct_sales_line")
+
+    def conformed(self, src: str, attr: str, mk: str) -> DataFrame:
+        """Conformed key table of one attribute (one row per value), built once."""
+        dwh, wkr = (self.dwh_header, HEADER.wkr) if src == "header" else (self.dwh_detail, DETAIL.wkr)
+        return self._bounded(f"key_{src}_{attr}", lambda: star.conformed_keys(dwh, attr, wkr, mk))
 
     @property
     def sales_line(self) -> DataFrame:

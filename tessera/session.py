@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_CKPT: dict[str, str] = {}
 
@@ -53,10 +55,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read
+    it back: the lineage is cut, the rows survive executor loss, and later plans
+    get file statistics, column pruning and filter pushdown on it."""
+    return materialize(df, name)[0]
+
+
+def materialize(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]:
+    """Write once, counting the rows on the write itself (no second job)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
+    return spark.read.parquet(path), int(obs.get["n"])
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

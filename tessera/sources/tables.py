@@ -16,6 +16,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has cores.
+
+    A large table arrives in many splits and is left alone (no extra shuffle);
+    a small single-file input would otherwise run every step before its first
+    shuffle in one task.  Filters and column pruning still reach the scan.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
