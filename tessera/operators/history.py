@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import row_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
-    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, latest_per_key, number_in_place, range_lead,
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, range_lead,
+    sized_broadcast,
 )
 from tessera.operators.quality import ADMIN, enforce_fail_rules
 
@@ -27,7 +28,7 @@ def _not(expr: str):
 
 
 def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_rows: int = HOT_KEY_ROWS,
-         chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
+         chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION, with_root: bool = False) -> DataFrame:
     """SCD type 2 versions from clean change rows, keyed by ``e.keys`` and sequenced
     by ``e.sequence`` (tie-broken by ``e.tiebreak``).
 
@@ -36,30 +37,51 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     closes its predecessor and leaves no row.  Of several changes with one
     sequence value only the last by tie-break survives.  Input order does not
     matter.  ``WK_`` is ``row_number() OVER (ORDER BY keys, start)``.
+
+    One range shuffle on (key, hot-key chunk) serves the ``lead``, the survivor
+    filter, each version's place within its key and the numbering.  With
+    ``with_root`` the key's first surrogate ``WKR_`` is added from that place
+    (plus, for a split hot key, the survivors of its earlier chunks), so the
+    history view needs no further shuffle.
     """
     rows = enforce_fail_rules(changes, e)
     if track:
         rows = tracked_changes(rows, e, track)
     seq = e.sequence
-    # one range shuffle on (key, hot-key chunk): the lead, the survivor filter and
-    # the numbering all run on that layout, in (key, sequence) order
-    rows = range_lead(rows, e.keys, [seq, *e.tiebreak], seq, "__END_AT", hot_rows, chunk_rows, fraction)
-    versions = (rows.where(F.col("__END_AT").isNull() | (F.col("__END_AT") != F.col(seq)))
-                .where(_not(e.delete_when))
-                .select(*e.column_names, *ADMIN, F.col(seq).alias("__START_AT"), "__END_AT"))
-    numbered = number_in_place(versions, e.wk)
-    return numbered.select(e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT")
+    order = [seq, *e.tiebreak]
+    rows = range_lead(rows, e.keys, order, seq, "__END_AT", hot_rows, chunk_rows, fraction, keep_chunk=True)
+    hot = "_chunk" in rows.columns
+    part = [*e.keys, "_chunk"] if hot else list(e.keys)
+    survivors = (rows.where(F.col("__END_AT").isNull() | (F.col("__END_AT") != F.col(seq)))
+                 .where(_not(e.delete_when))
+                 .withColumn("_pos", F.row_number().over(Window.partitionBy(*part).orderBy(*order))))
+    versions = survivors.select(*e.column_names, *ADMIN, F.col(seq).alias("__START_AT"), "__END_AT", "_pos",
+                                *(["_chunk", "_hot"] if hot else []))
+    numbered = number_in_place(versions, e.wk, [*e.keys, "__START_AT"])
+    cols = [e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"]
+    if not with_root:
+        return numbered.select(*cols)
+    root = F.col(e.wk) - F.col("_pos") + 1
+    if hot:
+        counts = numbered.where("_hot").groupBy(*e.keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*e.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        prior = counts.select(*e.keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_prior"))
+        prior_b, _ = sized_broadcast(prior)         # one row per chunk of a hot key
+        numbered = _join_keys(numbered, prior_b, list(e.keys), "left", extra=["_chunk"])
+        root = root - F.coalesce(F.col("_prior"), F.lit(0))
+    return numbered.select(*cols, root.cast("long").alias(e.wkr))
 
 
 def history_view(dw: DataFrame, e: Entity) -> DataFrame:
     """Every version with validity columns and neighbour surrogates.
 
     ``WK_`` numbers a key's versions consecutively in start order, so the root
-    ``WKR_`` is the key's smallest ``WK_`` (an aggregate, partial before the
-    shuffle) and the previous ``WKP_`` is ``WK_ - 1`` except on the root.
+    ``WKR_`` is the key's smallest ``WK_`` and the previous ``WKP_`` is ``WK_ - 1``
+    except on the root.  When ``dw`` carries ``WKR_`` (``scd2(with_root=True)``)
+    the view is a projection; otherwise the root is a grouped minimum (partial
+    before the shuffle) joined back on the key.
     """
-    root = dw.groupBy(*e.keys).agg(F.min(e.wk).alias(e.wkr))
-    v = dw.join(root, list(e.keys))
+    v = dw if e.wkr in dw.columns else dw.join(dw.groupBy(*e.keys).agg(F.min(e.wk).alias(e.wkr)), list(e.keys))
     return v.select(
         e.wk,
         F.when(F.col(e.wk) > F.col(e.wkr), F.col(e.wk) - 1).alias(e.wkp),

@@ -90,29 +90,39 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in [*keys, *extra]])
 
 
+def chunk_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
+                   chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION
+                   ) -> tuple[DataFrame, list[str], int]:
+    """Add ``_chunk`` (ordered slices of a hot key's sequence range) and ``_hot``.
+
+    Returns the frame, the partitioning columns (keys, plus ``_chunk`` when some
+    key is hot) and the number of hot keys.  With no hot key no column is added:
+    a constant chunk would be folded out of a window's partitioning, and a range
+    layout on it would then no longer satisfy the window.
+    """
+    hot, n_hot = sized_broadcast(hot_keys(df, keys, seq, hot_rows, chunk_rows, fraction))
+    if not n_hot:
+        return df, list(keys), 0
+    span = F.col("_hi") - F.col("_lo") + 1
+    raw = F.floor((_num(df, seq) - F.col("_lo")) * F.col("_nchunks") / span)
+    chunk = F.when(F.col("_nchunks").isNull(), F.lit(0)).otherwise(
+        F.greatest(F.lit(0), F.least(raw, F.col("_nchunks") - 1)))
+    withc = _join_keys(df, hot, keys, "left").withColumn("_chunk", chunk.cast("long")) \
+        .withColumn("_hot", F.col("_nchunks").isNotNull()).drop("_lo", "_hi", "_nchunks")
+    return withc, [*keys, "_chunk"], n_hot
+
+
 def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
                hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, keep_chunk: bool = False) -> DataFrame:
     """``lead(value) OVER (PARTITION BY keys ORDER BY order)`` as column ``out``.
 
     ``order[0]`` is the sequence column; hot keys are chunked on it.  The result
     is range partitioned on (keys, chunk) and sorted by (keys, order) within
-    each partition.
+    each partition.  ``keep_chunk`` keeps ``_chunk`` and ``_hot`` when some key
+    was split, for callers that run further windows on the same layout.
     """
-    seq = order[0]
-    hot, n_hot = sized_broadcast(hot_keys(df, keys, seq, hot_rows, chunk_rows, fraction))
-    if n_hot:
-        span = F.col("_hi") - F.col("_lo") + 1
-        raw = F.floor((_num(df, seq) - F.col("_lo")) * F.col("_nchunks") / span)
-        chunk = F.when(F.col("_nchunks").isNull(), F.lit(0)).otherwise(
-            F.greatest(F.lit(0), F.least(raw, F.col("_nchunks") - 1)))
-        withc = _join_keys(df, hot, keys, "left").withColumn("_chunk", chunk.cast("long")) \
-            .withColumn("_hot", F.col("_nchunks").isNotNull()).drop("_lo", "_hi", "_nchunks")
-    else:
-        # no chunk column at all: a constant one would be folded out of the window's
-        # partitioning, and the range layout would then no longer satisfy it
-        withc = df
-    part = [*keys, "_chunk"] if n_hot else list(keys)
+    withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
     ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
     led = ranged.withColumn(out, F.lead(value).over(Window.partitionBy(*part).orderBy(*_cols(order))))
     if not n_hot:
@@ -124,26 +134,70 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                          .alias("_next_head"))
     heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
     fixed = _join_keys(led, heads_b, keys, "left", extra=["_chunk"])
-    return fixed.withColumn(out, F.when(F.col("_hot") & F.col(out).isNull(), F.col("_next_head"))
-                            .otherwise(F.col(out))).drop("_chunk", "_hot", "_next_head")
+    fixed = fixed.withColumn(out, F.when(F.col("_hot") & F.col(out).isNull(), F.col("_next_head"))
+                             .otherwise(F.col(out))).drop("_next_head")
+    return fixed if keep_chunk else fixed.drop("_chunk", "_hot")
+
 
+def range_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
+                partitions: int | None = None) -> DataFrame:
+    """``last(value, ignorenulls) OVER (PARTITION BY keys ORDER BY order ROWS
+    UNBOUNDED PRECEDING)`` as column ``out``: the latest non-null value at or
+    before each row, carried forward.
 
-def number_in_place(df: DataFrame, name: str) -> DataFrame:
+    Same layout as :func:`range_lead`.  A hot key's chunk takes the carry from
+    its earlier chunks out of a small table with one row per hot chunk.
+    """
+    withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
+    ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
+    upto = Window.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = ranged.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    if not n_hot:
+        return carried
+    tails = (withc.where(F.col("_hot") & F.col(value).isNotNull()).groupBy(*keys, "_chunk")
+             .agg(F.max_by(F.col(value), F.struct(*_cols(order))).alias("_tail")))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # every chunk of a hot key, so a chunk without values still finds its carry
+    chunks = withc.where("_hot").select(*keys, "_chunk").distinct()
+    carry = _join_keys(chunks, tails, keys, "left", extra=["_chunk"]) \
+        .select(*keys, "_chunk", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    carry_b, _ = sized_broadcast(carry)       # one row per chunk of a hot key
+    fixed = _join_keys(carried, carry_b, keys, "left", extra=["_chunk"])
+    return fixed.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_chunk", "_hot", "_carry")
+
+
+def number_in_place(df: DataFrame, name: str, order: Sequence[str] | None = None) -> DataFrame:
     """Dense row numbers in the frame's current global order: partitions in
     range order, rows in their order within each partition.
 
     Each row gets its partition id and place; the frame is written once (so the
     numbers and the per-partition counts come from one materialisation); the
     number is the prefix offset of the partition (a table with one row per
-    partition, broadcast) plus the row's place.
+    partition, broadcast) plus the row's place.  When ``order`` names the sort
+    columns, the offsets table also checks that partition ranges ascend and
+    do not overlap, so a layout broken by an unexpected shuffle raises instead
+    of numbering wrongly.
     """
     tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     stored = cut_lineage(tagged, "numbered")
-    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if order:
+        aggs += [F.min(F.struct(*_cols(order))).alias("_lo"), F.max(F.struct(*_cols(order))).alias("_hi")]
+    counts = stored.groupBy("_pid").agg(*aggs)
+    ordered = Window.orderBy("_pid")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            *([F.lag("_hi").over(ordered).alias("_prev_hi"), "_lo"] if order else []))
+    if order:
+        offsets = offsets.where(F.assert_true(F.col("_prev_hi").isNull() | (F.col("_prev_hi") < F.col("_lo")),
+                                              F.lit("partitions are not in range order")).isNull()) \
+            .drop("_prev_hi", "_lo")
+    # one row per partition, written once: every later read of the numbered table
+    # joins it without recounting
+    offsets, _ = sized_broadcast(offsets, max_rows=1 << 30)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return stored.join(F.broadcast(offsets), "_pid") \
+    return stored.join(offsets, "_pid") \
         .withColumn(name, (F.col("_off") + local + 1).cast("long")) \
         .drop("_pid", "_mid", "_off")
 
@@ -154,7 +208,7 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str, partitions
     within partitions, then :func:`number_in_place`.  ``order`` must be unique
     for a deterministic result."""
     ranged = df.repartitionByRange(_partitions(df, partitions), *order).sortWithinPartitions(*order)
-    return number_in_place(ranged, name)
+    return number_in_place(ranged, name, order)
 
 
 def keyed_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,

@@ -131,9 +131,16 @@ def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) ->
 def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts", how: str = "inner") -> DataFrame:
     """Line-grain view: current lines with the header version valid at the line's
     event time, header attributes denormalised onto each line."""
-    d = dwh_detail.where(F.col("WA_ISCURR") == 1).alias("d")
-    h = dwh_header.alias("h")
-    j = as_of_join(d, h, ["order_id"], at, how)
+    d = dwh_detail.where(F.col("WA_ISCURR") == 1).select(
+        "WK_ORDER_DETAIL", "WKR_ORDER_DETAIL", "order_detail_id", "order_id", "menu_item_id", "quantity",
+        "unit_price", "price", "order_item_discount_amount", "line_number", at,
+        "WA_CRUDDTS", "WA_CRUD", "WA_SRC", "WA_RUNID")
+    h = dwh_header.select(
+        "WK_ORDER_HEADER", "WKR_ORDER_HEADER", "order_id", "truck_id", "location_id", "customer_id", "shift_id",
+        "discount_id", "shift_start_time", "shift_end_time", "order_channel", "order_ts", "served_ts",
+        "order_currency", "order_amount", "order_tax_amount", "order_discount_amount", "order_total",
+        "WA_FROMDATE", "WA_UNTODATE")
+    j = as_of_join(d, h, ["order_id"], at, how, names=("d", "h"))
     return j.select(
         "d.WK_ORDER_DETAIL", "d.WKR_ORDER_DETAIL", "h.WK_ORDER_HEADER", "h.WKR_ORDER_HEADER",
         "d.order_detail_id", "d.order_id", "d.menu_item_id", "d.quantity", "d.unit_price", "d.price",
@@ -141,7 +148,7 @@ def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts
         "h.truck_id", "h.location_id", "h.customer_id", "h.shift_id", "h.discount_id", "h.shift_start_time",
         "h.shift_end_time", "h.order_channel", F.col("h.order_ts").alias("order_ts"), "h.served_ts",
         "h.order_currency", "h.order_amount", "h.order_tax_amount", "h.order_discount_amount", "h.order_total",
-        F.col("d.order_ts").alias("line_ts"),
+        F.col(f"d.{at}").alias("line_ts"),
         "d.WA_CRUDDTS", "d.WA_CRUD", "d.WA_SRC", "d.WA_RUNID",
     )
 

@@ -5,18 +5,75 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.operators.keyed import CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, range_carry
+
+
+def _pairs(keys: Sequence[str] | dict[str, str]) -> list[tuple[str, str]]:
+    return list(keys.items()) if isinstance(keys, dict) else [(k, k) for k in keys]
 
 
 def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[str, str], at: str,
-               how: str = "inner", frm: str = "WA_FROMDATE", until: str = "WA_UNTODATE") -> DataFrame:
-    """Rows of ``left`` joined to the history version valid at ``left[at]``:
-    equal keys and ``from <= at < until``.
+               how: str = "inner", frm: str = "WA_FROMDATE", until: str = "WA_UNTODATE",
+               names: tuple[str, str] = ("l", "r"), hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS,
+               fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """Rows of ``left`` with the history version valid at ``left[at]``: equal keys
+    and ``from <= at < until``.  ``how`` is ``inner`` or ``left``.
 
-    The key equality keeps it a hash (or sort-merge) join with the interval as a
-    residual; versions of a key do not overlap, so each row matches at most once.
-    ``keys`` maps left key names to history key names when they differ.
+    The result has two struct columns named by ``names`` (left row, history
+    row), so ``select("l.*")`` or ``col("r.name")`` pick columns without name
+    clashes.  ``keys`` maps left key names to history key names when they differ.
+
+    Batch form: left rows and versions are unioned, range partitioned once on
+    the key (hot keys split into ordered chunks), and each left row takes the
+    latest version starting at or before it (a carried-forward ``last``); the
+    version matches when ``at < until``.  Versions of a key do not overlap, so
+    this equals the interval join, but no key ever pairs all its rows with all
+    its versions.  A streaming left side keeps the equi-join with the interval
+    as a residual (a stream-static join).
     """
-    pairs = keys.items() if isinstance(keys, dict) else [(k, k) for k in keys]
-    cond = [left[lk] == history[hk] for lk, hk in pairs]
-    cond += [history[frm] <= left[at], left[at] < history[until]]
-    return left.join(history, cond, how)
+    if how not in ("inner", "left"):
+        raise ValueError(f"as-of join supports inner and left, not {how!r}")
+    pairs = _pairs(keys)
+    ln, rn = names
+    if left.isStreaming:
+        cond = [left[lk] == history[hk] for lk, hk in pairs]
+        cond += [history[frm] <= left[at], left[at] < history[until]]
+        j = left.join(history, cond, how)
+        return j.select(F.struct(*[left[c] for c in left.columns]).alias(ln),
+                        F.struct(*[history[c] for c in history.columns]).alias(rn))
+
+    kcols = [f"_k{i}" for i in range(len(pairs))]
+    lrow = F.struct(*[F.col(c) for c in left.columns])
+    hrow = F.struct(*[F.col(c) for c in history.columns])
+    ltype = left.select(lrow.alias("x")).schema["x"].dataType
+    htype = history.select(hrow.alias("x")).schema["x"].dataType
+    lside = left.select(*[F.col(lk).alias(k) for (lk, _), k in zip(pairs, kcols)],
+                        F.col(at).alias("_t"), F.lit(1).alias("_side"),
+                        lrow.alias("_l"), F.lit(None).cast(htype).alias("_h"))
+    # a version with a NULL key can match nothing (equality on NULL is unknown)
+    has_key = [F.col(hk).isNotNull() for _, hk in pairs]
+    hside = history.where(_all(has_key)).select(
+        *[F.col(hk).alias(k) for (_, hk), k in zip(pairs, kcols)],
+        F.col(frm).alias("_t"), F.lit(0).alias("_side"),
+        F.lit(None).cast(ltype).alias("_l"), hrow.alias("_h"))
+    both = hside.unionByName(lside)
+    # versions sort before left rows of the same instant: ``from <= at`` is inclusive
+    carried = range_carry(both, kcols, ["_t", "_side"], "_h", "_m", hot_rows, chunk_rows, fraction)
+    rows = carried.where(F.col("_side") == 1)
+    ok = _all([F.col(k).isNotNull() for k in kcols] + [F.col("_t").isNotNull(), F.col("_m").isNotNull(),
+                                                       F.col("_t") < F.col(f"_m.{until}")])
+    if how == "inner":
+        return rows.where(ok).select(F.col("_l").alias(ln), F.col("_m").alias(rn))
+    return rows.select(F.col("_l").alias(ln), F.when(ok, F.col("_m")).alias(rn))
+
+
+def _all(conds):
+    out = F.lit(True)
+    for c in conds:
+        out = out & c
+    return out
+
+
+__all__ = ["as_of_join"]

@@ -53,44 +53,57 @@ class Warehouse:
     def events_feed(self) -> DataFrame:
         return fixtures.chg_events(self.spark, self.sf_dir)
 
-    # tagged sources ------------------------------------------------------
-    @property
+    # tagged sources: stored once, like the tagged-source materialised views;
+    # history, quarantine and rule counts all read the stored rows
+    @cached_property
     def header_tagged(self) -> DataFrame:
-        return quality.tag(self.header_feed, HEADER)
+        return cut_lineage(quality.tag(self.header_feed, HEADER), "header_src")
 
-    @property
+    @cached_property
     def detail_tagged(self) -> DataFrame:
-        return quality.tag(self.detail_feed, DETAIL)
+        return cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src")
 
-    @property
+    @cached_property
     def events_tagged(self) -> DataFrame:
-        return quality.tag(self.events_feed, EVENTS)
+        return cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src")
 
-    # history tables (materialised) ----------------------------------------
+    # history tables (materialised by the surrogate numbering, root key included)
     @cached_property
-    def dw_header(self) -> DataFrame:
-        return history.scd2(quality.clean(self.header_tagged), HEADER)
+    def _dw_header(self) -> DataFrame:
+        return history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True)
 
     @cached_property
-    def dw_detail(self) -> DataFrame:
-        return history.scd2(quality.clean(self.detail_tagged), DETAIL)
+    def _dw_detail(self) -> DataFrame:
+        return history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True)
 
     @cached_property
+    def _dw_events(self) -> DataFrame:
+        return history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True)
+
+    @property
+    def dw_header(self) -> DataFrame:
+        return self._dw_header.drop(HEADER.wkr)
+
+    @property
+    def dw_detail(self) -> DataFrame:
+        return self._dw_detail.drop(DETAIL.wkr)
+
+    @property
     def dw_events(self) -> DataFrame:
-        return history.scd2(quality.clean(self.events_tagged), EVENTS)
+        return self._dw_events.drop(EVENTS.wkr)
 
-    # history views (computed once per run and kept, since every mart reads them)
-    @cached_property
+    # history views: projections of the stored history (no shuffle, nothing rewritten)
+    @property
     def dwh_header(self) -> DataFrame:
-        return cut_lineage(history.history_view(self.dw_header, HEADER), "dwh_header")
+        return history.history_view(self._dw_header, HEADER)
 
-    @cached_property
+    @property
     def dwh_detail(self) -> DataFrame:
-        return cut_lineage(history.history_view(self.dw_detail, DETAIL), "dwh_detail")
+        return history.history_view(self._dw_detail, DETAIL)
 
-    @cached_property
+    @property
     def dwh_events(self) -> DataFrame:
-        return cut_lineage(history.history_view(self.dw_events, EVENTS), "dwh_events")
+        return history.history_view(self._dw_events, EVENTS)
 
     # dimensions ------------------------------------------------------------
     def dim(self, attr: str, mk: str, key_mode: str | None = None) -> DataFrame:

@@ -107,8 +107,8 @@ def run_scd1_stream(stream: DataFrame, e: Entity, changes_path: str, state_root:
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,
                            target: str, checkpoint: str, how: str = "inner") -> str:
     """Clean changes of a stream joined to the static history version valid at ``at``."""
-    lines = quality.clean(quality.tag(stream, e)).alias("d")
-    j = as_of_join(lines, static_history.alias("h"), keys, at, how)
+    lines = quality.clean(quality.tag(stream, e))
+    j = as_of_join(lines, static_history, keys, at, how, names=("d", "h"))
     out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
                    F.col("h.WK_ORDER_HEADER"), F.col("h.order_currency"), F.col("h.truck_id"))
     _drain(out, target, checkpoint)

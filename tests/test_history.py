@@ -166,3 +166,17 @@ def test_clean_history_ignores_quarantined_rows(spark):
     dwh = history.history_view(history.scd2(quality.clean(tagged), ent), ent)
     assert [(r.v, r.WA_ISCURR) for r in dwh.collect()] == [(5, 1)]
     assert [r.v for r in quality.quarantine(tagged, ent).collect()] == [-1]
+
+
+def test_root_from_scd2_equals_grouped_root(spark):
+    data = _random_feed(3, keys=5, per_key=4)
+    rnd = random.Random(2)
+    data += [(99, f"h{i}", d, rnd.choice("CUUUD"), 0) for i, d in enumerate(rnd.sample(range(5000), 400))]
+    cols = ["WK_THING", "WKP_THING", "WKR_THING", "k", "WA_FROMDATE", "WA_ISCURR"]
+    grouped = history.history_view(history.scd2(feed(spark, data), E), E).select(cols)
+    expect = sorted(map(tuple, grouped.collect()))
+    for kw in ({}, {"hot_rows": 50, "chunk_rows": 40, "fraction": 1.0}):
+        dw = history.scd2(feed(spark, data), E, with_root=True, **kw)
+        assert "WKR_THING" in dw.columns
+        got = history.history_view(dw, E).select(cols)
+        assert sorted(map(tuple, got.collect())) == expect

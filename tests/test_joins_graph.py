@@ -16,13 +16,33 @@ def d(day):
 
 
 def test_as_of_join_is_half_open_and_left_keeps_misses(spark):
-    h = spark.createDataFrame([(1, "v1", d(0), d(5)), (1, "v2", d(5), d(9999))],
+    h = spark.createDataFrame([(1, "v1", d(0), d(5)), (1, "v2", d(5), d(9999)), (None, "vn", d(0), d(9999))],
                               "k int, name string, WA_FROMDATE timestamp_ntz, WA_UNTODATE timestamp_ntz")
-    lines = spark.createDataFrame([(1, d(-1)), (1, d(0)), (1, d(4)), (1, d(5)), (2, d(3))], "k int, at timestamp_ntz")
-    inner = sorted((r.at, r.name) for r in as_of_join(lines, h, ["k"], "at").select(lines.at, h.name).collect())
+    lines = spark.createDataFrame([(1, d(-1)), (1, d(0)), (1, d(4)), (1, d(5)), (2, d(3)), (None, d(3)), (1, None)],
+                                  "k int, at timestamp_ntz")
+    inner = sorted((r.at, r.name) for r in as_of_join(lines, h, ["k"], "at").select("l.at", "r.name").collect())
     assert inner == [(d(0), "v1"), (d(4), "v1"), (d(5), "v2")]
     left = as_of_join(lines, h, ["k"], "at", how="left")
-    assert left.count() == 5 and left.where(h.name.isNull()).count() == 2
+    assert left.count() == 7 and left.where(F.col("r").isNull()).count() == 4
+
+
+def test_as_of_join_hot_key_equals_interval_join(spark):
+    import random
+    rnd = random.Random(4)
+    starts = sorted(rnd.sample(range(1, 20000), 300))
+    vers = [(0, i, d(s), d(e)) for i, (s, e) in enumerate(zip(starts, starts[1:] + [40000]))
+            if i % 7 != 3]                                      # gaps: some versions were deleted
+    vers += [(k, 1000 + k, d(0), d(30000)) for k in range(1, 20)]
+    h = spark.createDataFrame(vers, "k int, v int, WA_FROMDATE timestamp_ntz, WA_UNTODATE timestamp_ntz")
+    pts = [(0 if rnd.random() < 0.8 else rnd.randint(1, 25), d(rnd.randint(-50, 41000))) for _ in range(3000)]
+    lines = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(pts)], "id int, k int, at timestamp_ntz")
+    ref = lines.join(h, (lines.k == h.k) & (h.WA_FROMDATE <= lines.at) & (lines.at < h.WA_UNTODATE), "left") \
+        .select(lines.id, h.v)
+    for how in ("inner", "left"):
+        got = as_of_join(lines, h, ["k"], "at", how=how, hot_rows=200, chunk_rows=150, fraction=1.0) \
+            .select("l.id", "r.v")
+        exp = ref if how == "left" else ref.where(F.col("v").isNotNull())
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)
 
 
 def test_calendar_is_gap_free_with_yyyymmdd_key(spark):
