@@ -521,7 +521,21 @@ def _scd1_stream(w):
     feed = w.events_feed
     write_feed(feed, f"{root}/feed")
     stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
-    return run_scd1_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck)
+    return run_scd1_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck, buckets=16)
+
+
+@register("scd2_stream")
+def _scd2_stream(w):
+    """Event history kept by a stream whose files arrive out of sequence order;
+    surrogates depend on arrival order, so the query leaves them out."""
+    from tessera.streaming.feeds import read_feed_stream, write_feed
+    from tessera.streaming.pipelines import run_scd2_stream
+    root, ck = _stream_paths(w.spark, "scd2")
+    feed = w.events_feed
+    write_feed(feed, f"{root}/feed", split_by="event_id")
+    stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
+    state = run_scd2_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck, buckets=16)
+    return state.drop(EVENTS.wk)
 
 
 @register("stream_static_asof")

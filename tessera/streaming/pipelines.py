@@ -3,10 +3,10 @@
 * :func:`run_quarantine_stream` appends failing rows to an append-only sink.
 * :func:`run_split_stream` tags each micro-batch once (persisted) and writes both
   the clean change store and the quarantine from it.
-* :func:`run_scd1_stream` keeps SCD1 state by merging only the keys a batch
-  touches: stored changes of those keys plus the batch are reduced again, and
-  the next state version is written under the batch id (replay-safe: a replayed
-  batch rewrites the same folders).
+* :func:`run_scd1_stream` and :func:`run_scd2_stream` keep SCD1 state and SCD2
+  history by merging only the keys a batch touches: stored changes of those
+  keys are reduced again, and only their key buckets are rewritten
+  (:class:`~tessera.streaming.state.BucketedState`; replay-safe).
 * :func:`run_stream_static_asof` joins a change stream to static SCD2 history.
 """
 
@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from tessera.operators import history, quality
 from tessera.operators.entity import Entity
+from tessera.operators.keyed import global_row_number
 from tessera.operators.temporal import as_of_join
+from tessera.session import cut_lineage
+from tessera.streaming.state import BucketedState, key_bucket
 
 
 def _drain(df: DataFrame, target: str, checkpoint: str) -> None:
@@ -46,62 +49,95 @@ def run_split_stream(stream: DataFrame, e: Entity, clean_path: str, quarantine_p
     q.awaitTermination()
 
 
-def _committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids whose state folder finished writing (``_SUCCESS`` present)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+def _store_changes(batch: DataFrame, e: Entity, changes_path: str, batch_id: int, buckets: int
+                   ) -> tuple[DataFrame, list[int]]:
+    """Append the batch's clean changes to the change store (by batch id and key
+    bucket; a replay overwrites its own folder).  Returns the batch's distinct
+    keys and the buckets they fall in (at most ``buckets`` values)."""
+    spark = batch.sparkSession
+    clean = quality.clean(quality.tag(batch, e)).withColumn("_bucket", key_bucket(e.keys, buckets))
+    # one task per bucket: one file per bucket and batch, however many tasks fed it
+    clean.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket") \
+        .parquet(f"{changes_path}/batch={batch_id}")
+    stored = spark.read.parquet(f"{changes_path}/batch={batch_id}")
+    hit = [r[0] for r in stored.select("_bucket").distinct().collect()]
+    return stored.select(*e.keys).distinct(), hit
 
 
-def latest_state(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = _committed_versions(spark, root)
-    return spark.read.parquet(f"{root}/v={versions[-1]}") if versions else None
+def _changes_of(spark: SparkSession, changes_path: str, touched: DataFrame, hit: list[int], batch_id: int,
+                e: Entity) -> DataFrame:
+    """Every stored change (deletes included) of the touched keys up to this batch;
+    the bucket list prunes the store's folders."""
+    stored = spark.read.parquet(changes_path).where((F.col("batch") <= batch_id) & F.col("_bucket").isin(hit))
+    return stored.join(touched, list(e.keys), "left_semi").drop("batch", "_bucket")
 
 
-def key_bucket(keys, buckets: int):
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+def _drain_batches(stream: DataFrame, fn, checkpoint: str) -> None:
+    q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def run_scd1_stream(stream: DataFrame, e: Entity, changes_path: str, state_root: str, checkpoint: str,
                     buckets: int = 64) -> DataFrame:
-    """SCD1 state maintained per micro-batch by merging touched keys only.
+    """SCD1 state maintained per micro-batch by merging touched keys only: the
+    stored changes of those keys are reduced again, and only the buckets they
+    fall in are rewritten (untouched keys of those buckets carried over).
 
-    Changes (deletes included) are stored, so a late change that sorts before a
+    Changes, deletes included, are stored, so a late change that sorts before a
     stored delete cannot reopen the key.
     """
     spark = stream.sparkSession
+    state = BucketedState(spark, state_root, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        clean = quality.clean(quality.tag(batch, e)).withColumn("_bucket", key_bucket(e.keys, buckets)).persist()
-        clean.write.mode("overwrite").partitionBy("_bucket").parquet(f"{changes_path}/batch={batch_id}")
-        touched = clean.select(*e.keys, "_bucket").distinct()
-        # the touched buckets are at most ``buckets`` values: they prune the change store's folders
-        hit = [r[0] for r in touched.select("_bucket").distinct().collect()]
-        stored = spark.read.parquet(changes_path).where(F.col("_bucket").isin(hit)).drop("batch")
-        fresh = history.scd1(stored.join(touched, [*e.keys, "_bucket"], "left_semi").drop("_bucket"), e)
-        touched = touched.drop("_bucket")
-        prev = None
-        for v in reversed(_committed_versions(spark, state_root)):
-            if v < batch_id:
-                prev = spark.read.parquet(f"{state_root}/v={v}")
-                break
-        nxt = fresh if prev is None else prev.join(touched, list(e.keys), "left_anti").unionByName(fresh)
-        nxt.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
-        clean.unpersist()
-
-    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-    return latest_state(spark, state_root)
+        touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
+        fresh = history.scd1(_changes_of(spark, changes_path, touched, hit, batch_id, e), e)
+        prev = state.read(before=batch_id, only=hit)
+        kept = fresh if prev is None else prev.join(touched, list(e.keys), "left_anti").unionByName(fresh)
+        state.commit(batch_id, kept.withColumn("_bucket", key_bucket(e.keys, buckets)), hit)
+
+    _drain_batches(stream, merge, checkpoint)
+    return state.read()
+
+
+def run_scd2_stream(stream: DataFrame, e: Entity, changes_path: str, state_root: str, checkpoint: str,
+                    buckets: int = 64) -> DataFrame:
+    """SCD2 history maintained per micro-batch: the versions of the touched keys are
+    recomputed from their stored changes (so arrival order does not matter), and
+    only their buckets are rewritten.
+
+    A version that existed before (same key and start) keeps its surrogate; new
+    versions are numbered above the largest surrogate so far, in (key, start)
+    order, so numbers depend on arrival order but stay unique.
+    """
+    spark = stream.sparkSession
+    state = BucketedState(spark, state_root, buckets)
+    ver_keys = [*e.keys, "__START_AT"]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
+        fresh = history.scd2(_changes_of(spark, changes_path, touched, hit, batch_id, e), e).drop(e.wk)
+        prev = state.read(before=batch_id, only=hit)
+        top = state.max_key(before=batch_id)
+        if prev is not None:
+            old = prev.select(*ver_keys, F.col(e.wk).alias("_old"))
+            fresh = fresh.join(old, ver_keys, "left")
+        else:
+            fresh = fresh.withColumn("_old", F.lit(None).cast("long"))
+        fresh = cut_lineage(fresh, "scd2_fresh")
+        new = global_row_number(fresh.where(F.col("_old").isNull()).drop("_old"), ver_keys, "_rn")
+        added = new.withColumn(e.wk, (F.col("_rn") + F.lit(top)).cast("long")).drop("_rn")
+        carried = fresh.where(F.col("_old").isNotNull()).withColumnRenamed("_old", e.wk)
+        versions = carried.unionByName(added)
+        if prev is not None:
+            versions = prev.join(touched, list(e.keys), "left_anti").unionByName(versions)
+        n_max = added.agg(F.max(e.wk)).first()[0]
+        state.commit(batch_id, versions.withColumn("_bucket", key_bucket(e.keys, buckets)), hit,
+                     max_key=int(n_max or 0))
+
+    _drain_batches(stream, merge, checkpoint)
+    return state.read()
 
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,
