@@ -250,6 +250,24 @@ def _run(spark, sf_dir, mode):
                      root=scratch_path(spark, "staging", uuid.uuid4().hex))
 
 
+@query("control_select")
+def _control_select(spark, sf_dir):
+    """Active control rows of both modes with the source rows each load would read."""
+    from tessera.sources.ingest import preview_loads
+    return preview_loads(spark, _control(spark, sf_dir), "both")
+
+
+@query("time_of_day_format")
+def _time_of_day(spark, sf_dir):
+    """Shift times kept as milliseconds since midnight, shown as HH:mm:ss and back."""
+    from tessera.functions.timeofday import hms_to_seconds, millis_to_hms
+    from tessera.sources.fixtures import stg_order_header
+    stg = stg_order_header(spark, sf_dir)
+    return stg.select("order_id", millis_to_hms("shift_start_time").alias("shift_start"),
+                      millis_to_hms("shift_end_time").alias("shift_end")) \
+        .withColumn("shift_seconds", hms_to_seconds("shift_end") - hms_to_seconds("shift_start"))
+
+
 @query("ingest_full")
 def _ingest_full(spark, sf_dir):
     _, results = _run(spark, sf_dir, "full")
@@ -332,6 +350,29 @@ _STG = ["order_id", "truck_id", "location_id", "customer_id", "discount_id", "sh
         "order_tax_amount", "order_discount_amount", "order_total", "load_ts"]
 
 
+# The two rows the demo injects into staging with INSERT VALUES (a
+# negative total, which quarantine must catch, and a NULL key, which stops the run).
+INJECTED_SQL = """
+SELECT * FROM VALUES
+  (CAST(900000001 AS BIGINT), CAST(1 AS BIGINT), CAST(1.0 AS DOUBLE), CAST(42 AS BIGINT), CAST(NULL AS STRING),
+   CAST(1 AS BIGINT), 28800000, 57599000, '1-URGENT', TIMESTAMP_NTZ '1998-08-02 00:00:00', '1998-08-02 00:05:00',
+   'O', CAST(-5 AS DECIMAL(18,4)), '0.5000', CAST(NULL AS STRING), CAST(-5 AS DECIMAL(18,4)),
+   TIMESTAMP_NTZ '1998-08-02 00:00:00'),
+  (CAST(NULL AS BIGINT), CAST(2 AS BIGINT), CAST(2.0 AS DOUBLE), CAST(43 AS BIGINT), CAST(NULL AS STRING),
+   CAST(2 AS BIGINT), 57600000, 86399000, '2-HIGH', TIMESTAMP_NTZ '1998-08-03 00:00:00', '1998-08-03 00:05:00',
+   'F', CAST(10 AS DECIMAL(18,4)), '1.0000', CAST(NULL AS STRING), CAST(10 AS DECIMAL(18,4)),
+   TIMESTAMP_NTZ '1998-08-03 00:00:00')
+AS t(order_id, truck_id, location_id, customer_id, discount_id, shift_id, shift_start_time, shift_end_time,
+     order_channel, order_ts, served_ts, order_currency, order_amount, order_tax_amount, order_discount_amount,
+     order_total, load_ts)"""
+
+
+@register("inline_rows")
+def _inline_rows(w):
+    """Staged headers with literal rows appended (``INSERT ... VALUES`` / ``UNION ALL``)."""
+    return _stg(w).unionByName(w.spark.sql(INJECTED_SQL))
+
+
 @register("merge_insert_only")
 def _merge(w):
     from tessera.operators.changes import as_of, merge_insert_only

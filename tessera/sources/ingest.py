@@ -51,6 +51,25 @@ def select_loads(control: DataFrame, mode: str, source_system: str | None = None
     return rows if mode == "both" else rows.where(F.col("load_type") == mode)
 
 
+def preview_loads(spark: SparkSession, control: DataFrame, mode: str, source_system: str | None = None
+                  ) -> DataFrame:
+    """The control rows a run would execute, each with the number of source rows
+    its pattern matches: one union of the sources' scans counted in a single
+    job (the driver only reads the control rows, one per source)."""
+    chosen = select_loads(control, mode, source_system)
+    parts = [scan(spark, r.source_path, r.file_pattern).select(F.lit(r.target_table).alias("target_table"))
+             for r in chosen.select("source_path", "file_pattern", "target_table").collect()]
+    if not parts:
+        return chosen.select("source_system", "target_table", "load_type", F.lit(0).cast("bigint").alias("source_rows"))
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counted = union.groupBy("target_table").agg(F.count(F.lit(1)).alias("source_rows"))
+    return chosen.select("source_system", "target_table", "load_type").join(counted, "target_table", "left") \
+        .select("source_system", "target_table", "load_type",
+                F.coalesce(F.col("source_rows"), F.lit(0)).cast("bigint").alias("source_rows"))
+
+
 def merge_control(target: DataFrame, seed: DataFrame) -> DataFrame:
     """Idempotent seed: insert control rows whose (source_system, target_table) is new."""
     keys = ["source_system", "target_table"]
