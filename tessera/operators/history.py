@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import row_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
-    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, range_lead,
-    sized_broadcast,
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, range_carry,
+    range_lead, sized_broadcast,
 )
 from tessera.operators.quality import ADMIN, enforce_fail_rules
 
@@ -46,7 +46,7 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     """
     rows = enforce_fail_rules(changes, e)
     if track:
-        rows = tracked_changes(rows, e, track)
+        rows = tracked_changes(rows, e, track, hot_rows, chunk_rows, fraction)
     seq = e.sequence
     order = [seq, *e.tiebreak]
     rows = range_lead(rows, e.keys, order, seq, "__END_AT", hot_rows, chunk_rows, fraction, keep_chunk=True)
@@ -102,16 +102,22 @@ def scd1(changes: DataFrame, e: Entity) -> DataFrame:
     return last.where(_not(e.delete_when)).select(*e.column_names, *ADMIN, F.col(e.sequence).alias("WA_FROMDATE"))
 
 
-def tracked_changes(changes: DataFrame, e: Entity, track: Sequence[str]) -> DataFrame:
+def tracked_changes(changes: DataFrame, e: Entity, track: Sequence[str], hot_rows: int = HOT_KEY_ROWS,
+                    chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """Keep only changes that alter the tracked columns.  A delete, and the change
-    after a delete, always count."""
-    w = Window.partitionBy(*e.keys).orderBy(e.sequence, *e.tiebreak)
+    after a delete, always count.
+
+    The previous change of each key is a ``lag`` on the chunked range layout
+    (:func:`~tessera.operators.keyed.range_carry` ending one row back), so a
+    hot key is never sent to one task.
+    """
     is_del = F.coalesce(F.expr(e.delete_when), F.lit(False))
-    h = row_hash([F.col(c) for c in track])
-    rows = changes.withColumn("_th", h).withColumn("_del", is_del) \
-        .withColumn("_ph", F.lag("_th").over(w)).withColumn("_pd", F.lag("_del").over(w))
-    keep = F.col("_ph").isNull() | F.col("_del") | F.col("_pd") | (F.col("_ph") != F.col("_th"))
-    return rows.where(keep).drop("_th", "_del", "_ph", "_pd")
+    sig = F.struct(row_hash([F.col(c) for c in track]).alias("h"), is_del.alias("d"))
+    rows = range_carry(changes.withColumn("_sig", sig), e.keys, [e.sequence, *e.tiebreak], "_sig", "_prev",
+                       hot_rows, chunk_rows, fraction, include_current=False)
+    keep = (F.col("_prev").isNull() | F.col("_sig.d") | F.col("_prev.d")
+            | (F.col("_prev.h") != F.col("_sig.h")))
+    return rows.where(keep).drop("_sig", "_prev")
 
 
 def deleted_keys(dwh: DataFrame, e: Entity) -> DataFrame:
@@ -122,10 +128,11 @@ def deleted_keys(dwh: DataFrame, e: Entity) -> DataFrame:
 
 
 def version_path(dwh: DataFrame, e: Entity, key_values: dict) -> DataFrame:
-    """All versions of one key, numbered in start order."""
+    """All versions of one key, numbered in start order.  ``WK_`` is consecutive
+    within a key in start order, so the number is ``WK_ - WKR_ + 1``: no window,
+    and a key with very many versions is not sent to one task."""
     cond = None
     for k, v in key_values.items():
         c = F.col(k) == F.lit(v)
         cond = c if cond is None else cond & c
-    w = Window.partitionBy(*e.keys).orderBy("WA_FROMDATE")
-    return dwh.where(cond).withColumn("version_no", F.row_number().over(w))
+    return dwh.where(cond).withColumn("version_no", (F.col(e.wk) - F.col(e.wkr) + 1).cast("int"))

@@ -180,3 +180,29 @@ def test_root_from_scd2_equals_grouped_root(spark):
         assert "WKR_THING" in dw.columns
         got = history.history_view(dw, E).select(cols)
         assert sorted(map(tuple, got.collect())) == expect
+
+
+def test_tracked_history_with_hot_key_split(spark):
+    rnd = random.Random(9)
+    days = rnd.sample(range(6000), 500)
+    data = [(7, rnd.choice(["a", "b"]), d, rnd.choice("CUUUUD"), 0) for d in days]
+    data += [(k, "x", 1, "C", 0) for k in range(5)]
+    plain = history.scd2(feed(spark, data), E, track=["v"])
+    split = history.scd2(feed(spark, data), E, track=["v"], hot_rows=60, chunk_rows=50, fraction=1.0)
+    assert versions(split) == versions(plain)
+    assert versions(plain) == _brute_tracked(data)
+
+
+def _brute_tracked(data):
+    by_key = {}
+    for k, v, d, c, tb in data:
+        by_key.setdefault(k, []).append((d, tb, v, c))
+    kept = []
+    for k, ch in by_key.items():
+        ch.sort()
+        prev = None
+        for d, tb, v, c in ch:
+            if prev is None or c == "D" or prev[3] == "D" or prev[2] != v:
+                kept.append((k, v, d, c, tb))
+            prev = (d, tb, v, c)
+    return _brute_scd2(kept)
