@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 EDGE_COLS = ("source_table_full_name", "target_table_full_name", "entity_type", "created_by", "created_at")
 
 
@@ -21,10 +23,12 @@ def lineage_direct(edges: DataFrame, targets: list[str], n: int = 20) -> DataFra
 def lineage_walk(edges: DataFrame, start: str, direction: str = "downstream", max_depth: int = 5) -> DataFrame:
     """Edges reachable from ``start`` within ``max_depth`` steps, with their depth.
 
-    The recursion is unrolled into at most ``max_depth - 1`` joins.  Each step
-    carries only distinct (depth, edge) rows, so paths never multiply; the
-    result is distinct, as a recursive UNION ALL followed by DISTINCT.  The
-    level loop runs on the driver but is bounded by the depth cap, not by data.
+    The recursion is unrolled into at most ``max_depth - 1`` semi joins.  Each
+    step carries only distinct (depth, edge) rows, so paths never multiply; the
+    result is distinct, as a recursive UNION ALL followed by DISTINCT.  Each
+    level is written once (shared checkpoint folder), so level ``d`` scans the
+    edge table once instead of re-deriving every earlier level.  The level loop
+    runs on the driver but is bounded by the depth cap, not by data.
     """
     if direction == "downstream":
         near, far = "source_table_full_name", "target_table_full_name"
@@ -33,11 +37,13 @@ def lineage_walk(edges: DataFrame, start: str, direction: str = "downstream", ma
     else:
         raise ValueError(direction)
     e = edges.select(*EDGE_COLS).withColumn("_near", F.lower(near))
-    level = e.where(F.col("_near") == start.lower()).drop("_near").withColumn("depth", F.lit(1)).distinct()
+    level = cut_lineage(e.where(F.col("_near") == start.lower()).drop("_near")
+                        .withColumn("depth", F.lit(1)).distinct(), "lineage_level")
     levels = [level]
     for d in range(2, max_depth + 1):
         frontier = level.select(F.lower(far).alias("_near")).distinct()
-        level = e.join(frontier, "_near", "left_semi").drop("_near").withColumn("depth", F.lit(d)).distinct()
+        level = cut_lineage(e.join(frontier, "_near", "left_semi").drop("_near")
+                            .withColumn("depth", F.lit(d)).distinct(), "lineage_level")
         levels.append(level)
     out = levels[0]
     for lv in levels[1:]:
