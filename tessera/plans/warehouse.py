@@ -137,11 +137,11 @@ class Warehouse:
 
     @property
     def dim_shift(self) -> DataFrame:
-        return self._bounded("dim_shift", lambda: star.dim_shift(self.dwh_header, self.key_mode))
+        return self._bounded(f"dim_shift_{self.key_mode}", lambda: star.dim_shift(self.dwh_header, self.key_mode))
 
     @property
     def dim_menu_item(self) -> DataFrame:
-        return self._bounded("dim_menu_item", lambda: star.dim_scd1(
+        return self._bounded(f"dim_menu_item_id_{self.key_mode}", lambda: star.dim_scd1(
             self.dwh_detail, "menu_item_id", DETAIL.wkr, "MK_MENU_ITEM", key_mode=self.key_mode))
 
     @property
@@ -159,9 +159,17 @@ class Warehouse:
                                                lookup=self.conformed), "fct_sales_line")
 
     def conformed(self, src: str, attr: str, mk: str) -> DataFrame:
-        """Conformed key table of one attribute (one row per value), built once."""
-        dwh, wkr = (self.dwh_header, HEADER.wkr) if src == "header" else (self.dwh_detail, DETAIL.wkr)
-        return self._bounded(f"key_{src}_{attr}", lambda: star.conformed_keys(dwh, attr, wkr, mk))
+        """Conformed key table of one attribute (one row per value, NULL included).
+        The conformed dimension already holds exactly this key, so the lookup is a
+        projection of the stored dimension, not another pass over the history."""
+        if src == "detail":
+            dim = self._bounded(f"dim_{attr}_{star.CONFORMED}", lambda: star.dim_scd1(
+                self.dwh_detail, attr, DETAIL.wkr, mk, key_mode=star.CONFORMED))
+        elif attr == "shift_id":
+            dim = self._bounded(f"dim_shift_{star.CONFORMED}", lambda: star.dim_shift(self.dwh_header, star.CONFORMED))
+        else:
+            dim = self.dim(attr, mk, star.CONFORMED)
+        return dim.select(attr, mk)
 
     @property
     def sales_line(self) -> DataFrame:
