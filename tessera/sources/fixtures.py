@@ -87,7 +87,8 @@ def chg_order_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chg_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail change feed from ``lineitem``.  Repeats of (order, line) are versions
-    ordered by ship date; returned lines with quantity above 45 are deletes.
+    ordered by ship date; returned lines with quantity above 45 are deletes; every
+    211th detail id carries a zero quantity for the quality rules to catch.
 
     Amounts use exact decimal/integer arithmetic only, so every engine agrees
     to the last digit: the unit price is the line price in cents divided by
@@ -106,7 +107,8 @@ def chg_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").alias("menu_item_id"),
         F.col("l_suppkey").alias("supplier_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.when((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 211 == 0, F.lit(0))
+        .otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
         unit.alias("unit_price"),
         price.alias("price"),
         disc.cast("string").alias("order_item_discount_amount"),
