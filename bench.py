@@ -43,9 +43,8 @@ def main() -> None:
         timings[name] = round(time.time() - t0, 3)
 
     w = Warehouse.of(spark, sf_dir)
-    timed("build_history", lambda: (w.dwh_header, w.dwh_detail, w.dwh_events))
-    timed("build_facts", lambda: (w.fct_order, w.fct_sales_line, w.dim_date, w.dim_currency, w.dim_truck,
-                                  w.dim_location, w.dim_menu_item))
+    timed("build_history", w.build_history)
+    timed("build_facts", w.build_marts)
     for name in names:
         timed(name, lambda n=name: QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save())
     m = re.search(r"sf([0-9.]+)", sf_dir)

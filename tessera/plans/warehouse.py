@@ -8,7 +8,8 @@ each query whole.
 
 from __future__ import annotations
 
-from functools import cached_property
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,14 +26,48 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED):
         self.spark, self.sf_dir, self.key_mode = spark, sf_dir, key_mode
         self._small: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
+
+    def _lock(self, name: str) -> threading.Lock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.Lock())
 
     def _bounded(self, name: str, build) -> DataFrame:
         """A dimension-sized table: materialised once, broadcast when its counted
-        size allows (else joined by shuffle)."""
-        if name not in self._small:
-            self._small[name], _ = sized_broadcast(build())
+        size allows (else joined by shuffle).  Safe to call from several threads."""
+        with self._lock(name):
+            if name not in self._small:
+                self._small[name], _ = sized_broadcast(build())
+        return self._small[name]
+
+    def _once(self, name: str, build) -> DataFrame:
+        """A large table materialised once per warehouse (thread-safe)."""
+        with self._lock(name):
+            if name not in self._small:
+                self._small[name] = build()
         return self._small[name]
 
+    def build_history(self, threads: int = 3) -> "Warehouse":
+        """Materialise the three history tables as concurrent Spark jobs: they are
+        independent, and each job alone leaves cores idle between its stages."""
+        self._concurrently([lambda: self._dw_header, lambda: self._dw_detail, lambda: self._dw_events], threads)
+        return self
+
+    def build_marts(self, threads: int = 4) -> "Warehouse":
+        """Materialise dimensions, calendar and facts, independent ones concurrently."""
+        self._concurrently([lambda: self.dim_truck, lambda: self.dim_location, lambda: self.dim_customer,
+                            lambda: self.dim_currency, lambda: self.dim_order_channel, lambda: self.dim_discount,
+                            lambda: self.dim_shift, lambda: self.dim_menu_item, lambda: self.dim_date], threads)
+        self._concurrently([lambda: self.fct_order, lambda: self.fct_sales_line], threads)
+        return self
+
+    @staticmethod
+    def _concurrently(jobs, threads: int) -> None:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for f in [pool.submit(j) for j in jobs]:
+                f.result()
+
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED) -> "Warehouse":
         k = (spark.sparkContext.applicationId, sf_dir, key_mode)
@@ -55,30 +90,30 @@ class Warehouse:
 
     # tagged sources: stored once, like the tagged-source materialised views;
     # history, quarantine and rule counts all read the stored rows
-    @cached_property
+    @property
     def header_tagged(self) -> DataFrame:
-        return cut_lineage(quality.tag(self.header_feed, HEADER), "header_src")
+        return self._once("header_tagged", lambda: cut_lineage(quality.tag(self.header_feed, HEADER), "header_src"))
 
-    @cached_property
+    @property
     def detail_tagged(self) -> DataFrame:
-        return cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src")
+        return self._once("detail_tagged", lambda: cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src"))
 
-    @cached_property
+    @property
     def events_tagged(self) -> DataFrame:
-        return cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src")
+        return self._once("events_tagged", lambda: cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src"))
 
     # history tables (materialised by the surrogate numbering, root key included)
-    @cached_property
+    @property
     def _dw_header(self) -> DataFrame:
-        return history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True)
+        return self._once("_dw_header", lambda: history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True))
 
-    @cached_property
+    @property
     def _dw_detail(self) -> DataFrame:
-        return history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True)
+        return self._once("_dw_detail", lambda: history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True))
 
-    @cached_property
+    @property
     def _dw_events(self) -> DataFrame:
-        return history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True)
+        return self._once("_dw_events", lambda: history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True))
 
     @property
     def dw_header(self) -> DataFrame:
@@ -149,14 +184,16 @@ class Warehouse:
         return self._bounded("dim_date", lambda: star.dim_date(self.dwh_header))
 
     # facts (materialised, as the fact tables of the datamart) ---------------
-    @cached_property
+    @property
     def fct_order(self) -> DataFrame:
-        return cut_lineage(star.fct_order(self.dwh_header, self.key_mode, lookup=self.conformed), "fct_order")
+        return self._once("fct_order", lambda: cut_lineage(
+            star.fct_order(self.dwh_header, self.key_mode, lookup=self.conformed), "fct_order"))
 
-    @cached_property
+    @property
     def fct_sales_line(self) -> DataFrame:
-        return cut_lineage(star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode,
-                                               lookup=self.conformed), "fct_sales_line")
+        return self._once("fct_sales_line", lambda: cut_lineage(
+            star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode, lookup=self.conformed),
+            "fct_sales_line"))
 
     def conformed(self, src: str, attr: str, mk: str) -> DataFrame:
         """Conformed key table of one attribute (one row per value, NULL included).
