@@ -588,4 +588,4 @@ def _stream_static(w):
     write_feed(feed, f"{root}/feed")
     stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
     run_stream_static_asof(stream, DETAIL, w.dwh_header, ["order_id"], "order_ts", f"{root}/out", ck)
-    return w.spark.read.parquet(f"{root}/out")
+    return w.spark.read.parquet(f"{root}/out").drop("batch")

@@ -7,7 +7,8 @@
   history by merging only the keys a batch touches: stored changes of those
   keys are reduced again, and only their key buckets are rewritten
   (:class:`~tessera.streaming.state.BucketedState`; replay-safe).
-* :func:`run_stream_static_asof` joins a change stream to static SCD2 history.
+* :func:`run_stream_static_asof` joins a change stream to static SCD2 history,
+  each micro-batch with the batch as-of join.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import history, quality
 from tessera.operators.entity import Entity
-from tessera.operators.keyed import global_row_number
+from tessera.operators.keyed import global_row_number, sized_broadcast
 from tessera.operators.temporal import as_of_join
 from tessera.session import cut_lineage
 from tessera.streaming.state import BucketedState, key_bucket
@@ -142,10 +143,26 @@ def run_scd2_stream(stream: DataFrame, e: Entity, changes_path: str, state_root:
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,
                            target: str, checkpoint: str, how: str = "inner") -> str:
-    """Clean changes of a stream joined to the static history version valid at ``at``."""
-    lines = quality.clean(quality.tag(stream, e))
-    j = as_of_join(lines, static_history, keys, at, how, names=("d", "h"))
-    out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
-                   F.col("h.WK_ORDER_HEADER"), F.col("h.order_currency"), F.col("h.truck_id"))
-    _drain(out, target, checkpoint)
+    """Clean changes of a stream joined to the static history version valid at ``at``.
+
+    Each micro-batch is a static frame, so it takes the batch as-of join (union
+    plus carried window, hot keys split) over the versions of the batch's keys
+    only: a key with many versions and many changes in one batch is never
+    paired out, and the rest of the history is not moved.  Output goes to a
+    folder per batch id, so a replayed batch overwrites its own rows.
+    """
+
+    def join(batch: DataFrame, batch_id: int) -> None:
+        lines = cut_lineage(quality.clean(quality.tag(batch, e)), "asof_batch")
+        # only versions of the batch's keys take part: the history is filtered by a
+        # semi join (the key set broadcast when its counted size allows), so a
+        # micro-batch never shuffles the whole history
+        batch_keys, _ = sized_broadcast(lines.select(*keys).distinct())
+        history_part = static_history.join(batch_keys, list(keys), "left_semi")
+        j = as_of_join(lines, history_part, keys, at, how, names=("d", "h"))
+        out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
+                       F.col("h.WK_ORDER_HEADER"), F.col("h.order_currency"), F.col("h.truck_id"))
+        out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    _drain_batches(stream, join, checkpoint)
     return target
