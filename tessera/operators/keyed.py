@@ -22,12 +22,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage, materialize
+from tessera.session import cut_lineage, materialize_sized
 
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
 CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
 SAMPLE_FRACTION = 0.01        # share of rows sampled to find hot keys
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20    # compressed parquet on storage; in memory it is a few times larger
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -38,12 +39,13 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a small derived table (its rows counted on the write) and
-    broadcast it only if the count is within ``max_rows``; beyond that it is
-    returned for a shuffled join."""
-    small, n = materialize(df, "small")
-    return (F.broadcast(small) if n <= max_rows else small), n
+def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                    max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """Materialise a small derived table (rows counted on the write, bytes read
+    from storage) and broadcast it only if both are within bounds; beyond
+    either it is returned for a shuffled join."""
+    small, n, size = materialize_sized(df, "small")
+    return (F.broadcast(small) if n <= max_rows and size <= max_bytes else small), n
 
 
 def seq_number(c: Column) -> Column:

@@ -64,11 +64,26 @@ def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
 
 def materialize(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]:
     """Write once, counting the rows on the write itself (no second job)."""
+    out, n, _ = materialize_sized(df, name)
+    return out, n
+
+
+def materialize_sized(df: DataFrame, name: str = "t") -> tuple[DataFrame, int, int]:
+    """Write once; return the table read back, its row count (observed on the
+    write) and its size in bytes on storage (from the file system, no job)."""
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
+    return spark.read.parquet(path), int(obs.get["n"]), stored_bytes(spark, path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` on its file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

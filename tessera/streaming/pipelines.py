@@ -141,6 +141,17 @@ def run_scd2_stream(stream: DataFrame, e: Entity, changes_path: str, state_root:
     return state.read()
 
 
+def stream_scd(stream: DataFrame, e: Entity, scd_type: int, path: str, checkpoint: str,
+               buckets: int = 64) -> DataFrame:
+    """Streaming history of one entity under ``path`` (change store and bucketed
+    state), type 1 or type 2; returns the committed state after draining."""
+    if scd_type == 1:
+        return run_scd1_stream(stream, e, f"{path}/changes", f"{path}/state", checkpoint, buckets)
+    if scd_type == 2:
+        return run_scd2_stream(stream, e, f"{path}/changes", f"{path}/state", checkpoint, buckets)
+    raise ValueError(f"SCD type must be 1 or 2, not {scd_type!r}")
+
+
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,
                            target: str, checkpoint: str, how: str = "inner") -> str:
     """Clean changes of a stream joined to the static history version valid at ``at``.
