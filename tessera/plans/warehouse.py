@@ -20,6 +20,8 @@ from tessera.session import cut_lineage
 from tessera.sources import fixtures
 
 _CACHE: dict[tuple[str, str, str], "Warehouse"] = {}
+_SHARED: dict[tuple[str, str], tuple[dict, dict]] = {}
+_SHARED_GUARD = threading.Lock()
 
 
 class Warehouse:
@@ -48,6 +50,18 @@ class Warehouse:
                 self._small[name] = build()
         return self._small[name]
 
+    def _shared(self, name: str, build) -> DataFrame:
+        """A table that does not depend on the key mode (tagged sources, history):
+        built once per session and folder, shared by both key modes."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        with _SHARED_GUARD:
+            tables, locks = _SHARED.setdefault(key, ({}, {}))
+            lock = locks.setdefault(name, threading.Lock())
+        with lock:                      # one lock per table: independent tables build concurrently
+            if name not in tables:
+                tables[name] = build()
+        return tables[name]
+
     def build_history(self, threads: int = 3) -> "Warehouse":
         """Materialise the three history tables as concurrent Spark jobs: they are
         independent, and each job alone leaves cores idle between its stages."""
@@ -92,28 +106,28 @@ class Warehouse:
     # history, quarantine and rule counts all read the stored rows
     @property
     def header_tagged(self) -> DataFrame:
-        return self._once("header_tagged", lambda: cut_lineage(quality.tag(self.header_feed, HEADER), "header_src"))
+        return self._shared("header_tagged", lambda: cut_lineage(quality.tag(self.header_feed, HEADER), "header_src"))
 
     @property
     def detail_tagged(self) -> DataFrame:
-        return self._once("detail_tagged", lambda: cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src"))
+        return self._shared("detail_tagged", lambda: cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src"))
 
     @property
     def events_tagged(self) -> DataFrame:
-        return self._once("events_tagged", lambda: cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src"))
+        return self._shared("events_tagged", lambda: cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src"))
 
     # history tables (materialised by the surrogate numbering, root key included)
     @property
     def _dw_header(self) -> DataFrame:
-        return self._once("_dw_header", lambda: history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True))
+        return self._shared("_dw_header", lambda: history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True))
 
     @property
     def _dw_detail(self) -> DataFrame:
-        return self._once("_dw_detail", lambda: history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True))
+        return self._shared("_dw_detail", lambda: history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True))
 
     @property
     def _dw_events(self) -> DataFrame:
-        return self._once("_dw_events", lambda: history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True))
+        return self._shared("_dw_events", lambda: history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True))
 
     @property
     def dw_header(self) -> DataFrame:
