@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import row_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
-    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, range_carry,
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, keyed_carry,
     range_lead, sized_broadcast,
 )
 from tessera.operators.quality import ADMIN, enforce_fail_rules
@@ -107,13 +107,13 @@ def tracked_changes(changes: DataFrame, e: Entity, track: Sequence[str], hot_row
     """Keep only changes that alter the tracked columns.  A delete, and the change
     after a delete, always count.
 
-    The previous change of each key is a ``lag`` on the chunked range layout
-    (:func:`~tessera.operators.keyed.range_carry` ending one row back), so a
+    The previous change of each key is a ``lag`` per (key, hot-key chunk)
+    (:func:`~tessera.operators.keyed.keyed_carry` ending one row back), so a
     hot key is never sent to one task.
     """
     is_del = F.coalesce(F.expr(e.delete_when), F.lit(False))
     sig = F.struct(row_hash([F.col(c) for c in track]).alias("h"), is_del.alias("d"))
-    rows = range_carry(changes.withColumn("_sig", sig), e.keys, [e.sequence, *e.tiebreak], "_sig", "_prev",
+    rows = keyed_carry(changes.withColumn("_sig", sig), e.keys, [e.sequence, *e.tiebreak], "_sig", "_prev",
                        hot_rows, chunk_rows, fraction, include_current=False)
     keep = (F.col("_prev").isNull() | F.col("_sig.d") | F.col("_prev.d")
             | (F.col("_prev.h") != F.col("_sig.h")))

@@ -141,22 +141,23 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return fixed if keep_chunk else fixed.drop("_chunk", "_hot")
 
 
-def range_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+def keyed_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
                 hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
-                partitions: int | None = None, include_current: bool = True) -> DataFrame:
+                include_current: bool = True) -> DataFrame:
     """``last(value, ignorenulls) OVER (PARTITION BY keys ORDER BY order ROWS
     UNBOUNDED PRECEDING)`` as column ``out``: the latest non-null value at or
     before each row, carried forward.  With ``include_current=False`` the frame
     ends at the previous row, which for a never-null ``value`` is ``lag(value)``.
 
-    Same layout as :func:`range_lead`.  A hot key's chunk takes the carry from
-    its earlier chunks out of a small table with one row per hot chunk.
+    The window runs per (key, hot-key chunk), so Spark plans one hash exchange
+    on those columns (no global order is needed, hence no range sampling).  A
+    hot key's chunk takes the carry from its earlier chunks out of a small
+    table with one row per hot chunk.
     """
     withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
-    ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
     end = Window.currentRow if include_current else -1
     upto = Window.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, end)
-    carried = ranged.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    carried = withc.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     if not n_hot:
         return carried
     tails = (withc.where(F.col("_hot") & F.col(value).isNotNull()).groupBy(*keys, "_chunk")

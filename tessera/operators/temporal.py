@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keyed import CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, range_carry
+from tessera.operators.keyed import CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, keyed_carry
 
 
 def _pairs(keys: Sequence[str] | dict[str, str]) -> list[tuple[str, str]]:
@@ -25,8 +25,8 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
     row), so ``select("l.*")`` or ``col("r.name")`` pick columns without name
     clashes.  ``keys`` maps left key names to history key names when they differ.
 
-    Batch form: left rows and versions are unioned, range partitioned once on
-    the key (hot keys split into ordered chunks), and each left row takes the
+    Batch form: left rows and versions are unioned, shuffled once on the key
+    (hot keys split into ordered chunks), and each left row takes the
     latest version starting at or before it (a carried-forward ``last``); the
     version matches when ``at < until``.  Versions of a key do not overlap, so
     this equals the interval join, but no key ever pairs all its rows with all
@@ -60,7 +60,7 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
         F.lit(None).cast(ltype).alias("_l"), hrow.alias("_h"))
     both = hside.unionByName(lside)
     # versions sort before left rows of the same instant: ``from <= at`` is inclusive
-    carried = range_carry(both, kcols, ["_t", "_side"], "_h", "_m", hot_rows, chunk_rows, fraction)
+    carried = keyed_carry(both, kcols, ["_t", "_side"], "_h", "_m", hot_rows, chunk_rows, fraction)
     rows = carried.where(F.col("_side") == 1)
     ok = _all([F.col(k).isNotNull() for k in kcols] + [F.col("_t").isNotNull(), F.col("_m").isNotNull(),
                                                        F.col("_t") < F.col(f"_m.{until}")])
