@@ -62,18 +62,29 @@ def _num(df: DataFrame, seq: str) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
-             chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Keys whose sampled row count says they exceed ``hot_rows``, with the sampled
-    sequence range and a chunk count.  At most ``sample rows / (hot_rows *
-    fraction)`` keys qualify, which bounds the table."""
+             chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
+             partitions: int | None = None) -> DataFrame:
+    """Keys whose sampled row count says they would overfill a shuffle partition,
+    with the sampled sequence range and a chunk count.
+
+    A key is hot above ``max(hot_rows, rows per partition)`` and is cut into
+    chunks of ``max(chunk_rows, rows per partition / 2)``, where rows per
+    partition is the sampled total over ``spark.sql.shuffle.partitions`` (a
+    scalar subquery over the same sample).  So at any scale only keys that
+    really unbalance a partition are split, and the per-chunk tables stay
+    small.  At most ``total / hot threshold`` keys qualify, which bounds the
+    table.
+    """
     sample = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
-    return (
-        sample.select(*keys, _num(df, seq).alias("_num"))
-        .groupBy(*keys)
-        .agg((F.count("*") / F.lit(fraction)).alias("_rows"), F.min("_num").alias("_lo"), F.max("_num").alias("_hi"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*keys, "_lo", "_hi", F.ceil(F.col("_rows") / chunk_rows).cast("long").alias("_nchunks"))
-    )
+    grouped = (sample.select(*keys, _num(df, seq).alias("_num"))
+               .groupBy(*keys)
+               .agg((F.count("*") / F.lit(fraction)).alias("_rows"), F.min("_num").alias("_lo"),
+                    F.max("_num").alias("_hi")))
+    per_part = grouped.agg(F.sum("_rows")).scalar() / F.lit(_partitions(df, partitions))
+    threshold = F.greatest(F.lit(float(hot_rows)), per_part)
+    chunk = F.greatest(F.lit(float(chunk_rows)), per_part / 2)
+    return (grouped.where(F.col("_rows") > threshold)
+            .select(*keys, "_lo", "_hi", F.ceil(F.col("_rows") / chunk).cast("long").alias("_nchunks")))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,

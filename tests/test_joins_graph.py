@@ -117,3 +117,12 @@ def test_sized_broadcast_falls_back_beyond_the_bound(spark):
     assert n == 100
     plan = spark.range(0, 1000).join(small, "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan or "Adaptive" in plan
+
+
+def test_hot_key_thresholds_follow_partition_size(spark):
+    base = spark.range(0, 3000).select((F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 7)).alias("k"),
+                                       F.col("id").alias("s"))
+    hot = keyed.hot_keys(base, ["k"], "s", hot_rows=300, chunk_rows=250, fraction=1.0).collect()
+    assert [r.k for r in hot] == [0] and hot[0]._nchunks > 1
+    # with few partitions a partition holds more rows than the key: nothing is split
+    assert keyed.hot_keys(base, ["k"], "s", hot_rows=300, chunk_rows=250, fraction=1.0, partitions=1).count() == 0
