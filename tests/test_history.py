@@ -206,3 +206,14 @@ def _brute_tracked(data):
                 kept.append((k, v, d, c, tb))
             prev = (d, tb, v, c)
     return _brute_scd2(kept)
+
+
+def test_empty_feed_gives_empty_history_and_join(spark):
+    from tessera.operators.temporal import as_of_join
+    empty = feed(spark, [])
+    dw = history.scd2(empty, E, with_root=True)
+    assert dw.count() == 0 and "WKR_THING" in dw.columns
+    dwh = history.history_view(dw, E)
+    lines = spark.createDataFrame([(1, ts(3))], "k long, at timestamp_ntz")
+    assert as_of_join(lines, dwh, ["k"], "at").count() == 0
+    assert as_of_join(lines, dwh, ["k"], "at", how="left").count() == 1
