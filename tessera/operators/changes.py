@@ -52,13 +52,15 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
     """Change feed between two snapshots: inserts, deletes and update pre/post pairs.
 
     A full outer join on the key with a row-hash comparison; an update explodes
-    into its pre- and post-image.  Unchanged rows produce nothing.
+    into its pre- and post-image.  Unchanged rows produce nothing.  The key is a
+    primary key: plain equality, so a NULL key never matches (as in MERGE) and
+    the join reuses a partitioning on the key that the inputs already have.
     """
     cols = [c for c in new.columns if c not in keys]
     sig = lambda df: row_hash([F.col(c) for c in cols])
     o = old.select(*keys, F.struct(*cols).alias("_o"), sig(old).alias("_oh"))
     n = new.select(*keys, F.struct(*cols).alias("_n"), sig(new).alias("_nh"))
-    j = o.join(n, [o[k].eqNullSafe(n[k]) for k in keys], "full_outer") \
+    j = o.join(n, [o[k] == n[k] for k in keys], "full_outer") \
         .select(*[F.coalesce(o[k], n[k]).alias(k) for k in keys], "_o", "_n", "_oh", "_nh")
     pre = F.struct(F.lit("update_preimage").alias("t"), F.col("_o").alias("v"))
     post = F.struct(F.lit("update_postimage").alias("t"), F.col("_n").alias("v"))
@@ -124,10 +126,11 @@ def delete_where(df: DataFrame, condition: str | Column) -> DataFrame:
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str = "WA_HASH") -> DataFrame:
-    """Source-to-target reconciliation by row hash: key plus status."""
+    """Source-to-target reconciliation by row hash: key plus status.  Keys are
+    primary keys compared with plain equality (a NULL key never matches)."""
     s = source.select(*keys, F.col(hash_col).alias("_sh"))
     t = target.select(*keys, F.col(hash_col).alias("_th"))
-    j = s.join(t, [s[k].eqNullSafe(t[k]) for k in keys], "full_outer")
+    j = s.join(t, [s[k] == t[k] for k in keys], "full_outer")
     status = (F.when(F.col("_th").isNull(), "missing_in_target").when(F.col("_sh").isNull(), "missing_in_source")
               .when(F.col("_sh") == F.col("_th"), "match").otherwise("mismatch"))
     return j.select(*[F.coalesce(s[k], t[k]).alias(k) for k in keys], status.alias("status"))
