@@ -55,14 +55,64 @@ def dim_scd1(dwh: DataFrame, attr: str, wkr: str, mk: str, carried: Sequence[str
     )
 
 
-def dim_shift(dwh_header: DataFrame, key_mode: str = CONFORMED) -> DataFrame:
-    """Shift dimension with the latest row's start/end time and its length in minutes."""
-    d = dim_scd1(dwh_header, "shift_id", "WKR_ORDER_HEADER", "MK_SHIFT",
-                 ["shift_start_time", "shift_end_time"], key_mode)
+def dims_scd1_stacked(dwh: DataFrame, specs: Sequence[tuple[str, Sequence[str]]], wkr: str,
+                      deletes_count: bool = False) -> DataFrame:
+    """Several SCD1 dimensions of one history in one pass, stacked.
+
+    ``specs`` lists (attribute, carried columns).  Every version row is exploded
+    map-side into one (dimension number ``_d``, value as text ``_v``) row per
+    dimension; the latest-row rank (partial ``WindowGroupLimit``) and the date
+    aggregates (partial) collapse them per value before the shuffle, so the
+    stacking costs one scan and little shuffle volume.  Both key modes are kept
+    (``_mk_conformed``, ``_mk_as_written``); :func:`dim_from_stacked` takes one
+    dimension back out with its value in the original type.
+    """
+    carried_all = list(dict.fromkeys(c for _, cs in specs for c in cs))
+    elems = [F.struct(F.lit(i).alias("_d"), F.col(attr).cast("string").alias("_v"),
+                      *[(F.col(c) if c in cs else F.lit(None).cast(dwh.schema[c].dataType)).alias(c)
+                        for c in carried_all])
+             for i, (attr, cs) in enumerate(specs)]
+    meta = [wkr, "WA_FROMDATE", "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS"]
+    base = dwh.select(*meta, F.explode(F.array(*elems)).alias("_e")).select(*meta, "_e.*")
+    latest = latest_per_key(base.select("_d", "_v", wkr, "WA_FROMDATE", "WA_UNTODATE", *carried_all),
+                            ["_d", "_v"], ["WA_FROMDATE", wkr])
+    change = F.when(F.col("WA_CRUD") != "C", F.col("WA_CRUDDTS"))
+    if deletes_count:
+        change = F.greatest(change, F.when(F.col("WA_UNTODATE") != open_end(), F.col("WA_UNTODATE")))
+    dates = base.groupBy("_d", "_v").agg(
+        F.min("WA_CRUDDTS").alias("MA_CREATEDATE"),
+        F.max(change).alias("MA_CHANGEDATE"),
+        F.min(wkr).alias("_mk_conformed"),
+    )
+    j = _join_keys(latest, dates, ["_d", "_v"], "inner")
+    return j.select(
+        "_d", "_v", F.col(wkr).alias("_mk_as_written"), "_mk_conformed", *carried_all,
+        "MA_CREATEDATE", "MA_CHANGEDATE",
+        F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0).alias("MA_ISDEL"),
+    )
+
+
+def dim_from_stacked(stacked: DataFrame, attr: str, attr_type, mk: str, carried: Sequence[str] = (),
+                     key_mode: str = CONFORMED) -> DataFrame:
+    """One dimension out of :func:`dims_scd1_stacked` (rows of that dimension only),
+    in the column layout of :func:`dim_scd1`."""
+    key = "_mk_as_written" if key_mode == AS_WRITTEN else "_mk_conformed"
+    return stacked.select(F.col(key).alias(mk), F.col("_v").cast(attr_type).alias(attr), *carried,
+                          "MA_CREATEDATE", "MA_CHANGEDATE", "MA_ISDEL")
+
+
+def with_shift_duration(d: DataFrame) -> DataFrame:
+    """Shift length in minutes from the HH:mm:ss start and end."""
     minutes = F.floor((hms_to_seconds("shift_end_time") - hms_to_seconds("shift_start_time")) / 60).cast("int")
     return d.withColumn("shift_duration_minutes", minutes)
 
 
+def dim_shift(dwh_header: DataFrame, key_mode: str = CONFORMED) -> DataFrame:
+    """Shift dimension with the latest row's start/end time and its length in minutes."""
+    return with_shift_duration(dim_scd1(dwh_header, "shift_id", "WKR_ORDER_HEADER", "MK_SHIFT",
+                                        ["shift_start_time", "shift_end_time"], key_mode))
+
+
 def dim_scd2(dwh: DataFrame, e_keys: Sequence[str], wk: str, wkr: str, mk: str, attrs: Sequence[str]) -> DataFrame:
     """SCD2 dimension: every version, keyed by its own surrogate, with validity."""
     return dwh.select(F.col(wk).alias(mk), F.col(wkr).alias(f"{mk}_ROOT"), *e_keys, *attrs,
@@ -196,5 +246,5 @@ def fact_increment(new: DataFrame, old: DataFrame, strategy: str, watermark: str
     raise ValueError(f"unknown load strategy {strategy!r}")
 
 
-__all__ = ["OPEN_END", "date_key", "dim_scd1", "dim_shift", "dim_scd2", "dim_date", "fct_order",
+__all__ = ["OPEN_END", "date_key", "dim_scd1", "dims_scd1_stacked", "dim_from_stacked", "dim_shift", "dim_scd2", "dim_date", "fct_order",
            "fct_sales_line", "sales_line", "fact_increment", "conformed_keys", "lookup_conformed"]

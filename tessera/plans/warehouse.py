@@ -9,16 +9,25 @@ each query whole.
 from __future__ import annotations
 
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import history, quality, star
-from tessera.operators.keyed import sized_broadcast
+from tessera.operators.keyed import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, sized_broadcast
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, scratch_path, stored_bytes
 from tessera.sources import fixtures
 
+# Header dimensions built in one pass: attribute, surrogate column, carried columns.
+HEADER_DIM_SPECS = (
+    ("truck_id", "MK_TRUCK", ()), ("location_id", "MK_LOCATION", ()), ("customer_id", "MK_CUSTOMER", ()),
+    ("order_currency", "MK_CURRENCY", ()), ("order_channel", "MK_ORDER_CHANNEL", ()),
+    ("discount_id", "MK_DISCOUNT", ()), ("shift_id", "MK_SHIFT", ("shift_start_time", "shift_end_time")),
+)
+
 _CACHE: dict[tuple[str, str, str], "Warehouse"] = {}
 _SHARED: dict[tuple[str, str], tuple[dict, dict]] = {}
 _SHARED_GUARD = threading.Lock()
@@ -70,9 +79,7 @@ class Warehouse:
 
     def build_marts(self, threads: int = 4) -> "Warehouse":
         """Materialise dimensions, calendar and facts, independent ones concurrently."""
-        self._concurrently([lambda: self.dim_truck, lambda: self.dim_location, lambda: self.dim_customer,
-                            lambda: self.dim_currency, lambda: self.dim_order_channel, lambda: self.dim_discount,
-                            lambda: self.dim_shift, lambda: self.dim_menu_item, lambda: self.dim_date], threads)
+        self._concurrently([lambda: self._header_dims, lambda: self.dim_menu_item, lambda: self.dim_date], threads)
         self._concurrently([lambda: self.fct_order, lambda: self.fct_sales_line], threads)
         return self
 
@@ -155,10 +162,35 @@ class Warehouse:
         return history.history_view(self._dw_events, EVENTS)
 
     # dimensions ------------------------------------------------------------
+    @property
+    def _header_dims(self) -> tuple[str, dict[int, int]]:
+        """All header dimensions in one pass over the history, written once
+        partitioned by dimension and shared by both key modes.  Returns the
+        folder and the rows per dimension (one small row per dimension)."""
+        def build():
+            path = scratch_path(self.spark, "tables", f"header_dims-{uuid.uuid4().hex}")
+            stacked = star.dims_scd1_stacked(self.dwh_header, [(a, c) for a, _, c in HEADER_DIM_SPECS], HEADER.wkr)
+            stacked.write.mode("error").partitionBy("_d").parquet(path)
+            counts = self.spark.read.parquet(path).groupBy("_d").agg(F.count(F.lit(1)).alias("n")).collect()
+            return path, {r["_d"]: r["n"] for r in counts}
+        return self._shared("header_dims", build)
+
     def dim(self, attr: str, mk: str, key_mode: str | None = None) -> DataFrame:
+        """A header SCD1 dimension out of the one-pass build, broadcast when its own
+        row count and stored size are within the bounds."""
         mode = key_mode or self.key_mode
-        return self._bounded(f"dim_{attr}_{mode}",
-                             lambda: star.dim_scd1(self.dwh_header, attr, HEADER.wkr, mk, key_mode=mode))
+        path, counts = self._header_dims
+        i = next(n for n, (a, _, _) in enumerate(HEADER_DIM_SPECS) if a == attr)
+        carried = HEADER_DIM_SPECS[i][2]
+        if i in counts:
+            part = self.spark.read.parquet(f"{path}/_d={i}")
+            small = counts[i] <= MAX_BROADCAST_ROWS and stored_bytes(self.spark, f"{path}/_d={i}") <= MAX_BROADCAST_BYTES
+        else:
+            part, small = self.spark.read.parquet(path).where(F.col("_d") == i).drop("_d"), True
+        d = star.dim_from_stacked(part, attr, self.dwh_header.schema[attr].dataType, mk, carried, mode)
+        if attr == "shift_id":
+            d = star.with_shift_duration(d)
+        return F.broadcast(d) if small else d
 
     @property
     def dim_truck(self) -> DataFrame:
@@ -186,7 +218,7 @@ class Warehouse:
 
     @property
     def dim_shift(self) -> DataFrame:
-        return self._bounded(f"dim_shift_{self.key_mode}", lambda: star.dim_shift(self.dwh_header, self.key_mode))
+        return self.dim("shift_id", "MK_SHIFT")
 
     @property
     def dim_menu_item(self) -> DataFrame:
@@ -216,8 +248,6 @@ class Warehouse:
         if src == "detail":
             dim = self._bounded(f"dim_{attr}_{star.CONFORMED}", lambda: star.dim_scd1(
                 self.dwh_detail, attr, DETAIL.wkr, mk, key_mode=star.CONFORMED))
-        elif attr == "shift_id":
-            dim = self._bounded(f"dim_shift_{star.CONFORMED}", lambda: star.dim_shift(self.dwh_header, star.CONFORMED))
         else:
             dim = self.dim(attr, mk, star.CONFORMED)
         return dim.select(attr, mk)
