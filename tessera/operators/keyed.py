@@ -12,6 +12,8 @@
 * :func:`latest_per_key` is ``row_number() = 1`` alone in its window, which Spark
   plans as a partial ``WindowGroupLimit`` before the shuffle (one row per key and
   map task crosses the network, whatever the skew).
+* :func:`keyed_carry` is ``last(value, ignorenulls)`` carried forward per key
+  (or ``lag`` when the frame ends one row back), hot keys split the same way.
 * :func:`global_row_number` numbers any frame in a given order the same way.
 """
 
@@ -227,13 +229,6 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str, partitions
     return number_in_place(ranged, name, order)
 
 
-def keyed_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-               hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS,
-               fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Alias of :func:`range_lead` for callers that do not need the layout."""
-    return range_lead(df, keys, order, value, out, hot_rows, chunk_rows, fraction)
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first by ``order_desc`` (columns given descending)."""
     ordering = [F.col(c).desc() if isinstance(c, str) else c for c in order_desc]
