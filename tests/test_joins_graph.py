@@ -126,3 +126,15 @@ def test_hot_key_thresholds_follow_partition_size(spark):
     assert [r.k for r in hot] == [0] and hot[0]._nchunks > 1
     # with few partitions a partition holds more rows than the key: nothing is split
     assert keyed.hot_keys(base, ["k"], "s", hot_rows=300, chunk_rows=250, fraction=1.0, partitions=1).count() == 0
+
+
+def test_clustered_write_keeps_a_key_in_few_files(spark, tmp_path):
+    from tessera.operators.layout import clustered_write
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 97).alias("truck"), (F.col("id") % 13).alias("loc"),
+                                      F.col("id").alias("v"))
+    path = str(tmp_path / "clustered")
+    clustered_write(df, path, ["truck", "loc"], files=8)
+    back = spark.read.parquet(path)
+    assert back.count() == 20000
+    files = back.where("truck = 42").select(F.input_file_name()).distinct().count()
+    assert files <= 2 < back.select(F.input_file_name()).distinct().count()
