@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import materialize
 
 EDGE_COLS = ("source_table_full_name", "target_table_full_name", "entity_type", "created_by", "created_at")
 
@@ -27,8 +27,9 @@ def lineage_walk(edges: DataFrame, start: str, direction: str = "downstream", ma
     step carries only distinct (depth, edge) rows, so paths never multiply; the
     result is distinct, as a recursive UNION ALL followed by DISTINCT.  Each
     level is written once (shared checkpoint folder), so level ``d`` scans the
-    edge table once instead of re-deriving every earlier level.  The level loop
-    runs on the driver but is bounded by the depth cap, not by data.
+    edge table once instead of re-deriving every earlier level; the row count
+    observed on that write ends the walk early at an empty level.  The level
+    loop runs on the driver but is bounded by the depth cap, not by data.
     """
     if direction == "downstream":
         near, far = "source_table_full_name", "target_table_full_name"
@@ -37,13 +38,15 @@ def lineage_walk(edges: DataFrame, start: str, direction: str = "downstream", ma
     else:
         raise ValueError(direction)
     e = edges.select(*EDGE_COLS).withColumn("_near", F.lower(near))
-    level = cut_lineage(e.where(F.col("_near") == start.lower()).drop("_near")
-                        .withColumn("depth", F.lit(1)).distinct(), "lineage_level")
+    level, n = materialize(e.where(F.col("_near") == start.lower()).drop("_near")
+                           .withColumn("depth", F.lit(1)).distinct(), "lineage_level")
     levels = [level]
     for d in range(2, max_depth + 1):
+        if n == 0:          # counted on the write: an empty level ends the walk
+            break
         frontier = level.select(F.lower(far).alias("_near")).distinct()
-        level = cut_lineage(e.join(frontier, "_near", "left_semi").drop("_near")
-                            .withColumn("depth", F.lit(d)).distinct(), "lineage_level")
+        level, n = materialize(e.join(frontier, "_near", "left_semi").drop("_near")
+                               .withColumn("depth", F.lit(d)).distinct(), "lineage_level")
         levels.append(level)
     out = levels[0]
     for lv in levels[1:]:
