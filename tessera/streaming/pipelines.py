@@ -21,7 +21,7 @@ from tessera.operators.entity import Entity
 from tessera.operators.keyed import global_row_number, sized_broadcast
 from tessera.operators.temporal import as_of_join
 from tessera.session import cut_lineage
-from tessera.streaming.state import BucketedState, key_bucket
+from tessera.streaming.state import BucketedState, glob_paths, key_bucket
 
 
 def _drain(df: DataFrame, target: str, checkpoint: str) -> None:
@@ -52,24 +52,31 @@ def run_split_stream(stream: DataFrame, e: Entity, clean_path: str, quarantine_p
 
 def _store_changes(batch: DataFrame, e: Entity, changes_path: str, batch_id: int, buckets: int
                    ) -> tuple[DataFrame, list[int]]:
-    """Append the batch's clean changes to the change store (by batch id and key
-    bucket; a replay overwrites its own folder).  Returns the batch's distinct
-    keys and the buckets they fall in (at most ``buckets`` values)."""
+    """Add the batch's clean changes to the change store, laid out bucket first
+    (``_bucket=b/batch=i``; dynamic overwrite, so a replay rewrites only its own
+    folders).  Returns the batch's distinct keys and the buckets they fall in
+    (at most ``buckets`` values, found by listing, not by a job)."""
     spark = batch.sparkSession
-    clean = quality.clean(quality.tag(batch, e)).withColumn("_bucket", key_bucket(e.keys, buckets))
+    clean = quality.clean(quality.tag(batch, e)) \
+        .withColumn("_bucket", key_bucket(e.keys, buckets)).withColumn("batch", F.lit(batch_id))
     # one task per bucket: one file per bucket and batch, however many tasks fed it
-    clean.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket") \
-        .parquet(f"{changes_path}/batch={batch_id}")
-    stored = spark.read.parquet(f"{changes_path}/batch={batch_id}")
-    hit = [r[0] for r in stored.select("_bucket").distinct().collect()]
+    clean.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("_bucket", "batch").parquet(changes_path)
+    mine = glob_paths(spark, f"{changes_path}/_bucket=*/batch={batch_id}")
+    hit = sorted(int(p.split("_bucket=")[1].split("/")[0]) for p in mine)
+    if not mine:
+        return spark.createDataFrame([], batch.select(*e.keys).schema), []
+    stored = spark.read.option("basePath", changes_path).parquet(*mine)
     return stored.select(*e.keys).distinct(), hit
 
 
 def _changes_of(spark: SparkSession, changes_path: str, touched: DataFrame, hit: list[int], batch_id: int,
                 e: Entity) -> DataFrame:
-    """Every stored change (deletes included) of the touched keys up to this batch;
-    the bucket list prunes the store's folders."""
-    stored = spark.read.parquet(changes_path).where((F.col("batch") <= batch_id) & F.col("_bucket").isin(hit))
+    """Every stored change (deletes included) of the touched keys up to this batch.
+    Only the touched buckets' folders are listed and read, so the cost follows
+    the batch, not the size of the store."""
+    paths = [f"{changes_path}/_bucket={b}" for b in hit]
+    stored = spark.read.option("basePath", changes_path).parquet(*paths).where(F.col("batch") <= batch_id)
     return stored.join(touched, list(e.keys), "left_semi").drop("batch", "_bucket")
 
 
@@ -93,6 +100,8 @@ def run_scd1_stream(stream: DataFrame, e: Entity, changes_path: str, state_root:
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
+        if not hit:                     # nothing clean in this batch: the committed state stands
+            return
         fresh = history.scd1(_changes_of(spark, changes_path, touched, hit, batch_id, e), e)
         prev = state.read(before=batch_id, only=hit)
         kept = fresh if prev is None else prev.join(touched, list(e.keys), "left_anti").unionByName(fresh)
@@ -118,6 +127,8 @@ def run_scd2_stream(stream: DataFrame, e: Entity, changes_path: str, state_root:
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
+        if not hit:                     # nothing clean in this batch: the committed state stands
+            return
         fresh = history.scd2(_changes_of(spark, changes_path, touched, hit, batch_id, e), e).drop(e.wk)
         prev = state.read(before=batch_id, only=hit)
         top = state.max_key(before=batch_id)

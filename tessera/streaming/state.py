@@ -27,6 +27,13 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a file-system glob (a listing on the driver, no Spark job)."""
+    _, p, fs = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return [str(st.getPath().toString()) for st in found] if found else []
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Batch ids whose folder under ``root`` finished writing (``_SUCCESS`` present)."""
     jvm, path, fs = _fs(spark, root)

@@ -109,3 +109,12 @@ def test_bucketed_state_replay_and_uncommitted_batch(spark, tmp_path):
         st.commit(1, nxt, touched)
         assert sorted(map(tuple, st.read().collect())) == [(1, "a"), (2, "B"), (3, "c")]
     assert st.max_key() == 3
+
+
+def test_batch_with_nothing_clean_keeps_state(spark, tmp_path):
+    root = str(tmp_path)
+    arrivals = [[change(1, 10, 0, "insert")], [change(1, -5, 3, "update_postimage")]]
+    for i, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part{i}")
+    got = run_scd2_stream(_stream(spark, root), E, f"{root}/changes", f"{root}/state", f"{root}/ck", buckets=4)
+    assert [(r["k"], r["v"], r["__END_AT"]) for r in got.collect()] == [(1, 10, None)]
