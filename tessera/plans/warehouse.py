@@ -1,9 +1,11 @@
 """The assembled warehouse over one data folder: staged feeds, tagged sources,
 history tables, history views, dimensions and facts.
 
-History tables are materialised once per session and folder (the surrogate
-numbering checkpoints them); everything above them stays lazy so Catalyst sees
-each query whole.
+Tagged sources and history tables are written once per session and folder and
+shared by both key modes; history views are projections of the stored history;
+dimensions and facts are written once per key mode.  Queries above them stay
+lazy, so Catalyst sees each one whole.  Independent tables are built as
+concurrent Spark jobs (``build_history``, ``build_marts``).
 """
 
 from __future__ import annotations
@@ -92,9 +94,10 @@ class Warehouse:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED) -> "Warehouse":
         k = (spark.sparkContext.applicationId, sf_dir, key_mode)
-        if k not in _CACHE:
-            _CACHE[k] = cls(spark, sf_dir, key_mode)
-        return _CACHE[k]
+        with _SHARED_GUARD:
+            if k not in _CACHE:
+                _CACHE[k] = cls(spark, sf_dir, key_mode)
+            return _CACHE[k]
 
     # staged change feeds -------------------------------------------------
     @property
