@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +55,11 @@ def words_of(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value once (a one-element transform), so that its uses don't compute it again."""
+    return F.transform(F.array(value), body)[0]
+
+
 def sha(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
 

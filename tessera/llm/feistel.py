@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, free_name, table
+from tessera.llm.common import Scratch, free_name, let, table
 
 ROUNDS = 6
 SEED = 20
@@ -37,11 +37,6 @@ def domain(n: int) -> tuple[int, int]:
     return a, -(-max(n, 1) // a)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value once (a one-element transform), so that later uses don't repeat it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _div(x: Column, by: int) -> Column:
     """Integer division of a non-negative long."""
     return F.call_function("div", x, F.lit(by).cast("long"))
@@ -64,16 +59,16 @@ def permute(p: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> Column
         return lambda s: F.struct(s["l"].alias("l"), ((s["r"] + _round(s["l"], seed, i, b)) % F.lit(b)).alias("r"))
 
     def once(x: Column) -> Column:
-        out = _let(x, lambda v: F.struct(_div(v, b).alias("l"), (v % F.lit(b)).alias("r")))
+        out = let(x, lambda v: F.struct(_div(v, b).alias("l"), (v % F.lit(b)).alias("r")))
         for i in range(rounds):
-            out = _let(out, right(i) if i % 2 else left(i))
-        return _let(out, lambda s: s["l"] * F.lit(b) + s["r"])
+            out = let(out, right(i) if i % 2 else left(i))
+        return let(out, lambda s: s["l"] * F.lit(b) + s["r"])
 
     outside = a * b - n
     if outside <= 0:
         return once(p)
     # a walk leaves the outside points after at most as many steps as there are such points
-    return _let(once(p), lambda y: F.when(y < n, y).otherwise(
+    return let(once(p), lambda y: F.when(y < n, y).otherwise(
         F.aggregate(F.sequence(F.lit(1), F.lit(outside)), y, lambda acc, _: F.when(acc < n, acc).otherwise(once(acc)))))
 
 
