@@ -76,7 +76,7 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     most ``bits / 8`` bytes reach the driver.  A set bit means "perhaps a key": a user
     of the bitmap confirms exactly, so more keys only make it less selective.
     """
-    pieces = keys.select(slot(F.col(column), bits).alias("b")) \
+    pieces = keys.select((slot(F.col(column), bits) + 1).alias("b")) \
         .groupBy(F.bitmap_bucket_number("b").alias("k")) \
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
     out = np.zeros(bits // 8, np.uint8)
