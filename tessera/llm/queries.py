@@ -5,12 +5,14 @@ from __future__ import annotations
 from tessera.llm.debruijn import op3_debruijn
 from tessera.llm.feistel import op10_feistel_shards
 from tessera.llm.linedrop import op7_cuckoo_lines
+from tessera.llm.mcd import op4_mcd_outliers
 from tessera.llm.oddsketch import op5_odd_sketch
 from tessera.llm.wumanber import op2_wu_manber
 
 QUERIES = {
     "op2_wu_manber": op2_wu_manber,
     "op3_debruijn": op3_debruijn,
+    "op4_mcd_outliers": op4_mcd_outliers,
     "op5_odd_sketch": op5_odd_sketch,
     "op7_cuckoo_lines": op7_cuckoo_lines,
     "op10_feistel_shards": op10_feistel_shards,
