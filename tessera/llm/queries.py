@@ -7,6 +7,10 @@ from tessera.llm.feistel import op10_feistel_shards
 from tessera.llm.linedrop import op7_cuckoo_lines
 from tessera.llm.mcd import op4_mcd_outliers
 from tessera.llm.oddsketch import op5_odd_sketch
+from tessera.llm.raking import op8_raking
+from tessera.llm.raking import oracle_sql as raking_sql
+from tessera.llm.urltree import op9_path_templates
+from tessera.llm.urltree import oracle_sql as urltree_sql
 from tessera.llm.wumanber import op2_wu_manber
 
 QUERIES = {
@@ -15,7 +19,12 @@ QUERIES = {
     "op4_mcd_outliers": op4_mcd_outliers,
     "op5_odd_sketch": op5_odd_sketch,
     "op7_cuckoo_lines": op7_cuckoo_lines,
+    "op8_raking": op8_raking,
+    "op9_path_templates": op9_path_templates,
     "op10_feistel_shards": op10_feistel_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_raking": raking_sql(),
+    "op9_path_templates": urltree_sql(),
+}
