@@ -9,6 +9,7 @@ from tessera.llm.mcd import op4_mcd_outliers
 from tessera.llm.oddsketch import op5_odd_sketch
 from tessera.llm.raking import op8_raking
 from tessera.llm.raking import oracle_sql as raking_sql
+from tessera.llm.template import op6_page_templates
 from tessera.llm.urltree import op9_path_templates
 from tessera.llm.urltree import oracle_sql as urltree_sql
 from tessera.llm.wumanber import op2_wu_manber
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_debruijn": op3_debruijn,
     "op4_mcd_outliers": op4_mcd_outliers,
     "op5_odd_sketch": op5_odd_sketch,
+    "op6_page_templates": op6_page_templates,
     "op7_cuckoo_lines": op7_cuckoo_lines,
     "op8_raking": op8_raking,
     "op9_path_templates": op9_path_templates,
