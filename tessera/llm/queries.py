@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tessera.llm.chat import op1_chat_fingerprints
+from tessera.llm.chat import oracle_sql as chat_sql
 from tessera.llm.debruijn import op3_debruijn
 from tessera.llm.feistel import op10_feistel_shards
 from tessera.llm.linedrop import op7_cuckoo_lines
@@ -15,6 +17,7 @@ from tessera.llm.urltree import oracle_sql as urltree_sql
 from tessera.llm.wumanber import op2_wu_manber
 
 QUERIES = {
+    "op1_chat_fingerprints": op1_chat_fingerprints,
     "op2_wu_manber": op2_wu_manber,
     "op3_debruijn": op3_debruijn,
     "op4_mcd_outliers": op4_mcd_outliers,
@@ -27,6 +30,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_chat_fingerprints": chat_sql(),
     "op8_raking": raking_sql(),
     "op9_path_templates": urltree_sql(),
 }
