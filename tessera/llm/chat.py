@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import others, table
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # Control strings of this template and of public chat formats; each starts with < or [.
@@ -182,12 +182,10 @@ _TURNS = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
 
 
 def format_chat(records: DataFrame, *, record: str = "record", layouts=LAYOUTS, prefix: str = "chat_") -> DataFrame:
-    """``records`` without the JSON column, with ``{prefix}fingerprint``, ``layout``, ``turns``, ``formatted`` and ``loss_spans``."""
-    keep = [c for c in records.columns if c != record]
+    """``records`` without the JSON column, with ``{prefix}fingerprint``, ``layout``, ``turns``, ``formatted`` and
+    ``loss_spans`` (old columns of these names go)."""
     names = [prefix + c for c in ("fingerprint", "layout", "turns", "formatted", "loss_spans")]
-    clash = {c.lower() for c in keep} & {c.lower() for c in names}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; choose another prefix")
+    keep = others(records, (record, *names))
     known = fingerprints(layouts)
     n = len(keep)
     types = ["string", "string", "array<struct<role:string,text:string>>", "string", "array<struct<start:bigint,end:bigint>>"]

@@ -92,6 +92,25 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def named(c: str) -> Column:
+    """The column of exactly this name, dots included."""
+    return F.col(f"`{c}`")
+
+
+def others(df: DataFrame, new: Iterable[str]) -> list[str]:
+    """The columns that stay beside ``new`` ones: a new column replaces an old one of its name."""
+    low = {c.lower() for c in new}
+    return [c for c in df.columns if c.lower() not in low]
+
+
+def packed(df: DataFrame, keep: Iterable[str] | None = None, **columns: str) -> DataFrame:
+    """``row``, a struct of the columns ``keep`` (all by default), and ``columns`` under fixed names.
+
+    No column of ``df`` can then clash with the names that an operator works with."""
+    return df.select(F.struct(*(named(c) for c in (df.columns if keep is None else keep))).alias("row"),
+                     *(named(c).alias(k) for k, c in columns.items()))
+
+
 def free_name(taken: Iterable[str], base: str) -> str:
     """``base``, with underscores until it clashes with none of ``taken`` (case-insensitively)."""
     low = {t.lower() for t in taken}

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, Scratch, bitmap, free_name, in_bitmap, let, sha, table
+from tessera.llm.common import SPACES, Scratch, bitmap, in_bitmap, let, named, others, packed, sha, table
 from tessera.llm.tokens import SPACE_WORD, WORD_BASE, Rolling, Words, find_words, mix, slices
 
 WINDOW = 35
@@ -165,7 +165,7 @@ class Repeats:
 def find_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> Repeats:
     spark = docs.sparkSession
     scratch = Scratch(spark, "debruijn")
-    source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    source = docs.select(named(doc_id).alias("id"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     broadcast = spark.sparkContext.broadcast
 
@@ -272,16 +272,16 @@ def _outside(words: Column, spans: Column) -> Column:
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
                    kept: str = "kept_words", n_words: str = "n_words", n_removed: str = "n_removed") -> DataFrame:
-    """``docs`` with the kept words (array), the number of words and of removed words."""
+    """``docs`` with the kept words (array), the number of words and of removed words (old columns of these names go)."""
     spans = find_repeats(docs, doc_id=doc_id, text=text, window=window).spans
-    h, w, r = (free_name(docs.columns, c) for c in ("text_hash", "word_list", "repeat_spans"))
-    left = docs.withColumn(h, F.xxhash64(text)).alias("l")
-    same = F.col(f"l.`{doc_id}`").eqNullSafe(F.col("r.id")) & (F.col(f"l.`{h}`") == F.col("r.text_hash"))
-    joined = left.join(spans.alias("r"), same, "left").select(
-        *(F.col(f"l.`{c}`") for c in docs.columns), F.col("r.spans").alias(r)).withColumn(w, _words(F.col(text)))
-    removed = F.aggregate(r, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    stay = F.when(F.col(r).isNull(), F.col(w)).otherwise(_outside(F.col(w), F.col(r)))
-    return joined.select(*docs.columns, F.size(w).cast("long").alias(n_words),
+    rows = packed(docs, others(docs, (kept, n_words, n_removed)), id=doc_id, text=text) \
+        .withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.text_hash") == F.col("r.text_hash"))
+    joined = rows.alias("l").join(spans.alias("r"), same, "left") \
+        .select("l.row", _words(F.col("l.text")).alias("words"), "r.spans")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    stay = F.when(F.col("spans").isNull(), F.col("words")).otherwise(_outside(F.col("words"), F.col("spans")))
+    return joined.select("row.*", F.size("words").cast("long").alias(n_words),
                          F.coalesce(removed, F.lit(0)).cast("long").alias(n_removed), stay.alias(kept))
 
 

@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, free_name, let, table
+from tessera.llm.common import Scratch, free_name, let, named, others, table
 
 ROUNDS = 6
 SEED = 20
@@ -97,12 +97,10 @@ def numbered(df: DataFrame, order: Sequence[str], name: str, scratch: Scratch) -
 
 def shuffle_shards(df: DataFrame, order: Sequence[str], shards: int = SHARDS, seed: int = SEED,
                    shard: str = "shard", slot: str = "slot") -> DataFrame:
-    """``df`` with a shard (0..shards-1) and a gapless slot in it for every row."""
+    """``df`` with a shard (0..shards-1) and a gapless slot in it for every row (old columns of these names go)."""
     if shards < 1:
         raise ValueError("at least one shard")
-    clash = {c.lower() for c in df.columns} & {shard.lower(), slot.lower()}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; name others for shard and slot")
+    df = df.select(*(named(c) for c in others(df, {shard, slot} - set(order))))
     row = free_name(df.columns, "row_number")
     out, n = numbered(df, order, row, Scratch(df.sparkSession, "feistel"))
     if not n:

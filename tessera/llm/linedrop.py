@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, Scratch, free_name, let, lower_az, sha, table
+from tessera.llm.common import SPACES, Scratch, free_name, let, lower_az, named, others, sha, table
 
 MIN_DOCUMENTS = 10
 SHARD_KEYS = 1 << 19                # keys of a shard at most, on average: bounds one shard's task
@@ -190,21 +190,20 @@ class LineIndex:
         """Keys whose lines are dropped, by the exact counts."""
         return self.counts.where(F.col("documents") >= self.min_documents).select("key")
 
-    def lines_to_drop(self, docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-        """``keys`` and ``drop`` (array of line numbers from 0) of the documents that lose lines."""
-        lines = docs.select(*keys, line_keys(F.col(text)).alias("line_keys"))
+    def lines_to_drop(self, docs: DataFrame) -> DataFrame:
+        """``doc`` and ``drop`` (array of line numbers from 0) of the documents (doc, text) that lose lines."""
+        lines = docs.select("doc", line_keys(F.col("text")).alias("line_keys"))
         if self.scratch.bytes(f"filters{self.generation}") <= FILTER_BYTES:
-            found = self._probe(lines, keys)
+            found = self._probe(lines)
         else:
-            found = lines.select(*keys, F.posexplode("line_keys").alias("line", "key")).where("key is not null")
-        hits = found.join(self.frequent(), "key")
-        return hits.groupBy(*keys).agg(F.collect_set("line").alias("drop"))
+            found = lines.select("doc", F.posexplode("line_keys").alias("line", "key")).where("key is not null")
+        return found.join(self.frequent(), "key").groupBy("doc").agg(F.collect_set("line").alias("drop"))
 
-    def _probe(self, lines: DataFrame, keys: list[str]) -> DataFrame:
+    def _probe(self, lines: DataFrame) -> DataFrame:
         shared = self.spark.sparkContext.broadcast(
             {r["shard"]: bytes(r["filter"]) for r in self.filters.toLocalIterator()})
         shards = self.shards
-        schema = lines.select(*keys, F.lit(0).alias("line"), F.lit(b"").alias("key")).schema
+        schema = lines.select("doc", F.lit(0).alias("line"), F.lit(b"").alias("key")).schema
         with_shards = lines.withColumn("line_shards", F.transform("line_keys", lambda k: self._shard(k)))
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +224,8 @@ class LineIndex:
                 hit = real[maybe]
                 rows = pa.array(row[hit])
                 yield pa.RecordBatch.from_arrays(
-                    [*(col(k).take(rows) for k in keys), pa.array(line[hit].astype(np.int32)), flat.take(pa.array(hit))],
-                    names=[*keys, "line", "key"])
+                    [col("doc").take(rows), pa.array(line[hit].astype(np.int32)), flat.take(pa.array(hit))],
+                    names=["doc", "line", "key"])
 
         return with_shards.mapInArrow(probe, schema)
 
@@ -247,25 +246,24 @@ def _update(keys: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
 
 def drop_lines(docs: DataFrame, index: LineIndex, text: str = "text", kept: str = "kept_text",
                n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
-    """``docs`` with the text without its frequent lines, the number of lines, and of dropped lines.
-
-    Rows find their lines again by all their columns but the text, and a hash of the text;
-    rows equal in all of them lose the same lines."""
-    h = free_name(docs.columns, "text_hash")
-    ids = [c for c, kind in docs.dtypes if c != text and not kind.startswith(("map", "array", "struct", "variant"))]
-    keyed = docs.withColumn(h, F.xxhash64(text))
-    drops = index.lines_to_drop(keyed.select(*ids, h, text), [*ids, h], text)
-    left, right = keyed.alias("l"), drops.alias("r")
-    same = F.col(f"l.`{h}`") == F.col(f"r.`{h}`")
-    for c in ids:
-        same &= F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
-    lines = F.split(F.coalesce(F.col(f"l.`{text}`"), F.lit("")), "\n", -1)
+    """``docs`` with the text without its frequent lines, the number of lines, and of dropped lines
+    (old columns of these names go).
+
+    Rows find their lines again by all their columns of simple types but the text, and a hash of
+    the text; rows equal in all of them lose the same lines."""
+    plain = [c for c, kind in docs.dtypes if c != text and not kind.startswith(("map", "array", "struct", "variant", "interval"))]
+    doc = F.struct(*(named(c) for c in plain), F.xxhash64(named(text)).alias(free_name(plain, "text_hash")))
+    row = F.struct(*(named(c) for c in others(docs, (kept, n_lines, n_dropped))))
+    left = docs.select(doc.alias("doc"), row.alias("row"), named(text).alias("text"))
+    drops = index.lines_to_drop(left.select("doc", "text"))
+    lines = F.split(F.coalesce(F.col("l.text"), F.lit("")), "\n", -1)
     drop = F.col("r.drop")
     stay = F.when(drop.isNull(), lines).otherwise(let(lines, lambda ls: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), drop), lambda i: ls[i])))
-    return left.join(right, same, "left").select(
-        *(F.col(f"l.`{c}`") for c in docs.columns), F.array_join(stay, "\n").alias(kept),
-        F.size(lines).cast("long").alias(n_lines), F.coalesce(F.size(drop), F.lit(0)).cast("long").alias(n_dropped))
+    joined = left.alias("l").join(drops.alias("r"), F.col("l.doc").eqNullSafe(F.col("r.doc")), "left").select(
+        F.col("l.row").alias("row"), F.array_join(stay, "\n").alias(kept), F.size(lines).cast("long").alias(n_lines),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias(n_dropped))
+    return joined.select("row.*", named(kept), named(n_lines), named(n_dropped))
 
 
 def op7_cuckoo_lines(spark, sf_dir: str) -> DataFrame:

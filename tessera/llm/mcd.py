@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, let, table, words_of
+from tessera.llm.common import Scratch, let, named, others, packed, table, words_of
 
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
@@ -78,11 +78,9 @@ def _covered(h: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the base statistics, the features and ``base_failed``; existing columns of these names are refused."""
-    new = [*BASE, *FLOORS, "base_failed", "mcd_words", "mcd_windows", "mcd_lines"]
-    clash = {c.lower() for c in docs.columns} & set(new)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; rename them first")
+    """``docs`` with the base statistics, the features and ``base_failed`` (old columns of these names go)."""
+    working = ["mcd_words", "mcd_windows", "mcd_lines"]
+    docs = docs.select(*(named(c) for c in others(docs, [*BASE, *FLOORS, "base_failed", *working])))
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     out = docs.withColumns({
@@ -224,13 +222,14 @@ def judge(stats: DataFrame, model: Model, lang: str = "lang", source: str = "sou
 
     The model is joined by language and source: Spark ships it while its stored size is below
     the session's broadcast limit and shuffles by its keys beyond it."""
-    columns = stats.columns
+    rows = packed(stats, others(stats, ("outlyingness", "kept")), base_failed="base_failed", **{lang: lang, source: source},
+                  **{f: f for f in FLOORS})
     k1, k2 = _keys(lang, source)
     model_rows = model.groups.join(model.estimates, "g")
-    rows = _distance(stats.withColumns({"k1": k1, "k2": k2}).join(model_rows, ["k1", "k2"], "left"), "mcd_d")
+    rows = _distance(rows.withColumns({"k1": k1, "k2": k2}).join(model_rows, ["k1", "k2"], "left"), "mcd_d")
     out = rows.withColumn("outlyingness", F.col("mcd_d") / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("outlyingness") <= cutoff, F.lit(True))
-    return out.select(*columns, "outlyingness", kept.alias("kept"))
+    return out.select("row.*", "outlyingness", kept.alias("kept"))
 
 
 def keep_quality(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
@@ -238,12 +237,13 @@ def keep_quality(docs: DataFrame, lang: str = "lang", source: str = "source", te
 
     The fit reads the texts once; the verdict counts again beside each text, which costs less
     than to shuffle the texts to stored counts."""
-    slim = docs.select(*dict.fromkeys((text, lang, source)))
+    rows = packed(docs, text=text, lang=lang, source=source)
     scratch = Scratch(docs.sparkSession, "mcd")
-    stats = scratch.write(text_statistics(slim, text).drop(text), "stats")
-    model = fit(stats, lang, source, scratch)
+    stats = scratch.write(text_statistics(rows.drop("row")).drop("text"), "stats")
+    model = fit(stats, scratch=scratch)
     scratch.drop("stats")
-    return judge(text_statistics(docs, text), model, lang, source).where("kept").select(*docs.columns)
+    judged = judge(text_statistics(rows).drop("text").withColumnRenamed("row", "document"), model)
+    return judged.where("kept").select("document.*")
 
 
 def op4_mcd_outliers(spark, sf_dir: str) -> DataFrame:

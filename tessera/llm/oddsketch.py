@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, bitmap, free_name, in_bitmap, table
+from tessera.llm.common import Scratch, bitmap, in_bitmap, named, packed, table
 from tessera.llm.tokens import FOLDED, SPACE_WORD, WORD_BASE, Rolling, find_words, mix, slices
 
 SHINGLE = 5
@@ -206,7 +206,7 @@ def _groups(docs: DataFrame, doc_id: str, text: str, similarity: int) -> DataFra
     """id, text_hash, shingles and component_id of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "oddsketch")
-    source = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    source = docs.select(named(doc_id).alias("id"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signed = scratch.write(source.mapInArrow(_signatures, f"id {kind}, {SIGNATURE}"), "signed")
     alike = signed.where("digest is not null").groupBy("digest").agg(
@@ -302,11 +302,9 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sim
     keep = _groups(docs, doc_id, text, similarity).where("id = component_id") \
         .groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("place", F.row_number().over(first)).where("place = 1").select("id", "text_hash")
-    h = free_name(docs.columns, "text_hash")
-    known = docs.where(F.col(doc_id).isNotNull()).withColumn(h, F.xxhash64(text))
-    one = known.join(keep, (known[doc_id] == keep["id"]) & (known[h] == keep["text_hash"]), "left_semi") \
-        .dropDuplicates([doc_id, h]).drop(h)
-    return one.union(docs.where(F.col(doc_id).isNull()))
+    rows = packed(docs, id=doc_id, text=text).select("row", "id", F.xxhash64("text").alias("text_hash"))
+    one = rows.where("id is not null").join(keep, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    return one.select("row.*").union(rows.where("id is null").select("row.*"))
 
 
 def op5_odd_sketch(spark, sf_dir: str) -> DataFrame:

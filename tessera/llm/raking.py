@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, table
+from tessera.llm.common import Scratch, packed, table
 
 RATE = 0.6
 POWER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
@@ -117,12 +117,10 @@ def sampled(rows: DataFrame, cells: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
         topic: str | None = None, **options) -> DataFrame:
     """The sampled documents, columns unchanged."""
-    clash = [c for c in docs.columns if c.lower().startswith("mix_") or c.lower() in ("probability", "sampled", "tokens")]
-    if clash:
-        raise ValueError(f"columns {clash} exist; rename them first")
-    rows = measured(docs, doc_id, text, source, lang, topic)
-    cells = rake(rows.select(*(f"mix_{d}" for d in DIMENSIONS), "mix_tokens"), **options)
-    return sampled(rows, cells).where("sampled").select(*docs.columns)
+    columns = {"doc_id": doc_id, "text": text, "source": source, "lang": lang} | ({"topic": topic} if topic else {})
+    rows = measured(packed(docs, **columns), topic=topic and "topic").drop(*columns)
+    cells = rake(rows.drop("row"), **options)
+    return sampled(rows, cells).where("sampled").select("row.*")
 
 
 def op8_raking(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, table
+from tessera.llm.common import Scratch, others, packed, table
 from tessera.llm.urltree import host_of
 
 MIN_PAGES = 4
@@ -262,42 +262,38 @@ def main_text(page: str | None, slots: dict[int, bool], words: set[int]) -> str:
 
 
 def extract(pages: DataFrame, *, url: str = "url", html: str = "html", text: str = "text") -> DataFrame:
-    """``pages`` without the html column, with the main text.
+    """``pages`` without the html column, with the main text (an old column of its name goes).
 
     Templates are joined by host: Spark ships the table while its stored size is below the
     session's broadcast limit, and splits hot hosts of the shuffled join beyond it."""
-    keep = [c for c in pages.columns if c != html]
-    if text.lower() in (c.lower() for c in keep):
-        raise ValueError(f"a column {text} exists; choose another name")
+    keep = others(pages, (html, text))
     scratch = Scratch(pages.sparkSession, "template")
     templates = deduce(pages, url, html, scratch)
     shared = templates.where("host = ''").select(F.col("slots").alias("tpl_shared_slots"), F.col("words").alias("tpl_shared_words"))
     own = templates.where("host != ''").select(F.col("host").alias("tpl_host"), F.col("slots").alias("tpl_slots"),
                                                F.col("words").alias("tpl_words"))
-    rows = pages.withColumn("tpl_key", host_of(F.col(url)))
+    rows = packed(pages, keep, tpl_html=html).withColumn("tpl_key", host_of(F.col(f"row.`{url}`")))
     rows = rows.join(own, F.col("tpl_key") == F.col("tpl_host"), "left").join(F.broadcast(shared), F.lit(True), "left")
-    rows = rows.select(*keep, F.col(html).alias("tpl_html"),
+    rows = rows.select("row", "tpl_html",
                        F.coalesce("tpl_host", F.lit("")).alias("tpl_host"),
                        F.coalesce("tpl_slots", "tpl_shared_slots").alias("tpl_slots"),
                        F.coalesce("tpl_words", "tpl_shared_words").alias("tpl_words"))
-    n = len(keep)
-
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[dict[int, bool], set[int]]] = {}
         for batch in batches:
             out = []
-            hosts = batch.column(n + 1).to_pylist()
-            for i, (page, host) in enumerate(zip(batch.column(n).to_pylist(), hosts)):
+            hosts = batch.column(2).to_pylist()
+            for i, (page, host) in enumerate(zip(batch.column(1).to_pylist(), hosts)):
                 if host not in known:
                     if len(known) >= 256:
                         known.clear()
-                    slots, words = batch.column(n + 2)[i].as_py(), batch.column(n + 3)[i].as_py()
+                    slots, words = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
                     known[host] = {s["path"]: s["main"] for s in slots or ()}, set(words or ())
                 out.append(main_text(page, *known[host]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), pa.array(out, pa.string())],
-                                             names=[*keep, text])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "filled"])
 
-    return rows.mapInArrow(fill, pages.select(*keep, F.lit("").alias(text)).schema)
+    filled = rows.mapInArrow(fill, rows.select("row", F.lit("").alias("filled")).schema)
+    return filled.select("row.*", F.col("filled").alias(text))
 
 
 def op6_page_templates(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, lower_az, table
+from tessera.llm.common import Scratch, lower_az, others, packed, table
 
 DEPTH = 4
 MAX_KIDS = 20
@@ -104,20 +104,18 @@ def judged_templates(paths: DataFrame) -> DataFrame:
     return out.select("host", "shape", F.col("chosen.template").alias("template"), share.alias("bad_share"))
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_id: Column | None = None,
+def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_id: str | None = None,
                rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``bad_share``.
-
-    ``labels`` has ``label_id`` and ``bad`` (0 or 1), one row for an id; the id of a page is the column
-    expression ``label_id`` over it, by default the last number of its path."""
-    new = ("host", "path", "rule", "verdict", "template", "bad_share", "shape", "fit", "label_id")
-    clash = {c.lower() for c in pages.columns} & set(new)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; rename them first")
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``bad_share`` (old columns of these names go).
+
+    ``labels`` has ``label_id`` and ``bad`` (0 or 1), one row for an id; a page's id is in its column
+    ``label_id``, by default it is the last number of its path."""
+    new = ("host", "path", "rule", "verdict", "template", "bad_share")
     scratch = Scratch(pages.sparkSession, "urltree")
-    known = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}) \
+    known = packed(pages, others(pages, new), url=url, **({"label": label_id} if label_id else {}))
+    known = known.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}) \
         .withColumn("shape", _segments(F.col("path")))
-    number = F.expr("try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) as bigint)") if label_id is None else label_id
+    number = F.expr("try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) as bigint)") if label_id is None else F.col("label")
     slim = known.select("host", "shape", number.alias("label_id"))
     counted = slim.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages"))
     marked = slim.where("label_id is not null").join(labels.select("label_id", "bad"), "label_id") \
@@ -129,7 +127,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_i
     fit = matching_rule(F.col("host"), F.col("path"), rules)
     by_template = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
     return known.withColumn("fit", fit).join(judged, ["host", "shape"], "left").select(
-        *pages.columns, "host", "path", F.col("fit.rule").alias("rule"),
+        "row.*", "host", "path", F.col("fit.rule").alias("rule"),
         F.coalesce(F.col("fit.verdict"), by_template).alias("verdict"), "template", "bad_share")
 
 

@@ -23,7 +23,6 @@ string.  Repeated items count once by id; repeated documents are judged one by o
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import Scratch, free_name, table
+from tessera.llm.common import Scratch, free_name, named, others, table
 from tessera.llm.tokens import ALNUM_WORD, BYTE_BASE, FOLDED, Rolling, Words, find_words, mix, slices
 
 WINDOW = 13
@@ -169,11 +168,10 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                    item_text: str = "text", size: int = WINDOW, prefix: str = "bench_",
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with three more columns: ``{prefix}words`` (words of the text), ``{prefix}spans``
-    (disjoint word ranges that occur in the benchmark) and ``{prefix}items`` (ids of the items found)."""
+    (disjoint word ranges that occur in the benchmark) and ``{prefix}items`` (ids of the items found);
+    old columns of these names go."""
     names = [f"{prefix}{c}" for c in ("words", "spans", "items")]
-    clash = {c.lower() for c in docs.columns} & {c.lower() for c in names}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; choose another prefix")
+    docs = docs.select(*(named(c) for c in others(docs, names)))
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).alias("t"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
@@ -216,13 +214,9 @@ def is_contaminated(words, spans) -> F.Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, unchanged."""
-    prefix = free_name([c[:6] for c in docs.columns], "bench_")
+    prefix = free_name([c[:len(c) - len(s)] for c in docs.columns for s in ("words", "spans", "items")], "bench_")
     found = find_benchmark(docs, benchmark, prefix=prefix, **options)
-    return found.where(~is_contaminated(F.col(f"{prefix}words"), F.col(f"{prefix}spans"))).select(*docs.columns)
-
-
-def _item_digest(items: pa.Array) -> pa.Array:
-    return pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items.to_pylist()])
+    return found.where(~is_contaminated(F.col(f"{prefix}words"), F.col(f"{prefix}spans"))).select(*(named(c) for c in docs.columns))
 
 
 def op2_wu_manber(spark, sf_dir: str) -> DataFrame:
