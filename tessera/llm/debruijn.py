@@ -281,8 +281,9 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         .select("l.row", _words(F.col("l.text")).alias("words"), "r.spans")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     stay = F.when(F.col("spans").isNull(), F.col("words")).otherwise(_outside(F.col("words"), F.col("spans")))
-    return joined.select("row.*", F.size("words").cast("long").alias(n_words),
-                         F.coalesce(removed, F.lit(0)).cast("long").alias(n_removed), stay.alias(kept))
+    out = joined.select("row", F.size("words").cast("long").alias(n_words),
+                        F.coalesce(removed, F.lit(0)).cast("long").alias(n_removed), stay.alias(kept))
+    return out.select("row.*", named(n_words), named(n_removed), named(kept))
 
 
 def op3_debruijn(spark, sf_dir: str) -> DataFrame:

@@ -229,7 +229,7 @@ def judge(stats: DataFrame, model: Model, lang: str = "lang", source: str = "sou
     rows = _distance(rows.withColumns({"k1": k1, "k2": k2}).join(model_rows, ["k1", "k2"], "left"), "mcd_d")
     out = rows.withColumn("outlyingness", F.col("mcd_d") / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("outlyingness") <= cutoff, F.lit(True))
-    return out.select("row.*", "outlyingness", kept.alias("kept"))
+    return out.select("row", "outlyingness", kept.alias("kept")).select("row.*", "outlyingness", "kept")
 
 
 def keep_quality(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:

@@ -127,8 +127,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_i
     fit = matching_rule(F.col("host"), F.col("path"), rules)
     by_template = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
     return known.withColumn("fit", fit).join(judged, ["host", "shape"], "left").select(
-        "row.*", "host", "path", F.col("fit.rule").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), by_template).alias("verdict"), "template", "bad_share")
+        "row", "host", "path", F.col("fit.rule").alias("rule"),
+        F.coalesce(F.col("fit.verdict"), by_template).alias("verdict"), "template", "bad_share").select("row.*", *new)
 
 
 def document_labels(labels: DataFrame) -> DataFrame:
