@@ -196,7 +196,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 while up and up not in kinds:
                     kinds[up] = 0
                     up = up.rpartition("/")[0]
-                kinds[path] |= kind
+                kinds[path] = kinds.get(path, 0) | kind
                 paths[path] += 1
                 chars[path] += len(words)
                 links[path] += linked
@@ -232,7 +232,8 @@ def deduce(pages: DataFrame, url: str, html: str, scratch: Scratch) -> DataFrame
     tokens = scratch.write(tokens.where((F.col("support") >= MIN_PAGES) & (F.col("support") >= F.col("group_pages") * share)),
                            "frequent")
     same = ["template", "vector", "support", "total"]
-    classes = tokens.groupBy(*same).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # a path stands for the start and the end of its element, so for two tokens
+    classes = tokens.groupBy(*same).agg(F.sum(F.lit(2) - F.col("text")).alias("members")).where("members > 1")
     valid = tokens.join(classes, same)
     main = (F.col("kind").bitwiseAND(F.lit(BOILER)) == 0) & (F.col("links") <= F.col("chars") * LINK_SHARE)
     slots = F.collect_list(F.when(F.col("text") == 0, F.struct(F.col("token").alias("path"), main.alias("main"))))

@@ -9,7 +9,7 @@ The longest rule that fits a url decides it. The others are judged by templates:
    binomial test, normal approximation). A branch that does not differ is merged into its
    parent, so each template stands for the largest part of the tree around it that looks alike.
 3. Purity. A template's share of bad pages is smoothed towards the corpus's share with
-   ``PRIOR`` pages; a template with a share of ``REJECT`` or more is rejected.
+   ``PRIOR`` pages; a template with a share above ``REJECT`` is rejected.
 
 All steps work on counts by (host, path template), summed map-side: a host with a third of all
 pages is as many rows as it has distinct templates, and pages are joined once with the verdict
@@ -125,7 +125,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_i
     judged = scratch.write(judged_templates(paths), "judged")
     scratch.drop("counts", "paths")
     fit = matching_rule(F.col("host"), F.col("path"), rules)
-    by_template = F.when(F.col("bad_share") >= REJECT, "block").otherwise("allow")
+    by_template = F.when(F.col("bad_share") > REJECT, "block").otherwise("allow")
     return known.withColumn("fit", fit).join(judged, ["host", "shape"], "left").select(
         "row", "host", "path", F.col("fit.rule").alias("rule"),
         F.coalesce(F.col("fit.verdict"), by_template).alias("verdict"), "template", "bad_share").select("row.*", *new)
@@ -191,5 +191,5 @@ summed AS (SELECT *, {sums}, ((sum(bad::DOUBLE) OVER ()) + 1.0::DOUBLE) / ((sum(
 judged AS (SELECT host, shape, c.template, (c.b + base * {PRIOR}::DOUBLE) / (c.n + {PRIOR}::DOUBLE) AS bad_share
            FROM (SELECT host, shape, base, {pick} AS c FROM summed))
 SELECT page_id, k.host, path, {" ".join(rule)} AS rule,
-       coalesce({" ".join(verdict)}, CASE WHEN bad_share >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template
+       coalesce({" ".join(verdict)}, CASE WHEN bad_share > {REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template
 FROM known k LEFT JOIN judged j ON k.host = j.host AND k.shape = j.shape"""

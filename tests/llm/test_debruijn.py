@@ -1,0 +1,70 @@
+"""Substring dedup against brute force over all windows; compaction of paths."""
+
+import re
+
+import pyarrow as pa
+from odd_rows import clashing, documents
+from tessera.llm import debruijn as db
+from tessera.llm.common import Scratch
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, k):
+    seen = {}
+    lists = [WORD.findall(t or "") for t in rows]
+    for w in lists:
+        for i in range(len(w) - k + 1):
+            seen[tuple(w[i:i + k])] = seen.get(tuple(w[i:i + k]), 0) + 1
+    out = []
+    for w in lists:
+        gone = {j for i in range(len(w) - k + 1) if seen[tuple(w[i:i + k])] > 1 for j in range(i, i + k)}
+        out.append((len(w), len(gone), [x for j, x in enumerate(w) if j not in gone]))
+    return out
+
+
+def check(df, texts, k):
+    got = sorted((r["n_words"], r["n_removed"], r["kept_words"]) for r in db.remove_repeats(df, window=k).collect())
+    assert got == sorted(brute(texts, k))
+
+
+def test_same_as_brute_force(spark, odd_docs):
+    check(odd_docs, [d[1] for d in documents()], db.WINDOW)
+
+
+def test_short_windows_and_degenerate_texts(spark):
+    texts = ["a " * 200, "a b " * 90 + "c", "x y z", "a b c d e f g h", "q a b c d e f", "a a a a a a", None, ""]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), texts, 5)
+
+
+def test_empty_table_and_clashing_columns(spark, no_docs, odd_docs):
+    assert db.remove_repeats(no_docs).count() == 0
+    docs = clashing(odd_docs, "id", "text_hash", "spans", "words", "n_words", "row", "start")
+    out = db.remove_repeats(docs)
+    assert out.columns[-3:] == ["n_words", "n_removed", "kept_words"] and out.count() == len(documents())
+    assert {r["spans"] for r in out.collect()} == {"own spans"}
+
+
+def test_paths_are_compacted_and_name_their_source(spark):
+    passage = " ".join(f"p{i}" for i in range(300))
+    rows = [(1, f"a b {passage}"), (2, f"{passage} c d"), (3, f"e {passage} f")]
+    out = db.find_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["id"]: [tuple(s) for s in r["spans"]] for r in out.spans.collect()} == {1: [(2, 302)], 2: [(0, 300)], 3: [(1, 301)]}
+    paths = out.paths.orderBy("kmers").collect()
+    assert paths[-1]["kmers"] > 200 and paths[-1]["runs"] > 5 and paths[-1]["id"] == 1
+
+
+def test_compaction_of_chains_branches_and_cycles(spark):
+    edges = [(1, 10, 11), (2, 11, 12), (3, 12, 13),                 # a chain
+             (4, 20, 21), (5, 21, 22), (6, 21, 23),                 # a branch after 4
+             (7, 30, 31), (8, 31, 30), (9, 40, 40)]                 # two cycles
+    df = spark.createDataFrame([(r, a, b) for r, a, b in edges], "run long, enters long, leaves long")
+    got = {r["run"]: (r["path"], r["place"]) for r in db.compact(df, Scratch(spark, "t")).collect()}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (4, 0), 5: (5, 0), 6: (6, 0), 7: (7, 0), 8: (8, 0), 9: (9, 0)}
+
+
+def test_every_window_belongs_to_one_run():
+    batch = pa.RecordBatch.from_arrays([pa.array([d[1] for d in documents()])], names=["text"])
+    r = db.runs_of(batch, 0, 35)
+    n = sum(max(0, len(WORD.findall(d[1] or "")) - 34) for d in documents())
+    assert r.length.sum() == n and r.length.max() <= db.RUN
