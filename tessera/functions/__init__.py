@@ -1,8 +1,6 @@
 """Column-expression helpers (all JVM-side built-ins, no UDFs)."""
 
 from tessera.functions.hashing import key_hash, row_hash
-from tessera.functions.predicates import ci_equals, ci_like, keys_equal, null_safe_keys
 from tessera.functions.timeofday import millis_to_hms, hms_to_seconds
 
-__all__ = ["row_hash", "key_hash", "millis_to_hms", "hms_to_seconds", "ci_equals", "ci_like",
-           "keys_equal", "null_safe_keys"]
+__all__ = ["row_hash", "key_hash", "millis_to_hms", "hms_to_seconds"]

@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(F.floor(c).cast("string"), 2, "0")
+def millis_to_hms_sql(c: str) -> str:
+    """SQL text for milliseconds since midnight as ``HH:mm:ss``, with no time-zone involved."""
+    two = "lpad(CAST(FLOOR({}) AS STRING), 2, '0')".format
+    return f"concat_ws(':', {two(f'{c} / 3600000')}, {two(f'({c} % 3600000) / 60000')}, {two(f'({c} % 60000) / 1000')})"
 
 
-def millis_to_hms(c: str | Column) -> Column:
-    """Milliseconds since midnight to ``HH:mm:ss`` text, with no time-zone involved."""
-    ms = F.col(c) if isinstance(c, str) else c
-    return F.concat_ws(":", _two(ms / 3600000), _two((ms % 3600000) / 60000), _two((ms % 60000) / 1000))
+def millis_to_hms(c: str) -> Column:
+    return F.expr(millis_to_hms_sql(c))
 
 
 def hms_to_seconds(c: str | Column) -> Column:

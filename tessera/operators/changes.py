@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import row_hash
 from tessera.operators.keyed import latest_per_key
 
 APPLIED = ("insert", "update_postimage", "delete")
@@ -51,24 +50,23 @@ def cdc_adapter(cdc: DataFrame, op_col: str = "op", seq_col: str = "lsn", ts_col
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int, ts: Column | str) -> DataFrame:
     """Change feed between two snapshots: inserts, deletes and update pre/post pairs.
 
-    A full outer join on the key with a row-hash comparison; an update explodes
-    into its pre- and post-image.  Unchanged rows produce nothing.  The key is a
-    primary key: plain equality, so a NULL key never matches (as in MERGE) and
-    the join reuses a partitioning on the key that the inputs already have.
+    A full outer join on the key; rows are compared by their values (a NULL differs from an
+    empty string), and an update explodes into its pre- and post-image.  Unchanged rows produce
+    nothing.  The key is a primary key: plain equality, so a NULL key never matches (as in MERGE)
+    and the join reuses a partitioning on the key that the inputs already have.
     """
     cols = [c for c in new.columns if c not in keys]
-    sig = lambda df: row_hash([F.col(c) for c in cols])
-    o = old.select(*keys, F.struct(*cols).alias("_o"), sig(old).alias("_oh"))
-    n = new.select(*keys, F.struct(*cols).alias("_n"), sig(new).alias("_nh"))
+    o = old.select(*keys, F.struct(*cols).alias("_o"), F.lit(True).alias("_was"))
+    n = new.select(*keys, F.struct(*cols).alias("_n"), F.lit(True).alias("_is"))
     j = o.join(n, [o[k] == n[k] for k in keys], "full_outer") \
-        .select(*[F.coalesce(o[k], n[k]).alias(k) for k in keys], "_o", "_n", "_oh", "_nh")
+        .select(*[F.coalesce(o[k], n[k]).alias(k) for k in keys], "_o", "_n", "_was", "_is")
     pre = F.struct(F.lit("update_preimage").alias("t"), F.col("_o").alias("v"))
     post = F.struct(F.lit("update_postimage").alias("t"), F.col("_n").alias("v"))
     ins = F.struct(F.lit("insert").alias("t"), F.col("_n").alias("v"))
     dele = F.struct(F.lit("delete").alias("t"), F.col("_o").alias("v"))
-    both = F.col("_oh").isNotNull() & F.col("_nh").isNotNull() & (F.col("_oh") != F.col("_nh"))
+    both = F.col("_was").isNotNull() & F.col("_is").isNotNull() & ~F.col("_o").eqNullSafe(F.col("_n"))
     events = F.array_compact(F.array(
-        F.when(F.col("_oh").isNull(), ins), F.when(F.col("_nh").isNull(), dele),
+        F.when(F.col("_was").isNull(), ins), F.when(F.col("_is").isNull(), dele),
         F.when(both, pre), F.when(both, post)))
     return j.select(*keys, F.explode(events).alias("_e")).select(
         *keys, *[F.col(f"_e.v.{c}").alias(c) for c in cols],
@@ -101,10 +99,11 @@ def version_history(feed: DataFrame) -> DataFrame:
         F.count_if(F.col("_change_type") == "delete").alias("deleted"),
         F.count(F.lit(1)).alias("change_rows"),
     )
-    # one row per version: a small table, ordered without partitioning
-    w = Window.orderBy(F.col("_commit_version").desc())
-    return h.withColumn("is_previous", (F.row_number().over(w) == 2)) \
-        .withColumn("is_earliest", F.col("_commit_version") == F.min("_commit_version").over(Window.partitionBy()))
+    v = feed.select(F.col("_commit_version").alias("v"))
+    newest, earliest = v.agg(F.max("v")).scalar(), v.agg(F.min("v")).scalar()
+    previous = v.where(F.col("v") < newest).agg(F.max("v")).scalar()
+    return h.withColumn("is_previous", F.coalesce(F.col("_commit_version") == previous, F.lit(False))) \
+        .withColumn("is_earliest", F.col("_commit_version") == earliest)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import row_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
-    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, latest_per_key, number_in_place, keyed_carry,
-    range_lead, sized_broadcast,
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, global_row_number, keyed_carry, latest_per_key,
+    number_in_place, range_lead, sized_broadcast,
 )
 from tessera.operators.quality import ADMIN, enforce_fail_rules
+from tessera.session import cut_lineage
 
 # Fixed value: open end of a current version.
 OPEN_END = "9999-12-31 00:00:00"
@@ -27,8 +27,27 @@ def _not(expr: str):
     return ~F.coalesce(F.expr(expr), F.lit(False))
 
 
+def versions(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_rows: int = HOT_KEY_ROWS,
+             chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """SCD type 2 versions before numbering, in (key, start) order on their range layout, with every
+    column of the changes, ``__START_AT``, ``__END_AT`` and ``_pos``, the place within the key (and
+    hot-key chunk)."""
+    rows = enforce_fail_rules(changes, e)
+    if track:
+        rows = tracked_changes(rows, e, track, hot_rows, chunk_rows, fraction)
+    seq = e.sequence
+    order = [seq, *e.tiebreak]
+    rows = range_lead(rows, e.keys, order, seq, "__END_AT", hot_rows, chunk_rows, fraction, keep_chunk=True)
+    part = [*e.keys, "_chunk"] if "_chunk" in rows.columns else list(e.keys)
+    return (rows.where(F.col("__END_AT").isNull() | (F.col("__END_AT") != F.col(seq)))
+            .where(_not(e.delete_when))
+            .withColumn("_pos", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+            .withColumn("__START_AT", F.col(seq)))
+
+
 def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_rows: int = HOT_KEY_ROWS,
-         chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION, with_root: bool = False) -> DataFrame:
+         chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION, with_root: bool = False,
+         previous: DataFrame | None = None) -> DataFrame:
     """SCD type 2 versions from clean change rows, keyed by ``e.keys`` and sequenced
     by ``e.sequence`` (tie-broken by ``e.tiebreak``).
 
@@ -36,7 +55,10 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     changes, deletes included, and only then are deletes removed, so a delete
     closes its predecessor and leaves no row.  Of several changes with one
     sequence value only the last by tie-break survives.  Input order does not
-    matter.  ``WK_`` is ``row_number() OVER (ORDER BY keys, start)``.
+    matter.  ``WK_`` is ``row_number() OVER (ORDER BY keys, start)``; with
+    ``previous``, the history as it was, versions known there (same key and start)
+    keep their number and new ones follow its largest, so facts that hold numbers
+    of a rebuilt history stay right.
 
     One range shuffle on (key, hot-key chunk) serves the ``lead``, the survivor
     filter, each version's place within its key and the numbering.  With
@@ -44,21 +66,13 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     (plus, for a split hot key, the survivors of its earlier chunks), so the
     history view needs no further shuffle.
     """
-    rows = enforce_fail_rules(changes, e)
-    if track:
-        rows = tracked_changes(rows, e, track, hot_rows, chunk_rows, fraction)
-    seq = e.sequence
-    order = [seq, *e.tiebreak]
-    rows = range_lead(rows, e.keys, order, seq, "__END_AT", hot_rows, chunk_rows, fraction, keep_chunk=True)
-    hot = "_chunk" in rows.columns
-    part = [*e.keys, "_chunk"] if hot else list(e.keys)
-    survivors = (rows.where(F.col("__END_AT").isNull() | (F.col("__END_AT") != F.col(seq)))
-                 .where(_not(e.delete_when))
-                 .withColumn("_pos", F.row_number().over(Window.partitionBy(*part).orderBy(*order))))
-    versions = survivors.select(*e.column_names, *ADMIN, F.col(seq).alias("__START_AT"), "__END_AT", "_pos",
-                                *(["_chunk", "_hot"] if hot else []))
-    numbered = number_in_place(versions, e.wk, [*e.keys, "__START_AT"])
+    found = versions(changes, e, track, hot_rows, chunk_rows, fraction)
+    hot = "_chunk" in found.columns
+    found = found.select(*e.column_names, *ADMIN, "__START_AT", "__END_AT", "_pos", *(["_chunk", "_hot"] if hot else []))
     cols = [e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"]
+    if previous is not None:
+        return _renumbered(found, previous, e).select(*cols)
+    numbered = number_in_place(found, e.wk, [*e.keys, "__START_AT"])
     if not with_root:
         return numbered.select(*cols)
     root = F.col(e.wk) - F.col("_pos") + 1
@@ -72,19 +86,35 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     return numbered.select(*cols, root.cast("long").alias(e.wkr))
 
 
-def history_view(dw: DataFrame, e: Entity) -> DataFrame:
-    """Every version with validity columns and neighbour surrogates.
-
-    ``WK_`` numbers a key's versions consecutively in start order, so the root
-    ``WKR_`` is the key's smallest ``WK_`` and the previous ``WKP_`` is ``WK_ - 1``
-    except on the root.  When ``dw`` carries ``WKR_`` (``scd2(with_root=True)``)
-    the view is a projection; otherwise the root is a grouped minimum (partial
-    before the shuffle) joined back on the key.
-    """
-    v = dw if e.wkr in dw.columns else dw.join(dw.groupBy(*e.keys).agg(F.min(e.wk).alias(e.wkr)), list(e.keys))
+def _renumbered(found: DataFrame, previous: DataFrame, e: Entity) -> DataFrame:
+    """Stored numbers where key and start are known, new ones above the largest stored number."""
+    at = [*e.keys, "__START_AT"]
+    old = previous.select(*at, F.col(e.wk).alias("_old"))
+    both = cut_lineage(found.drop("_pos").join(old, at, "left"), "renumbered")
+    new = global_row_number(both.where("_old is null").drop("_old"), at, e.wk)
+    top = F.coalesce(previous.agg(F.max(e.wk)).scalar(), F.lit(0))
+    kept = both.where("_old is not null").withColumnRenamed("_old", e.wk)
+    return kept.unionByName(new.withColumn(e.wk, (F.col(e.wk) + top).cast("long")))
+
+
+def history_view(dw: DataFrame, e: Entity, hot_rows: int = HOT_KEY_ROWS, chunk_rows: int = CHUNK_ROWS,
+                 fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """Every version with validity columns, and the surrogates of the key's previous and first
+    version by start.
+
+    A history that carries ``WKR_`` (``scd2(with_root=True)``) is numbered consecutively within
+    each key in start order, so the view is a projection.  Any other numbering (kept over
+    rebuilds, or given by a stream in order of arrival) takes the previous surrogate from a
+    carried window per (key, hot-key chunk), and the first one from a grouped ``min_by``."""
+    if e.wkr in dw.columns:
+        v, before = dw, F.when(F.col(e.wk) > F.col(e.wkr), F.col(e.wk) - 1)
+    else:
+        root = dw.groupBy(*e.keys).agg(F.min_by(e.wk, "__START_AT").alias(e.wkr))
+        v = keyed_carry(dw, e.keys, ["__START_AT"], e.wk, "_prev", hot_rows, chunk_rows, fraction, include_current=False)
+        v, before = _join_keys(v, root, list(e.keys), "left"), F.col("_prev")
     return v.select(
         e.wk,
-        F.when(F.col(e.wk) > F.col(e.wkr), F.col(e.wk) - 1).alias(e.wkp),
+        before.alias(e.wkp),
         e.wkr,
         *e.column_names,
         F.col("__START_AT").alias("WA_FROMDATE"),
@@ -104,19 +134,19 @@ def scd1(changes: DataFrame, e: Entity) -> DataFrame:
 
 def tracked_changes(changes: DataFrame, e: Entity, track: Sequence[str], hot_rows: int = HOT_KEY_ROWS,
                     chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Keep only changes that alter the tracked columns.  A delete, and the change
-    after a delete, always count.
+    """Keep only changes that alter the tracked columns, compared by value (NULL differs
+    from an empty string).  A delete, and the change after a delete, always count.
 
     The previous change of each key is a ``lag`` per (key, hot-key chunk)
     (:func:`~tessera.operators.keyed.keyed_carry` ending one row back), so a
     hot key is never sent to one task.
     """
     is_del = F.coalesce(F.expr(e.delete_when), F.lit(False))
-    sig = F.struct(row_hash([F.col(c) for c in track]).alias("h"), is_del.alias("d"))
+    sig = F.struct(F.struct(*track).alias("v"), is_del.alias("d"))
     rows = keyed_carry(changes.withColumn("_sig", sig), e.keys, [e.sequence, *e.tiebreak], "_sig", "_prev",
                        hot_rows, chunk_rows, fraction, include_current=False)
     keep = (F.col("_prev").isNull() | F.col("_sig.d") | F.col("_prev.d")
-            | (F.col("_prev.h") != F.col("_sig.h")))
+            | ~F.col("_prev.v").eqNullSafe(F.col("_sig.v")))
     return rows.where(keep).drop("_sig", "_prev")
 
 
@@ -127,12 +157,8 @@ def deleted_keys(dwh: DataFrame, e: Entity) -> DataFrame:
         .where(F.col("_cur") == 0).drop("_cur")
 
 
-def version_path(dwh: DataFrame, e: Entity, key_values: dict) -> DataFrame:
-    """All versions of one key, numbered in start order.  ``WK_`` is consecutive
-    within a key in start order, so the number is ``WK_ - WKR_ + 1``: no window,
-    and a key with very many versions is not sent to one task."""
-    cond = None
-    for k, v in key_values.items():
-        c = F.col(k) == F.lit(v)
-        cond = c if cond is None else cond & c
-    return dwh.where(cond).withColumn("version_no", (F.col(e.wk) - F.col(e.wkr) + 1).cast("int"))
+def version_path(dwh: DataFrame, e: Entity) -> DataFrame:
+    """The versions of every key that has more than one, numbered in start order."""
+    by_start = Window.partitionBy(*e.keys).orderBy("WA_FROMDATE")
+    return dwh.withColumn("version_no", F.row_number().over(by_start)) \
+        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*e.keys))).where("_n > 1").drop("_n")

@@ -29,6 +29,7 @@ from tessera.session import cut_lineage, materialize_sized
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
 CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
 SAMPLE_FRACTION = 0.01        # share of rows sampled to find hot keys
+QUANTILES = 256               # chunks of a hot key at most
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20    # compressed parquet on storage; in memory it is a few times larger
 
@@ -66,8 +67,7 @@ def _num(df: DataFrame, seq: str) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
              chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
              partitions: int | None = None) -> DataFrame:
-    """Keys whose sampled row count says they would overfill a shuffle partition,
-    with the sampled sequence range and a chunk count.
+    """Keys whose sampled row count says they would overfill a shuffle partition, with a chunk count.
 
     A key is hot above ``max(hot_rows, rows per partition)`` and is cut into
     chunks of ``max(chunk_rows, rows per partition / 2)``, where rows per
@@ -77,16 +77,33 @@ def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_K
     small.  At most ``total / hot threshold`` keys qualify, which bounds the
     table.
     """
-    sample = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
-    grouped = (sample.select(*keys, _num(df, seq).alias("_num"))
-               .groupBy(*keys)
-               .agg((F.count("*") / F.lit(fraction)).alias("_rows"), F.min("_num").alias("_lo"),
-                    F.max("_num").alias("_hi")))
+    grouped = (_sample(df, fraction).select(*keys).groupBy(*keys)
+               .agg((F.count("*") / F.lit(fraction)).alias("_rows")))
     per_part = grouped.agg(F.sum("_rows")).scalar() / F.lit(_partitions(df, partitions))
     threshold = F.greatest(F.lit(float(hot_rows)), per_part)
     chunk = F.greatest(F.lit(float(chunk_rows)), per_part / 2)
     return (grouped.where(F.col("_rows") > threshold)
-            .select(*keys, "_lo", "_hi", F.ceil(F.col("_rows") / chunk).cast("long").alias("_nchunks")))
+            .select(*keys, F.ceil(F.col("_rows") / chunk).cast("long").alias("_nchunks")))
+
+
+def _sample(df: DataFrame, fraction: float) -> DataFrame:
+    return df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
+
+
+def chunk_bounds(df: DataFrame, hot: DataFrame, keys: Sequence[str], seq: str,
+                 fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """``_bounds``: the sequence values at which each hot key's chunks end, cut at quantiles of the
+    sample, so a burst of rows gets as many chunks as it has rows (at most ``QUANTILES``).
+
+    Rows of one sequence value stay together.  A NULL sequence sorts first and is in chunk 0."""
+    every = F.percentile_approx("_num", [i / QUANTILES for i in range(1, QUANTILES)], 20 * QUANTILES)
+    n = F.least(F.col("_nchunks"), F.lit(QUANTILES))
+    cut = F.transform(F.sequence(F.lit(1).cast("long"), n - 1),
+                      lambda i: F.get(F.col("_q"), F.floor(i * QUANTILES / n).cast("int") - 1))
+    sample = _join_keys(_sample(df, fraction).select(*keys, _num(df, seq).alias("_num")), hot, keys, "inner")
+    return sample.groupBy(*keys, "_nchunks").agg(every.alias("_q")).select(
+        *keys, F.when(F.col("_nchunks") > 1, F.array_sort(F.array_distinct(cut)))
+        .otherwise(F.array().cast("array<bigint>" if _is_time(df, seq) else "array<double>")).alias("_bounds"))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
@@ -108,7 +125,7 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
 def chunk_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
                    chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION
                    ) -> tuple[DataFrame, list[str], int]:
-    """Add ``_chunk`` (ordered slices of a hot key's sequence range) and ``_hot``.
+    """Add ``_chunk`` (ordered slices of a hot key's rows by sequence) and ``_hot``.
 
     Returns the frame, the partitioning columns (keys, plus ``_chunk`` when some
     key is hot) and the number of hot keys.  With no hot key no column is added:
@@ -118,12 +135,11 @@ def chunk_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int =
     hot, n_hot = sized_broadcast(hot_keys(df, keys, seq, hot_rows, chunk_rows, fraction))
     if not n_hot:
         return df, list(keys), 0
-    span = F.col("_hi") - F.col("_lo") + 1
-    raw = F.floor((_num(df, seq) - F.col("_lo")) * F.col("_nchunks") / span)
-    chunk = F.when(F.col("_nchunks").isNull(), F.lit(0)).otherwise(
-        F.greatest(F.lit(0), F.least(raw, F.col("_nchunks") - 1)))
-    withc = _join_keys(df, hot, keys, "left").withColumn("_chunk", chunk.cast("long")) \
-        .withColumn("_hot", F.col("_nchunks").isNotNull()).drop("_lo", "_hi", "_nchunks")
+    bounds, _ = sized_broadcast(chunk_bounds(df, hot, keys, seq, fraction))
+    below = F.size(F.filter("_bounds", lambda b: b < _num(df, seq)))
+    withc = _join_keys(df, bounds, keys, "left") \
+        .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(below).cast("long")) \
+        .withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds")
     return withc, [*keys, "_chunk"], n_hot
 
 
@@ -138,19 +154,20 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     was split, for callers that run further windows on the same layout.
     """
     withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
+    if n_hot:
+        # The first value of a key's next chunk travels with the rows: it is joined before the
+        # range exchange, so the layout below is the same however that join is done.
+        heads = (withc.where("_hot").groupBy(*keys, "_chunk")
+                 .agg(F.min_by(F.col(value), F.struct(*_cols(order))).alias("_head")))
+        heads = heads.select(*keys, "_chunk", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_chunk"))
+                             .alias("_next_head"))
+        heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
+        withc = _join_keys(withc, heads_b, keys, "left", extra=["_chunk"])
     ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
     led = ranged.withColumn(out, F.lead(value).over(Window.partitionBy(*part).orderBy(*_cols(order))))
     if not n_hot:
         return led
-    # first value of every chunk of a hot key, then the next chunk's first value
-    heads = (withc.where("_hot").groupBy(*keys, "_chunk")
-             .agg(F.min_by(F.col(value), F.struct(*_cols(order))).alias("_head")))
-    heads = heads.select(*keys, "_chunk", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_chunk"))
-                         .alias("_next_head"))
-    heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
-    fixed = _join_keys(led, heads_b, keys, "left", extra=["_chunk"])
-    fixed = fixed.withColumn(out, F.when(F.col("_hot") & F.col(out).isNull(), F.col("_next_head"))
-                             .otherwise(F.col(out))).drop("_next_head")
+    fixed = led.withColumn(out, F.coalesce(F.col(out), F.col("_next_head"))).drop("_next_head")
     return fixed if keep_chunk else fixed.drop("_chunk", "_hot")
 
 
@@ -212,8 +229,8 @@ def number_in_place(df: DataFrame, name: str, order: Sequence[str] | None = None
                                               F.lit("partitions are not in range order")).isNull()) \
             .drop("_prev_hi", "_lo")
     # one row per partition, written once: every later read of the numbered table
-    # joins it without recounting
-    offsets, _ = sized_broadcast(offsets, max_rows=1 << 30)
+    # joins it without recounting; as many rows as the stage had tasks, so always small
+    offsets = F.broadcast(cut_lineage(offsets, "offsets"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return stored.join(offsets, "_pid") \
         .withColumn(name, (F.col("_off") + local + 1).cast("long")) \

@@ -80,14 +80,6 @@ def warn_counts(tagged: DataFrame, e: Entity) -> DataFrame:
         .select("rule", F.col("violations").cast("bigint").alias("violations"))
 
 
-def observe_rules(tagged: DataFrame, e: Entity, name: str = "rules") -> tuple[DataFrame, Observation]:
-    """Attach per-rule counters to a write so they are collected in the same pass."""
-    obs = Observation(name)
-    metrics = [F.count_if(F.array_contains("failed_rules", r.name)).alias(r.name) for r in e.rules_of(DROP)]
-    metrics.append(F.count(F.lit(1)).alias("rows"))
-    return tagged.observe(obs, *metrics), obs
-
-
 def require(df: DataFrame, condition: str | Column, message: str) -> DataFrame:
     """Fail rule: stop the run when a row breaks ``condition``.
 

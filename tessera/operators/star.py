@@ -160,14 +160,14 @@ def lookup_conformed(fact: DataFrame, dwh: DataFrame, wkr: str, dims: Sequence[t
 
 
 def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) -> DataFrame:
-    """Order-grain fact from the current header versions."""
+    """Order-grain fact from the current header versions, with their load time for refreshes."""
     cur = dwh_header.where(F.col("WA_ISCURR") == 1)
     base = cur.select(
         date_key("order_ts").alias("MK_DATE"), "WKR_ORDER_HEADER",
         *[a for _, a in HEADER_DIMS], "order_id", "order_amount", "order_tax_amount",
         "order_discount_amount", "order_total",
         F.timestamp_diff("SECOND", F.col("order_ts"), F.col("served_ts")).alias("time_to_serve_seconds"),
-        "order_ts", "served_ts",
+        "order_ts", "served_ts", "WA_CRUDDTS",
     )
     if key_mode == AS_WRITTEN:
         keyed = base.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS})
@@ -175,7 +175,8 @@ def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) ->
         keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS,
                                  (lambda a, m: lookup("header", a, m)) if lookup else None)
     return keyed.select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "order_id", "order_amount", "order_tax_amount",
-                        "order_discount_amount", "order_total", "time_to_serve_seconds", "order_ts", "served_ts")
+                        "order_discount_amount", "order_total", "time_to_serve_seconds", "order_ts", "served_ts",
+                        "WA_CRUDDTS")
 
 
 def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts", how: str = "inner") -> DataFrame:
@@ -231,15 +232,17 @@ def fact_increment(new: DataFrame, old: DataFrame, strategy: str, watermark: str
                    keys: Sequence[str] = ()) -> DataFrame:
     """Next fact table under a load strategy.
 
-    ``append``: old rows plus new rows past the old watermark; ``merge``: new rows
-    replace old rows of the same key (upsert); ``overwrite``: the new rows.
+    ``append``: old rows plus the new rows at or past the old watermark whose key is not there
+    yet (all new rows while there is no watermark), so a rerun adds nothing and a row that
+    ties with the mark is not lost; ``merge``: new rows replace old rows of the same key
+    (upsert); ``overwrite``: the new rows.
     """
     if strategy == "overwrite":
         return new
     if strategy == "append":
         mark = old.agg(F.max(watermark)).scalar()       # scalar subquery, one value
-        fresh = new.where(F.coalesce(F.col(watermark) > mark, F.lit(True)))
-        return old.unionByName(fresh)
+        fresh = new.where(mark.isNull() | F.coalesce(F.col(watermark) >= mark, F.lit(True)))
+        return old.unionByName(fresh.join(old.select(*keys), list(keys), "left_anti"))
     if strategy == "merge":
         kept = old.join(new.select(*keys), list(keys), "left_anti")
         return kept.unionByName(new)

@@ -30,20 +30,13 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
     latest version starting at or before it (a carried-forward ``last``); the
     version matches when ``at < until``.  Versions of a key do not overlap, so
     this equals the interval join, but no key ever pairs all its rows with all
-    its versions.  A streaming left side keeps the equi-join with the interval
-    as a residual (a stream-static join).
+    its versions.  A stream takes it per micro-batch
+    (:func:`~tessera.streaming.pipelines.run_stream_static_asof`).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"as-of join supports inner and left, not {how!r}")
     pairs = _pairs(keys)
     ln, rn = names
-    if left.isStreaming:
-        cond = [left[lk] == history[hk] for lk, hk in pairs]
-        cond += [history[frm] <= left[at], left[at] < history[until]]
-        j = left.join(history, cond, how)
-        return j.select(F.struct(*[left[c] for c in left.columns]).alias(ln),
-                        F.struct(*[history[c] for c in history.columns]).alias(rn))
-
     kcols = [f"_k{i}" for i in range(len(pairs))]
     lrow = F.struct(*[F.col(c) for c in left.columns])
     hrow = F.struct(*[F.col(c) for c in history.columns])

@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
+from tessera.functions.timeofday import millis_to_hms_sql
 from tessera.operators.entity import DROP, FAIL, WARN, Entity, Rule
 
 
-def _hms(c: str) -> str:
-    """SQL text for milliseconds since midnight as HH:mm:ss."""
-    two = "lpad(CAST(FLOOR({x}) AS STRING), 2, '0')"
-    return "concat_ws(':', {}, {}, {})".format(
-        two.format(x=f"{c} / 3600000"), two.format(x=f"({c} % 3600000) / 60000"), two.format(x=f"({c} % 60000) / 1000"))
-
-
 HEADER = Entity(
     name="order_header",
     keys=("order_id",),
@@ -22,8 +16,8 @@ HEADER = Entity(
         ("customer_id", "CAST(customer_id AS BIGINT)"),
         ("discount_id", "TRY_CAST(discount_id AS INT)"),
         ("shift_id", "CAST(shift_id AS INT)"),
-        ("shift_start_time", _hms("shift_start_time")),
-        ("shift_end_time", _hms("shift_end_time")),
+        ("shift_start_time", millis_to_hms_sql("shift_start_time")),
+        ("shift_end_time", millis_to_hms_sql("shift_end_time")),
         ("order_channel", "CAST(order_channel AS STRING)"),
         ("order_ts", "CAST(order_ts AS TIMESTAMP_NTZ)"),
         ("served_ts", "TRY_CAST(served_ts AS TIMESTAMP_NTZ)"),
@@ -52,7 +46,7 @@ HEADER = Entity(
 
 DETAIL = Entity(
     name="order_detail",
-    keys=("order_id", "line_number"),
+    keys=("order_detail_id",),
     columns=(
         ("order_detail_id", "CAST(order_detail_id AS BIGINT)"),
         ("order_id", "CAST(order_id AS BIGINT)"),
@@ -65,8 +59,9 @@ DETAIL = Entity(
         ("order_item_discount_amount", "TRY_CAST(order_item_discount_amount AS DECIMAL(38,4))"),
         ("order_ts", "CAST(order_ts AS TIMESTAMP_NTZ)"),
     ),
-    hash_columns=("menu_item_id", "supplier_id", "quantity", "unit_price", "price", "order_item_discount_amount",
-                  "order_ts"),
+    # Columns of the detail signature, in order.
+    hash_columns=("order_id", "menu_item_id", "quantity", "unit_price", "price", "order_item_discount_amount",
+                  "line_number"),
     # Rule names and conditions of the detail rule set.
     rules=(
         Rule("order_id_not_null", "order_id IS NULL", DROP),
@@ -75,7 +70,7 @@ DETAIL = Entity(
         Rule("unit_price_non_negative", "unit_price < 0", DROP),
         Rule("price_non_negative", "price < 0", DROP),
         Rule("line_number_positive", "line_number <= 0", WARN),
-        Rule("line_number_not_null", "line_number IS NULL", FAIL),
+        Rule("order_detail_id_not_null", "order_detail_id IS NULL", FAIL),
     ),
     tiebreak=("menu_item_id", "supplier_id"),
 )

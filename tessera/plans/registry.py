@@ -11,6 +11,7 @@ from tessera.operators import history, quality, star
 from tessera.plans import reports
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
 from tessera.plans.warehouse import Warehouse
+from tessera.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,11 +80,23 @@ def _deleted(w):
 @register("version_path")
 def _version_path(w):
     """Version path of every key with more than one version, numbered in start order."""
-    multi = w.dwh_header.where(F.col("WKP_ORDER_HEADER").isNotNull()).select("order_id").distinct()
-    path = w.dwh_header.join(multi, "order_id", "left_semi")
-    return path.select("order_id", "WK_ORDER_HEADER", "WKP_ORDER_HEADER", "WKR_ORDER_HEADER", "order_total",
-                       "WA_FROMDATE", "WA_UNTODATE", "WA_ISCURR",
-                       (F.col("WK_ORDER_HEADER") - F.col("WKR_ORDER_HEADER") + 1).alias("version_no"))
+    return history.version_path(w.dwh_header, HEADER).select(
+        "order_id", "WK_ORDER_HEADER", "WKP_ORDER_HEADER", "WKR_ORDER_HEADER", "order_total",
+        "WA_FROMDATE", "WA_UNTODATE", "WA_ISCURR", "version_no")
+
+
+@register("scd2_refresh")
+def _scd2_refresh(w):
+    """History rebuilt after more changes: versions known before keep their surrogates."""
+    changes = quality.clean(w.events_tagged)
+    last_hour = F.date_trunc("hour", changes.agg(F.max("_commit_timestamp")).scalar()).cast("timestamp_ntz")
+    early = cut_lineage(history.scd2(changes.where(F.col("_commit_timestamp") < last_hour), EVENTS), "early")
+    late = history.scd2(changes, EVENTS, previous=early)
+    known = early.select(*EVENTS.keys, "__START_AT", F.col(EVENTS.wk).alias("known_wk"))
+    top = F.coalesce(early.agg(F.max(EVENTS.wk)).scalar(), F.lit(0))
+    return late.join(known, [*EVENTS.keys, "__START_AT"], "left").select(
+        *EVENTS.keys, "event_id", "__START_AT", "__END_AT", F.col("known_wk").isNotNull().alias("was_known"),
+        F.coalesce(F.col(EVENTS.wk) == F.col("known_wk"), F.col(EVENTS.wk) > top).alias("number_is_stable"))
 
 
 # ----------------------------------------------------------- quality
@@ -197,7 +210,38 @@ def _dim_scd2(w):
 
 @register("scd1_dim_grouped")
 def _scd1_grouped(w):
-    return w.dim_customer
+    """One dimension on its own: the latest row of each value by rank, joined to its grouped dates."""
+    return star.dim_scd1(w.dwh_header, "customer_id", "WKR_ORDER_HEADER", "MK_CUSTOMER")
+
+
+def _loaded_before_last_month(w):
+    """The order fact, and the start of the last month in which rows were loaded."""
+    fact = w.fct_order
+    return fact, F.date_trunc("month", fact.agg(F.max("WA_CRUDDTS")).scalar()).cast("timestamp_ntz")
+
+
+@register("fact_append")
+def _fact_append(w):
+    """The fact as loaded before the last month, then everything loaded since: equals the whole fact."""
+    fact, mark = _loaded_before_last_month(w)
+    old = cut_lineage(fact.where(F.col("WA_CRUDDTS") < mark), "fact_old")
+    return star.fact_increment(fact, old, "append", watermark="WA_CRUDDTS", keys=["order_id"])
+
+
+@register("fact_merge")
+def _fact_merge(w):
+    """Orders loaded in the last month replace their stale rows by key, however old the order is."""
+    fact, mark = _loaded_before_last_month(w)
+    late = F.col("WA_CRUDDTS") >= mark
+    stale = fact.withColumn("order_total", F.when(late, F.lit(0)).otherwise(F.col("order_total")).cast("decimal(38,4)"))
+    return star.fact_increment(fact.where(late), stale, "merge", keys=["order_id"])
+
+
+@register("fact_overwrite")
+def _fact_overwrite(w):
+    """The fact rebuilt in full."""
+    fact, mark = _loaded_before_last_month(w)
+    return star.fact_increment(fact, fact.where(F.col("WA_CRUDDTS") < mark), "overwrite")
 
 
 # ----------------------------------------------------------- plain (spark, sf_dir) queries
@@ -280,6 +324,34 @@ def _ingest_incremental(spark, sf_dir):
     return spark.read.parquet(next(r.path for r in results if r.target_table == "stg_lineitem"))
 
 
+@query("ingest_reset")
+def _ingest_reset(spark, sf_dir):
+    """Incremental load, reset, and a plain run after it: the new generation holds every row once."""
+    import uuid
+    from tessera.session import scratch_path
+    from tessera.sources.ingest import read_target, run_loads
+    root = scratch_path(spark, "staging", uuid.uuid4().hex)
+    for reset in (False, True, False):
+        _, results = run_loads(spark, _control(spark, sf_dir), "incremental", RUN_ID, LOAD_TS, root=root, reset=reset)
+    return read_target(spark, next(r.path for r in results if r.target_table == "stg_events"))
+
+
+@query("ingest_grown_schema")
+def _ingest_grown(spark, sf_dir):
+    """A source without a declared schema whose later files have one more column."""
+    import uuid
+    from tessera.session import scratch_path
+    from tessera.sources.ingest import control_table, read_target, run_loads
+    root = scratch_path(spark, "staging", uuid.uuid4().hex)
+    parts = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey", "s_acctbal")
+    control = control_table(spark, [("erp", f"{root}/drop", "*.parquet", "staging", "stg_supplier", "parquet", True, "incremental")])
+    early = F.col("s_acctbal") < 0
+    for arrival in (parts.where(early).drop("s_acctbal"), parts.where(~early)):
+        arrival.write.mode("append").parquet(f"{root}/drop")
+        _, results = run_loads(spark, control, "incremental", RUN_ID, LOAD_TS, root=root)
+    return read_target(spark, results[0].path)
+
+
 @query("load_report")
 def _load_report(spark, sf_dir):
     report, _ = _run(spark, sf_dir, "both")
@@ -554,29 +626,49 @@ def _q_stream(w):
     return w.spark.read.parquet(f"{root}/dwq")
 
 
-@register("scd1_stream")
-def _scd1_stream(w):
+def _history_stream(w, name, entity, scd_type, split_by):
     from tessera.streaming.feeds import read_feed_stream, write_feed
-    from tessera.streaming.pipelines import run_scd1_stream
-    root, ck = _stream_paths(w.spark, "scd1")
-    feed = w.events_feed
-    write_feed(feed, f"{root}/feed")
+    from tessera.streaming.pipelines import run_history_stream
+    root, ck = _stream_paths(w.spark, name)
+    feed = w.events_feed if entity is EVENTS else w.header_feed
+    write_feed(feed, f"{root}/feed", split_by=split_by)
     stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
-    return run_scd1_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck, buckets=16)
+    return run_history_stream(stream, entity, scd_type, f"{root}/store", ck)
+
+
+@register("scd1_stream")
+def _scd1_stream(w):
+    return _history_stream(w, "scd1", EVENTS, 1, "_commit_timestamp").history
 
 
 @register("scd2_stream")
 def _scd2_stream(w):
     """Event history kept by a stream whose files arrive out of sequence order;
     surrogates depend on arrival order, so the query leaves them out."""
-    from tessera.streaming.feeds import read_feed_stream, write_feed
-    from tessera.streaming.pipelines import run_scd2_stream
-    root, ck = _stream_paths(w.spark, "scd2")
-    feed = w.events_feed
-    write_feed(feed, f"{root}/feed", split_by="event_id")
-    stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
-    state = run_scd2_stream(stream, EVENTS, f"{root}/changes", f"{root}/state", ck, buckets=16)
-    return state.drop(EVENTS.wk)
+    return _history_stream(w, "scd2", EVENTS, 2, "event_id").history.drop(EVENTS.wk)
+
+
+@register("dwh_stream")
+def _dwh_stream(w):
+    """History view over streamed history whose files arrive out of order: each version with the
+    start of its predecessor and of its key's first version (surrogates depend on arrival)."""
+    dw = cut_lineage(_history_stream(w, "dwh", EVENTS, 2, "event_id").history, "streamed")
+    v = history.history_view(dw, EVENTS)
+    starts = v.select(F.col(EVENTS.wk).alias("_k"), F.col("WA_FROMDATE").alias("_s"))
+    before = starts.select(F.col("_k").alias(EVENTS.wkp), F.col("_s").alias("previous_from"))
+    root = starts.select(F.col("_k").alias(EVENTS.wkr), F.col("_s").alias("root_from"))
+    return v.join(before, EVENTS.wkp, "left").join(root, EVENTS.wkr, "left") \
+        .select("user_id", "event_id", "WA_FROMDATE", "WA_UNTODATE", "WA_ISCURR", "previous_from", "root_from")
+
+
+@register("stream_split")
+def _stream_split(w):
+    """One stream into history and quarantine: rows read, stored as versions or deletes, and quarantined."""
+    out = _history_stream(w, "split", HEADER, 2, "_commit_timestamp")
+    kept = out.history.select("order_id", F.col("WA_CRUDDTS").alias("at"), F.lit("history").alias("route"))
+    bad = out.quarantine.select("order_id", F.col("WA_CRUDDTS").alias("at"), F.lit("quarantine").alias("route"))
+    return kept.unionByName(bad).groupBy("order_id", "route").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
 
 
 @register("stream_static_asof")

@@ -131,11 +131,12 @@ def daily_sales_by_location(w: Warehouse) -> DataFrame:
 
 
 def date_roles(w: Warehouse) -> DataFrame:
-    """One calendar in two roles: order date and served date."""
+    """One calendar in two roles: order date and served date; a fact whose date is off the
+    calendar, or unknown, counts under NULL."""
     od = w.dim_date.select(F.col("MK_DATE").alias("od_key"), F.col("year").alias("order_year"))
     sd = w.dim_date.select(F.col("MK_DATE").alias("sd_key"), F.col("day_name").alias("served_day_name"))
     f = w.fct_order.withColumn("MK_SERVED_DATE", star.date_key("served_ts"))
-    return (f.join(od, f.MK_DATE == od.od_key).join(sd, f.MK_SERVED_DATE == sd.sd_key)
+    return (f.join(od, f.MK_DATE == od.od_key, "left").join(sd, f.MK_SERVED_DATE == sd.sd_key, "left")
             .groupBy("order_year", "served_day_name").agg(F.count(F.lit(1)).alias("total_orders")))
 
 
@@ -156,4 +157,4 @@ def fact_incremental(w: Warehouse, watermark_date: str = "1999-01-01") -> DataFr
     """Append strategy: the fact loaded up to a watermark, then the rows past it."""
     full = w.fct_order
     old = full.where(F.col("order_ts") < F.lit(watermark_date).cast("timestamp_ntz"))
-    return star.fact_increment(full, old, "append", watermark="order_ts")
+    return star.fact_increment(full, old, "append", watermark="order_ts", keys=["order_id"])

@@ -76,11 +76,25 @@ def merge_control(target: DataFrame, seed: DataFrame) -> DataFrame:
     return target.unionByName(seed.join(target.select(*keys), keys, "left_anti"))
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    p, fs = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return sorted(str(st.getPath().toString()) for st in found) if found else []
+
+
+def read_target(spark: SparkSession, path: str) -> DataFrame:
+    """A staged table with all columns that any of its files has (older rows have NULL in newer columns)."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def _count(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - a target that does not exist yet holds no rows
-        return 0
+    """Rows of a target; one without files has none.  A target that can't be read raises."""
+    return spark.read.parquet(path).count() if _glob(spark, f"{path}/*.parquet") else 0
 
 
 @dataclass
@@ -100,29 +114,40 @@ def load_full(spark: SparkSession, row, target: str, run_id: str, load_ts: str)
     df = stage(scan(spark, row.source_path, row.file_pattern, SCHEMAS.get(_base(row.file_pattern))),
                row.source_system, run_id, load_ts)
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .option("overwriteSchema", "true").parquet(target)
-    after = _count(spark, target)
-    return LoadResult(row.target_table, "full", before, after, int(obs.get["rows"]), target)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+    written = int(obs.get["rows"])
+    return LoadResult(row.target_table, "full", before, written, written, target)
+
+
+def _generation(spark: SparkSession, target: str, reset: bool) -> int:
+    """The target's generation: 0 is the target itself, a reset starts the next one.  It is kept as a
+    folder next to the target, so later runs go on where the reset began."""
+    seen = [int(p.rsplit("_g", 1)[1]) for p in _glob(spark, f"{target}_g[0-9]*")]
+    g = max(seen, default=0) + (1 if reset else 0)
+    if reset:
+        p, fs = _fs(spark, f"{target}_g{g}")
+        fs.mkdirs(p)
+    return g
 
 
 def load_incremental(spark: SparkSession, row, target: str, checkpoint: str, run_id: str, load_ts: str,
                      reset: bool = False) -> LoadResult:
     """Incremental load: a file stream over the pattern, drained with ``availableNow``
     and stopped; the checkpoint makes a rerun add nothing.  ``reset`` starts a new
-    target and checkpoint generation."""
-    if reset:
-        gen = uuid.uuid4().hex[:8]
-        target, checkpoint = f"{target}_g{gen}", f"{checkpoint}_g{gen}"
+    generation of target and checkpoint, which later runs keep.  A source without a declared
+    schema takes that of all its files together, so the target's schema can grow
+    (:func:`read_target`)."""
+    g = _generation(spark, target, reset)
+    if g:
+        target, checkpoint = f"{target}_g{g}", f"{checkpoint}_g{g}"
     before = _count(spark, target)
-    schema = SCHEMAS[_base(row.file_pattern)]
+    schema = SCHEMAS.get(_base(row.file_pattern)) or scan(spark, row.source_path, row.file_pattern, merge=True).schema
     stream = stage(scan_stream(spark, row.source_path, row.file_pattern, schema), row.source_system, run_id, load_ts)
     q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("mergeSchema", "true").trigger(availableNow=True).start(target))
+         .trigger(availableNow=True).start(target))
     q.awaitTermination()
-    written = sum(p.get("numInputRows", 0) for p in q.recentProgress)
     after = _count(spark, target)
-    return LoadResult(row.target_table, "incremental", before, after, int(written), target)
+    return LoadResult(row.target_table, "incremental", before, after, after - before, target)
 
 
 def _base(pattern: str) -> str:
@@ -130,8 +155,9 @@ def _base(pattern: str) -> str:
 
 
 def run_loads(spark: SparkSession, control: DataFrame, mode: str, run_id: str, load_ts: str,
-              root: str | None = None) -> tuple[DataFrame, list[LoadResult]]:
-    """One Spark load job per selected control row; returns the load report.
+              root: str | None = None, reset: bool = False) -> tuple[DataFrame, list[LoadResult]]:
+    """One Spark load job per selected control row; returns the load report.  ``reset`` starts new
+    generations of the incremental targets.
 
     The control table has one row per source, so collecting it to drive the
     loads is bounded by the number of sources, not by data volume.
@@ -144,7 +170,7 @@ def run_loads(spark: SparkSession, control: DataFrame, mode: str, run_id: str, l
             results.append(load_full(spark, row, target, run_id, load_ts))
         else:
             results.append(load_incremental(spark, row, target, f"{root}/_checkpoints/{row.target_table}",
-                                            run_id, load_ts))
+                                            run_id, load_ts, reset))
     report = spark.createDataFrame(
         [(r.target_table, r.load_type, r.rows_before, r.rows_after, r.rows_after - r.rows_before, r.rows_written)
          for r in results],

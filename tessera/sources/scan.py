@@ -43,9 +43,11 @@ EVENTS_SCHEMA = T.StructType([
 SCHEMAS = {"orders": ORDERS_SCHEMA, "lineitem": LINEITEM_SCHEMA, "events": EVENTS_SCHEMA}
 
 
-def scan(spark: SparkSession, path: str, glob: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """Files of one folder matching ``glob`` (not recursive), explicit schema or inferred."""
-    reader = spark.read.option("recursiveFileLookup", "false")
+def scan(spark: SparkSession, path: str, glob: str | None = None, schema: T.StructType | None = None,
+         merge: bool = False) -> DataFrame:
+    """Files of one folder matching ``glob`` (not recursive), explicit schema or inferred (``merge``: from
+    all files)."""
+    reader = spark.read.option("recursiveFileLookup", "false").option("mergeSchema", str(merge).lower())
     if schema is not None:
         reader = reader.schema(schema)
     if glob:

@@ -6,8 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import stored_bytes
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -18,24 +16,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-SPLIT_BYTES = 128 << 20     # one scan split per this many bytes (the default maxPartitionBytes)
-
-
-def spread(df: DataFrame, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan whose input is too small to give every core a split.
-
-    The input's size on storage (a listing on the driver, no job) tells how
-    many splits the scan can yield: a large table arrives in many splits and is
-    left alone (no extra shuffle); a small single-file input would otherwise
-    run every step before its first shuffle in one task.  Filters and column
-    pruning still reach the scan.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if stored_bytes(spark, path) < want * SPLIT_BYTES else df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    path = table_path(sf_dir, name)
-    return spread(spark.read.parquet(path), path)
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    Splits follow the session (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``)."""
+    return spark.read.parquet(table_path(sf_dir, name))

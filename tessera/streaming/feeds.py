@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_feed(feed: DataFrame, path: str, split_by: str = "_commit_timestamp", files: int = 4) -> str:
-    """Write a change feed as ``files`` parquet files ordered by ``split_by`` (range
-    partitioned), so an incremental reader sees several arrivals in order."""
+def write_feed(feed: DataFrame, path: str, split_by: str = "_commit_timestamp") -> str:
+    """Write a change feed range partitioned by ``split_by`` into twice as many files as the session
+    has shuffle partitions, so an incremental reader sees several arrivals in that order."""
+    files = 2 * int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     feed.repartitionByRange(files, F.col(split_by)).write.mode("overwrite").parquet(path)
     return path
 
 
-def read_feed_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(path)
+def read_feed_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream that takes one file per shuffle partition in each micro-batch."""
+    files = max_files_per_trigger or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)

@@ -1,27 +1,28 @@
 """Streaming pipelines on the tagged source.
 
 * :func:`run_quarantine_stream` appends failing rows to an append-only sink.
-* :func:`run_split_stream` tags each micro-batch once (persisted) and writes both
-  the clean change store and the quarantine from it.
-* :func:`run_scd1_stream` and :func:`run_scd2_stream` keep SCD1 state and SCD2
-  history by merging only the keys a batch touches: stored changes of those
-  keys are reduced again, and only their key buckets are rewritten
-  (:class:`~tessera.streaming.state.BucketedState`; replay-safe).
+* :func:`run_history_stream` tags each micro-batch once, stops on a broken fail rule, and
+  routes its rows: failing ones to quarantine, clean ones to the change store, from which the
+  SCD1 state or SCD2 history of the touched buckets is derived again
+  (:class:`~tessera.streaming.state.ChangeStore`; replay-safe).
 * :func:`run_stream_static_asof` joins a change stream to static SCD2 history,
   each micro-batch with the batch as-of join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import history, quality
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import global_row_number, sized_broadcast
+from tessera.operators.quality import ADMIN
 from tessera.operators.temporal import as_of_join
 from tessera.session import cut_lineage
-from tessera.streaming.state import BucketedState, glob_paths, key_bucket
+from tessera.streaming.state import BATCH_BITS, ChangeStore
 
 
 def _drain(df: DataFrame, target: str, checkpoint: str) -> None:
@@ -36,131 +37,63 @@ def run_quarantine_stream(stream: DataFrame, e: Entity, target: str, checkpoint:
     return target
 
 
-def run_split_stream(stream: DataFrame, e: Entity, clean_path: str, quarantine_path: str, checkpoint: str) -> None:
-    """One tagging per micro-batch, two sinks (batch id folders keep replays idempotent)."""
-
-    def split(batch: DataFrame, batch_id: int) -> None:
-        tagged = quality.tag(batch, e).persist()
-        quality.clean(tagged).write.mode("overwrite").parquet(f"{clean_path}/batch={batch_id}")
-        quality.quarantine(tagged, e).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        tagged.unpersist()
-
-    q = stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-
-
-def _store_changes(batch: DataFrame, e: Entity, changes_path: str, batch_id: int, buckets: int
-                   ) -> tuple[DataFrame, list[int]]:
-    """Add the batch's clean changes to the change store, laid out bucket first
-    (``_bucket=b/batch=i``; dynamic overwrite, so a replay rewrites only its own
-    folders).  Returns the batch's distinct keys and the buckets they fall in
-    (at most ``buckets`` values, found by listing, not by a job)."""
-    spark = batch.sparkSession
-    clean = quality.clean(quality.tag(batch, e)) \
-        .withColumn("_bucket", key_bucket(e.keys, buckets)).withColumn("batch", F.lit(batch_id))
-    # one task per bucket: one file per bucket and batch, however many tasks fed it
-    clean.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("_bucket", "batch").parquet(changes_path)
-    mine = glob_paths(spark, f"{changes_path}/_bucket=*/batch={batch_id}")
-    hit = sorted(int(p.split("_bucket=")[1].split("/")[0]) for p in mine)
-    if not mine:
-        return spark.createDataFrame([], batch.select(*e.keys).schema), []
-    stored = spark.read.option("basePath", changes_path).parquet(*mine)
-    return stored.select(*e.keys).distinct(), hit
-
-
-def _changes_of(spark: SparkSession, changes_path: str, touched: DataFrame, hit: list[int], batch_id: int,
-                e: Entity) -> DataFrame:
-    """Every stored change (deletes included) of the touched keys up to this batch.
-    Only the touched buckets' folders are listed and read, so the cost follows
-    the batch, not the size of the store."""
-    paths = [f"{changes_path}/_bucket={b}" for b in hit]
-    stored = spark.read.option("basePath", changes_path).parquet(*paths).where(F.col("batch") <= batch_id)
-    return stored.join(touched, list(e.keys), "left_semi").drop("batch", "_bucket")
-
-
 def _drain_batches(stream: DataFrame, fn, checkpoint: str) -> None:
     q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
 
 
-def run_scd1_stream(stream: DataFrame, e: Entity, changes_path: str, state_root: str, checkpoint: str,
-                    buckets: int = 64) -> DataFrame:
-    """SCD1 state maintained per micro-batch by merging touched keys only: the
-    stored changes of those keys are reduced again, and only the buckets they
-    fall in are rewritten (untouched keys of those buckets carried over).
-
-    Changes, deletes included, are stored, so a late change that sorts before a
-    stored delete cannot reopen the key.
-    """
-    spark = stream.sparkSession
-    state = BucketedState(spark, state_root, buckets)
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
-        if not hit:                     # nothing clean in this batch: the committed state stands
-            return
-        fresh = history.scd1(_changes_of(spark, changes_path, touched, hit, batch_id, e), e)
-        prev = state.read(before=batch_id, only=hit)
-        kept = fresh if prev is None else prev.join(touched, list(e.keys), "left_anti").unionByName(fresh)
-        state.commit(batch_id, kept.withColumn("_bucket", key_bucket(e.keys, buckets)), hit)
+@dataclass
+class StreamedHistory:
+    """What a drained history stream holds: ``history`` (SCD1 state or SCD2 versions) and ``quarantine``."""
 
-    _drain_batches(stream, merge, checkpoint)
-    return state.read()
+    history: DataFrame
+    quarantine: DataFrame
 
 
-def run_scd2_stream(stream: DataFrame, e: Entity, changes_path: str, state_root: str, checkpoint: str,
-                    buckets: int = 64) -> DataFrame:
-    """SCD2 history maintained per micro-batch: the versions of the touched keys are
-    recomputed from their stored changes (so arrival order does not matter), and
-    only their buckets are rewritten.
+def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, checkpoint: str,
+                       buckets: int | None = None) -> StreamedHistory:
+    """One stream into both history and quarantine: every row ends in exactly one of them.
 
-    A version that existed before (same key and start) keeps its surrogate; new
-    versions are numbered above the largest surrogate so far, in (key, start)
-    order, so numbers depend on arrival order but stay unique.
+    The fail rules are checked on the whole clean batch before anything is written, so a batch
+    that breaks one stops the stream and leaves no trace; the corrected batch then takes its
+    place.  Changes, deletes included, are stored, so arrival order does not matter: a late
+    change that sorts before a stored delete cannot reopen the key.  Each change gets its
+    surrogate when it arrives (batch number, then place by key and sequence), and a version has
+    that of the change that opened it, so numbers never change afterwards.
     """
+    if scd_type not in (1, 2):
+        raise ValueError(f"SCD type must be 1 or 2, not {scd_type!r}")
     spark = stream.sparkSession
-    state = BucketedState(spark, state_root, buckets)
-    ver_keys = [*e.keys, "__START_AT"]
+    store = ChangeStore.open(spark, root, buckets)
+    columns = [*e.column_names, *ADMIN, "WA_FROMDATE"] if scd_type == 1 \
+        else [e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"]
+
+    def derive(changes: DataFrame) -> DataFrame:
+        if scd_type == 1:
+            return history.scd1(changes, e).select(*columns)
+        return history.versions(changes, e).select(*columns)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        touched, hit = _store_changes(batch, e, changes_path, batch_id, buckets)
-        if not hit:                     # nothing clean in this batch: the committed state stands
-            return
-        fresh = history.scd2(_changes_of(spark, changes_path, touched, hit, batch_id, e), e).drop(e.wk)
-        prev = state.read(before=batch_id, only=hit)
-        top = state.max_key(before=batch_id)
-        if prev is not None:
-            old = prev.select(*ver_keys, F.col(e.wk).alias("_old"))
-            fresh = fresh.join(old, ver_keys, "left")
-        else:
-            fresh = fresh.withColumn("_old", F.lit(None).cast("long"))
-        fresh = cut_lineage(fresh, "scd2_fresh")
-        new = global_row_number(fresh.where(F.col("_old").isNull()).drop("_old"), ver_keys, "_rn")
-        added = new.withColumn(e.wk, (F.col("_rn") + F.lit(top)).cast("long")).drop("_rn")
-        carried = fresh.where(F.col("_old").isNotNull()).withColumnRenamed("_old", e.wk)
-        versions = carried.unionByName(added)
-        if prev is not None:
-            versions = prev.join(touched, list(e.keys), "left_anti").unionByName(versions)
-        n_max = added.agg(F.max(e.wk)).first()[0]
-        state.commit(batch_id, versions.withColumn("_bucket", key_bucket(e.keys, buckets)), hit,
-                     max_key=int(n_max or 0))
+        tagged = cut_lineage(quality.tag(batch, e), "tagged_batch")
+        clean = quality.enforce_fail_rules(quality.clean(tagged), e)
+        order = [*e.keys, e.sequence, *e.tiebreak]
+        numbered = global_row_number(clean, order, "_place") \
+            .withColumn(e.wk, F.lit(batch_id << BATCH_BITS).cast("long") + F.col("_place")).drop("_place")
+        # numbering writes the batch, so a broken fail rule has stopped the run before this line
+        quality.quarantine(tagged, e).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
+        touched = store.add(numbered.withColumn("_bucket", store.bucket(e.keys)), batch_id)
+        if touched:
+            state = derive(store.changes(touched, batch_id).drop("_bucket"))
+            store.replace(state.withColumn("_bucket", store.bucket(e.keys)), touched)
 
     _drain_batches(stream, merge, checkpoint)
-    return state.read()
-
-
-def stream_scd(stream: DataFrame, e: Entity, scd_type: int, path: str, checkpoint: str,
-               buckets: int = 64) -> DataFrame:
-    """Streaming history of one entity under ``path`` (change store and bucketed
-    state), type 1 or type 2; returns the committed state after draining."""
-    if scd_type == 1:
-        return run_scd1_stream(stream, e, f"{path}/changes", f"{path}/state", checkpoint, buckets)
-    if scd_type == 2:
-        return run_scd2_stream(stream, e, f"{path}/changes", f"{path}/state", checkpoint, buckets)
-    raise ValueError(f"SCD type must be 1 or 2, not {scd_type!r}")
+    nothing = spark.createDataFrame([], stream.schema)
+    tagged = quality.tag(nothing, e)
+    empty = derive(quality.clean(tagged).withColumn(e.wk, F.lit(0).cast("long")))
+    bad = quality.quarantine(tagged, e)
+    read = spark.read.schema(bad.schema).parquet(f"{root}/quarantine/batch=*")
+    return StreamedHistory(store.read(empty), read)
 
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,

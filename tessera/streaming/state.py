@@ -1,12 +1,11 @@
-"""Keyed state for streaming history, stored as parquet by key bucket.
-
-A micro-batch rewrites only the buckets its keys fall in.  Data of batch ``b``
-goes to ``data/v=b/_bucket=n``; a manifest (one row per bucket: the batch that
-last wrote it, plus the largest surrogate so far) is written last under
-``manifest/v=b`` and is the commit point.  A replayed batch overwrites its own
-folders, and readers only follow committed manifests, so replays are safe.
-The manifest has at most ``buckets`` rows, so reading it on the driver is
-bounded by configuration, not by data.
+"""History kept by a stream: a change store by key bucket, and the history derived from it.
+
+The change store is the only truth.  Batch ``i`` adds its clean changes under
+``changes/_bucket=b/batch=i``, each with the surrogate it gets on arrival.  The
+history of a bucket is a pure function of that bucket's changes and is written
+with dynamic partition overwrite under ``state/_bucket=b``.  A replayed batch
+writes equal rows into the same folders, so nothing has to be remembered
+besides the files.
 """
 
 from __future__ import annotations
@@ -16,78 +15,65 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BITS = 40         # a surrogate is the batch number, then the change's place in the batch
 
-def key_bucket(keys, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a file-system glob (a listing on the driver, no Spark job)."""
-    _, p, fs = _fs(spark, pattern)
-    found = fs.globStatus(p)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
     return [str(st.getPath().toString()) for st in found] if found else []
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids whose folder under ``root`` finished writing (``_SUCCESS`` present)."""
-    jvm, path, fs = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+@dataclass
+class ChangeStore:
+    """Changes and history of one entity below ``root``.
 
+    The number of buckets is fixed when the store is created and is part of its path, so
+    a later run with other settings finds the same buckets."""
 
-@dataclass
-class BucketedState:
     spark: SparkSession
     root: str
-    buckets: int = 64
-
-    @property
-    def _manifests(self) -> str:
-        return f"{self.root}/manifest"
-
-    def manifest(self, before: int | None = None) -> list[tuple[int, int, int]]:
-        """(bucket, version, max surrogate) of the last committed manifest, optionally
-        the last one older than batch ``before``."""
-        versions = [v for v in committed_versions(self.spark, self._manifests) if before is None or v < before]
-        if not versions:
-            return []
-        rows = self.spark.read.parquet(f"{self._manifests}/v={versions[-1]}").collect()
-        return [(r["bucket"], r["version"], r["max_key"]) for r in rows]
-
-    def read(self, before: int | None = None, only: list[int] | None = None) -> DataFrame | None:
-        """The committed state (optionally as of before batch ``before``, optionally
-        only some buckets), read from exactly the live bucket folders.  A bucket
-        emptied by its last batch has no folder and contributes nothing."""
-        jvm, _, fs = _fs(self.spark, self.root)
-        paths = [f"{self.root}/data/v={v}/_bucket={b}" for b, v, _ in self.manifest(before)
-                 if only is None or b in only]
-        paths = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def max_key(self, before: int | None = None) -> int:
-        return max((k for _, _, k in self.manifest(before)), default=0)
-
-    def commit(self, batch_id: int, rows: DataFrame, touched: list[int], max_key: int = 0) -> None:
-        """Write the new rows of the touched buckets, then the manifest."""
-        rows.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket") \
-            .parquet(f"{self.root}/data/v={batch_id}")
-        prev = {b: (v, k) for b, v, k in self.manifest(before=batch_id)}
-        top = max([max_key] + [k for _, k in prev.values()])
-        entries = {b: v for b, (v, _) in prev.items()}
-        for b in touched:
-            entries[b] = batch_id
-        man = self.spark.createDataFrame([(b, v, top) for b, v in sorted(entries.items())],
-                                         "bucket int, version int, max_key long")
-        man.coalesce(1).write.mode("overwrite").parquet(f"{self._manifests}/v={batch_id}")
+    buckets: int
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, buckets: int | None = None) -> ChangeStore:
+        """The store below ``root``; a new one gets ``buckets``, by default one per shuffle partition."""
+        there = _glob(spark, f"{root}/buckets=*")
+        n = int(there[0].rsplit("=", 1)[1]) if there else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return cls(spark, f"{root}/buckets={n}", n)
+
+    def bucket(self, keys) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def add(self, changes: DataFrame, batch_id: int) -> list[int]:
+        """Store a batch's changes (with ``_bucket``) and list the buckets they fall in.
+
+        Rebalancing gives a file per bucket and splits a bucket that is too large for one task,
+        so a hot key doesn't meet in one."""
+        changes.withColumn("batch", F.lit(batch_id)).hint("rebalance", "_bucket").write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "batch").parquet(f"{self.root}/changes")
+        mine = _glob(self.spark, f"{self.root}/changes/_bucket=*/batch={batch_id}")
+        return sorted(int(p.split("_bucket=")[1].split("/")[0]) for p in mine)
+
+    def changes(self, buckets: list[int], batch_id: int) -> DataFrame:
+        """Every change of the buckets up to this batch: only their folders are listed and read."""
+        paths = [f"{self.root}/changes/_bucket={b}" for b in buckets]
+        return self.spark.read.option("basePath", f"{self.root}/changes").parquet(*paths) \
+            .where(F.col("batch") <= batch_id).drop("batch")
+
+    def replace(self, state: DataFrame, buckets: list[int]) -> None:
+        """Write the buckets' history (with ``_bucket``).
+
+        Each bucket also gets a marker row, so that one whose history has become empty is
+        overwritten too; readers leave markers out."""
+        marks = self.spark.createDataFrame([(b,) for b in buckets], "_bucket int").withColumn("_marker", F.lit(True))
+        state.withColumn("_marker", F.lit(False)).unionByName(marks, allowMissingColumns=True) \
+            .hint("rebalance", "_bucket").write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{self.root}/state")
+
+    def read(self, empty: DataFrame) -> DataFrame:
+        """The whole history; ``empty`` (no rows, its columns) while no batch had a clean change."""
+        if not _glob(self.spark, f"{self.root}/state/_bucket=*"):
+            return empty
+        return self.spark.read.parquet(f"{self.root}/state").where(~F.col("_marker")).drop("_marker", "_bucket")

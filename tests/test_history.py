@@ -150,7 +150,7 @@ def test_deleted_keys_and_version_path(spark):
     dwh = history.history_view(history.scd2(f, E), E)
     d = history.deleted_keys(dwh, E).collect()
     assert [(r.k, r.deleted_at, r.versions) for r in d] == [(1, ts(9), 2)]
-    p = history.version_path(dwh, E, {"k": 1}).orderBy("version_no").collect()
+    p = history.version_path(dwh, E).orderBy("version_no").collect()
     assert [(r.v, r.version_no) for r in p] == [("a", 1), ("b", 2)]
 
 
@@ -217,3 +217,70 @@ def test_empty_feed_gives_empty_history_and_join(spark):
     lines = spark.createDataFrame([(1, ts(3))], "k long, at timestamp_ntz")
     assert as_of_join(lines, dwh, ["k"], "at").count() == 0
     assert as_of_join(lines, dwh, ["k"], "at", how="left").count() == 1
+
+
+def test_split_keys_do_not_depend_on_the_broadcast_bound(spark, monkeypatch):
+    """Heads and bounds joined by shuffle, no partition coalescing: the numbering keeps its layout."""
+    from tessera.operators import keyed
+    rnd = random.Random(4)
+    data = [(k, f"v{d}", d, rnd.choice("CUUUD"), 0) for k in range(6) for d in rnd.sample(range(3000), 120)]
+    plain = versions(history.scd2(feed(spark, data), E))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    real = keyed.sized_broadcast
+    monkeypatch.setattr(keyed, "sized_broadcast", lambda df, *a, **b: real(df, max_rows=0))
+    monkeypatch.setattr(history, "sized_broadcast", lambda df, *a, **b: real(df, max_rows=0))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        split = history.scd2(feed(spark, data), E, hot_rows=50, chunk_rows=20, fraction=1.0, with_root=True)
+        assert versions(split) == plain
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_burst_of_a_hot_key_is_cut_at_quantiles(spark):
+    from tessera.operators import keyed
+    rows = spark.range(20000).select(
+        F.lit(1).cast("long").alias("k"),
+        F.when(F.col("id") < 100, F.col("id") * 1_000_000).otherwise(F.lit(50_000_000) + F.col("id")).alias("n"))
+    chunked, part, n_hot = keyed.chunk_hot_keys(rows, ["k"], "n", hot_rows=1000, chunk_rows=1000, fraction=1.0)
+    sizes = [r["count"] for r in chunked.groupBy("_chunk").count().collect()]
+    assert n_hot == 1 and len(sizes) >= 15 and max(sizes) <= 2500
+    order = chunked.groupBy("_chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).orderBy("_chunk").collect()
+    assert all(a.hi < b.lo for a, b in zip(order, order[1:]))
+
+
+def test_rebuilt_history_keeps_stored_surrogates(spark):
+    early = [(2, "a", 0, "C", 0), (2, "b", 5, "U", 0), (4, "x", 1, "C", 0)]
+    old = history.scd2(feed(spark, early), E)
+    new = history.scd2(feed(spark, [*early, (1, "new", 2, "C", 0), (2, "mid", 3, "U", 0)]), E, previous=old)
+    known = {(r.k, r["__START_AT"]): r.WK_THING for r in old.collect()}
+    got = {(r.k, r["__START_AT"]): r.WK_THING for r in new.collect()}
+    assert len(got) == 5 and len(set(got.values())) == 5
+    assert all(got[at] == wk for at, wk in known.items())
+    assert min(wk for at, wk in got.items() if at not in known) > max(known.values())
+    view = history.history_view(new, E).where("k = 2").orderBy("WA_FROMDATE").collect()
+    assert [r.WKP_THING for r in view] == [None, view[0].WK_THING, view[1].WK_THING]
+
+
+def test_tracked_columns_compare_values(spark):
+    data = [(1, None, 0, "C", 0), (1, "", 1, "U", 0), (1, "", 2, "U", 0), (1, None, 3, "U", 0)]
+    got = history.scd2(feed(spark, data), E, track=["v"]).orderBy("__START_AT").collect()
+    assert [r.v for r in got] == [None, "", None]
+
+
+def test_fact_append_is_safe_to_repeat(spark):
+    from tessera.operators import star
+    old = spark.createDataFrame([(1, 10), (2, None)], "id long, w long")
+    new = spark.createDataFrame([(1, 10), (2, None), (3, 11), (4, 10)], "id long, w long")
+    got = star.fact_increment(new, old, "append", watermark="w", keys=["id"])
+    assert sorted(r.id for r in got.collect()) == [1, 2, 3, 4]
+    again = star.fact_increment(new, got, "append", watermark="w", keys=["id"])
+    assert sorted(r.id for r in again.collect()) == [1, 2, 3, 4]
+    first = star.fact_increment(new, new.limit(0), "append", watermark="w", keys=["id"])
+    assert first.count() == 4
+    fixed = spark.createDataFrame([(1, 99)], "id long, w long")
+    assert sorted(map(tuple, star.fact_increment(fixed, got, "merge", keys=["id"]).where("id = 1").collect())) == [(1, 99)]

@@ -35,6 +35,9 @@ def test_incremental_rerun_adds_nothing_and_reset_starts_fresh(spark, tmp_path):
     assert (again.rows_before, again.rows_after, again.rows_written) == (n, n, 0)
     fresh = ingest.load_incremental(spark, row, target, ck, "r3", "2024-06-03 00:00:00", reset=True)
     assert fresh.path != target and (fresh.rows_before, fresh.rows_after) == (0, n)
+    # the reset lasts: a plain run goes on in the new generation
+    plain = ingest.load_incremental(spark, row, target, ck, "r4", "2024-06-04 00:00:00")
+    assert (plain.path, plain.rows_before, plain.rows_written) == (fresh.path, n, 0)
 
 
 def test_full_load_replaces_rows_and_admin_columns(spark, tmp_path):
@@ -59,6 +62,26 @@ def test_modes_select_active_rows_and_unknown_type_stops(spark):
         ingest.select_loads(c, "hourly")
 
 
+def test_source_without_declared_schema_may_grow(spark, tmp_path):
+    src, target, ck = (str(tmp_path / x) for x in ("src", "stg_parts", "ck"))
+    parts = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_brand", "p_size")
+    parts.where("p_partkey < 50").drop("p_size").write.parquet(src)
+    row = ingest.control_table(spark, [("o", src, "*.parquet", "staging", "stg_parts", "parquet", True, "incremental")]).first()
+    ingest.load_incremental(spark, row, target, ck, "r1", "2024-06-01 00:00:00")
+    parts.where("p_partkey >= 50").write.mode("append").parquet(src)
+    ingest.load_incremental(spark, row, target, ck, "r2", "2024-06-02 00:00:00")
+    got = ingest.read_target(spark, target)
+    assert got.count() == parts.count() and got.where("p_size is null").count() == parts.where("p_partkey < 50").count()
+
+
+def test_unreadable_target_is_an_error_not_empty(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "x.parquet").write_bytes(b"damaged")
+    with pytest.raises(Exception):
+        ingest._count(spark, str(tmp_path / "t"))
+    assert ingest._count(spark, str(tmp_path / "none")) == 0
+
+
 def test_control_seed_is_idempotent(spark):
     c = control(spark)
     twice = ingest.merge_control(ingest.merge_control(c, c), c)

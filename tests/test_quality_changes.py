@@ -53,13 +53,6 @@ def test_require_stops_the_run(spark):
     assert quality.require(df.where("k = 1"), "k IS NOT NULL", "key missing").count() == 1
 
 
-def test_observed_rule_counts_in_one_pass(spark):
-    tagged = quality.tag(staged(spark, [(1, None, 5), (2, "x", -3)]), E)
-    df, obs = quality.observe_rules(tagged, E)
-    df.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"a_not_null": 1, "b_non_negative": 1, "rows": 2}
-
-
 def snap(spark, data):
     return spark.createDataFrame(data, "k int, v string")
 
@@ -117,3 +110,21 @@ def test_cdc_adapter_maps_operation_codes(spark):
     got = [(r._change_type, r._commit_version)
            for r in changes.cdc_adapter(cdc).orderBy("_commit_version").collect()]
     assert got == [("insert", 10), ("delete", 11)]
+
+
+def test_snapshot_diff_compares_values(spark):
+    """NULL against an empty string, and a separator inside a value, are changes."""
+    old = spark.createDataFrame([(1, None, "x"), (2, "a||b", "c"), (3, "s", None), (4, None, None)], "k int, v string, w string")
+    new = spark.createDataFrame([(1, "", "x"), (2, "a", "b||c"), (3, "s", None), (4, None, None)], "k int, v string, w string")
+    d = changes.snapshot_diff(old, new, ["k"], 1, F.lit("2024-01-01").cast("timestamp_ntz")).collect()
+    assert sorted((r.k, r.v, r.w, r._change_type) for r in d if r._change_type == "update_postimage") == \
+        [(1, "", "x", "update_postimage"), (2, "a", "b||c", "update_postimage")]
+
+
+def test_version_history_picks(spark):
+    rows = [(v, dt.datetime(2024, 1, v + 1), "insert") for v in (0, 0, 1, 3)]
+    h = changes.version_history(spark.createDataFrame(rows, "_commit_version long, _commit_timestamp timestamp_ntz, _change_type string"))
+    assert sorted((r._commit_version, r.is_previous, r.is_earliest) for r in h.collect()) == \
+        [(0, False, True), (1, True, False), (3, False, False)]
+    one = changes.version_history(spark.createDataFrame(rows[:1], "_commit_version long, _commit_timestamp timestamp_ntz, _change_type string"))
+    assert [(r.is_previous, r.is_earliest) for r in one.collect()] == [(False, True)]

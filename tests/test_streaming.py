@@ -6,7 +6,7 @@ import datetime as dt
 
 from tessera.operators import history, quality
 from tessera.operators.entity import FAIL, Entity, Rule
-from tessera.streaming.pipelines import run_scd1_stream, run_scd2_stream
+from tessera.streaming.pipelines import run_history_stream
 
 E = Entity(name="acct", keys=("k",), columns=(("k", "k"), ("v", "v")), hash_columns=("v",),
            rules=(Rule("v_non_negative", "v < 0"), Rule("k_not_null", "k IS NULL", FAIL)))
@@ -49,7 +49,7 @@ def _batch(spark):
 def test_scd2_stream_equals_batch(spark, tmp_path):
     root = str(tmp_path)
     _write_arrivals(spark, root)
-    got = run_scd2_stream(_stream(spark, root), E, f"{root}/changes", f"{root}/state", f"{root}/ck", buckets=4)
+    got = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4).history
     cols = ["k", "v", "__START_AT", "__END_AT"]
     expect = sorted(map(tuple, history.scd2(_batch(spark), E).select(cols).collect()), key=repr)
     assert sorted(map(tuple, got.select(cols).collect()), key=repr) == expect
@@ -63,7 +63,7 @@ def test_scd2_stream_equals_batch(spark, tmp_path):
 def test_scd1_stream_equals_batch(spark, tmp_path):
     root = str(tmp_path)
     _write_arrivals(spark, root)
-    got = run_scd1_stream(_stream(spark, root), E, f"{root}/changes", f"{root}/state", f"{root}/ck", buckets=4)
+    got = run_history_stream(_stream(spark, root), E, 1, f"{root}/store", f"{root}/ck", buckets=4).history
     expect = sorted((r.k, r.v) for r in history.scd1(_batch(spark), E).collect())
     assert sorted((r.k, r.v) for r in got.collect()) == expect == [(1, 11), (3, 30), (4, 40)]
 
@@ -71,44 +71,89 @@ def test_scd1_stream_equals_batch(spark, tmp_path):
 def test_stream_rerun_adds_nothing(spark, tmp_path):
     root = str(tmp_path)
     _write_arrivals(spark, root)
-    args = (E, f"{root}/changes", f"{root}/state", f"{root}/ck")
-    first = run_scd2_stream(_stream(spark, root), *args, buckets=4).count()
-    again = run_scd2_stream(_stream(spark, root), *args, buckets=4).count()
-    assert first == again
+    args = (E, 2, f"{root}/store", f"{root}/ck")
+    first = run_history_stream(_stream(spark, root), *args, buckets=4).history.collect()
+    again = run_history_stream(_stream(spark, root), *args, buckets=7).history.collect()
+    assert sorted(map(str, first)) == sorted(map(str, again))
 
 
-def test_split_stream_routes_each_batch_once(spark, tmp_path):
-    from tessera.streaming.pipelines import run_split_stream
+def test_every_row_goes_to_history_or_quarantine(spark, tmp_path):
     root = str(tmp_path)
     _write_arrivals(spark, root)
-    run_split_stream(_stream(spark, root), E, f"{root}/clean", f"{root}/dwq", f"{root}/ck")
-    clean = spark.read.parquet(f"{root}/clean")
-    dwq = spark.read.parquet(f"{root}/dwq")
-    assert clean.count() + dwq.count() == sum(len(a) for a in ARRIVALS)
-    assert [(r.k, r.failed_rules) for r in dwq.collect()] == [(3, ["v_non_negative"])]
+    out = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
+    stored = spark.read.parquet(f"{root}/store/buckets=4/changes")
+    assert stored.count() + out.quarantine.count() == sum(len(a) for a in ARRIVALS)
+    assert [(r.k, r.failed_rules) for r in out.quarantine.collect()] == [(3, ["v_non_negative"])]
 
 
-def test_bucketed_state_replay_and_uncommitted_batch(spark, tmp_path):
-    from tessera.streaming.state import BucketedState, key_bucket
-    st = BucketedState(spark, str(tmp_path / "state"), buckets=4)
+def test_history_view_of_streamed_history_follows_start_order(spark, tmp_path):
+    root = str(tmp_path)
+    _write_arrivals(spark, root)
+    dw = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4).history
+    for hot in ({}, {"hot_rows": 1, "chunk_rows": 1, "fraction": 1.0}):
+        rows = history.history_view(dw, E, **hot).orderBy("k", "WA_FROMDATE").collect()
+        for k in (1, 2, 3, 4):
+            mine = [r for r in rows if r.k == k]
+            assert [r.WKP_ACCT for r in mine] == [None, *(r.WK_ACCT for r in mine[:-1])]
+            assert {r.WKR_ACCT for r in mine} == {mine[0].WK_ACCT}
+
+
+def test_broken_fail_rule_stops_the_stream_and_leaves_no_trace(spark, tmp_path):
+    import pytest
+    root = str(tmp_path)
+    good, bad = [change(1, 10, 0, "insert")], [change(2, 5, 1, "insert"), change(None, 7, 2, "insert")]
+    spark.createDataFrame(good, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part0")
+    run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
+    spark.createDataFrame(bad, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part1")
+    with pytest.raises(Exception, match="k_not_null"):
+        run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
+    assert spark.read.parquet(f"{root}/store/buckets=4/changes").count() == 1
+    # the corrected file takes the bad one's place
+    import glob
+    import os
+    name = glob.glob(f"{root}/feed/part1/*.parquet")[0]
+    fixed = spark.createDataFrame([change(2, 5, 1, "insert"), change(3, 7, 2, "insert")], SCHEMA).coalesce(1)
+    fixed.write.parquet(f"{root}/fixed")
+    os.replace(glob.glob(f"{root}/fixed/*.parquet")[0], name)
+    for crc in glob.glob(f"{root}/feed/part1/.*.crc"):
+        os.remove(crc)
+    out = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
+    assert sorted((r.k, r.v) for r in out.history.collect()) == [(1, 10), (2, 5), (3, 7)]
+
+
+def test_replayed_batch_rewrites_equal_rows_and_emptied_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tessera.streaming.state import ChangeStore
+    store = ChangeStore.open(spark, str(tmp_path / "s"), buckets=3)
+    assert ChangeStore.open(spark, str(tmp_path / "s"), buckets=3).buckets == 3
 
     def rows(pairs):
-        return spark.createDataFrame(pairs, "k long, v string").withColumn("_bucket", key_bucket(["k"], 4))
-
-    first = rows([(1, "a"), (2, "b"), (3, "c")])
-    st.commit(0, first, [r[0] for r in first.select("_bucket").distinct().collect()], max_key=3)
-    touched = [r[0] for r in rows([(2, "x")]).select("_bucket").distinct().collect()]
-    prev = st.read(before=1, only=touched)
-    nxt = prev.join(spark.createDataFrame([(2,)], "k long"), "k", "left_anti").unionByName(
-        spark.createDataFrame([(2, "B")], "k long, v string")).withColumn("_bucket", key_bucket(["k"], 4))
-    # batch 1 writes its data, then fails before its manifest: readers still see batch 0
-    nxt.write.mode("overwrite").partitionBy("_bucket").parquet(f"{st.root}/data/v=1")
-    assert sorted(map(tuple, st.read().collect())) == [(1, "a"), (2, "b"), (3, "c")]
-    # the replay of batch 1 commits; a second replay changes nothing
-    for _ in range(2):
-        st.commit(1, nxt, touched)
-        assert sorted(map(tuple, st.read().collect())) == [(1, "a"), (2, "B"), (3, "c")]
-    assert st.max_key() == 3
+        return spark.createDataFrame(pairs, "k long, v string").withColumn("_bucket", store.bucket(["k"]))
+
+    for _ in range(2):                                          # a batch and its replay
+        touched = store.add(rows([(1, "a"), (2, "b"), (3, "c")]), 0)
+        store.replace(store.changes(touched, 0), touched)
+    empty = rows([]).drop("_bucket")
+    assert sorted(map(tuple, store.read(empty).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert ChangeStore.open(spark, str(tmp_path / "s"), buckets=9).buckets == 3
+    store.replace(rows([]).where(F.lit(False)), touched)        # history of these buckets is now empty
+    assert store.read(empty).count() == 0
+
+
+def test_hot_key_of_a_batch_is_stored_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tessera.streaming.state import ChangeStore
+    store = ChangeStore.open(spark, str(tmp_path / "s"), buckets=4)
+    rows = spark.range(40000).select(F.lit(7).cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("v")) \
+        .withColumn("_bucket", store.bucket(["k"]))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        (bucket,) = store.add(rows, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    import glob
+    assert len(glob.glob(str(tmp_path / f"s/buckets=4/changes/_bucket={bucket}/batch=0/*.parquet"))) > 1
 
 
 def test_batch_with_nothing_clean_keeps_state(spark, tmp_path):
@@ -116,5 +161,5 @@ def test_batch_with_nothing_clean_keeps_state(spark, tmp_path):
     arrivals = [[change(1, 10, 0, "insert")], [change(1, -5, 3, "update_postimage")]]
     for i, rows in enumerate(arrivals):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part{i}")
-    got = run_scd2_stream(_stream(spark, root), E, f"{root}/changes", f"{root}/state", f"{root}/ck", buckets=4)
+    got = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4).history
     assert [(r["k"], r["v"], r["__END_AT"]) for r in got.collect()] == [(1, 10, None)]
