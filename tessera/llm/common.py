@@ -13,7 +13,7 @@ from tessera.session import scratch_path, stored_bytes
 
 SPACES = " \t\n\u000b\f\r"                      # \x20 and \x09-\x0D
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITMAP_BITS = 1 << 27                           # 16 MB: the size bound of a broadcast bitmap
+BITMAP_BITS = 1 << 26                           # 8 MB: the size bound of a broadcast bitmap
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -171,20 +171,23 @@ def find_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     counted = source.select("text").mapInArrow(_count_minimizers(window), "minimizer long, n long")
     repeated = counted.groupBy("minimizer").agg(F.sum("n").alias("n")).where("n > 1")
+    wanted = broadcast(bitmap(repeated, "minimizer"))
     runs = source.mapInArrow(
-        _emit_runs(window, broadcast(bitmap(repeated, "minimizer"))),
+        _emit_runs(window, wanted),
         f"id {kind}, text_hash long, start long, length int, minimizer long, digest binary, enters long, leaves long")
     runs = scratch.write(runs, "runs")
+    wanted.unpersist()
     distinct = scratch.write(runs.groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"), F.first("minimizer").alias("minimizer"), F.first("length").alias("length"),
         F.first("enters").alias("enters"), F.first("leaves").alias("leaves"),
         F.min(F.struct("id", "start")).alias("source")).withColumn("run", F.monotonically_increasing_id()), "distinct")
 
     alone = distinct.where("copies = 1")
-    kmers = source.select("text").mapInArrow(_emit_kmers(window, broadcast(bitmap(alone, "minimizer"))),
-                                             "digest binary, one array<long>, two array<long>")
+    wanted = broadcast(bitmap(alone, "minimizer"))
+    kmers = source.select("text").mapInArrow(_emit_kmers(window, wanted), "digest binary, one array<long>, two array<long>")
     kmers = kmers.groupBy("digest").agg(F.first("one").alias("one"), F.first("two").alias("two"))
     kmers = scratch.write(kmers.join(distinct.select("digest", "copies"), "digest"), "kmers")
+    wanted.unpersist()
     each = kmers.select("digest", "copies", F.posexplode(F.arrays_zip("one", "two")).alias("place", "key")) \
         .select("digest", "copies", "place", "key.one", "key.two")
     again = each.groupBy("one", "two").agg(F.sum("copies").alias("n")).where("n > 1").select("one", "two")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20               # text handled at once inside a task
+SLICE_BYTES = 512 << 10              # text handled at once inside a task
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95      # odd, so invertible mod 2^64
