@@ -26,6 +26,7 @@ HEADLINE = [
     "tagged_header", "quarantine_header", "rule_counts", "dwh_header", "dwh_detail", "sales_line",
     "scd1_upsert", "scd2_tracked", "deleted_keys", "snapshot_diff", "as_of_version", "version_history",
     "hash_reconcile", "lineage_downstream", "lineage_impact", "audit_summary", "audit_recent",
+    "scd2_stream", "ingest_incremental", "clustered_write", "fct_temporal_left", "scd2_refresh", "fact_merge",
 ]
 
 

@@ -29,7 +29,7 @@ def _on_catalog(catalog: str) -> Column:
 def audit_recent(log: DataFrame, now: Column, days: int, catalog: str, n: int = 100) -> DataFrame:
     """Recent activity on a catalog, newest first."""
     return (log.where(_since(now, days) & _on_catalog(catalog))
-            .select("event_id", "event_time", F.col("user_identity.email").alias("user_or_principal"),
+            .select("event_id", F.to_date("event_time").alias("event_date"), "event_time", F.col("user_identity.email").alias("user_or_principal"),
                     "action_name", param("catalog_name").alias("catalog_name"),
                     param("schema_name").alias("schema_name"), param("table_name").alias("table_name"),
                     F.col("response.status_code").alias("status_code"), "source_ip_address")
@@ -43,7 +43,7 @@ def audit_object(log: DataFrame, now: Column, days: int, catalog: str, schema: s
         & (F.lower(param("table_name")) == table.lower())
     by_name = F.lower(param("full_name_arg")) == f"{catalog}.{schema}.{table}".lower()
     return (log.where(_since(now, days) & (by_parts | by_name))
-            .select("event_id", "event_time", F.col("user_identity.email").alias("user_or_principal"),
+            .select("event_id", F.to_date("event_time").alias("event_date"), "event_time", F.col("user_identity.email").alias("user_or_principal"),
                     "action_name", param("catalog_name").alias("catalog_name"),
                     param("schema_name").alias("schema_name"), param("table_name").alias("table_name"),
                     param("full_name_arg").alias("full_name_arg"), F.col("response.status_code").alias("status_code"))
@@ -54,7 +54,7 @@ def audit_pipeline_events(log: DataFrame, now: Column, days: int, n: int = 100)
     """Job and pipeline run events."""
     cond = F.col("service_name").isin(*PIPELINE_SERVICES) | F.col("action_name").isin(*PIPELINE_ACTIONS)
     return (log.where(_since(now, days) & cond)
-            .select("event_id", "event_time", F.col("user_identity.email").alias("user_or_principal"),
+            .select("event_id", F.to_date("event_time").alias("event_date"), "event_time", F.col("user_identity.email").alias("user_or_principal"),
                     "action_name", "service_name", param("job_id").alias("job_id"), param("run_id").alias("run_id"),
                     param("pipeline_id").alias("pipeline_id"), F.col("response.status_code").alias("status_code"))
             .orderBy(F.desc("event_time"), F.desc("event_id")).limit(n))

@@ -399,6 +399,17 @@ def _clustered(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("wide_line_clustered")
+def _wide_clustered(spark, sf_dir):
+    """The wide line table written clustered, so reads by truck, location or date skip files."""
+    import uuid
+    from tessera.operators.layout import clustered_write
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "datamart", f"sales_line_{uuid.uuid4().hex}")
+    clustered_write(Warehouse.of(spark, sf_dir).sales_line, path, ["truck_id", "location_id", "line_ts"])
+    return spark.read.parquet(path)
+
+
 @query("param_query")
 def _param(spark, sf_dir):
     """Named parameters bound into SQL text."""

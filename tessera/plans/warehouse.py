@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.operators import history, quality, star
 from tessera.operators.keyed import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, sized_broadcast
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
-from tessera.session import cut_lineage, scratch_path, stored_bytes
+from tessera.session import cut_lineage, folder_stamp, release_tables, scratch_path, stored_bytes
 from tessera.sources import fixtures
 
 # Header dimensions built in one pass: attribute, surrogate column, carried columns.
@@ -30,14 +30,15 @@ HEADER_DIM_SPECS = (
     ("discount_id", "MK_DISCOUNT", ()), ("shift_id", "MK_SHIFT", ("shift_start_time", "shift_end_time")),
 )
 
-_CACHE: dict[tuple[str, str, str], "Warehouse"] = {}
-_SHARED: dict[tuple[str, str], tuple[dict, dict]] = {}
+# by session, folder, (key mode,) and the state of the folder's files: a changed folder gets a new warehouse
+_CACHE: dict[tuple[str, str, str, str], "Warehouse"] = {}
+_SHARED: dict[tuple[str, str, str], tuple[dict, dict]] = {}
 _SHARED_GUARD = threading.Lock()
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED):
-        self.spark, self.sf_dir, self.key_mode = spark, sf_dir, key_mode
+    def __init__(self, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED, stamp: str = ""):
+        self.spark, self.sf_dir, self.key_mode, self.stamp = spark, sf_dir, key_mode, stamp
         self._small: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._guard = threading.Lock()
@@ -64,7 +65,7 @@ class Warehouse:
     def _shared(self, name: str, build) -> DataFrame:
         """A table that does not depend on the key mode (tagged sources, history):
         built once per session and folder, shared by both key modes."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.stamp)
         with _SHARED_GUARD:
             tables, locks = _SHARED.setdefault(key, ({}, {}))
             lock = locks.setdefault(name, threading.Lock())
@@ -93,12 +94,22 @@ class Warehouse:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, key_mode: str = star.CONFORMED) -> "Warehouse":
-        k = (spark.sparkContext.applicationId, sf_dir, key_mode)
+        k = (spark.sparkContext.applicationId, sf_dir, key_mode, folder_stamp(spark, sf_dir))
         with _SHARED_GUARD:
             if k not in _CACHE:
-                _CACHE[k] = cls(spark, sf_dir, key_mode)
+                _CACHE[k] = cls(spark, sf_dir, key_mode, k[3])
             return _CACHE[k]
 
+    def close(self) -> None:
+        """Forget this folder's warehouses and remove the intermediate tables that this session wrote.
+        Frames returned before can't be read afterwards."""
+        app = self.spark.sparkContext.applicationId
+        with _SHARED_GUARD:
+            for cache in (_CACHE, _SHARED):
+                for k in [k for k in cache if k[:2] == (app, self.sf_dir)]:
+                    del cache[k]
+        release_tables(self.spark)
+
     # staged change feeds -------------------------------------------------
     @property
     def header_feed(self) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_CKPT: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}          # intermediate tables by session, for release_tables
 
 
 def build_session(master: str = "local[8]", app: str = "tessera", shuffle_partitions: int = 8,
@@ -73,11 +74,29 @@ def materialize_sized(df: DataFrame, name: str = "t") -> tuple[DataFrame, int, i
     write) and its size in bytes on storage (from the file system, no job)."""
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
     return spark.read.parquet(path), int(obs.get["n"]), stored_bytes(spark, path)
 
 
+def release_tables(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this session wrote; returns how many.  Frames on them can't be
+    read afterwards."""
+    paths = _TABLES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
+def folder_stamp(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the entries of a folder (one listing on the driver)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return "|".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in found))
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` on its file system."""
     jvm = spark.sparkContext._jvm
