@@ -4,14 +4,16 @@
    MinHash samples folded into band keys, and an odd sketch: a parity bitmap in which every
    sample flips one bit.
 2. Documents with equal sets collapse into one node, so groups of copies cost one row.
-3. Nodes meet in band buckets.  A bucket is never paired out: each member is paired with its
-   bucket's hub.  The XOR of two odd sketches has a population count from which the
-   similarity is estimated; pairs that are clearly below the limit end here.
-4. The other pairs are confirmed on their full shingle sets.  Links become components; then
-   buckets whose members are still in several components get another hub, and at last all
-   pairs *between* components that pass the sketch.  Pairs inside a component need no check:
-   they can't change it.  So each pair of different texts that shares a bucket is either
-   confirmed, rejected by its full sets or sketch, or already in one component.
+3. Nodes meet in band buckets. A bucket is never paired out: each member is paired with its
+   bucket's hub, the member that meets most others. The XOR of two odd sketches has a
+   population count from which the similarity is estimated; clearly lower pairs end here.
+   Nodes that share buckets also get a second odd sketch, of their whole set: its XOR never
+   has more bits than the sets differ in, so too many bits prove that a pair is below the limit.
+4. The other pairs are confirmed on their full shingle sets. Links become components. While
+   that links anything, buckets whose members are still in several components get another
+   hub; at last come all pairs *between* components that pass both sketches. Pairs inside a
+   component need no check: they can't change it. So each pair of different texts that shares
+   a bucket is confirmed, rejected by its full sets or sketches, or already in one component.
 
 Two sets at the limit of 0.75 miss all 32 buckets of four samples with probability 5e-6, and
 their sketch estimate is below the cut-off (5 standard deviations) about as rarely.
@@ -40,7 +42,8 @@ SIMILARITY = 75                     # per cent
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 MARGIN = 5.0                        # standard deviations of the estimate below the limit
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
+SET_BITS = 4                         # bits of a whole set's sketch for each shingle, at least
 U32, U64 = np.uint32, np.uint64
 
 _RNG = np.random.default_rng(75)
@@ -112,6 +115,14 @@ def estimate(differing: int) -> float:
     return 1 + n / (4 * k) * math.log(max(1 - 2 * differing / n, 1e-9))
 
 
+def set_sketch(s: np.ndarray) -> np.ndarray:
+    """Odd sketch of a whole set, in a power of two of bits: every shingle flips one."""
+    words = max(8, 1 << max(0, (len(s) * SET_BITS - 1).bit_length() - 6))
+    place = (mix(s + U64(0x9E3779B97F4A7C15)) & U64(words * 64 - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=words * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
 SIGNATURE = "text_hash long, shingles long, digest binary, bands array<long>, sketch array<long>"
 
 
@@ -143,6 +154,22 @@ def differing_bits(a: Column, b: Column) -> Column:
     return total
 
 
+def least_difference(a: Column, b: Column) -> Column:
+    """A lower bound of the sets' symmetric difference: odd bits of the XOR of two whole-set sketches.
+
+    Set sizes within the limit have sketches of equal length or of twice the length; the longer
+    one is folded, as if it had been made with half the bits."""
+    def folded(x: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+    def bits(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, c: n + c)
+
+    return F.when(F.size(a) == F.size(b), bits(a, b)).when(F.size(a) > F.size(b), bits(folded(a), b)) \
+        .otherwise(bits(a, folded(b)))
+
+
 class _Links:
     """Confirmed links between nodes, and the components they make."""
 
@@ -150,8 +177,10 @@ class _Links:
         self.nodes, self.sets, self.scratch, self.similarity = nodes, sets, scratch, similarity
         self.round, self.links, self.tried, self.component = 0, None, None, None
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Checks distinct pairs (a < b) on their full sets; pairs checked before aren't repeated."""
+    def confirm(self, pairs: DataFrame) -> bool:
+        """Checks distinct pairs (a < b) on their full sets, and says whether that linked any.
+
+        Pairs checked before aren't repeated."""
         self.round += 1
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
@@ -165,6 +194,7 @@ class _Links:
         self.tried = checked.select("a", "b") if self.tried is None else self.tried.union(checked.select("a", "b"))
         self.links = new if self.links is None else self.links.union(new)
         self.component = components(self.links, self.scratch, f"round{self.round}")
+        return not new.isEmpty()
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -230,24 +260,28 @@ def _groups(docs: DataFrame, doc_id: str, text: str, similarity: int) -> DataFra
                 sets = _sets(rows.column(2))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([_digest(s) for s in sets], pa.binary()),
-                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "digest", "set"])
+                     pa.array([set_sketch(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "digest", "parity", "set"])
 
     found = source.where("id is not null").select("id", F.xxhash64("id").alias("key"), "text") \
-        .mapInArrow(full_sets, f"id {kind}, digest binary, set array<long>")
-    sets = scratch.write(candidates.select("node", "id", "digest").join(found, ["id", "digest"])
-                         .select("node", "set"), "sets")
+        .mapInArrow(full_sets, f"id {kind}, digest binary, parity array<long>, set array<long>")
+    sets = scratch.write(candidates.join(found, ["id", "digest"])
+                         .select("node", "shingles", "sketch", "parity", "set"), "sets")
 
     links = _Links(nodes, sets, scratch, similarity)
-    sketches = candidates.select("node", "shingles", "sketch")
-    for k in range(HUB_ROUNDS):
-        links.confirm(_plausible(_hub_pairs(_open_buckets(buckets, links.component), k), sketches, similarity))
+    sketches = sets.drop("set")
+    hubs = None
+    for _ in range(HUB_ROUNDS):
+        hubs, pairs = _hub_pairs(_open_buckets(buckets, links.component), hubs, links)
+        if not links.confirm(_plausible(pairs, sketches, similarity)):
+            break
     links.confirm(_between(_open_buckets(buckets, links.component), sketches, similarity))
 
     group = nodes.join(links.component, "node", "left").select(
         "digest", "id", F.coalesce("component", "node").alias("component"))
     least = group.groupBy("component").agg(F.min("id").alias("component_id"))
     group = scratch.write(group.join(least, "component").select("digest", "component_id"), "groups")
-    scratch.drop("sets", "buckets", "candidates", "nodes", *(f"checked{k + 1}" for k in range(links.round)))
+    scratch.drop("sets", "buckets", *(f"hubs{k}" for k in range(links.round)), "candidates", "nodes", *(f"checked{k + 1}" for k in range(links.round)))
     out = signed.select("id", "text_hash", "shingles", "digest").join(group, "digest", "left")
     return out.select("id", "text_hash", "shingles",
                       F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
@@ -263,35 +297,52 @@ def _open_buckets(buckets: DataFrame, component: DataFrame | None) -> DataFrame:
     return known.join(mixed, "band")
 
 
-def _hub_pairs(members: DataFrame, k: int) -> DataFrame:
-    """Every member with its bucket's hub, if they are in different components."""
-    order = F.xxhash64(F.lit(k), "node") if k else F.col("node")
-    hubs = members.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "component")).alias("hub")) \
+def _hub_pairs(members: DataFrame, before: DataFrame | None, links: _Links) -> tuple[DataFrame, DataFrame]:
+    """(band, node) of all hubs so far, and pairs of a new hub with its bucket's members of other components.
+
+    The hub is the member that meets most others over all its buckets: in a group of edited
+    copies that is the original, which is nearer to each copy than the copies to each other.
+    Components of a bucket's earlier hubs give no hub again."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    met = members.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("met"))
+    eligible = members.join(met, "node")
+    if before is not None:
+        seen = before.join(links.component, "node", "left").select("band", F.coalesce("component", "node").alias("component"))
+        eligible = eligible.join(seen.distinct(), ["band", "component"], "left_anti")
+    hubs = eligible.groupBy("band").agg(F.max(F.struct("met", "node", "component")).alias("hub")) \
         .select("band", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component"))
-    return members.join(hubs, "band").where("component != hub_component") \
+    hubs = links.scratch.write(hubs, f"hubs{links.round}")
+    pairs = members.join(hubs, "band").where("component != hub_component") \
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    new = hubs.select("band", F.col("hub").alias("node"))
+    return (new if before is None else before.union(new)), pairs
+
+
+def _side(c: str) -> list[Column]:
+    return [F.col("node").alias(c), F.col("shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"), F.col("parity").alias(f"p{c}")]
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
     """Pairs whose set sizes and sketches allow the limit."""
-    a, b = (sketches.select(F.col("node").alias(c), F.col("shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-            for c in "ab")
-    return pairs.join(a, "a").join(b, "b").where(_allowed("na", "nb", "sa", "sb", similarity)).select("a", "b")
+    a, b = (sketches.select(*_side(c)) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").where(_allowed(similarity)).select("a", "b")
 
 
-def _allowed(na: str, nb: str, sa: str, sb: str, similarity: int) -> Column:
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * similarity) \
-        & (differing_bits(F.col(sa), F.col(sb)) <= sketch_limit(similarity))
+def _allowed(similarity: int) -> Column:
+    """By set sizes, by the sketches of samples, and by the sketches of the whole sets: sets of sizes
+    p and q with a similarity of s differ in (p + q)(1 - s) / (1 + s) shingles at most."""
+    c = F.col
+    near = differing_bits(c("sa"), c("sb")) <= sketch_limit(similarity)
+    possible = least_difference(c("pa"), c("pb")) * (100 + similarity) <= (c("na") + c("nb")) * (100 - similarity)
+    return (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity) & near & possible
 
 
 def _between(members: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
     """All pairs of different components in a bucket that the sketches allow."""
     rows = members.join(sketches, "node")
-    a, b = (rows.select("band", F.col("node").alias(c), F.col("component").alias(f"c{c}"),
-                        F.col("shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
-    on = (F.col("l.band") == F.col("r.band")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) \
-        & _allowed("na", "nb", "sa", "sb", similarity)
-    return a.alias("l").join(b.alias("r"), on).select("a", "b").distinct()
+    a, b = (rows.select("band", F.col("component").alias(f"c{c}"), *_side(c)).alias(side) for c, side in (("a", "l"), ("b", "r")))
+    on = (F.col("l.band") == F.col("r.band")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _allowed(similarity)
+    return a.join(b, on).select("a", "b").distinct()
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
