@@ -10,7 +10,7 @@
    Nodes that share buckets also get a second odd sketch, of their whole set: its XOR never
    has more bits than the sets differ in, so too many bits prove that a pair is below the limit.
 4. The other pairs are confirmed on their full shingle sets. Links become components. While
-   that links anything, buckets whose members are still in several components get another
+   that links many, buckets whose members are still in several components get another
    hub; at last come all pairs *between* components that pass both sketches. Pairs inside a
    component need no check: they can't change it. So each pair of different texts that shares
    a bucket is confirmed, rejected by its full sets or sketches, or already in one component.
@@ -43,6 +43,7 @@ BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 MARGIN = 5.0                        # standard deviations of the estimate below the limit
 HUB_ROUNDS = 3
+LEAST_GAIN = 0.05                    # of the first round's links, for another hub round
 SET_BITS = 4                         # bits of a whole set's sketch for each shingle, at least
 U32, U64 = np.uint32, np.uint64
 
@@ -177,8 +178,8 @@ class _Links:
         self.nodes, self.sets, self.scratch, self.similarity = nodes, sets, scratch, similarity
         self.round, self.links, self.tried, self.component = 0, None, None, None
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Checks distinct pairs (a < b) on their full sets, and says whether that linked any.
+    def confirm(self, pairs: DataFrame) -> int:
+        """Checks distinct pairs (a < b) on their full sets; the number of links among them.
 
         Pairs checked before aren't repeated."""
         self.round += 1
@@ -194,7 +195,7 @@ class _Links:
         self.tried = checked.select("a", "b") if self.tried is None else self.tried.union(checked.select("a", "b"))
         self.links = new if self.links is None else self.links.union(new)
         self.component = components(self.links, self.scratch, f"round{self.round}")
-        return not new.isEmpty()
+        return new.count()
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -270,10 +271,12 @@ def _groups(docs: DataFrame, doc_id: str, text: str, similarity: int) -> DataFra
 
     links = _Links(nodes, sets, scratch, similarity)
     sketches = sets.drop("set")
-    hubs = None
+    hubs, first = None, 0
     for _ in range(HUB_ROUNDS):
         hubs, pairs = _hub_pairs(_open_buckets(buckets, links.component), hubs, links)
-        if not links.confirm(_plausible(pairs, sketches, similarity)):
+        linked = links.confirm(_plausible(pairs, sketches, similarity))
+        first = first or linked
+        if linked <= first * LEAST_GAIN or not linked:      # what is left is for the pairs between components
             break
     links.confirm(_between(_open_buckets(buckets, links.component), sketches, similarity))
 

@@ -9,6 +9,7 @@ from tessera.llm.feistel import op10_feistel_shards
 from tessera.llm.linedrop import op7_cuckoo_lines
 from tessera.llm.mcd import op4_mcd_outliers
 from tessera.llm.oddsketch import op5_odd_sketch
+from tessera.llm.oracles import op2_sql, op3_sql, op5_sql, op7_sql, op10_sql
 from tessera.llm.raking import op8_raking
 from tessera.llm.raking import oracle_sql as raking_sql
 from tessera.llm.template import op6_page_templates
@@ -31,6 +32,11 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_chat_fingerprints": chat_sql(),
+    "op2_wu_manber": op2_sql(),
+    "op3_debruijn": op3_sql(),
+    "op5_odd_sketch": op5_sql(),
+    "op7_cuckoo_lines": op7_sql(),
     "op8_raking": raking_sql(),
     "op9_path_templates": urltree_sql(),
+    "op10_feistel_shards": op10_sql(),
 }
