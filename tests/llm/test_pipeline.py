@@ -40,9 +40,16 @@ def test_decisions_take_effect(spark, folder):
     assert docs.columns[5:] == ["shard", "slot"]
 
 
-def test_run_writes_and_rereads_every_stage(spark, folder):
+def test_run_writes_and_rereads_every_stage(spark, folder, monkeypatch):
+    """With two of the stages; their decisions are tested above."""
+    seen = []
+
+    def watched(stage):
+        return lambda spark, docs, sf_dir: seen.append(len(docs.inputFiles())) or stage(spark, docs, sf_dir)
+    monkeypatch.setattr(cp, "STAGES", [(n, watched(f)) for n, f in cp.STAGES if n in ("decontamination", "sharding")])
     out = cp.run(spark, folder)
-    assert 0 < out.count() < 150 and out.columns[-2:] == ["shard", "slot"]
+    assert out.count() == 170 and out.columns[-2:] == ["shard", "slot"]
+    assert len(seen) == 2 and all(seen) and out.inputFiles()
 
 
 def test_odd_documents_and_clashing_columns(spark, folder, odd_docs):
