@@ -1,17 +1,24 @@
 """HTML extraction by template deduction from equivalence classes of tokens.
 
 1. Every page becomes blocks of text under a path of container elements, and a bag of
-   tokens: its paths, and the texts outside of article elements (with their path).
+   tokens: its paths, and its texts (with their path).
 2. Over all pages of a host, tokens with the same occurrence vector (how often on which page)
    form an equivalence class. Vectors are compared by the XOR of one hash for each (page,
    count), so a host with a third of all pages is summed map-side, one row per token.
 3. A class is valid if it has several tokens and enough of the host's pages. Valid classes nest
    by their paths: a valid path is a slot of the template, and a block belongs to the deepest
-   valid path above it. Texts in a valid class are the template's own words.
+   valid path above it. Texts in a valid class are the template's own words, unless all their
+   pages are copies of one page; inside articles, where phrases of the story may repeat, only
+   if nothing else ever fills their slot.
 4. Slots are judged by all their fillings over the host: those that are mostly links, or that
    stand in containers for menus, notices, adverts, comments and the like, are not main text.
-   A page's main text is what fills its article elements, or else the remaining slots,
-   without the template's own words.
+   A page's main text is what fills its article elements, or else its other slots, without the
+   slots that are not main text and the template's own words. An article of which nothing would
+   be left keeps its text.
+
+Names of tags and classes mark containers to drop. A class word or a form around an article does
+not drop it, if the page has no article without one and this one holds more than the page's
+other text.
 
 Hosts with fewer than ``MIN_PAGES`` pages share one template. The template of a host is bounded:
 a token counts only if it is on ``TEXT_SHARE`` of the host's pages at least.
@@ -49,6 +56,7 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 DROP_TAGS = set("nav footer aside form menu button select dialog noscript template svg math object canvas audio video "
                 "head datalist fieldset".split())
 ARTICLE_TAGS = {"article", "main"}
+WRAPPERS = {"form", "fieldset"}  # may stand around a whole page
 NEVER_DROP = {"html", "body", "article", "main"}
 DROP_NAMES = set("ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion "
                  "cookie cookies consent gdpr notice notices alert popup modal overlay sidebar menu nav navbar navigation "
@@ -67,7 +75,10 @@ _MARKUP = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
-BOILER, ARTICLE = 1, 2          # bits of a container's kind, inherited by what it contains
+# Bits of a container's kind, inherited by what it contains. WORDED (by a class word or a form) ends at the next
+# article; the bits above count the worded containers. ELEMENT is an article proper, not just <main>.
+BOILER, ARTICLE, WORDED, ELEMENT, LEVEL = 1, 2, 4, 8, 16
+DROPPED = BOILER | WORDED
 
 
 def _hash(s: str) -> int:
@@ -90,11 +101,15 @@ def _kind(tag: str, attributes: str, above: int) -> tuple[str, int]:
                 label = f"{tag}.{value.split()[0]}"
     kind = above
     if tag in ARTICLE_TAGS or "main" in roles or "itemprop-articlebody" in roles:
-        kind |= ARTICLE
-    if tag not in NEVER_DROP and (
-            tag in DROP_TAGS or DROP_NAMES.intersection(names) or DROP_ROLES.intersection(roles)
-            or (not above & ARTICLE and (tag == "header" or OUTER_DROP_NAMES.intersection(names)))):
+        kind = (kind | ARTICLE) & ~WORDED
+        if tag == "article" or "itemprop-articlebody" in roles:
+            kind |= ELEMENT
+    if tag in NEVER_DROP:
+        return label, kind
+    if (tag in DROP_TAGS and tag not in WRAPPERS) or DROP_ROLES.intersection(roles) or (tag == "header" and not above & ARTICLE):
         kind |= BOILER
+    elif tag in WRAPPERS or DROP_NAMES.intersection(names) or (not above & ARTICLE and OUTER_DROP_NAMES.intersection(names)):
+        kind = (kind | WORDED) + LEVEL
     return label, kind
 
 
@@ -136,7 +151,7 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             continue
         tag, closing = m[2].lower(), m[1] == "/"
         attributes = m[3]
-        if tag in INLINE and not (attributes and not closing and "=" in attributes and _kind(tag, attributes, 0)[1] & BOILER):
+        if tag in INLINE and not (attributes and not closing and "=" in attributes and _kind(tag, attributes, 0)[1] & DROPPED):
             if closing and any(t == tag for t, _, _ in stack):      # an inline container that was pushed
                 flush()
                 while stack[-1][0] != tag:
@@ -182,10 +197,10 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token counts of each page: its paths (text 0) and its texts outside of articles (text 1)."""
+    """Token counts of each page: its paths (text 0) and its texts outside (1) and inside (2) of articles, with their path."""
     for batch in batches:
-        columns: list[list] = [[] for _ in range(8)]
-        for host, page, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        columns: list[list] = [[] for _ in range(10)]
+        for host, page, text, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
             paths: Counter[str] = Counter()
             chars: Counter[str] = Counter()
             links: Counter[str] = Counter()
@@ -196,48 +211,58 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 while up and up not in kinds:
                     kinds[up] = 0
                     up = up.rpartition("/")[0]
-                kinds[path] = kinds.get(path, 0) | kind
+                kinds[path] = kinds.get(path, 0) | kind & (DROPPED | ARTICLE)
                 paths[path] += 1
                 chars[path] += len(words)
                 links[path] += linked
-                if not kind & ARTICLE:
+                if not kind & DROPPED:
                     texts[path, words] += 1
-            rows = [(_hash(p), 0, paths[p], k, chars[p], links[p]) for p, k in kinds.items()]
-            rows += [(_hash(f"{p}|{w}"), 1, n, kinds[p], 0, 0) for (p, w), n in texts.items()]
-            for token, is_text, n, kind, c, a in rows:
-                for col, v in zip(columns, (host, page, token, is_text, n, kind, c, a)):
+            slots = {p: _hash(p) for p in kinds}
+            rows = [(slots[p], 0, slots[p], paths[p], k & DROPPED, chars[p], links[p]) for p, k in kinds.items()]
+            rows += [(_hash(f"{p}|{w}"), 2 if kinds[p] & ARTICLE else 1, slots[p], n, 0, 0, 0) for (p, w), n in texts.items()]
+            for token, is_text, slot, n, kind, c, a in rows:
+                for col, v in zip(columns, (host, page, content, token, is_text, slot, n, kind, c, a)):
                     col.append(v)
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(),
+                 pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)],
-                                         names=["host", "page", "token", "text", "n", "kind", "chars", "links"])
+                                         names=["host", "page", "content", "token", "text", "slot", "n", "kind", "chars", "links"])
 
 
 def deduce(pages: DataFrame, url: str, html: str, scratch: Scratch) -> DataFrame:
     """host, ``slots`` (path hash, whether it may be main text) and ``words`` (text hashes) of every template."""
     source = pages.select(host_of(F.col(url)).alias("host"), F.monotonically_increasing_id().alias("page"),
-                          F.col(html).alias("html"))
-    found = source.mapInArrow(_tokens, "host string, page long, token long, text int, n long, kind int, chars long, links long")
+                          F.col(html).alias("html"), F.xxhash64(F.col(html)).alias("content"))
+    found = source.mapInArrow(_tokens, "host string, page long, content long, token long, text int, slot long, n long, kind int, "
+                                       "chars long, links long")
     vector = F.bit_xor(F.xxhash64("page", "n"))
-    seen = scratch.write(found.groupBy("host", "text", "token").agg(
+    seen = scratch.write(found.groupBy("host", "text", "slot", "token").agg(
         vector.alias("vector"), F.count(F.lit(1)).alias("support"), F.sum("n").alias("total"),
+        F.min("content").alias("content"), F.max("content").alias("content2"),
         F.max("kind").alias("kind"), F.sum("chars").alias("chars"), F.sum("links").alias("links")), "tokens")
     sizes = pages.groupBy(host_of(F.col(url)).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
     grouped = sizes.withColumn("template", F.when(F.col("pages") >= MIN_PAGES, F.col("host")).otherwise(""))
     group_pages = grouped.groupBy("template").agg(F.sum("pages").alias("group_pages"))
-    tokens = seen.join(grouped.select("host", "template"), "host").groupBy("template", "text", "token").agg(
+    tokens = seen.join(grouped.select("host", "template"), "host").groupBy("template", "text", "slot", "token").agg(
         F.bit_xor("vector").alias("vector"), F.sum("support").alias("support"), F.sum("total").alias("total"),
+        (F.min("content") != F.max("content2")).alias("varied"),
         F.max("kind").alias("kind"), F.sum("chars").alias("chars"), F.sum("links").alias("links")) \
         .join(group_pages, "template")
-    share = F.when(F.col("text") == 1, TEXT_SHARE).otherwise(PATH_SHARE)
+    share = F.when(F.col("text") > 0, TEXT_SHARE).otherwise(PATH_SHARE)
     tokens = scratch.write(tokens.where((F.col("support") >= MIN_PAGES) & (F.col("support") >= F.col("group_pages") * share)),
                            "frequent")
     same = ["template", "vector", "support", "total"]
     # a path stands for the start and the end of its element, so for two tokens
-    classes = tokens.groupBy(*same).agg(F.sum(F.lit(2) - F.col("text")).alias("members")).where("members > 1")
+    classes = tokens.groupBy(*same).agg(F.sum(F.when(F.col("text") == 0, 2).otherwise(1)).alias("members")).where("members > 1")
     valid = tokens.join(classes, same)
-    main = (F.col("kind").bitwiseAND(F.lit(BOILER)) == 0) & (F.col("links") <= F.col("chars") * LINK_SHARE)
+    # inside articles a slot's texts are the template's only if they are all that fills it
+    own = valid.where("text = 2 and varied").groupBy("template", "slot").agg(F.sum("total").alias("own"))
+    filled = tokens.where("text = 0").select("template", "slot", F.col("total").alias("filled"))
+    fixed = own.join(filled, ["template", "slot"]).where("own = filled").select("template", "slot", F.lit(True).alias("fixed"))
+    valid = valid.join(fixed, ["template", "slot"], "left")
+    main = (F.col("kind") == 0) & (F.col("links") <= F.col("chars") * LINK_SHARE)
     slots = F.collect_list(F.when(F.col("text") == 0, F.struct(F.col("token").alias("path"), main.alias("main"))))
-    words = F.collect_list(F.when(F.col("text") == 1, F.col("token")))
+    words = F.collect_list(F.when(F.col("varied") & ((F.col("text") == 1) | ((F.col("text") == 2) & F.col("fixed"))), F.col("token")))
     out = scratch.write(valid.groupBy(F.col("template").alias("host")).agg(slots.alias("slots"), words.alias("words")), "templates")
     scratch.drop("tokens", "frequent")
     return out
@@ -245,12 +270,15 @@ def deduce(pages: DataFrame, url: str, html: str, scratch: Scratch) -> DataFrame
 
 def main_text(page: str | None, slots: dict[int, bool], words: set[int]) -> str:
     """The page's fillings of main slots, blocks joined by one space."""
-    usable = [b for b in blocks(page or "") if not b[1] & BOILER]
-    article = [b[2] for b in usable if b[1] & ARTICLE]
+    usable = [b for b in blocks(page or "") if not b[1] & DROPPED]
+    article = _articles(usable)
     if article:
-        return " ".join(article)
+        own = [b[2] for b in article if slots.get(_hash(b[0])) is not False and _hash(f"{b[0]}|{b[2]}") not in words]
+        return " ".join(own or [b[2] for b in article])
     out, slot_of = [], {}
-    for path, _, text, _ in usable:
+    for path, kind, text, _ in usable:
+        if kind & ARTICLE:
+            continue
         if path not in slot_of:
             up, verdict = path, None
             while up and verdict is None:
@@ -262,6 +290,21 @@ def main_text(page: str | None, slots: dict[int, bool], words: set[int]) -> str:
     return " ".join(out)
 
 
+def _articles(usable: list[tuple[str, int, str, int]]) -> list[tuple[str, int, str, int]]:
+    """The blocks of the page's articles; those in worded containers only as the docstring says."""
+    article = [b for b in usable if b[1] & ARTICLE]
+    plain = [b for b in article if b[1] < LEVEL]
+    worded = [b for b in article if b[1] >= LEVEL]
+    if not worded or any(b[1] & ELEMENT for b in plain):
+        return plain
+    least = min(b[1] // LEVEL for b in worded)
+    worded = [b for b in worded if b[1] // LEVEL == least]
+    rest = plain or [b for b in usable if not b[1] & ARTICLE]
+    if sum(len(b[2]) for b in worded) <= sum(len(b[2]) for b in rest):
+        return plain
+    return [b for b in article if b[1] < LEVEL or b[1] // LEVEL == least]
+
+
 def extract(pages: DataFrame, *, url: str = "url", html: str = "html", text: str = "text") -> DataFrame:
     """``pages`` without the html column, with the main text (an old column of its name goes).
 

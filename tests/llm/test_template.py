@@ -65,6 +65,33 @@ def test_text_repeated_inside_articles_stays(spark):
     assert [r["text"] for r in out] == [f"same line {w}" for w in "abcdefgh"]
 
 
+def test_template_of_articles_goes(spark):
+    rng = random.Random(7)
+    story = [sentence(rng, 30) for _ in range(12)]
+    pages = [f"<div class='layout has-sidebar'><article><h1>{i}</h1><p>{w}</p><div class=x1>Read our rules.</div>"
+             f"<ul class=x2><li><a href=/a>one</a><li><a href=/{i}>two {i}</a></ul></article></div>" for i, w in enumerate(story)]
+    out = tp.extract(frame(spark, pages)).orderBy("page_id").collect()
+    assert [r["text"] for r in out] == [f"{i} {w}" for i, w in enumerate(story)]
+
+
+def test_copies_of_an_article_keep_their_text(spark):
+    page = "<article><h1>title</h1><p>some story</p></article>"
+    assert {r["text"] for r in tp.extract(frame(spark, [page] * 6)).collect()} == {"title some story"}
+    page = "<div><h1>title</h1><p>some story</p></div>"
+    assert {r["text"] for r in tp.extract(frame(spark, [page] * 6)).collect()} == {"title some story"}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div class='layout has-sidebar'><article>story here</article><div class=comments><article>no</article></div></div>", "story here"),
+    ("<form><article>story</article><aside>x</aside></form>", "story"),
+    ("<main><h1>T</h1><div class=has-sidebar><article>long story</article></div></main>", "T long story"),
+    ("<article>story</article><div class=comments><article>a long comment on it</article></div>", "story"),
+    ("<div>a long story in a plain container</div><div class=related><article>teaser</article></div>", "a long story in a plain container"),
+])
+def test_class_words_around_articles(page, text):
+    assert tp.main_text(page, {}, set()) == text
+
+
 def test_null_urls_repeats_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, None, "<p>a</p>"), (1, None, "<p>a</p>"), (None, "http://h/", None)], "page_id long, url string, html string")
     assert sorted(r["text"] for r in tp.extract(df).collect()) == ["", "a", "a"]
