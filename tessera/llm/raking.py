@@ -2,9 +2,17 @@
 
 Documents fall into cells of source x language x topic. The raking starts from one common
 probability and in turn scales all cells of each source, each language and each topic so that
-the tokens expected in the sample meet that margin's target; a probability never exceeds 1, so
-a margin with too few tokens gives all it has. After ``ROUNDS`` rounds each document is
-sampled with its cell's probability against a fixed pseudo-random number of its id and text.
+the tokens expected in the sample meet that margin's target; a probability never exceeds 1.
+Each document is sampled with its cell's probability against a fixed pseudo-random number
+of its id and text.
+
+A value whose target is above its tokens gives all it has, and the other values of its dimension
+share the rest in proportion to their shares, so that all three margins have the same sum. Weights are
+kept beyond 1 between the steps, and a factor counts only what is not at 1 already, until no margin
+is off by more than ``TOLERANCE`` of the expected tokens. Margins that no sample can meet together
+end with a warning once the rounds gain nothing (``STILL``), or after ``MOST_ROUNDS``; ``residuals`` gives each value's target and expected tokens.
+The registered query keeps the law of its SQL (``reconcile=False``): ``ROUNDS`` rounds with targets
+that may be out of reach.
 
 Targets are absolute expected tokens: a share for each value, times ``RATE`` of all tokens.
 Shares may be given; otherwise they are the corpus's own, raised to ``POWER`` and
@@ -22,6 +30,7 @@ Native: DataFrame functions only.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +41,9 @@ from tessera.llm.common import Scratch, packed, table
 RATE = 0.6
 POWER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 ROUNDS = 10
+MOST_ROUNDS = 200
+STILL = 10                      # rounds without a gain of a hundredth, to end without meeting the margins
+TOLERANCE = 1e-6                # of the expected tokens
 SEED = 8
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -84,27 +96,107 @@ def targets(cells: DataFrame, dimension: str, total: int, rate: float, power: fl
         if total else raised.select(key, F.lit(0.0).alias(f"target_{dimension}"))
 
 
-def rake(rows: DataFrame, *, rate: float = RATE, rounds: int = ROUNDS, power: Mapping[str, float] = POWER,
-         shares: Mapping[str, Mapping[str | None, float]] | None = None, scratch: Scratch | None = None) -> DataFrame:
-    """mix_source, mix_lang, mix_topic, tokens, probability of every cell of ``measured`` rows."""
+def _capped(values: DataFrame, key: str, want: float) -> DataFrame:
+    """``key``, target: ``want`` tokens dealt by ``part``, to no value more than its ``own``, all of what is over to the others."""
+    before = -1
+    capped, part = F.lit(False), F.col("part")
+    while True:
+        taken, rest, n = values.agg(F.coalesce(F.sum(F.when(capped, F.col("own"))), F.lit(0.0)),
+                                    F.coalesce(F.sum(F.when(~capped, part)), F.lit(0.0)),
+                                    F.count(F.when(capped, 1))).first()
+        level = F.lit(max(want - taken, 0.0) / rest if rest > 0 else float("inf"))
+        if n == before or rest <= 0:
+            break
+        before, capped = n, (part > 0) & (F.col("own") <= level * part)
+    return values.select(key, F.when(part > 0, F.least(F.col("own"), level * part)).otherwise(0.0).alias(f"target_{key[4:]}"))
+
+
+def _feasible(cells: DataFrame, total: int, rate: float, power: Mapping[str, float],
+              shares: Mapping[str, Mapping[str | None, float]], scratch: Scratch) -> DataFrame:
+    """``cells`` with targets that each value can give, of one sum for all dimensions, and ``usable``: no value without target."""
+    keys = [f"mix_{d}" for d in DIMENSIONS]
+    marked = cells
+    for d in DIMENSIONS:
+        given = targets(cells, d, total, rate, power.get(d, 1.0), shares.get(d))
+        marked = marked.join(given.withColumnRenamed(f"target_{d}", f"part_{d}"), f"mix_{d}")
+    usable = F.lit(True)
+    for d in DIMENSIONS:                                    # a value whose texts are all empty wants nothing and loses nothing
+        usable &= (F.col(f"part_{d}") > 0) | (F.col("tokens") == 0)
+    marked = scratch.write(marked.withColumn("usable", usable), "marked")
+    own = F.sum(F.when(F.col("usable"), F.col("tokens")).otherwise(0)).cast("double")
+    want = min(rate * total, marked.agg(own).first()[0] or 0.0)
+    out = marked.select(*keys, "tokens", "usable")
+    for d in DIMENSIONS:
+        values = marked.groupBy(f"mix_{d}").agg(own.alias("own"), F.first(f"part_{d}").alias("part")) \
+            .withColumn("part", F.when(F.col("own") > 0, F.col("part")).otherwise(0.0))
+        out = out.join(_capped(values, f"mix_{d}", want), f"mix_{d}")
+    return out
+
+
+def residuals(cells: DataFrame) -> DataFrame:
+    """dimension, value, target, expected of every value in the cells that ``rake`` gives."""
+    parts = [cells.groupBy(F.lit(d).alias("dimension"), F.col(f"mix_{d}").alias("value")).agg(
+        F.first(f"target_{d}").alias("target"), F.sum(F.col("probability") * F.col("tokens")).alias("expected")) for d in DIMENSIONS]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def rake(rows: DataFrame, *, rate: float = RATE, rounds: int | None = None, power: Mapping[str, float] = POWER,
+         shares: Mapping[str, Mapping[str | None, float]] | None = None, scratch: Scratch | None = None,
+         reconcile: bool = True) -> DataFrame:
+    """mix_source, mix_lang, mix_topic, tokens, probability and the three targets of every cell of ``measured`` rows.
+
+    With ``reconcile`` the rounds end when the margins are met, or at ``rounds``."""
     scratch = scratch or Scratch(rows.sparkSession, "raking")
     keys = [f"mix_{d}" for d in DIMENSIONS]
     cells = scratch.write(rows.groupBy(*keys).agg(F.sum("mix_tokens").alias("tokens")), "cells")
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    for d in DIMENSIONS:
-        cells = cells.join(targets(cells.select(*keys, "tokens"), d, total, rate, power.get(d, 1.0), (shares or {}).get(d)),
-                           f"mix_{d}")
-    state = scratch.write(cells.withColumn("probability", F.lit(rate)), "round0")
+    reconcile = reconcile and total > 0
+    if reconcile:
+        cells = _feasible(cells, total, rate, power, shares or {}, scratch)
+        start = F.when(F.col("usable"), F.lit(rate)).otherwise(0.0)
+    else:
+        for d in DIMENSIONS:
+            cells = cells.join(targets(cells.select(*keys, "tokens"), d, total, rate, power.get(d, 1.0), (shares or {}).get(d)),
+                               f"mix_{d}")
+        start = F.lit(rate)
+    state = scratch.write(cells.withColumn("probability", start), "round0")
+    if rounds is None:
+        rounds = MOST_ROUNDS if reconcile else ROUNDS
+    wanted, offs = [f"target_{d}" for d in DIMENSIONS], []
     for k in range(rounds):
         for d in DIMENSIONS:
-            now = state.groupBy(f"mix_{d}").agg(F.sum(F.col("probability") * F.col("tokens")).alias("now"))
-            factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(1.0)
-            state = state.join(now, f"mix_{d}") \
-                .withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("now")
+            state = (_step if reconcile else _plain_step)(state, d)
         state = scratch.write(state, f"round{k + 1}")
         scratch.drop(f"round{k}")
-    scratch.drop("cells")
-    return state.select(*keys, "tokens", "probability")
+        if reconcile:
+            bounded = state.withColumn("probability", F.least(F.lit(1.0), "probability"))
+            off = residuals(bounded).agg(F.max(F.abs(F.col("expected") - F.col("target")))).first()[0]
+            offs.append(off)
+            if off <= TOLERANCE * rate * total:
+                break
+            if k + 1 == MOST_ROUNDS or (k >= STILL and off > 0.99 * offs[-1 - STILL]):
+                warnings.warn(f"raking: margins can't be met together, off by up to {off:.0f} of {rate * total:.0f} tokens", stacklevel=2)
+                break
+    scratch.drop("cells", "marked")
+    return state.select(*keys, "tokens", F.least(F.lit(1.0), "probability").alias("probability"), *wanted)
+
+
+def _plain_step(state: DataFrame, d: str) -> DataFrame:
+    now = state.groupBy(f"mix_{d}").agg(F.sum(F.col("probability") * F.col("tokens")).alias("now"))
+    factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(1.0)
+    return state.join(now, f"mix_{d}") \
+        .withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("now")
+
+
+def _step(state: DataFrame, d: str) -> DataFrame:
+    """Scale what is below 1 so that a value's tokens meet its target; weights at 1 or more are cut back only if they alone exceed it."""
+    p, tokens, target = F.col("probability"), F.col("tokens"), F.col(f"target_{d}")
+    now = state.groupBy(f"mix_{d}").agg(F.sum(F.when(p >= 1, tokens).otherwise(0)).alias("full"),
+                                        F.sum(F.when(p < 1, p * tokens).otherwise(0.0)).alias("part"))
+    scaled = F.when((target > F.col("full")) & (F.col("part") > 0), p * (target - F.col("full")) / F.col("part")) \
+        .when((target <= F.col("full")) & (F.col("full") + F.col("part") > 0),
+              F.least(F.lit(1.0), p) * target / (F.col("full") + F.col("part"))).otherwise(p)
+    return state.join(now, f"mix_{d}").withColumn("probability", scaled).drop("full", "part")
 
 
 def sampled(rows: DataFrame, cells: DataFrame) -> DataFrame:
@@ -128,7 +220,7 @@ def op8_raking(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     scratch = Scratch(spark, "raking")
     rows = scratch.write(measured(docs).drop("text"), "rows")
-    cells = rake(rows, scratch=scratch)
+    cells = rake(rows, scratch=scratch, rounds=ROUNDS, reconcile=False)
     return sampled(rows, cells).select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
                                        F.col("mix_tokens").alias("n_tokens"),
                                        F.round("probability", 6).alias("probability"), "sampled")

@@ -45,6 +45,20 @@ def test_value_without_share_gets_nothing(spark):
     assert all(r["probability"] == 0 for r in out if r["mix_source"] == "=c")
 
 
+def test_margins_are_met_with_the_production_parameters(spark):
+    """Targets above their tokens (z, and c of a hot margin's partners) go to the other values; all margins meet theirs."""
+    cells = CELLS | {("a", "en", "z"): 60, ("b", "de", "z"): 40, ("hot", "en", "x"): 30000, ("hot", "de", "y"): 6000,
+                     ("hot", "en", "y"): 3000, ("hot", "de", "x"): 3000}
+    out = raking.rake(rows(spark, cells))
+    want = raking.RATE * sum(cells.values())
+    left = raking.residuals(out).collect()
+    assert max(abs(r["expected"] - r["target"]) for r in left) <= raking.TOLERANCE * want
+    for d in raking.DIMENSIONS:
+        assert sum(r["expected"] for r in left if r["dimension"] == d) == pytest.approx(want, rel=1e-5)
+    z = [r["probability"] for r in out.collect() if r["mix_topic"] == "z"]
+    assert z == pytest.approx([1.0] * 2, abs=1e-3)
+
+
 def test_default_lowers_the_hot_source(spark):
     out = raking.rake(rows(spark, {("hot", "en", "x"): 9000} | {(f"s{i}", "en", "x"): 500 for i in range(6)})).collect()
     p = {r["mix_source"]: r["probability"] for r in out}
