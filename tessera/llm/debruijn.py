@@ -14,7 +14,9 @@ of its last 34.  A word goes if some k-mer over it also starts anywhere else.
 4. Compaction.  Repeated runs are edges between their first and last nodes.  Where one run
    enters a node and one leaves it, they are linked, and pointer doubling by joins gives each
    run its path and its place on it; a path's source is its first run's first coordinate.
-5. Occurrences of the paths, found by run, become the words' ranges in each document.
+   The paths are a report: no word goes or stays by them.
+5. Counting decides: occurrences of whole copies, and the repeated k-mers of the other runs, become the
+   words' ranges in each document. Partly repeated runs are not edges of the graph.
 
 The minimizers that matter reach the text passes as a bitmap of fixed size; where it lets too
 much through, the exact joins behind it decide.  Joins and counts are on digests or hashes, with
