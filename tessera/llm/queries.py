@@ -5,7 +5,12 @@ from __future__ import annotations
 from tessera.llm.chat import op1_chat_fingerprints
 from tessera.llm.chat import oracle_sql as chat_sql
 from tessera.llm.debruijn import op3_debruijn
+from tessera.llm.divergence import op13_divergence_audit
+from tessera.llm.divergence import oracle_sql as divergence_sql
 from tessera.llm.feistel import op10_feistel_shards
+from tessera.llm.heapmeans import op11_heap_bounds
+from tessera.llm.heapmeans import oracle_sql as heapmeans_sql
+from tessera.llm.langbits import op12_language_bits
 from tessera.llm.linedrop import op7_cuckoo_lines
 from tessera.llm.mcd import op4_mcd_outliers
 from tessera.llm.oddsketch import op5_odd_sketch
@@ -28,6 +33,9 @@ QUERIES = {
     "op8_raking": op8_raking,
     "op9_path_templates": op9_path_templates,
     "op10_feistel_shards": op10_feistel_shards,
+    "op11_heap_bounds": op11_heap_bounds,
+    "op12_language_bits": op12_language_bits,
+    "op13_divergence_audit": op13_divergence_audit,
 }
 
 ORACLE: dict[str, str] = {
@@ -39,4 +47,6 @@ ORACLE: dict[str, str] = {
     "op8_raking": raking_sql(),
     "op9_path_templates": urltree_sql(),
     "op10_feistel_shards": op10_sql(),
+    "op11_heap_bounds": heapmeans_sql(),
+    "op13_divergence_audit": divergence_sql(),
 }

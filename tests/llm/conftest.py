@@ -12,9 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from odd_rows import SCHEMA, documents  # noqa: E402
 
 
-@pytest.fixture(scope="session", autouse=True)
+@pytest.fixture(scope="module", autouse=True)
 def few_partitions(spark):
-    """These operators run many small jobs here; two partitions show all that eight would."""
+    """These operators run many small jobs here; two partitions show all that eight would.  Set and taken
+    back by module: the session is shared with the other tests."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield

@@ -20,13 +20,13 @@ def duck():
     if not os.path.isdir(SF):
         pytest.skip("test tables not present")
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES)
 
 
