@@ -399,6 +399,29 @@ def _clustered(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("clustered_pruning")
+def _clustered_pruning(spark, sf_dir):
+    """The line fact written clustered: for the commonest value of each key, the rows that a filter on this key
+    alone finds, and whether the files' ranges let it open at most half of the files."""
+    import uuid
+    from tessera.operators.layout import clustered_write, file_ranges, files_opened
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "datamart", f"fct_sales_line_{uuid.uuid4().hex}")
+    keys = ["MK_TRUCK", "MK_LOCATION", "MK_DATE", "MK_CURRENCY"]
+    clustered_write(Warehouse.of(spark, sf_dir).fct_sales_line, path, keys)
+    written = spark.read.parquet(path)
+    found = None
+    for k in keys:
+        common = written.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("line_count")) \
+            .orderBy(F.desc("line_count"), k).limit(1) \
+            .select(F.lit(k).alias("key"), F.col(k).cast("string").alias("value"), "line_count")
+        found = common if found is None else found.unionByName(common)
+    found = cut_lineage(found, "probes")                    # one row per key
+    opened = files_opened(cut_lineage(file_ranges(written, keys), "ranges"), found)
+    return found.join(opened, ["key", "value"]).select(
+        "key", "value", "line_count", (2 * F.col("opened") <= F.col("files")).alias("opens_at_most_half"))
+
+
 @query("wide_line_clustered")
 def _wide_clustered(spark, sf_dir):
     """The wide line table written clustered, so reads by truck, location or date skip files."""
@@ -406,7 +429,7 @@ def _wide_clustered(spark, sf_dir):
     from tessera.operators.layout import clustered_write
     from tessera.session import scratch_path
     path = scratch_path(spark, "datamart", f"sales_line_{uuid.uuid4().hex}")
-    clustered_write(Warehouse.of(spark, sf_dir).sales_line, path, ["truck_id", "location_id", "line_ts"])
+    clustered_write(cut_lineage(Warehouse.of(spark, sf_dir).sales_line, "sales_line"), path, ["truck_id", "location_id", "line_ts"])
     return spark.read.parquet(path)
 
 
