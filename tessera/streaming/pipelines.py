@@ -2,27 +2,28 @@
 
 * :func:`run_quarantine_stream` appends failing rows to an append-only sink.
 * :func:`run_history_stream` tags each micro-batch once, stops on a broken fail rule, and
-  routes its rows: failing ones to quarantine, clean ones to the change store, from which the
-  SCD1 state or SCD2 history of the touched buckets is derived again
-  (:class:`~tessera.streaming.state.ChangeStore`; replay-safe).
+  routes its rows: failing ones to quarantine, clean ones into the stored history, of which only the
+  intervals that they fall into are read and written
+  (:class:`~tessera.streaming.state.SpliceStore`; replay-safe).
 * :func:`run_stream_static_asof` joins a change stream to static SCD2 history,
   each micro-batch with the batch as-of join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import history, quality
+from tessera.operators import quality
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import global_row_number, sized_broadcast
 from tessera.operators.quality import ADMIN
 from tessera.operators.temporal import as_of_join
 from tessera.session import cut_lineage
-from tessera.streaming.state import BATCH_BITS, ChangeStore
+from tessera.streaming.state import BATCH_BITS, SpliceStore
 
 
 def _drain(df: DataFrame, target: str, checkpoint: str) -> None:
@@ -52,27 +53,23 @@ class StreamedHistory:
 
 
 def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, checkpoint: str,
-                       buckets: int | None = None) -> StreamedHistory:
+                       buckets: int | None = None, on_delta: Callable[[DataFrame, int], None] | None = None) -> StreamedHistory:
     """One stream into both history and quarantine: every row ends in exactly one of them.
 
     The fail rules are checked on the whole clean batch before anything is written, so a batch
     that breaks one stops the stream and leaves no trace; the corrected batch then takes its
-    place.  Changes, deletes included, are stored, so arrival order does not matter: a late
+    place.  Deletes are stored as intervals too, so arrival order does not matter: a late
     change that sorts before a stored delete cannot reopen the key.  Each change gets its
     surrogate when it arrives (batch number, then place by key and sequence), and a version has
     that of the change that opened it, so numbers never change afterwards.
+
+    ``on_delta(rows, batch_id)`` is given each batch's signed change of the current versions (``_sign`` 1 or -1);
+    after a failure it may be given a batch again.
     """
     if scd_type not in (1, 2):
         raise ValueError(f"SCD type must be 1 or 2, not {scd_type!r}")
     spark = stream.sparkSession
-    store = ChangeStore.open(spark, root, buckets)
-    columns = [*e.column_names, *ADMIN, "WA_FROMDATE"] if scd_type == 1 \
-        else [e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"]
-
-    def derive(changes: DataFrame) -> DataFrame:
-        if scd_type == 1:
-            return history.scd1(changes, e).select(*columns)
-        return history.versions(changes, e).select(*columns)
+    store = SpliceStore.open(spark, root, e, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         tagged = cut_lineage(quality.tag(batch, e), "tagged_batch")
@@ -82,18 +79,19 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
             .withColumn(e.wk, F.lit(batch_id << BATCH_BITS).cast("long") + F.col("_place")).drop("_place")
         # numbering writes the batch, so a broken fail rule has stopped the run before this line
         quality.quarantine(tagged, e).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
-        touched = store.add(numbered.withColumn("_bucket", store.bucket(e.keys)), batch_id)
-        if touched:
-            state = derive(store.changes(touched, batch_id).drop("_bucket"))
-            store.replace(state.withColumn("_bucket", store.bucket(e.keys)), touched)
+        delta = store.apply(numbered, batch_id, deltas=on_delta is not None)
+        if delta is not None and on_delta is not None:
+            on_delta(delta, batch_id)
 
     _drain_batches(stream, merge, checkpoint)
-    nothing = spark.createDataFrame([], stream.schema)
-    tagged = quality.tag(nothing, e)
-    empty = derive(quality.clean(tagged).withColumn(e.wk, F.lit(0).cast("long")))
+    tagged = quality.tag(spark.createDataFrame([], stream.schema), e)
+    clean = quality.clean(tagged).withColumns({e.wk: F.lit(0).cast("long"), "__START_AT": F.col(e.sequence), "__END_AT": F.col(e.sequence)})
+    if scd_type == 1:
+        found = store.current(clean.select(*e.column_names, *ADMIN, "__START_AT")).withColumnRenamed("__START_AT", "WA_FROMDATE")
+    else:
+        found = store.versions(clean.select(e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"))
     bad = quality.quarantine(tagged, e)
-    read = spark.read.schema(bad.schema).parquet(f"{root}/quarantine/batch=*")
-    return StreamedHistory(store.read(empty), read)
+    return StreamedHistory(found, spark.read.schema(bad.schema).parquet(f"{root}/quarantine/batch=*"))
 
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from tessera.operators import history, quality
 from tessera.operators.entity import FAIL, Entity, Rule
 from tessera.streaming.pipelines import run_history_stream
@@ -81,7 +83,7 @@ def test_every_row_goes_to_history_or_quarantine(spark, tmp_path):
     root = str(tmp_path)
     _write_arrivals(spark, root)
     out = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
-    stored = spark.read.parquet(f"{root}/store/buckets=4/changes")
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/store/buckets=4/runs").where("NOT _root").dropDuplicates(["k", "__START_AT"])
     assert stored.count() + out.quarantine.count() == sum(len(a) for a in ARRIVALS)
     assert [(r.k, r.failed_rules) for r in out.quarantine.collect()] == [(3, ["v_non_negative"])]
 
@@ -99,7 +101,6 @@ def test_history_view_of_streamed_history_follows_start_order(spark, tmp_path):
 
 
 def test_broken_fail_rule_stops_the_stream_and_leaves_no_trace(spark, tmp_path):
-    import pytest
     root = str(tmp_path)
     good, bad = [change(1, 10, 0, "insert")], [change(2, 5, 1, "insert"), change(None, 7, 2, "insert")]
     spark.createDataFrame(good, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part0")
@@ -107,7 +108,7 @@ def test_broken_fail_rule_stops_the_stream_and_leaves_no_trace(spark, tmp_path):
     spark.createDataFrame(bad, SCHEMA).coalesce(1).write.parquet(f"{root}/feed/part1")
     with pytest.raises(Exception, match="k_not_null"):
         run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
-    assert spark.read.parquet(f"{root}/store/buckets=4/changes").count() == 1
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/store/buckets=4/runs").where("NOT _root").count() == 1
     # the corrected file takes the bad one's place
     import glob
     import os
@@ -121,39 +122,97 @@ def test_broken_fail_rule_stops_the_stream_and_leaves_no_trace(spark, tmp_path):
     assert sorted((r.k, r.v) for r in out.history.collect()) == [(1, 10), (2, 5), (3, 7)]
 
 
-def test_replayed_batch_rewrites_equal_rows_and_emptied_buckets(spark, tmp_path):
-    from pyspark.sql import functions as F
-    from tessera.streaming.state import ChangeStore
-    store = ChangeStore.open(spark, str(tmp_path / "s"), buckets=3)
-    assert ChangeStore.open(spark, str(tmp_path / "s"), buckets=3).buckets == 3
-
-    def rows(pairs):
-        return spark.createDataFrame(pairs, "k long, v string").withColumn("_bucket", store.bucket(["k"]))
-
-    for _ in range(2):                                          # a batch and its replay
-        touched = store.add(rows([(1, "a"), (2, "b"), (3, "c")]), 0)
-        store.replace(store.changes(touched, 0), touched)
-    empty = rows([]).drop("_bucket")
-    assert sorted(map(tuple, store.read(empty).collect())) == [(1, "a"), (2, "b"), (3, "c")]
-    assert ChangeStore.open(spark, str(tmp_path / "s"), buckets=9).buckets == 3
-    store.replace(rows([]).where(F.lit(False)), touched)        # history of these buckets is now empty
-    assert store.read(empty).count() == 0
-
-
-def test_hot_key_of_a_batch_is_stored_by_several_tasks(spark, tmp_path):
-    from pyspark.sql import functions as F
-    from tessera.streaming.state import ChangeStore
-    store = ChangeStore.open(spark, str(tmp_path / "s"), buckets=4)
-    rows = spark.range(40000).select(F.lit(7).cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("v")) \
-        .withColumn("_bucket", store.bucket(["k"]))
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
-    try:
-        (bucket,) = store.add(rows, 0)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    import glob
-    assert len(glob.glob(str(tmp_path / f"s/buckets=4/changes/_bucket={bucket}/batch=0/*.parquet"))) > 1
+def _changes(spark, rows):
+    """Clean changes (key, value, day, kind) as the store takes them."""
+    return quality.clean(quality.tag(spark.createDataFrame([change(*r) for r in rows], SCHEMA), E)) \
+        .select("k", "v", "WA_CRUD", "_commit_timestamp")
+
+
+def _store(spark, path, buckets=3):
+    from tessera.streaming.state import SpliceStore
+    return SpliceStore.open(spark, str(path), E, buckets)
+
+
+def _versions(spark, store):
+    empty = spark.createDataFrame([], "k long, v int, __START_AT timestamp_ntz, __END_AT timestamp_ntz")
+    return sorted(map(tuple, store.versions(empty).collect()), key=repr)
+
+
+def _expected(rows):
+    """Versions by key from plain lists: the last arrival of one key and day counts."""
+    latest = {}
+    for k, v, day, kind in rows:
+        latest[k, day] = (v, kind)
+    out = []
+    for (k, day), (v, kind) in latest.items():
+        later = [d for (kk, d) in latest if kk == k and d > day]
+        if kind != "delete":
+            out.append((k, v, ts(day), ts(min(later)) if later else None))
+    return sorted(out, key=repr)
+
+
+def _batches(n, per_batch=12, keys=9, seed=3):
+    """Mostly on time, some late, some deletes, one hot key; new keys turn up all the time."""
+    import random
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        rows = []
+        for _ in range(per_batch):
+            day = i * 10 + rng.randint(0, 9) if rng.random() < 0.8 else rng.randint(0, i * 10 + 9)
+            k = 1 if rng.random() < 0.3 else rng.randint(2, keys + i)
+            rows.append((k, rng.randint(0, 99), day, "delete" if rng.random() < 0.2 else "insert"))
+        out.append(list({(r[0], r[2]): r for r in rows}.values()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [{}, {"hot_rows": 1, "chunk_rows": 1, "fraction": 1.0}])
+def test_spliced_history_equals_history_of_all_changes(spark, tmp_path, hot):
+    store, seen = _store(spark, tmp_path / "s"), []
+    current = {}
+    for i, rows in enumerate(_batches(4, per_batch=20)):
+        delta = store.apply(_changes(spark, rows), i, deltas=True, **hot)
+        for r in sorted(delta.collect(), key=lambda r: r["_sign"]):
+            (current.pop((r["k"], r["__START_AT"])) if r["_sign"] < 0 else current.update({(r["k"], r["__START_AT"]): r["v"]}))
+        seen += rows
+        assert _versions(spark, store) == _expected(seen)
+        assert sorted((k, v, a, None) for (k, a), v in current.items()) == sorted(x for x in _expected(seen) if x[3] is None)
+
+
+def test_replayed_batch_and_merged_runs(spark, tmp_path):
+    store, seen = _store(spark, tmp_path / "s"), []
+    for i, rows in enumerate(_batches(9, per_batch=5)):
+        store.apply(_changes(spark, rows), i)
+        if i in (3, 4, 8):                                      # before and after a merge
+            store.apply(_changes(spark, rows), i)
+        seen += rows
+    assert store.runs() == [(0, 3), (4, 7), (8, 8)]
+    assert _versions(spark, store) == _expected(seen)
+    assert _store(spark, tmp_path / "s", 7).buckets == 3
+
+
+def test_a_batch_reads_the_intervals_around_its_changes(spark, tmp_path):
+    """Each batch changes the same keys: what it finds near is one open interval per key and run, however long the history."""
+    store, found = _store(spark, tmp_path / "s"), []
+    near = store.near
+    store.near = lambda *a: found.append(near(*a)) or found[-1]
+    reads = []
+    for i in range(9):
+        rows = [(k, i, i * 10, "insert") for k in range(40)] + ([(3, i, 5, "insert")] if i == 6 else [])
+        store.apply(_changes(spark, rows), i)
+        reads.append(found[-1].count())
+    assert reads[:6] == [0, 40, 80, 120, 40, 80] and 120 < reads[6] < 130 and reads[8] == 80       # merged after every fourth batch
+    assert store.runs() == [(0, 3), (4, 7), (8, 8)]
+    empty = spark.createDataFrame([], "k long, v int, __START_AT timestamp_ntz, __END_AT timestamp_ntz")
+    assert store.versions(empty).count() == 40 * 9 + 1 and store.current(empty).count() == 40
+
+
+def test_only_deletes_of_a_key_leave_no_version(spark, tmp_path):
+    store = _store(spark, tmp_path / "s")
+    store.apply(_changes(spark, [(1, None, 3, "delete")]), 0)
+    assert _versions(spark, store) == []
+    store.apply(_changes(spark, [(1, 5, 1, "insert")]), 1)
+    assert _versions(spark, store) == [(1, 5, ts(1), ts(3))]
 
 
 def test_batch_with_nothing_clean_keeps_state(spark, tmp_path):
