@@ -237,6 +237,21 @@ def _fact_merge(w):
     return star.fact_increment(fact.where(late), stale, "merge", keys=["order_id"])
 
 
+@register("fact_merge_partitions")
+def _fact_merge_partitions(w):
+    """As ``fact_merge``, on a stored fact by month of order: only the months of the merged rows are written."""
+    import uuid
+    from tessera.operators.partitions import merge_partitions, month_of, read_partitioned, write_partitioned
+    from tessera.session import scratch_path
+    fact, mark = _loaded_before_last_month(w)
+    late, month = F.col("WA_CRUDDTS") >= mark, month_of(F.col("order_ts"))
+    path = scratch_path(w.spark, "datamart", f"fct_order_{uuid.uuid4().hex}")
+    stale = F.when(late, F.lit(0)).otherwise(F.col("order_total")).cast("decimal(38,4)")
+    write_partitioned(fact.withColumn("order_total", stale), path, month)
+    merge_partitions(fact.where(late), path, ["order_id"], month)
+    return read_partitioned(w.spark, path)
+
+
 @register("fact_overwrite")
 def _fact_overwrite(w):
     """The fact rebuilt in full."""
@@ -547,6 +562,27 @@ def _reconcile(w):
     return reconcile(src, tgt, ["order_id"])
 
 
+@register("digest_diff")
+def _digest_diff(w):
+    """As ``snapshot_diff``, of stored snapshots: digests first, rows only where they differ."""
+    from tessera.operators.changes import as_of
+    from tessera.operators.digests import diff_by_digest
+    old = cut_lineage(as_of(w.header_feed, ["order_id"], version=0).select(*_STG), "old_snapshot")
+    new = cut_lineage(as_of(w.header_feed, ["order_id"], version=2).select(*_STG), "new_snapshot")
+    return diff_by_digest(old, new, ["order_id"], 3, F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+@register("digest_reconcile")
+def _digest_reconcile(w):
+    """Keys whose row hash is not the same in the latest staged rows and the current history, and the count of all
+    that match."""
+    from tessera.operators.changes import as_of
+    from tessera.operators.digests import reconcile_by_digest
+    src = cut_lineage(quality.tag(as_of(w.header_feed, ["order_id"]), HEADER).select("order_id", "WA_HASH"), "source_hashes")
+    tgt = cut_lineage(w.dwh_header.where("WA_ISCURR = 1").select("order_id", "WA_HASH"), "target_hashes")
+    return reconcile_by_digest(src, tgt, ["order_id"])
+
+
 @register("fk_hash")
 def _fk_hash(w):
     """Reference-key hash on lines, joined to the header by hash."""
@@ -660,14 +696,15 @@ def _q_stream(w):
     return w.spark.read.parquet(f"{root}/dwq")
 
 
-def _history_stream(w, name, entity, scd_type, split_by):
+def _history_stream(w, name, entity, scd_type, split_by, make_delta=None):
     from tessera.streaming.feeds import read_feed_stream, write_feed
     from tessera.streaming.pipelines import run_history_stream
     root, ck = _stream_paths(w.spark, name)
+    on_delta = make_delta(root) if make_delta else None
     feed = w.events_feed if entity is EVENTS else w.header_feed
     write_feed(feed, f"{root}/feed", split_by=split_by)
     stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
-    return run_history_stream(stream, entity, scd_type, f"{root}/store", ck)
+    return run_history_stream(stream, entity, scd_type, f"{root}/store", ck, on_delta=on_delta)
 
 
 @register("scd1_stream")
@@ -695,6 +732,26 @@ def _dwh_stream(w):
         .select("user_id", "event_id", "WA_FROMDATE", "WA_UNTODATE", "WA_ISCURR", "previous_from", "root_from")
 
 
+@register("incremental_totals")
+def _incremental_totals(w):
+    """Monthly revenue by currency and daily revenue by truck, maintained from each batch's signed change of the
+    current order versions."""
+    from tessera.streaming.totals import Totals
+    day = F.to_date("order_ts")
+    revenue = {"revenue": F.col("order_total")}
+    kept = {}
+
+    def keep(root):
+        kept["month"] = Totals(w.spark, f"{root}/monthly", {"period": F.trunc(day, "month"), "member": F.col("order_currency")}, revenue)
+        kept["day"] = Totals(w.spark, f"{root}/daily", {"period": day, "member": F.col("truck_id").cast("string")}, revenue)
+        return lambda delta, batch: [t.apply(delta, batch) for t in kept.values()]
+
+    _history_stream(w, "totals", HEADER, 2, "_commit_timestamp", keep)
+    parts = [t.read().select(F.lit(grain).alias("grain"), "period", "member", F.col("revenue").cast("decimal(38,4)").alias("revenue"),
+                             F.col("row_count").alias("orders")) for grain, t in kept.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @register("stream_split")
 def _stream_split(w):
     """One stream into history and quarantine: rows read, stored as versions or deletes, and quarantined."""

@@ -53,14 +53,48 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
 
 
 @dataclass
-class SpliceStore:
+class Runs:
+    """Folders ``runs/<first batch>-<last batch>`` below ``root``: one per batch, merged by level."""
+
+    spark: SparkSession
+    root: str
+
+    def runs(self, before: int | None = None) -> list[tuple[int, int]]:
+        """(first, last) of the complete runs that no other run covers, up to the batch ``before``."""
+        done = [p.rsplit("/", 2)[1] for p in _glob(self.spark, f"{self.root}/runs/*/_SUCCESS")]
+        spans = [tuple(map(int, name.split("-"))) for name in done]
+        spans = [s for s in spans if before is None or s[1] < before]
+        return sorted(s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans))
+
+    def _path(self, span: tuple[int, int]) -> str:
+        return f"{self.root}/runs/{span[0]:06d}-{span[1]:06d}"
+
+    def _merge(self, batch_id: int) -> None:
+        """Merge the last runs of a level before batch ``batch_id``; all of their batches are done for good by then."""
+        width = 1
+        while batch_id and batch_id % (width * FAN) == 0:
+            width *= FAN
+        live = [s for s in self.runs(before=batch_id) if s[0] >= batch_id - width]
+        if width > 1 and len(live) > 1:
+            self._combine(live, (batch_id - width, batch_id - 1))
+        keep = self.runs(before=batch_id)
+        for name in [p.rsplit("/", 1)[1] for p in _glob(self.spark, f"{self.root}/runs/*")]:
+            first, last = map(int, name.split("-"))
+            if last < batch_id and (first, last) not in keep:
+                p, fs = _fs(self.spark, f"{self.root}/runs/{name}")
+                fs.delete(p, True)
+
+    def _combine(self, live: list[tuple[int, int]], span: tuple[int, int]) -> None:
+        raise NotImplementedError
+
+
+@dataclass
+class SpliceStore(Runs):
     """Intervals of one entity below ``root``.
 
     The number of buckets is fixed when the store is created and is part of its path, so a later run with other
     settings finds the same buckets.  ``visible`` is the SQL condition of a change that is a version (no delete)."""
 
-    spark: SparkSession
-    root: str
     buckets: int
     keys: tuple[str, ...]
     sequence: str
@@ -75,16 +109,6 @@ class SpliceStore:
         return cls(spark, f"{root}/buckets={n}", n, e.keys, e.sequence, e.tiebreak, f"NOT coalesce({e.delete_when}, false)")
 
     # runs ------------------------------------------------------------------
-    def runs(self, before: int | None = None) -> list[tuple[int, int]]:
-        """(first, last) of the complete runs that no other run covers, up to the batch ``before``."""
-        done = [p.rsplit("/", 2)[1] for p in _glob(self.spark, f"{self.root}/runs/*/_SUCCESS")]
-        spans = [tuple(map(int, name.split("-"))) for name in done]
-        spans = [s for s in spans if before is None or s[1] < before]
-        return sorted(s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans))
-
-    def _path(self, span: tuple[int, int]) -> str:
-        return f"{self.root}/runs/{span[0]:06d}-{span[1]:06d}"
-
     def _read(self, spans: Sequence[tuple[int, int]], schema) -> DataFrame:
         paths = [p for s in spans for p in _glob(self.spark, f"{self._path(s)}/_bucket=*")]
         if not paths:
@@ -183,22 +207,11 @@ class SpliceStore:
             .write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def _merge(self, batch_id: int) -> None:
-        """Merge the last runs of a level before batch ``batch_id``; all of their batches are done for good by then."""
-        width = 1
-        while batch_id and batch_id % (width * FAN) == 0:
-            width *= FAN
-        span = (batch_id - width, batch_id - 1)
-        live = [s for s in self.runs(before=batch_id) if s[0] >= span[0]]
-        if width > 1 and len(live) > 1:
-            some = next(p for s in live for p in _glob(self.spark, f"{self._path(s)}/_bucket=*"))
+    def _combine(self, live: list[tuple[int, int]], span: tuple[int, int]) -> None:
+        some = next((p for s in live for p in _glob(self.spark, f"{self._path(s)}/_bucket=*")), None)
+        if some:
             schema = self.spark.read.option("basePath", some.rsplit("/", 1)[0]).parquet(some).schema
             self._write(self._newest(self._read(live, schema)).drop("_bucket"), span)
-        for name in [p.rsplit("/", 1)[1] for p in _glob(self.spark, f"{self.root}/runs/*")]:
-            first, last = map(int, name.split("-"))
-            if last < batch_id and (first, last) not in self.runs(before=batch_id):
-                p, fs = _fs(self.spark, f"{self.root}/runs/{name}")
-                fs.delete(p, True)
 
     # reading ---------------------------------------------------------------
     def versions(self, empty: DataFrame) -> DataFrame:
