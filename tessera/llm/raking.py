@@ -11,15 +11,14 @@ share the rest in proportion to their shares, so that all three margins have the
 kept beyond 1 between the steps, and a factor counts only what is not at 1 already, until no margin
 is off by more than ``TOLERANCE`` of the expected tokens. Margins that no sample can meet together
 end with a warning once the rounds gain nothing (``STILL``), or after ``MOST_ROUNDS``; ``residuals`` gives each value's target and expected tokens.
-The registered query keeps the law of its SQL (``reconcile=False``): ``ROUNDS`` rounds with targets
-that may be out of reach.
+The registered query runs ``ROUNDS`` rounds, after which every margin is met as well, so that SQL can state them.
 
 Targets are absolute expected tokens: a share for each value, times ``RATE`` of all tokens.
 Shares may be given; otherwise they are the corpus's own, raised to ``POWER`` and
 normalised, which lowers large values and lifts small ones without listing them.
 
 Cells are map-side sums, so a source that holds a third of all rows is one row a task. The
-raking works on the table of cells alone, cut from its lineage in every round.
+raking works on the table of cells alone, cut from its lineage every ``ROUNDS_AT_ONCE`` rounds.
 
 Null source or language is a value of its own. Null or empty texts have no tokens: they move
 no margin and are sampled with their cell. Repeated rows draw the same number and stay or go
@@ -33,16 +32,17 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, packed, table
 
 RATE = 0.6
 POWER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
-ROUNDS = 10
+ROUNDS = 24                     # of the registered query, so that SQL can state them
 MOST_ROUNDS = 200
-STILL = 10                      # rounds without a gain of a hundredth, to end without meeting the margins
+ROUNDS_AT_ONCE = 4              # rounds of one Spark job, between looks at the margins
+STILL = 16                      # rounds without a gain of a hundredth, to end without meeting the margins
 TOLERANCE = 1e-6                # of the expected tokens
 SEED = 8
 DIMENSIONS = ("source", "lang", "topic")
@@ -140,63 +140,54 @@ def residuals(cells: DataFrame) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2])
 
 
-def rake(rows: DataFrame, *, rate: float = RATE, rounds: int | None = None, power: Mapping[str, float] = POWER,
+def rake(rows: DataFrame, *, rate: float = RATE, rounds: int = MOST_ROUNDS, power: Mapping[str, float] = POWER,
          shares: Mapping[str, Mapping[str | None, float]] | None = None, scratch: Scratch | None = None,
-         reconcile: bool = True) -> DataFrame:
+         tolerance: float = TOLERANCE) -> DataFrame:
     """mix_source, mix_lang, mix_topic, tokens, probability and the three targets of every cell of ``measured`` rows.
 
-    With ``reconcile`` the rounds end when the margins are met, or at ``rounds``."""
+    The rounds end when every margin is within ``tolerance`` of the expected tokens, or at ``rounds``.  A job runs
+    ``ROUNDS_AT_ONCE`` of them, sums over windows of the cells; ``residuals`` of the result tells how far each margin is off."""
     scratch = scratch or Scratch(rows.sparkSession, "raking")
-    keys = [f"mix_{d}" for d in DIMENSIONS]
+    keys, wanted = [f"mix_{d}" for d in DIMENSIONS], [f"target_{d}" for d in DIMENSIONS]
     cells = scratch.write(rows.groupBy(*keys).agg(F.sum("mix_tokens").alias("tokens")), "cells")
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    reconcile = reconcile and total > 0
-    if reconcile:
-        cells = _feasible(cells, total, rate, power, shares or {}, scratch)
-        start = F.when(F.col("usable"), F.lit(rate)).otherwise(0.0)
-    else:
-        for d in DIMENSIONS:
-            cells = cells.join(targets(cells.select(*keys, "tokens"), d, total, rate, power.get(d, 1.0), (shares or {}).get(d)),
-                               f"mix_{d}")
-        start = F.lit(rate)
-    state = scratch.write(cells.withColumn("probability", start), "round0")
-    if rounds is None:
-        rounds = MOST_ROUNDS if reconcile else ROUNDS
-    wanted, offs = [f"target_{d}" for d in DIMENSIONS], []
-    for k in range(rounds):
-        for d in DIMENSIONS:
-            state = (_step if reconcile else _plain_step)(state, d)
-        state = scratch.write(state, f"round{k + 1}")
-        scratch.drop(f"round{k}")
-        if reconcile:
-            bounded = state.withColumn("probability", F.least(F.lit(1.0), "probability"))
-            off = residuals(bounded).agg(F.max(F.abs(F.col("expected") - F.col("target")))).first()[0]
-            offs.append(off)
-            if off <= TOLERANCE * rate * total:
-                break
-            if k + 1 == MOST_ROUNDS or (k >= STILL and off > 0.99 * offs[-1 - STILL]):
-                warnings.warn(f"raking: margins can't be met together, off by up to {off:.0f} of {rate * total:.0f} tokens", stacklevel=2)
-                break
+    if not total:                                           # nothing to weigh: every document has the rate
+        return cells.select(*keys, "tokens", F.lit(rate).alias("probability"), *(F.lit(0.0).alias(c) for c in wanted))
+    state = _feasible(cells, total, rate, power, shares or {}, scratch)
+    state = scratch.write(state.withColumn("probability", F.when(F.col("usable"), F.lit(rate)).otherwise(0.0)), "round0")
+    done, offs = 0, []
+    while done < rounds:
+        before, step = done, min(ROUNDS_AT_ONCE, rounds - done)
+        for _ in range(step):
+            for d in DIMENSIONS:
+                state = _step(state, d)
+        done += step
+        state = scratch.write(state, f"round{done}")
+        scratch.drop(f"round{before}")
+        if tolerance <= 0:
+            continue
+        bounded = state.withColumn("probability", F.least(F.lit(1.0), "probability"))
+        off = residuals(bounded).agg(F.max(F.abs(F.col("expected") - F.col("target")))).first()[0]
+        offs.append(off)
+        if off <= tolerance * rate * total:
+            break
+        if done >= rounds or (len(offs) * ROUNDS_AT_ONCE > STILL and off > 0.99 * offs[-1 - STILL // ROUNDS_AT_ONCE]):
+            warnings.warn(f"raking: margins can't be met together, off by up to {off:.0f} of {rate * total:.0f} tokens", stacklevel=2)
+            break
     scratch.drop("cells", "marked")
     return state.select(*keys, "tokens", F.least(F.lit(1.0), "probability").alias("probability"), *wanted)
 
 
-def _plain_step(state: DataFrame, d: str) -> DataFrame:
-    now = state.groupBy(f"mix_{d}").agg(F.sum(F.col("probability") * F.col("tokens")).alias("now"))
-    factor = F.when(F.col("now") > 0, F.col(f"target_{d}") / F.col("now")).otherwise(1.0)
-    return state.join(now, f"mix_{d}") \
-        .withColumn("probability", F.least(F.lit(1.0), F.col("probability") * factor)).drop("now")
-
-
 def _step(state: DataFrame, d: str) -> DataFrame:
     """Scale what is below 1 so that a value's tokens meet its target; weights at 1 or more are cut back only if they alone exceed it."""
     p, tokens, target = F.col("probability"), F.col("tokens"), F.col(f"target_{d}")
-    now = state.groupBy(f"mix_{d}").agg(F.sum(F.when(p >= 1, tokens).otherwise(0)).alias("full"),
-                                        F.sum(F.when(p < 1, p * tokens).otherwise(0.0)).alias("part"))
+    value = Window.partitionBy(f"mix_{d}")
+    state = state.withColumns({"full": F.sum(F.when(p >= 1, tokens).otherwise(0)).over(value),
+                               "part": F.sum(F.when(p < 1, p * tokens).otherwise(0.0)).over(value)})
     scaled = F.when((target > F.col("full")) & (F.col("part") > 0), p * (target - F.col("full")) / F.col("part")) \
         .when((target <= F.col("full")) & (F.col("full") + F.col("part") > 0),
               F.least(F.lit(1.0), p) * target / (F.col("full") + F.col("part"))).otherwise(p)
-    return state.join(now, f"mix_{d}").withColumn("probability", scaled).drop("full", "part")
+    return state.withColumn("probability", scaled).drop("full", "part")
 
 
 def sampled(rows: DataFrame, cells: DataFrame) -> DataFrame:
@@ -220,7 +211,7 @@ def op8_raking(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     scratch = Scratch(spark, "raking")
     rows = scratch.write(measured(docs).drop("text"), "rows")
-    cells = rake(rows, scratch=scratch, rounds=ROUNDS, reconcile=False)
+    cells = rake(rows, scratch=scratch, rounds=ROUNDS, tolerance=0)
     return sampled(rows, cells).select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"),
                                        F.col("mix_tokens").alias("n_tokens"),
                                        F.round("probability", 6).alias("probability"), "sampled")
@@ -232,14 +223,23 @@ def oracle_sql(documents: str = "documents") -> str:
     for k in range(ROUNDS):
         for d in DIMENSIONS:
             name = f"r{k}_{d}"
-            now = f"sum(p * tokens) OVER (PARTITION BY {d}_key)"
-            steps.append(f"{name} AS (SELECT * REPLACE (least(1.0::DOUBLE, p * CASE WHEN {now} > 0 "
-                         f"THEN target_{d} / {now} ELSE 1.0 END) AS p) FROM {last})")
+            full = f"(sum(CASE WHEN p >= 1 THEN tokens ELSE 0 END) OVER (PARTITION BY {d}_key))"
+            part = f"(sum(CASE WHEN p < 1 THEN p * tokens ELSE 0 END) OVER (PARTITION BY {d}_key))"
+            steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN target_{d} > {full} AND {part} > 0 THEN p * (target_{d} - {full}) / {part} "
+                         f"WHEN target_{d} <= {full} AND {full} + {part} > 0 THEN least(1.0::DOUBLE, p) * target_{d} / ({full} + {part}) "
+                         f"ELSE p END AS p) FROM {last})")
             last = name
+    # values that would get more than they have give all; the level of the others follows from how many those are
     target = ",\n".join(
-        f"t_{d} AS (SELECT {d}_key, pow(sum(tokens) / max(total), {POWER[d]}) / "
-        f"sum(pow(sum(tokens) / max(total), {POWER[d]})) OVER () * {RATE} * max(total) AS target_{d} "
-        f"FROM cells, (SELECT greatest(sum(tokens), 1)::DOUBLE AS total FROM cells) GROUP BY {d}_key)" for d in DIMENSIONS)
+        f"v_{d} AS (SELECT {d}_key, sum(tokens) AS own, pow(sum(tokens) / max(total), {POWER[d]}) AS part, {RATE} * max(total) AS want "
+        f"FROM cells, (SELECT greatest(sum(tokens), 1)::DOUBLE AS total FROM cells) GROUP BY {d}_key),\n"
+        f"level_{d} AS (SELECT coalesce(min_by(level, k) FILTER (WHERE own / part > level), 'infinity'::DOUBLE) AS level FROM "
+        f"(SELECT row_number() OVER w AS k, own, part, "
+        f"greatest(want - coalesce(sum(own) OVER before, 0), 0) / sum(part) OVER since AS level FROM v_{d} WHERE part > 0 "
+        f"WINDOW w AS (ORDER BY own / part), before AS (ORDER BY own / part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), "
+        f"since AS (ORDER BY own / part ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),\n"
+        f"t_{d} AS (SELECT {d}_key, CASE WHEN part > 0 THEN least(own, level * part) ELSE 0 END AS target_{d} FROM v_{d}, level_{d})"
+        for d in DIMENSIONS)
     return f"""
 WITH base AS (
   SELECT doc_id, source, lang, coalesce(text, '') AS t,
@@ -258,5 +258,5 @@ cells AS (SELECT source_key, lang_key, topic_key, sum(n_tokens)::DOUBLE AS token
 start AS (SELECT c.*, target_source, target_lang, target_topic, {RATE}::DOUBLE AS p
           FROM cells c JOIN t_source USING (source_key) JOIN t_lang USING (lang_key) JOIN t_topic USING (topic_key)),
 {", ".join(steps)}
-SELECT doc_id, source, lang, topic_key AS topic, n_tokens, round(p, 6) AS probability, u < p AS sampled
+SELECT doc_id, source, lang, topic_key AS topic, n_tokens, round(least(1.0::DOUBLE, p), 6) AS probability, u < p AS sampled
 FROM rows JOIN {last} USING (source_key, lang_key, topic_key)"""

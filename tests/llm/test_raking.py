@@ -98,6 +98,18 @@ def test_odd_documents(spark, no_docs, odd_docs):
     assert raking.mix(odd_docs.where("text is null or trim(text) = ''"), rounds=2).count() >= 0
 
 
+def test_the_registered_query_meets_every_margin(spark):
+    """With its parameters, on given documents: source, language and topic within 1e-5 of the expected tokens."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cells = raking.rake(raking.measured(docs), rounds=raking.ROUNDS, tolerance=0)
+    left = raking.residuals(cells).collect()
+    total = cells.agg(F.sum("tokens")).first()[0]
+    assert {r["dimension"] for r in left} == set(raking.DIMENSIONS)
+    assert max(abs(r["expected"] - r["target"]) for r in left) <= 1e-5 * raking.RATE * total
+    for d in raking.DIMENSIONS:
+        assert sum(r["expected"] for r in left if r["dimension"] == d) == pytest.approx(raking.RATE * total, rel=1e-5)
+
+
 def test_query_has_every_document(spark, docs_dir):
     got = raking.op8_raking(spark, docs_dir).collect()
     assert len(got) == len(documents()) and all(0 < r["probability"] <= 1 for r in got)
