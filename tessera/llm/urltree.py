@@ -4,13 +4,16 @@ The longest rule that fits a url decides it. The others are judged by templates:
 
 1. Wildcards. Digits in a segment become ``#``. Then, from the top of each host's tree, a node
    with many children (over ``MAX_KIDS``) keeps those that hold a share of its pages, and
-   generalises the others into one ``*``. Segments below ``DEPTH`` count as one ``**``.
+   generalises the others into one ``*``. The tree is as deep as the longest path.
 2. Merging. A branch's labelled pages are tested against all of its parent's (two-sided
    binomial test, normal approximation). A branch that does not differ is merged into its
    parent, so each template stands for the largest part of the tree around it that looks alike.
 3. Purity. A template's share of bad pages is smoothed towards the corpus's share with
    ``PRIOR`` pages; a template with a share above ``REJECT`` is rejected.
 
+The levels are done one after another: wildcards, sums and the test of one level are one small job on the
+paths that reach it, and its result is written, so no plan grows with the depth of the paths.
+
 All steps work on counts by (host, path template), summed map-side: a host with a third of all
 pages is as many rows as it has distinct templates, and pages are joined once with the verdict
 of their path (Spark ships that table while it is small, and splits skewed keys beyond).
@@ -25,12 +28,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, lower_az, others, packed, table
 
-DEPTH = 4
+SQL_DEPTH = 8                   # levels that the registered SQL spells out
 MAX_KIDS = 20
 KEEP_SHARE = 0.01               # of the parent's pages, for a child of a node with many
 KEEP_PAGES = 5
@@ -59,49 +62,51 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
 
 
 def _segments(path: Column) -> Column:
-    """Segments of a path: digits as #, empty ones left out, those below DEPTH as one ``**``."""
-    s = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "#"), "/"), lambda x: x != "")
-    return F.when(F.size(s) > DEPTH, F.concat(F.slice(s, 1, DEPTH), F.array(F.lit("**")))).otherwise(s)
-
-
-def path_templates(counts: DataFrame) -> DataFrame:
-    """``counts`` (host, shape, pages, labelled, bad) with ``t0``..: prefixes of its template, from the root down.
-
-    A path that ends above a level repeats its last prefix there."""
-    out = counts.withColumn("t0", F.lit(""))
-    for level in range(DEPTH + 1):
-        seg = F.get("shape", F.lit(level))
-        parent = f"t{level}"
-        kids = out.where(seg.isNotNull()).groupBy("host", parent, seg.alias("seg")).agg(F.sum("pages").alias("n"))
-        nodes = kids.groupBy("host", parent).agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all"))
-        crowded = nodes.where(F.col("kids") > MAX_KIDS)
-        few = kids.join(crowded, ["host", parent]) \
-            .where((F.col("n") < KEEP_PAGES) | (F.col("n") < F.col("all") * KEEP_SHARE)) \
-            .select("host", parent, "seg", F.lit("*").alias("wild"))
-        out = out.withColumn("seg", seg).join(few, ["host", parent, "seg"], "left") \
-            .withColumn(f"t{level + 1}", F.when(F.col("seg").isNull(), F.col(parent))
-                        .otherwise(F.concat(F.col(parent), F.lit("/"), F.coalesce("wild", "seg")))).drop("seg", "wild")
-    return out
-
-
-def judged_templates(paths: DataFrame) -> DataFrame:
-    """host, shape, ``template`` (the branch that stands for it after merging) and ``bad_share`` (smoothed)."""
-    whole = paths.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n"))
-    base = whole.select(((F.coalesce("b", F.lit(0)) + F.lit(1.0)) / (F.coalesce("n", F.lit(0)) + F.lit(2.0))).alias("base"))
-    out = paths.join(F.broadcast(base))
-    for level in range(DEPTH + 2):
-        t = f"t{level}"
-        node = paths.groupBy("host", t).agg(F.sum("labelled").alias(f"n{level}"), F.sum("bad").alias(f"b{level}"))
-        out = out.join(node, ["host", t])
-    chosen = F.struct(F.col("t0").alias("template"), F.col("n0").alias("n"), F.col("b0").alias("b"))
-    for level in range(1, DEPTH + 2):
-        n, b, pn, pb = (F.col(c) for c in (f"n{level}", f"b{level}", f"n{level - 1}", f"b{level - 1}"))
-        p = (pb + F.col("base")) / (pn + 1.0)
+    """Segments of a path: digits as #, empty ones left out."""
+    return F.filter(F.split(F.regexp_replace(path, "[0-9]+", "#"), "/"), lambda x: x != "")
+
+
+def _one_down(rows: DataFrame, level: int) -> DataFrame:
+    """``rows`` with ``t`` one segment longer (unchanged where the path has ended) and ``up``, what it was."""
+    rows = rows.withColumns({"seg": F.get("shape", F.lit(level)), "up": F.col("t")})
+    kids = rows.where("seg IS NOT NULL").groupBy("host", "up", "seg").agg(F.sum("pages").alias("kid_pages"))
+    node = Window.partitionBy("host", "up")
+    wild = (F.col("kids") > MAX_KIDS) & ((F.col("kid_pages") < KEEP_PAGES) | (F.col("kid_pages") < F.col("every") * KEEP_SHARE))
+    few = kids.withColumns({"kids": F.count(F.lit(1)).over(node), "every": F.sum("kid_pages").over(node)}) \
+        .where(wild).select("host", "up", "seg", F.lit("*").alias("wild"))
+    return rows.join(few, ["host", "up", "seg"], "left") \
+        .withColumn("t", F.when(F.col("seg").isNull(), F.col("up"))
+                    .otherwise(F.concat(F.col("up"), F.lit("/"), F.coalesce("wild", "seg")))).drop("wild")
+
+
+def judged_templates(counts: DataFrame, scratch: Scratch) -> DataFrame:
+    """host, shape, ``template`` (the branch that stands for it after merging) and ``bad_share`` (smoothed) of
+    ``counts``: host, shape, pages, labelled, bad.
+
+    From the root down, each level's branches are summed and tested against their parents.  A path that
+    ends at a node is a branch of its own there, and done."""
+    whole = counts.agg(F.sum("bad").alias("b"), F.sum("labelled").alias("n"), F.max(F.size("shape")).alias("depth")).first()
+    base = F.lit(((whole["b"] or 0) + 1.0) / ((whole["n"] or 0) + 2.0))
+    roots = counts.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    state = counts.join(roots, "host").withColumn("t", F.lit("")) \
+        .withColumn("chosen", F.struct(F.col("t").alias("template"), "n", "b"))
+    state, done = scratch.write(state, "root"), []
+    for level in range((whole["depth"] or 0) + 1):
+        rows = _one_down(state.withColumnsRenamed({"n": "pn", "b": "pb"}), level)
+        sums = rows.groupBy("host", "t").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+        rows = rows.join(sums, ["host", "t"])
+        n, b, p = F.col("n"), F.col("b"), (F.col("pb") + base) / (F.col("pn") + 1.0)
         differs = (n >= MIN_LABELLED) & (F.abs(b - n * p) > Z * F.sqrt(n * p * (1.0 - p)))
-        chosen = F.when(differs, F.struct(F.col(f"t{level}").alias("template"), n.alias("n"), b.alias("b"))).otherwise(chosen)
-    out = out.withColumn("chosen", chosen)
-    share = (F.col("chosen.b") + F.col("base") * PRIOR) / (F.col("chosen.n") + PRIOR)
-    return out.select("host", "shape", F.col("chosen.template").alias("template"), share.alias("bad_share"))
+        rows = rows.withColumn("chosen", F.when(differs, F.struct(F.col("t").alias("template"), "n", "b")).otherwise(F.col("chosen")))
+        rows = scratch.write(rows.withColumn("ended", F.col("seg").isNull()).drop("up", "seg", "pn", "pb"), f"level{level}")
+        done.append(f"level{level}")
+        state = rows.where(~F.col("ended")).drop("ended")
+    scratch.drop("root")
+    if not done:
+        return counts.select("host", "shape", F.lit("").alias("template"), F.lit(0.0).alias("bad_share"))
+    ended = counts.sparkSession.read.schema(rows.schema).parquet(*(f"{scratch.base}/{d}" for d in done)).where("ended")
+    share = (F.col("chosen.b") + base * PRIOR) / (F.col("chosen.n") + PRIOR)
+    return ended.select("host", "shape", F.col("chosen.template").alias("template"), share.alias("bad_share"))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_id: str | None = None,
@@ -121,9 +126,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, *, url: str = "url", label_i
     marked = slim.where("label_id is not null").join(labels.select("label_id", "bad"), "label_id") \
         .groupBy("host", "shape").agg(F.count(F.lit(1)).alias("labelled"), F.sum("bad").alias("bad"))
     counts = counted.join(marked, ["host", "shape"], "left").na.fill(0, ["labelled", "bad"])
-    paths = scratch.write(path_templates(scratch.write(counts, "counts")), "paths")
-    judged = scratch.write(judged_templates(paths), "judged")
-    scratch.drop("counts", "paths")
+    judged = judged_templates(scratch.write(counts, "counts"), scratch)
     fit = matching_rule(F.col("host"), F.col("path"), rules)
     by_template = F.when(F.col("bad_share") > REJECT, "block").otherwise("allow")
     return known.withColumn("fit", fit).join(judged, ["host", "shape"], "left").select(
@@ -155,7 +158,7 @@ def oracle_sql() -> str:
     rule.append("END")
     verdict.append("END")
     ctes, last = [], "counts"
-    for level in range(DEPTH + 1):
+    for level in range(SQL_DEPTH + 1):
         t, up = f"t{level}", f"l{level}"
         ctes.append(f"k{level} AS (SELECT host, {t}, shape[{level + 1}] AS seg, sum(pages) AS n FROM {last} "
                     f"WHERE len(shape) > {level} GROUP BY ALL)")
@@ -166,9 +169,9 @@ def oracle_sql() -> str:
                     f"FROM {last} c LEFT JOIN w{level} w ON c.host = w.host AND c.{t} = w.{t} AND shape[{level + 1}] = w.seg)")
         last = up
     sums = ", ".join(f"sum(labelled::DOUBLE) OVER (PARTITION BY host, t{i}) AS n{i}, "
-                     f"sum(bad::DOUBLE) OVER (PARTITION BY host, t{i}) AS b{i}" for i in range(DEPTH + 2))
+                     f"sum(bad::DOUBLE) OVER (PARTITION BY host, t{i}) AS b{i}" for i in range(SQL_DEPTH + 2))
     pick = "struct_pack(template := t0, n := n0, b := b0)"
-    for i in range(1, DEPTH + 2):
+    for i in range(1, SQL_DEPTH + 2):
         p = f"((b{i - 1} + base) / (n{i - 1} + 1.0::DOUBLE))"
         pick = (f"CASE WHEN n{i} >= {MIN_LABELLED} AND abs(b{i} - n{i} * {p}) > {Z}::DOUBLE * sqrt(n{i} * {p} * (1.0::DOUBLE - {p})) "
                 f"THEN struct_pack(template := t{i}, n := n{i}, b := b{i}) ELSE {pick} END")
@@ -181,7 +184,7 @@ s AS (
   SELECT *, list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: x <> '') AS segs,
          try_cast(nullif(regexp_extract(path, '([0-9]+)[^0-9]*$', 1), '') AS BIGINT) AS label_id FROM u),
 known AS (
-  SELECT *, CASE WHEN len(segs) > {DEPTH} THEN list_concat(segs[1:{DEPTH}], ['**']) ELSE segs END AS shape FROM s),
+  SELECT *, segs AS shape FROM s),
 marks AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
           WHERE doc_id IS NOT NULL GROUP BY doc_id),
 counts AS (SELECT host, shape, '' AS t0, count(*) AS pages, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad

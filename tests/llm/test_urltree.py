@@ -56,17 +56,27 @@ def test_templates_generalise_merge_and_reject(spark):
 
 def test_crowded_nodes_become_wildcards(spark):
     counts = spark.createDataFrame(
-        [("h", [f"s{i}x", "p"], 1, 0, 0) for i in range(50)] + [("h", ["blog", "p"], 100, 0, 0), ("g", ["a", "b"], 1, 0, 0), ("g", [], 1, 0, 0)],
-        "host string, shape array<string>, pages long, labelled long, bad long")
-    got = {(r["host"], tuple(r["shape"])): r[f"t{ut.DEPTH + 1}"] for r in ut.path_templates(counts).collect()}
+        [("h", [f"s{i}x", "p"], 1) for i in range(50)] + [("h", ["blog", "p"], 100), ("g", ["a", "b"], 1), ("g", [], 1)],
+        "host string, shape array<string>, pages long").withColumn("t", F.lit(""))
+    first = ut._one_down(counts, 0)
+    got = {(r["host"], tuple(r["shape"])): r["t"] for r in ut._one_down(first.drop("up", "seg"), 1).collect()}
     assert {t for (h, s), t in got.items() if h == "h"} == {"/*/p", "/blog/p"}
     assert got["g", ("a", "b")] == "/a/b" and got["g", ()] == ""
 
 
-def test_deep_paths_and_digits(spark):
-    df = spark.createDataFrame([(1, "http://h/1/22/x3y/z/deep/er/still")], "page_id long, url string")
+@pytest.mark.parametrize("above", ["", "/a/b/c/d", "/1/b/c/d/e/f/g/h/i/j"])
+def test_branches_are_judged_at_any_depth(spark, above):
+    rows = [(i, f"http://h{above}/{'spam' if i % 2 else 'good'}/{i}", i % 2) for i in range(400)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows if i % 3 == 0], NO_LABELS)
+    got = {r["page_id"]: r["verdict"] for r in ut.judge_urls(pages, labels).collect()}
+    assert got == {i: "block" if bad else "allow" for i, _, bad in rows}
+
+
+def test_digits_in_paths(spark):
+    df = spark.createDataFrame([(1, "http://h/1/22/x3y/z/deep//er/still")], "page_id long, url string")
     (r,) = df.select(ut._segments(ut.path_of(F.col("url"))).alias("s")).collect()
-    assert r["s"] == ["#", "#", "x#y", "z", "**"]
+    assert r["s"] == ["#", "#", "x#y", "z", "deep", "er", "still"]
 
 
 def test_empty_tables_clashes_and_repeats(spark):
