@@ -60,7 +60,7 @@ STAGES = [
 ]
 
 #: None: minimum covariance determinants are iterative estimates that the SQL check can't express;
-#: tests/llm compares each stage with a brute-force version.
+#: tests/llm checks planted documents through the stages, and each stage's operator on its own.
 ORACLE_SQL = None
 
 

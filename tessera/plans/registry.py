@@ -770,5 +770,6 @@ def _stream_static(w):
     feed = w.detail_feed
     write_feed(feed, f"{root}/feed")
     stream = read_feed_stream(w.spark, f"{root}/feed", feed.schema)
-    run_stream_static_asof(stream, DETAIL, w.dwh_header, ["order_id"], "order_ts", f"{root}/out", ck)
+    run_stream_static_asof(stream, DETAIL, w.dwh_header, ["order_id"], "order_ts", f"{root}/out", ck,
+                          columns=["WK_ORDER_HEADER", "order_currency", "truck_id"])
     return w.spark.read.parquet(f"{root}/out").drop("batch")

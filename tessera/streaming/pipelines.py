@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -95,8 +95,9 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
 
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,
-                           target: str, checkpoint: str, how: str = "inner") -> str:
-    """Clean changes of a stream joined to the static history version valid at ``at``.
+                           target: str, checkpoint: str, how: str = "inner", columns: Sequence[str] = ()) -> str:
+    """Clean changes of a stream joined to the static history version valid at ``at``, of any entity and history:
+    the entity's columns and the history's ``columns`` are written.
 
     Each micro-batch is a static frame, so it takes the batch as-of join (union
     plus carried window, hot keys split) over the versions of the batch's keys
@@ -114,7 +115,7 @@ def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFra
         history_part = static_history.join(batch_keys, list(keys), "left_semi")
         j = as_of_join(lines, history_part, keys, at, how, names=("d", "h"))
         out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
-                       F.col("h.WK_ORDER_HEADER"), F.col("h.order_currency"), F.col("h.truck_id"))
+                       *[F.col(f"h.{c}").alias(c) for c in columns])
         out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     _drain_batches(stream, join, checkpoint)
