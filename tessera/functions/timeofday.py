@@ -21,3 +21,9 @@ def hms_to_seconds(c: str | Column) -> Column:
     t = F.col(c) if isinstance(c, str) else c
     part = lambda i: F.substring(t, i, 2).cast("int")
     return part(1) * 3600 + part(4) * 60 + part(7)
+
+
+def unix_millis_text(c: str | Column, form: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Milliseconds since 1970 as text in the session's time zone, cut to the second (also before 1970)."""
+    millis = F.col(c) if isinstance(c, str) else c
+    return F.from_unixtime(F.floor(millis / 1000), form)

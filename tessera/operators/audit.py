@@ -38,7 +38,7 @@ def audit_recent(log: DataFrame, now: Column, days: int, catalog: str, n: int =
 
 def audit_object(log: DataFrame, now: Column, days: int, catalog: str, schema: str, table: str,
                  n: int = 50) -> DataFrame:
-    """Who created or changed one table (by parts, or by full name)."""
+    """Who created or changed one table (by parts, or by full name), with the map of all its request parameters."""
     by_parts = (F.lower(param("catalog_name")) == catalog.lower()) & (F.lower(param("schema_name")) == schema.lower()) \
         & (F.lower(param("table_name")) == table.lower())
     by_name = F.lower(param("full_name_arg")) == f"{catalog}.{schema}.{table}".lower()
@@ -46,7 +46,8 @@ def audit_object(log: DataFrame, now: Column, days: int, catalog: str, schema: s
             .select("event_id", F.to_date("event_time").alias("event_date"), "event_time", F.col("user_identity.email").alias("user_or_principal"),
                     "action_name", param("catalog_name").alias("catalog_name"),
                     param("schema_name").alias("schema_name"), param("table_name").alias("table_name"),
-                    param("full_name_arg").alias("full_name_arg"), F.col("response.status_code").alias("status_code"))
+                    param("full_name_arg").alias("full_name_arg"), F.col("response.status_code").alias("status_code"),
+                    F.col("request_params").alias("raw_request_params"))
             .orderBy(F.desc("event_time"), F.desc("event_id")).limit(n))
 
 

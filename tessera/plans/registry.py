@@ -126,6 +126,20 @@ def _rule_counts(w):
     return quality.rule_counts(w.header_tagged, HEADER)
 
 
+@register("rule_counts_on_write")
+def _run_counts(w):
+    """Every rule of every entity with its violations, counted by the write that stored the rows."""
+    return w.run_counts
+
+
+@register("rule_counts_stream")
+def _stream_counts(w):
+    """Violations by rule over all micro-batches of the event stream, each counted on the batch's write."""
+    counts = _history_stream(w, "counts", EVENTS, 1, "_commit_timestamp").rule_counts
+    return counts.groupBy("entity", "rule", "severity").agg(F.sum("input_rows").alias("input_rows"),
+                                                            F.sum("violations").alias("violations"))
+
+
 @register("warn_counts")
 def _warn_counts(w):
     return quality.warn_counts(w.header_tagged, HEADER)
@@ -391,6 +405,16 @@ def _cdc_adapter(spark, sf_dir):
     return cdc_adapter(native, source="cdc")
 
 
+@query("unix_time_text")
+def _unix_time_text(spark, sf_dir):
+    """Event times as milliseconds since 1970, shown as text again."""
+    from tessera.functions.timeofday import unix_millis_text
+    from tessera.sources.tables import load
+    ev = load(spark, sf_dir, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("millis"))
+    return ev.select("event_id", unix_millis_text("millis").alias("shown_at"),
+                     unix_millis_text("millis", "HH:mm:ss").alias("time_of_day"))
+
+
 @query("rescued_rows")
 def _rescued(spark, sf_dir):
     """Malformed JSON kept as text in a corrupt-record column instead of failing the read.
@@ -403,6 +427,48 @@ def _rescued(spark, sf_dir):
     return ev.select("event_id", parsed.alias("p")).select("event_id", "p.k", "p._corrupt_record")
 
 
+@query("rescued_files")
+def _rescued_files(spark, sf_dir):
+    """Three arrivals of the orders under one declared schema: as declared, the total as text with one more
+    column, the customer as a number with fractions.  Each run loads the new files; no row is lost."""
+    import uuid
+    from tessera.session import scratch_path
+    from tessera.sources.ingest import control_table, load_rescued, read_target
+    from tessera.sources.rescue import RESCUED
+    from tessera.sources.scan import ORDERS_SCHEMA
+    from tessera.sources.tables import load
+    root = scratch_path(spark, "staging", uuid.uuid4().hex)
+    orders = load(spark, sf_dir, "orders").select(*ORDERS_SCHEMA.names)
+    key = F.col("o_orderkey")
+    total = F.when(key % 50 == 1, "n/a").otherwise(F.round("o_totalprice").cast("long").cast("string"))
+    customer = F.col("o_custkey") + F.when(key % 50 == 2, 0.5).otherwise(0.0)
+    arrivals = (orders, orders.withColumns({"o_totalprice": total, "note": F.concat(F.lit("note "), key)}),
+                orders.withColumn("o_custkey", customer))
+    row = control_table(spark, [("erp", f"{root}/drop", "*.parquet", "staging", "stg_orders", "parquet", True,
+                                 "incremental")]).first()
+    for i, arrival in enumerate(arrivals):
+        arrival.where(key % 3 == i).write.mode("append").parquet(f"{root}/drop")
+        load_rescued(spark, row, f"{root}/stg_orders", f"{root}/ck", RUN_ID, LOAD_TS, ORDERS_SCHEMA)
+    kept = lambda name: F.get_json_object(RESCUED, f"$.{name}").alias(f"rescued_{name}")
+    return read_target(spark, f"{root}/stg_orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "SA_RUNID",
+        F.col(RESCUED).isNotNull().alias("has_rescued"), kept("o_totalprice"), kept("o_custkey"), kept("note"))
+
+
+@query("rescued_json")
+def _rescued_json(spark, sf_dir):
+    """Event payloads under a declared schema, some cut off, some with a word for the number or one more field."""
+    from pyspark.sql import types as T
+    from tessera.sources.rescue import rescue_json
+    from tessera.sources.tables import load
+    ev = load(spark, sf_dir, "events")
+    kind = F.col("event_id") % 50
+    payload = F.when(kind == 0, F.substring("props", 1, 3)).when(kind == 1, F.lit('{"k": "many"}')) \
+        .when(kind == 2, F.concat(F.lit('{"k": 2, "from": "'), "event_type", F.lit('"}'))).otherwise(F.col("props"))
+    return rescue_json(ev.select("event_id", payload.alias("payload")), "payload",
+                       T.StructType([T.StructField("k", T.IntegerType())]))
+
+
 @query("clustered_write")
 def _clustered(spark, sf_dir):
     import uuid
@@ -627,7 +693,8 @@ def _audit_recent(w):
 def _audit_object(w):
     from tessera.operators.audit import audit_object
     log, now = _audit(w)
-    return audit_object(log, now, 7, "DEMO", "config", "pipeline_sources", 50)
+    found = audit_object(log, now, 7, "DEMO", "config", "pipeline_sources", 50)
+    return found.withColumn("raw_request_params", F.to_json("raw_request_params"))
 
 
 @register("audit_pipeline_events")

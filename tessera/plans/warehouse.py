@@ -123,19 +123,29 @@ class Warehouse:
     def events_feed(self) -> DataFrame:
         return fixtures.chg_events(self.spark, self.sf_dir)
 
-    # tagged sources: stored once, like the tagged-source materialised views;
-    # history, quarantine and rule counts all read the stored rows
+    # tagged sources: stored once, like the tagged-source materialised views, and the rules counted on
+    # that write; history, quarantine and rule counts all read the stored rows
+    def _tagged(self, name: str, feed: DataFrame, e) -> tuple[DataFrame, DataFrame]:
+        return self._shared(f"{name}_tagged", lambda: quality.store_tagged(quality.tag(feed, e), e, f"{name}_src"))
+
+    @property
+    def run_counts(self) -> DataFrame:
+        """Violations by entity and rule, as seen by the writes of the tagged sources."""
+        header, detail, events = (self._tagged(*a)[1] for a in (
+            ("header", self.header_feed, HEADER), ("detail", self.detail_feed, DETAIL), ("events", self.events_feed, EVENTS)))
+        return header.unionByName(detail).unionByName(events)
+
     @property
     def header_tagged(self) -> DataFrame:
-        return self._shared("header_tagged", lambda: cut_lineage(quality.tag(self.header_feed, HEADER), "header_src"))
+        return self._tagged("header", self.header_feed, HEADER)[0]
 
     @property
     def detail_tagged(self) -> DataFrame:
-        return self._shared("detail_tagged", lambda: cut_lineage(quality.tag(self.detail_feed, DETAIL), "detail_src"))
+        return self._tagged("detail", self.detail_feed, DETAIL)[0]
 
     @property
     def events_tagged(self) -> DataFrame:
-        return self._shared("events_tagged", lambda: cut_lineage(quality.tag(self.events_feed, EVENTS), "events_src"))
+        return self._tagged("events", self.events_feed, EVENTS)[0]
 
     # history tables (materialised by the surrogate numbering, root key included)
     @property

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_CKPT: dict[str, str] = {}
@@ -72,12 +72,23 @@ def materialize(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]:
 def materialize_sized(df: DataFrame, name: str = "t") -> tuple[DataFrame, int, int]:
     """Write once; return the table read back, its row count (observed on the
     write) and its size in bytes on storage (from the file system, no job)."""
+    path, seen = _write_table(df, name, [F.count(F.lit(1)).alias("n")])
+    return df.sparkSession.read.parquet(path), int(seen["n"]), stored_bytes(df.sparkSession, path)
+
+
+def materialize_observed(df: DataFrame, name: str, metrics: list[Column]) -> tuple[DataFrame, dict]:
+    """Write once; return the table read back and the aggregates ``metrics`` by their names, observed on the write."""
+    path, seen = _write_table(df, name, metrics)
+    return df.sparkSession.read.parquet(path), seen
+
+
+def _write_table(df: DataFrame, name: str, metrics: list[Column]) -> tuple[str, dict]:
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     obs = Observation(f"rows_{uuid.uuid4().hex[:12]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"]), stored_bytes(spark, path)
+    df.observe(obs, *metrics).write.mode("error").parquet(path)
+    return path, obs.get
 
 
 def release_tables(spark: SparkSession) -> int:

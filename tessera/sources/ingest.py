@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.quality import require
 from tessera.session import scratch_path
+from tessera.sources.rescue import scan_rescued
 from tessera.sources.scan import SCHEMAS, scan, scan_stream
 
 CONTROL_SCHEMA = T.StructType([
@@ -143,11 +144,43 @@ def load_incremental(spark: SparkSession, row, target: str, checkpoint: str, run
     before = _count(spark, target)
     schema = SCHEMAS.get(_base(row.file_pattern)) or scan(spark, row.source_path, row.file_pattern, merge=True).schema
     stream = stage(scan_stream(spark, row.source_path, row.file_pattern, schema), row.source_system, run_id, load_ts)
-    q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(target))
+    # the rows are counted on the write: a run without a limit of files per trigger is one batch, so that
+    # its progress reports are all still there when it ends
+    q = (stream.observe("load", F.count(F.lit(1)).alias("rows")).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target))
     q.awaitTermination()
-    after = _count(spark, target)
-    return LoadResult(row.target_table, "incremental", before, after, after - before, target)
+    written = sum({p.batchId: p.observedMetrics["load"]["rows"] for p in q.recentProgress
+                   if "load" in p.observedMetrics}.values())
+    return LoadResult(row.target_table, "incremental", before, before + written, written, target)
+
+
+def load_rescued(spark: SparkSession, row, target: str, checkpoint: str, run_id: str, load_ts: str,
+                 schema: T.StructType | None = None) -> LoadResult:
+    """Incremental load of files that may not fit the declared schema: every row is staged once, with what does
+    not fit in ``_rescued_data`` (:func:`~tessera.sources.rescue.scan_rescued`).
+
+    A file stream finds the new files; only their paths go through it (their contents are never read as
+    binary), and the paths of a batch reach the driver, which lists them in any case.  Each batch overwrites its
+    own folder of the target (``load_batch=<id>``), so a batch that is run again adds nothing."""
+    schema = schema or SCHEMAS[_base(row.file_pattern)]
+    before = _count(spark, f"{target}/load_batch=*")
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    paths = spark.readStream.format("binaryFile").schema(listing) \
+        .option("pathGlobFilter", row.file_pattern).load(row.source_path).select("path")
+    written = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files = [r.path for r in batch.collect()]
+        if files:
+            obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+            staged = stage(scan_rescued(spark, files, schema), row.source_system, run_id, load_ts)
+            staged.observe(obs, F.count(F.lit(1)).alias("rows")) \
+                .write.mode("overwrite").parquet(f"{target}/load_batch={batch_id}")
+            written.append(int(obs.get["rows"]))
+
+    q = paths.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return LoadResult(row.target_table, "incremental", before, before + sum(written), sum(written), target)
 
 
 def _base(pattern: str) -> str:

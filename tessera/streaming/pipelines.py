@@ -46,10 +46,12 @@ def _drain_batches(stream: DataFrame, fn, checkpoint: str) -> None:
 
 @dataclass
 class StreamedHistory:
-    """What a drained history stream holds: ``history`` (SCD1 state or SCD2 versions) and ``quarantine``."""
+    """What a drained history stream holds: ``history`` (SCD1 state or SCD2 versions), ``quarantine`` and
+    ``rule_counts`` (violations by batch and rule, counted on the write that stores the batch)."""
 
     history: DataFrame
     quarantine: DataFrame
+    rule_counts: DataFrame
 
 
 def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, checkpoint: str,
@@ -72,13 +74,15 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
     store = SpliceStore.open(spark, root, e, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        tagged = cut_lineage(quality.tag(batch, e), "tagged_batch")
+        tagged, counts = quality.store_tagged(quality.tag(batch, e), e, "tagged_batch")
         clean = quality.enforce_fail_rules(quality.clean(tagged), e)
         order = [*e.keys, e.sequence, *e.tiebreak]
         numbered = global_row_number(clean, order, "_place") \
             .withColumn(e.wk, F.lit(batch_id << BATCH_BITS).cast("long") + F.col("_place")).drop("_place")
         # numbering writes the batch, so a broken fail rule has stopped the run before this line
         quality.quarantine(tagged, e).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
+        if e.rules:
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{root}/rule_counts/batch={batch_id}")
         delta = store.apply(numbered, batch_id, deltas=on_delta is not None)
         if delta is not None and on_delta is not None:
             on_delta(delta, batch_id)
@@ -91,7 +95,12 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
     else:
         found = store.versions(clean.select(e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"))
     bad = quality.quarantine(tagged, e)
-    return StreamedHistory(found, spark.read.schema(bad.schema).parquet(f"{root}/quarantine/batch=*"))
+    if e.rules:
+        counts = spark.read.schema(f"{quality.COUNT_SCHEMA}, batch long").option("basePath", f"{root}/rule_counts") \
+            .parquet(f"{root}/rule_counts/batch=*")
+    else:
+        counts = spark.createDataFrame([], f"{quality.COUNT_SCHEMA}, batch long")
+    return StreamedHistory(found, spark.read.schema(bad.schema).parquet(f"{root}/quarantine/batch=*"), counts)
 
 
 def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFrame, keys: list[str], at: str,

@@ -41,6 +41,16 @@ def test_clean_plus_quarantine_is_input_and_counts(spark):
     assert "failed_rules" not in quality.clean(tagged).columns
 
 
+def test_counts_come_from_the_write_that_stores_the_rows(spark):
+    tagged = quality.tag(staged(spark, [(1, "x", 5), (2, None, -1), (3, None, 1), (4, "z", 500)]), E)
+    table, counts = quality.store_tagged(tagged, E, "t")
+    assert sorted(table.collect(), key=lambda r: r.k) == sorted(tagged.collect(), key=lambda r: r.k)
+    assert {(r.entity, r.rule, r.severity, r.input_rows, r.violations) for r in counts.collect()} == {
+        ("t", "a_not_null", "drop", 4, 2), ("t", "b_non_negative", "drop", 4, 1), ("t", "b_small", "warn", 4, 1)}
+    _, none = quality.store_tagged(tagged.where("k > 9"), E, "t")
+    assert {(r.input_rows, r.violations) for r in none.collect()} == {(0, 0)}
+
+
 def test_hash_treats_null_and_empty_alike(spark):
     tagged = quality.tag(staged(spark, [(1, None, 5), (2, "", 5)]), E).orderBy("k").collect()
     assert tagged[0].WA_HASH == tagged[1].WA_HASH and len(tagged[0].WA_HASH) == 64

@@ -86,6 +86,11 @@ def test_every_row_goes_to_history_or_quarantine(spark, tmp_path):
     stored = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/store/buckets=4/runs").where("NOT _root").dropDuplicates(["k", "__START_AT"])
     assert stored.count() + out.quarantine.count() == sum(len(a) for a in ARRIVALS)
     assert [(r.k, r.failed_rules) for r in out.quarantine.collect()] == [(3, ["v_non_negative"])]
+    counts = out.rule_counts.collect()
+    assert len({r.batch for r in counts}) == len(ARRIVALS)
+    assert {r: sum(c.violations for c in counts if c.rule == r) for r in ("v_non_negative", "k_not_null")} == \
+        {"v_non_negative": 1, "k_not_null": 0}
+    assert sum(c.input_rows for c in counts if c.rule == "k_not_null") == sum(len(a) for a in ARRIVALS)
 
 
 def test_history_view_of_streamed_history_follows_start_order(spark, tmp_path):
@@ -120,6 +125,7 @@ def test_broken_fail_rule_stops_the_stream_and_leaves_no_trace(spark, tmp_path):
         os.remove(crc)
     out = run_history_stream(_stream(spark, root), E, 2, f"{root}/store", f"{root}/ck", buckets=4)
     assert sorted((r.k, r.v) for r in out.history.collect()) == [(1, 10), (2, 5), (3, 7)]
+    assert sum(c.input_rows for c in out.rule_counts.where("rule = 'k_not_null'").collect()) == 3
 
 
 def _changes(spark, rows):
