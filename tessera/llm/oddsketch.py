@@ -20,7 +20,8 @@ their sketch estimate is below the cut-off (5 standard deviations) about as rare
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased.  A text of one to four words has its
 whole sequence as one shingle; a null or empty one has none, and links with nothing.  Rows
-with equal sets belong together whatever their id; a null id has no component and is kept.
+with equal sets belong together whatever their id; a null id has no component and is kept, but
+its text links its neighbours like any other.
 """
 
 from __future__ import annotations
@@ -241,17 +242,18 @@ def _groups(docs: DataFrame, doc_id: str, text: str, similarity: int) -> DataFra
     kind = source.schema["id"].dataType.simpleString()
     signed = scratch.write(source.mapInArrow(_signatures, f"id {kind}, {SIGNATURE}"), "signed")
     alike = signed.where("digest is not null").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first(F.struct("shingles", "bands", "sketch")).alias("s"))
-    nodes = scratch.write(alike.select(F.monotonically_increasing_id().alias("node"), "digest", "id", "s.*"), "nodes")
+        F.min("id").alias("id"), F.min("text_hash").alias("text_hash"),
+        F.first(F.struct("shingles", "bands", "sketch")).alias("s"))
+    nodes = scratch.write(alike.select(F.monotonically_increasing_id().alias("node"), "digest", "id", "text_hash", "s.*"), "nodes")
 
     member = nodes.select("node", F.explode("bands").alias("band"))
     shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     buckets = scratch.write(member.join(shared, "band"), "buckets")
     candidates = scratch.write(buckets.select("node").distinct()
-                               .join(nodes.select("node", "digest", "id", "shingles", "sketch"), "node"), "candidates")
+                               .join(nodes.select("node", "digest", "id", "text_hash", "shingles", "sketch"), "node"), "candidates")
 
-    wanted = spark.sparkContext.broadcast(
-        bitmap(candidates.where("id is not null").select(F.xxhash64("id").alias("key")), "key"))
+    key = F.when(F.col("id").isNotNull(), F.xxhash64("id")).otherwise(F.col("text_hash"))
+    wanted = spark.sparkContext.broadcast(bitmap(candidates.select(key.alias("key")), "key"))
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
@@ -264,10 +266,15 @@ def _groups(docs: DataFrame, doc_id: str, text: str, similarity: int) -> DataFra
                      pa.array([set_sketch(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
                      pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "digest", "parity", "set"])
 
-    found = source.where("id is not null").select("id", F.xxhash64("id").alias("key"), "text") \
-        .mapInArrow(full_sets, f"id {kind}, digest binary, parity array<long>, set array<long>")
-    sets = scratch.write(candidates.join(found, ["id", "digest"])
-                         .select("node", "shingles", "sketch", "parity", "set"), "sets")
+    full = f"id {kind}, digest binary, parity array<long>, set array<long>"
+    columns = ["node", "shingles", "sketch", "parity", "set"]
+    found = source.where("id is not null").select("id", F.xxhash64("id").alias("key"), "text").mapInArrow(full_sets, full)
+    # a node whose rows all have a null id is found by its text; each such text is looked at once
+    unnamed = source.where("id is null").dropDuplicates(["text_hash"]) \
+        .select("id", F.col("text_hash").alias("key"), "text").mapInArrow(full_sets, full).dropDuplicates(["digest"])
+    sets = scratch.write(
+        candidates.join(found, ["id", "digest"]).select(*columns)
+        .union(candidates.where("id is null").join(unnamed.drop("id"), "digest").select(*columns)), "sets")
 
     links = _Links(nodes, sets, scratch, similarity)
     sketches = sets.drop("set")

@@ -68,6 +68,22 @@ def test_chains_are_one_component(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == want
 
 
+def test_null_ids_link_their_neighbours(spark):
+    """A chain whose every second text, some of them in copies, has no id."""
+    rng = random.Random(11)
+    w = sentence(rng, 60).split()
+    rows = []
+    for k in range(9):
+        named = k % 2 == 0
+        rows += [(k if named else None, " ".join(w))] * (1 if named else 3)
+        w[6 * k + 4] = f"changed{k}"
+    rows += [(None, "alone here and without any id at all"), (None, None), (None, "")]
+    want = brute(rows)
+    assert {c for _, _, c in want} == {0} and len(brute([r for r in rows if r[0] is not None])) == 5
+    assert len({c for _, _, c in brute([r for r in rows if r[0] is not None])}) == 5
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
 def test_sketch_estimates_high_similarities():
     rng = np.random.default_rng(1)
     for j in (0.95, 0.85, 0.75, 0.5):
