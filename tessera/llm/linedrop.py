@@ -8,8 +8,12 @@ so taking documents away brings their lines back everywhere else.
 
 Dropping lines probes the filters first: a line that is in no filter is surely kept and goes
 no further.  The few others are checked against the exact counts by a join, so a filter's
-false positives never reach the result.  The filters ship to the tasks only while their
-total size is below ``FILTER_BYTES``; beyond it every line takes the exact join.
+false positives never reach the result.  While the filters' total size is below ``FILTER_BYTES`` they ship
+to the tasks; beyond it the lines go to their shard's filter, spread over ``SPREAD`` tasks a shard, so
+that neither the driver nor one task meets all filters or all copies of a frequent line.
+
+The number of shards doubles when an addition fills them to more than ``shard_keys`` live keys on average;
+the filters are then built anew from the exact counts.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased.  Counts
 are by 128-bit digest of the key.  A null or empty text is one empty line; empty keys are
@@ -32,6 +36,7 @@ from tessera.llm.common import SPACES, Scratch, free_name, let, lower_az, named,
 MIN_DOCUMENTS = 10
 SHARD_KEYS = 1 << 19                # keys of a shard at most, on average: bounds one shard's task
 FILTER_BYTES = 64 << 20
+SPREAD = 16                         # tasks that a shard's lines are spread over when they go to its filter
 SLOTS, KICKS, LOAD = 4, 500, 0.85
 
 
@@ -168,14 +173,15 @@ class LineIndex:
         merged = self.scratch.write(merged, f"merged{g}")
         old, had = self.filters, self.shards
         live = merged.where("documents > 0")
-        if not self.shards:
-            self.shards = max(1, -(-live.count() // self.shard_keys))
+        self.shards, n = max(1, had), live.count()
+        while n > self.shards * self.shard_keys:
+            self.shards *= 2
         counts = self.scratch.write(live.select("key", "documents"), f"counts{g}")
         limit = self.min_documents
         inside, was = F.col("documents") >= limit, F.col("before") >= limit
         moved = merged.where(inside | was).select(self._shard(F.col("key")).alias("shard"), "key",
                                                   inside.alias("inside"), was.alias("was"))
-        if old is None or not had:
+        if old is None or had != self.shards:
             moved = moved.withColumn("filter", F.lit(None).cast("binary"))
             built = moved.groupBy("shard").applyInPandas(_rebuild, "shard int, filter binary")
         else:
@@ -196,9 +202,19 @@ class LineIndex:
         if self.scratch.bytes(f"filters{self.generation}") <= FILTER_BYTES:
             found = self._probe(lines)
         else:
-            found = lines.select("doc", F.posexplode("line_keys").alias("line", "key")).where("key is not null")
+            found = self._probe_by_shard(lines)
         return found.join(self.frequent(), "key").groupBy("doc").agg(F.collect_set("line").alias("drop"))
 
+    def _probe_by_shard(self, lines: DataFrame) -> DataFrame:
+        """The lines whose shard's filter has their key: lines and filters meet by shard and part.  A part is
+        picked by the document too, so a line of very many documents is in all parts of its shard."""
+        rows = lines.select("doc", F.posexplode("line_keys").alias("line", "key")).where("key is not null") \
+            .select("doc", "line", "key", self._shard(F.col("key")).alias("shard"),
+                    F.pmod(F.xxhash64("doc", "line"), F.lit(SPREAD)).cast("int").alias("part"))
+        kind = lines.select("doc", F.lit(0).alias("line"), F.lit(b"").alias("key")).schema
+        filters = self.filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        return _tagged(rows, filters).mapInArrow(_probe_sorted, kind)
+
     def _probe(self, lines: DataFrame) -> DataFrame:
         shared = self.spark.sparkContext.broadcast(
             {r["shard"]: bytes(r["filter"]) for r in self.filters.toLocalIterator()})
@@ -230,6 +246,37 @@ class LineIndex:
         return with_shards.mapInArrow(probe, schema)
 
 
+def _tagged(rows: DataFrame, filters: DataFrame) -> DataFrame:
+    """Lines and filters in one table, partitioned by shard and part, a shard's filter before its lines."""
+    null = F.lit(None)
+    kinds = dict((f.name, f.dataType) for f in rows.schema)
+    both = rows.withColumn("filter", null.cast("binary")).union(filters.select(
+        *(null.cast(kinds[c]).alias(c) for c in ("doc", "line", "key")), "shard", "part", "filter"))
+    return both.repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("filter").isNull()) \
+        .select("doc", "line", "key", "shard", "filter")
+
+
+def _probe_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One filter is held at a time, however many lines follow it."""
+    own, held = None, None
+    for b in batches:
+        col = lambda name: b.column(b.schema.get_field_index(name))  # noqa: E731,B023
+        shard, heads = col("shard").to_numpy(), np.flatnonzero(np.asarray(col("filter").is_valid()))
+        cuts = np.union1d(np.concatenate([[0], heads, heads + 1]), np.flatnonzero(np.diff(shard)) + 1)
+        hit = [np.zeros(0, np.int64)]
+        for lo, hi in zip(cuts, [*cuts[1:], len(shard)]):
+            if lo >= len(shard):
+                continue
+            raw = col("filter")[int(lo)].as_py()
+            if raw is not None:
+                own, held = shard[lo], CuckooFilter.from_bytes(raw)
+            elif own == shard[lo]:                          # a shard without a filter has no frequent key
+                at = np.arange(lo, hi)
+                hit.append(at[held.has(_hash64(col("key").take(pa.array(at)).to_pylist()))])
+        rows = pa.array(np.concatenate(hit))
+        yield pa.RecordBatch.from_arrays([col(c).take(rows) for c in ("doc", "line", "key")], names=["doc", "line", "key"])
+
+
 def _rebuild(keys: pd.DataFrame) -> pd.DataFrame:
     return _update(keys, pd.DataFrame({"shard": [], "filter": []}))
 

@@ -41,6 +41,24 @@ def test_same_as_brute_force(spark, odd_docs, monkeypatch, filter_bytes):
     assert result(odd_docs, index) == sorted(brute([d[1] for d in documents()]))
 
 
+def test_shards_double_and_stay_right_beyond_the_broadcast(spark, odd_docs, monkeypatch):
+    monkeypatch.setattr(ld, "FILTER_BYTES", 0)
+    index = ld.LineIndex(spark, shard_keys=16)
+    seen = []
+    for part in ("doc_id < 3", "doc_id >= 3 and doc_id < 60", "doc_id >= 60 or doc_id is null"):
+        index.add(odd_docs.where(part))
+        seen.append(index.shards)
+        assert index.counts.count() <= index.shards * 16
+    assert seen == sorted(seen) and seen[0] < seen[1] <= seen[2]
+    assert result(odd_docs, index) == sorted(brute([d[1] for d in documents()]))
+    # the filters decide what meets the exact counts: all frequent lines, few others
+    lines = odd_docs.select(F.col("doc_id").alias("doc"), ld.line_keys(F.col("text")).alias("line_keys"))
+    every = lines.select(F.explode("line_keys").alias("key")).where("key is not null")
+    frequent = every.join(index.frequent(), "key", "left_semi").count()
+    assert frequent <= index._probe_by_shard(lines).count() <= frequent + every.count() // 50
+    assert index._probe_by_shard(lines).join(index.frequent(), "key").count() == frequent
+
+
 def test_deletion_brings_lines_back(spark, odd_docs):
     texts = [d[1] for d in documents()]
     index = ld.LineIndex(spark, shard_keys=8)                  # many shards
