@@ -2,8 +2,8 @@
 
 * :func:`range_lead` is ``lead(v) OVER (PARTITION BY key ORDER BY seq)`` over a
   range partitioning on (key, chunk).  Keys that a sample shows to be hot are
-  split into ordered chunks of their sequence range, so no task receives a whole
-  hot key; each chunk's last row takes the first value of the key's next chunk
+  split into ordered chunks, as many as their rows ask for (a run of one
+  sequence value too), so no task receives a whole hot key; each chunk's last row takes the first value of the key's next chunk
   from a small broadcast table.  Chunking never changes the answer, only the
   balance, so an approximate hot-key list is safe.  The output stays range
   partitioned and sorted by (key, sequence), which :func:`number_in_place`
@@ -23,13 +23,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import cut_lineage, materialize_sized
 
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
 CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
 SAMPLE_FRACTION = 0.01        # share of rows sampled to find hot keys
-QUANTILES = 256               # chunks of a hot key at most
+GROUP_CUTS = 256              # cuts that a row of a hot key is compared with in one step
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20    # compressed parquet on storage; in memory it is a few times larger
 
@@ -51,19 +52,6 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return (F.broadcast(small) if n <= max_rows and size <= max_bytes else small), n
 
 
-def seq_number(c: Column) -> Column:
-    """A time-zone-free number that orders like the sequence column."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-
-
-def _is_time(df: DataFrame, c: str) -> bool:
-    return df.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
-
-
-def _num(df: DataFrame, seq: str) -> Column:
-    return seq_number(F.col(seq)) if _is_time(df, seq) else F.col(seq).cast("double")
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
              chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
              partitions: int | None = None) -> DataFrame:
@@ -90,20 +78,52 @@ def _sample(df: DataFrame, fraction: float) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(fraction=fraction, seed=17)
 
 
-def chunk_bounds(df: DataFrame, hot: DataFrame, keys: Sequence[str], seq: str,
-                 fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """``_bounds``: the sequence values at which each hot key's chunks end, cut at quantiles of the
-    sample, so a burst of rows gets as many chunks as it has rows (at most ``QUANTILES``).
+def chunk_cuts(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str],
+               fraction: float = SAMPLE_FRACTION, partitions: int | None = None) -> DataFrame:
+    """Where the chunks of each hot key begin: one row per cut with ``_at`` (a position: struct of the
+    ``order`` columns), ``_pieces`` (chunks that start there), ``_first`` (number of the first of them) and
+    ``_group`` (its cut group, ``GROUP_CUTS`` cuts each).
 
-    Rows of one sequence value stay together.  A NULL sequence sorts first and is in chunk 0."""
-    every = F.percentile_approx("_num", [i / QUANTILES for i in range(1, QUANTILES)], 20 * QUANTILES)
-    n = F.least(F.col("_nchunks"), F.lit(QUANTILES))
-    cut = F.transform(F.sequence(F.lit(1).cast("long"), n - 1),
-                      lambda i: F.get(F.col("_q"), F.floor(i * QUANTILES / n).cast("int") - 1))
-    sample = _join_keys(_sample(df, fraction).select(*keys, _num(df, seq).alias("_num")), hot, keys, "inner")
-    return sample.groupBy(*keys, "_nchunks").agg(every.alias("_q")).select(
-        *keys, F.when(F.col("_nchunks") > 1, F.array_sort(F.array_distinct(cut)))
-        .otherwise(F.array().cast("array<bigint>" if _is_time(df, seq) else "array<double>")).alias("_bounds"))
+    The sample's positions are counted, range partitioned and summed along the key, so a key has as many
+    cuts as its rows ask for and no task gets all of its sample.  A position that alone holds more rows than a
+    chunk (a run of one value) starts several chunks, which share its rows by hash.
+    """
+    places = _sample(df, fraction).select(*keys, _position(order).alias("_at"))
+    counted = _join_keys(places, hot, keys, "inner").groupBy(*keys, "_nchunks", "_at").agg(F.count("*").alias("_w"))
+    ranged = counted.repartitionByRange(_partitions(df, partitions), *keys, "_at")
+    stored = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()), "positions")
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = stored.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_w"))      # a row per key and partition
+    offsets = slices.select(*keys, "_pid", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_w").over(Window.partitionBy(*keys)).alias("_all"))
+    inside = Window.partitionBy(*keys, "_pid").orderBy("_at")
+    summed = _join_keys(stored.withColumn("_upto", F.sum("_w").over(inside)), offsets, keys, "inner", extra=["_pid"])
+    # of the key's sampled rows, those of this position are _start .. _end
+    end = F.col("_off") + F.col("_upto")
+    chunk_of = lambda i: F.floor(i * F.col("_nchunks") / F.col("_all"))
+    start = end - F.col("_w")
+    starts_chunk = (start == 0) | (chunk_of(end - 1) > chunk_of(start - 1))
+    pieces = F.greatest(F.ceil(F.col("_w") * F.col("_nchunks") / F.col("_all")), F.lit(1)).cast("long")
+    by_place = Window.partitionBy(*keys).orderBy("_at")                      # a row per chunk of the key
+    return summed.where(starts_chunk).select(*keys, "_at", pieces.alias("_pieces")).select(
+        *keys, "_at", "_pieces",
+        (F.sum("_pieces").over(by_place) - F.col("_pieces")).alias("_first"),
+        F.floor((F.row_number().over(by_place) - 1) / F.lit(GROUP_CUTS)).alias("_group"))
+
+
+def _position(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t)
+    return _has_map(t.elementType) if isinstance(t, T.ArrayType) else isinstance(t, (T.MapType, T.VariantType))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row (of all columns that can be hashed): equal only for equal rows, but for chance."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not _has_map(f.dataType)])
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
@@ -122,25 +142,44 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in [*keys, *extra]])
 
 
-def chunk_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
+def chunk_hot_keys(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], hot_rows: int = HOT_KEY_ROWS,
                    chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION
                    ) -> tuple[DataFrame, list[str], int]:
-    """Add ``_chunk`` (ordered slices of a hot key's rows by sequence) and ``_hot``.
+    """Add ``_chunk`` (ordered slices of a hot key's rows by ``order``), ``_hot`` and ``_tie``, which comes last in
+    the order of a hot key's rows.
 
     Returns the frame, the partitioning columns (keys, plus ``_chunk`` when some
     key is hot) and the number of hot keys.  With no hot key no column is added:
     a constant chunk would be folded out of a window's partitioning, and a range
     layout on it would then no longer satisfy the window.
+
+    A row finds its chunk in two steps: the key's cut groups, then the cuts of one group, so the arrays that it is
+    compared with stay short for a key of many thousand chunks.  Rows of one position that share out its
+    chunks do so by ``_tie``; rows that are equal in every column stay together.
     """
-    hot, n_hot = sized_broadcast(hot_keys(df, keys, seq, hot_rows, chunk_rows, fraction))
+    order = [order] if isinstance(order, str) else list(order)
+    hot, n_hot = sized_broadcast(hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction))
     if not n_hot:
         return df, list(keys), 0
-    bounds, _ = sized_broadcast(chunk_bounds(df, hot, keys, seq, fraction))
-    below = F.size(F.filter("_bounds", lambda b: b < _num(df, seq)))
-    withc = _join_keys(df, bounds, keys, "left") \
-        .withColumn("_chunk", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(below).cast("long")) \
-        .withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds")
-    return withc, [*keys, "_chunk"], n_hot
+    cuts = cut_lineage(chunk_cuts(df, hot, keys, order, fraction), "cuts")
+    groups, _ = sized_broadcast(cuts.groupBy(*keys, "_group").agg(F.min("_at").alias("_at"))
+                                .groupBy(*keys).agg(F.array_sort(F.collect_list("_at")).alias("_groups")))
+    leaves, _ = sized_broadcast(cuts.groupBy(*keys, "_group").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "_first", "_pieces"))).alias("_cuts")))
+    here = _position(order)
+    # rows before the first sampled position belong to the first chunk
+    group = F.greatest(F.size(F.filter("_groups", lambda g: g <= here)) - 1, F.lit(0)).cast("long")
+    grouped = _join_keys(df, groups, keys, "left") \
+        .withColumn("_hot", F.col("_groups").isNotNull()) \
+        .withColumn("_group", F.when(F.col("_hot"), group)).drop("_groups")
+    placed = _join_keys(grouped, leaves, keys, "left", extra=["_group"]) \
+        .withColumn("_tie", F.when(F.col("_hot"), _row_hash(df))) \
+        .withColumn("_cut", F.element_at(F.filter("_cuts", lambda c: c["_at"] <= here), -1))
+    share = F.shiftright(F.col("_tie"), 32) + F.lit(1 << 31)                 # 0 .. 2^32 - 1, ordered like _tie
+    piece = F.when(F.col("_cut._at") < here, F.col("_cut._pieces") - 1) \
+        .otherwise(F.floor(share * F.col("_cut._pieces") / F.lit(float(1 << 32))))
+    chunk = F.coalesce(F.col("_cut._first") + piece, F.lit(0)).cast("long")
+    return placed.withColumn("_chunk", chunk).drop("_cut", "_cuts", "_group"), [*keys, "_chunk"], n_hot
 
 
 def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
@@ -153,7 +192,8 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     each partition.  ``keep_chunk`` keeps ``_chunk`` and ``_hot`` when some key
     was split, for callers that run further windows on the same layout.
     """
-    withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
+    withc, part, n_hot = chunk_hot_keys(df, keys, order, hot_rows, chunk_rows, fraction)
+    order = [*order, "_tie"] if n_hot else order
     if n_hot:
         # The first value of a key's next chunk travels with the rows: it is joined before the
         # range exchange, so the layout below is the same however that join is done.
@@ -164,10 +204,13 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
         withc = _join_keys(withc, heads_b, keys, "left", extra=["_chunk"])
     ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
-    led = ranged.withColumn(out, F.lead(value).over(Window.partitionBy(*part).orderBy(*_cols(order))))
+    ahead = Window.partitionBy(*part).orderBy(*_cols(order))
     if not n_hot:
-        return led
-    fixed = led.withColumn(out, F.coalesce(F.col(out), F.col("_next_head"))).drop("_next_head")
+        return ranged.withColumn(out, F.lead(value).over(ahead))
+    # a NULL ahead may be the next row's value: only a chunk's last row takes the next chunk's
+    fixed = ranged.withColumns({out: F.lead(value).over(ahead), "_more": F.lead(F.lit(True)).over(ahead)}) \
+        .withColumn(out, F.when(F.col("_more"), F.col(out)).otherwise(F.col("_next_head"))) \
+        .drop("_next_head", "_more", "_tie")
     return fixed if keep_chunk else fixed.drop("_chunk", "_hot")
 
 
@@ -184,7 +227,8 @@ def keyed_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     hot key's chunk takes the carry from its earlier chunks out of a small
     table with one row per hot chunk.
     """
-    withc, part, n_hot = chunk_hot_keys(df, keys, order[0], hot_rows, chunk_rows, fraction)
+    withc, part, n_hot = chunk_hot_keys(df, keys, order, hot_rows, chunk_rows, fraction)
+    order = [*order, "_tie"] if n_hot else order
     end = Window.currentRow if include_current else -1
     upto = Window.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, end)
     carried = withc.withColumn(out, F.last(value, ignorenulls=True).over(upto))
@@ -199,7 +243,7 @@ def keyed_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         .select(*keys, "_chunk", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
     carry_b, _ = sized_broadcast(carry)       # one row per chunk of a hot key
     fixed = _join_keys(carried, carry_b, keys, "left", extra=["_chunk"])
-    return fixed.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_chunk", "_hot", "_carry")
+    return fixed.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_chunk", "_hot", "_tie", "_carry")
 
 
 def number_in_place(df: DataFrame, name: str, order: Sequence[str] | None = None) -> DataFrame:
