@@ -381,6 +381,32 @@ def _ingest_grown(spark, sf_dir):
     return read_target(spark, results[0].path)
 
 
+@query("ingest_widened_types")
+def _ingest_widened(spark, sf_dir):
+    """A source whose types widen over three arrivals and one run without any; its schema comes from the log."""
+    import uuid
+    from tessera.session import scratch_path
+    from tessera.sources.ingest import control_table, read_target, run_loads
+    root = scratch_path(spark, "staging", uuid.uuid4().hex)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    control = control_table(spark, [("erp", f"{root}/drop", "*.parquet", "staging", "stg_paid", "parquet", True, "incremental")])
+    third = F.col("o_orderkey") % 3
+    arrivals = [
+        orders.where(third == 0).selectExpr("o_orderkey", "cast(o_custkey % 1000 as smallint) as branch",
+                                            "cast(round(o_totalprice) as decimal(12,0)) as paid"),
+        orders.where(third == 1).selectExpr("o_orderkey", "cast(o_custkey % 1000 as smallint) as branch",
+                                            "cast(o_totalprice as decimal(14,2)) as paid"),
+        orders.where(third == 2).selectExpr("o_orderkey", "o_custkey % 1000 as branch", "cast(o_totalprice as decimal(14,2)) as paid",
+                                            "o_orderstatus as currency"),
+        None,
+    ]
+    for arrival in arrivals:
+        if arrival is not None:
+            arrival.write.mode("append").parquet(f"{root}/drop")
+        _, results = run_loads(spark, control, "incremental", RUN_ID, LOAD_TS, root=root)
+    return read_target(spark, results[0].path, results[0].schema)
+
+
 @query("load_report")
 def _load_report(spark, sf_dir):
     report, _ = _run(spark, sf_dir, "both")

@@ -14,6 +14,7 @@ from tessera.operators.quality import require
 from tessera.session import scratch_path
 from tessera.sources.rescue import scan_rescued
 from tessera.sources.scan import SCHEMAS, scan, scan_stream
+from tessera.sources.schemalog import files_schema, list_files, source_schema
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("source_system", T.StringType(), False),
@@ -88,9 +89,11 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(st.getPath().toString()) for st in found) if found else []
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame:
-    """A staged table with all columns that any of its files has (older rows have NULL in newer columns)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A staged table with all columns that any of its files has, in their widest types (older rows have NULL in
+    newer columns).  With ``schema``, as a load returns it (``LoadResult.schema``), no footer is opened for it."""
+    schema = schema or files_schema(spark, [r.path for r in list_files(spark, path, "*.parquet").select("path").collect()])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _count(spark: SparkSession, path: str) -> int:
@@ -106,6 +109,7 @@ class LoadResult:
     rows_after: int
     rows_written: int
     path: str
+    schema: T.StructType | None = None      # of the whole target, where the load knows it
 
 
 def load_full(spark: SparkSession, row, target: str, run_id: str, load_ts: str) -> LoadResult:
@@ -136,13 +140,17 @@ def load_incremental(spark: SparkSession, row, target: str, checkpoint: str, run
     """Incremental load: a file stream over the pattern, drained with ``availableNow``
     and stopped; the checkpoint makes a rerun add nothing.  ``reset`` starts a new
     generation of target and checkpoint, which later runs keep.  A source without a declared
-    schema takes that of all its files together, so the target's schema can grow
-    (:func:`read_target`)."""
+    schema takes that of all its files together, which a log next to the checkpoint keeps
+    (:func:`~tessera.sources.schemalog.source_schema`), so the target's columns and types can grow
+    (:func:`read_target`); one that never had files loads nothing."""
     g = _generation(spark, target, reset)
     if g:
         target, checkpoint = f"{target}_g{g}", f"{checkpoint}_g{g}"
     before = _count(spark, target)
-    schema = SCHEMAS.get(_base(row.file_pattern)) or scan(spark, row.source_path, row.file_pattern, merge=True).schema
+    schema = SCHEMAS.get(_base(row.file_pattern)) or \
+        source_schema(spark, row.source_path, row.file_pattern, f"{checkpoint}_schemas")
+    if schema is None:
+        return LoadResult(row.target_table, "incremental", before, before, 0, target)
     stream = stage(scan_stream(spark, row.source_path, row.file_pattern, schema), row.source_system, run_id, load_ts)
     # the rows are counted on the write: a run without a limit of files per trigger is one batch, so that
     # its progress reports are all still there when it ends
@@ -151,7 +159,7 @@ def load_incremental(spark: SparkSession, row, target: str, checkpoint: str, run
     q.awaitTermination()
     written = sum({p.batchId: p.observedMetrics["load"]["rows"] for p in q.recentProgress
                    if "load" in p.observedMetrics}.values())
-    return LoadResult(row.target_table, "incremental", before, before + written, written, target)
+    return LoadResult(row.target_table, "incremental", before, before + written, written, target, stream.schema)
 
 
 def load_rescued(spark: SparkSession, row, target: str, checkpoint: str, run_id: str, load_ts: str,
