@@ -18,7 +18,9 @@ Shares may be given; otherwise they are the corpus's own, raised to ``POWER`` an
 normalised, which lowers large values and lifts small ones without listing them.
 
 Cells are map-side sums, so a source that holds a third of all rows is one row a task. The
-raking works on the table of cells alone, cut from its lineage every ``ROUNDS_AT_ONCE`` rounds.
+raking works on the table of cells alone, cut from its lineage every ``ROUNDS_AT_ONCE`` rounds. Up to
+``CELLS_AT_ONCE`` cells it needs no exchange: a window over fewer rows than partitions have would spread them over
+all of these three times a round. More cells are shuffled by the value that is scaled.
 
 Null source or language is a value of its own. Null or empty texts have no tokens: they move
 no margin and are sampled with their cell. Repeated rows draw the same number and stay or go
@@ -42,6 +44,7 @@ POWER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 ROUNDS = 24                     # of the registered query, so that SQL can state them
 MOST_ROUNDS = 200
 ROUNDS_AT_ONCE = 4              # rounds of one Spark job, between looks at the margins
+CELLS_AT_ONCE = 20_000          # cells that are raked without an exchange
 STILL = 16                      # rounds without a gain of a hundredth, to end without meeting the margins
 TOLERANCE = 1e-6                # of the expected tokens
 SEED = 8
@@ -153,11 +156,13 @@ def rake(rows: DataFrame, *, rate: float = RATE, rounds: int = MOST_ROUNDS, powe
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     if not total:                                           # nothing to weigh: every document has the rate
         return cells.select(*keys, "tokens", F.lit(rate).alias("probability"), *(F.lit(0.0).alias(c) for c in wanted))
+    small = cells.count() <= CELLS_AT_ONCE
     state = _feasible(cells, total, rate, power, shares or {}, scratch)
     state = scratch.write(state.withColumn("probability", F.when(F.col("usable"), F.lit(rate)).otherwise(0.0)), "round0")
     done, offs = 0, []
     while done < rounds:
         before, step = done, min(ROUNDS_AT_ONCE, rounds - done)
+        state = state.coalesce(1) if small else state
         for _ in range(step):
             for d in DIMENSIONS:
                 state = _step(state, d)

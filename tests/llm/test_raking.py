@@ -59,6 +59,24 @@ def test_margins_are_met_with_the_production_parameters(spark):
     assert z == pytest.approx([1.0] * 2, abs=1e-3)
 
 
+def test_few_cells_are_raked_without_an_exchange(spark, monkeypatch):
+    """The rounds of a small table of cells have no shuffle; a larger table is shuffled and comes to the same."""
+    def raked():
+        plans, write = {}, raking.Scratch.write
+        with monkeypatch.context() as m:
+            m.setattr(raking.Scratch, "write", lambda self, df, name: plans.update(
+                {name: df._jdf.queryExecution().executedPlan().toString()}) or write(self, df, name))
+            out = raking.rake(rows(spark, CELLS), rounds=8, tolerance=0).collect()
+        return [p for n, p in plans.items() if n in ("round4", "round8")], {tuple(r)[:3]: r["probability"] for r in out}
+
+    plans, few = raked()
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    monkeypatch.setattr(raking, "CELLS_AT_ONCE", 0)
+    plans, many = raked()
+    assert all("Exchange" in p for p in plans)
+    assert many == pytest.approx(few, rel=1e-9)
+
+
 def test_default_lowers_the_hot_source(spark):
     out = raking.rake(rows(spark, {("hot", "en", "x"): 9000} | {(f"s{i}", "en", "x"): 500 for i in range(6)})).collect()
     p = {r["mix_source"]: r["probability"] for r in out}
