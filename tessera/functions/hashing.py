@@ -26,3 +26,13 @@ def row_hash(columns: Sequence[str | Column]) -> Column:
 def key_hash(columns: Sequence[str | Column]) -> Column:
     """Hash of a (referenced) business key, for ``WK_REF_HASH_`` style columns."""
     return row_hash(columns)
+
+
+def packed_hash(c: str | Column) -> Column:
+    """The 32 bytes of a :func:`row_hash`: half of its text, in shuffles and tables."""
+    return F.unhex(F.col(c) if isinstance(c, str) else c)
+
+
+def shown_hash(c: str | Column) -> Column:
+    """The text of a :func:`packed_hash`."""
+    return F.lower(F.hex(F.col(c) if isinstance(c, str) else c))

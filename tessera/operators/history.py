@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import packed_hash, shown_hash
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import (
     CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, global_row_number, keyed_carry, latest_per_key,
@@ -47,7 +48,7 @@ def versions(changes: DataFrame, e: Entity, track: Sequence[str] | None = None,
 
 def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_rows: int = HOT_KEY_ROWS,
          chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION, with_root: bool = False,
-         previous: DataFrame | None = None) -> DataFrame:
+         previous: DataFrame | None = None, hashed: bool = False) -> DataFrame:
     """SCD type 2 versions from clean change rows, keyed by ``e.keys`` and sequenced
     by ``e.sequence`` (tie-broken by ``e.tiebreak``).
 
@@ -64,8 +65,13 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     filter, each version's place within its key and the numbering.  With
     ``with_root`` the key's first surrogate ``WKR_`` is added from that place
     (plus, for a split hot key, the survivors of its earlier chunks), so the
-    history view needs no further shuffle.
+    history view needs no further shuffle.  ``hashed`` says that every ``WA_HASH`` is a row hash, which
+    is then shuffled and stored as its 32 bytes.
     """
+    if hashed:
+        packed = changes.withColumn("WA_HASH", packed_hash("WA_HASH"))
+        return scd2(packed, e, track, hot_rows, chunk_rows, fraction, with_root, previous) \
+            .withColumn("WA_HASH", shown_hash("WA_HASH"))
     found = versions(changes, e, track, hot_rows, chunk_rows, fraction)
     hot = "_chunk" in found.columns
     found = found.select(*e.column_names, *ADMIN, "__START_AT", "__END_AT", "_pos", *(["_chunk", "_hot"] if hot else []))

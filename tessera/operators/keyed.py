@@ -25,13 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import cut_lineage, materialize_sized
+from tessera.session import cut_lineage, input_bytes, materialize_sized
 
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
 CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
 SAMPLE_FRACTION = 0.01        # share of rows sampled to find hot keys
 GROUP_CUTS = 256              # cuts that a row of a hot key is compared with in one step
 MAX_BROADCAST_ROWS = 2_000_000
+PARTITION_BYTES = 16 << 20    # stored bytes of a sorted partition's input; its rows take about ten times that in memory
 MAX_BROADCAST_BYTES = 64 << 20    # compressed parquet on storage; in memory it is a few times larger
 
 
@@ -40,7 +41,15 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """As asked, else the session's shuffle partitions, or more where these would be too large to sort in memory."""
+    return partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // PARTITION_BYTES))
+
+
+def _dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` hashed by the columns where the session's own partitions would be too large for a sort in memory, else
+    as it is: the window's exchange then does the same."""
+    n = _partitions(df, None)
+    return df if n <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(n, *by)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -222,8 +231,8 @@ def keyed_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     before each row, carried forward.  With ``include_current=False`` the frame
     ends at the previous row, which for a never-null ``value`` is ``lag(value)``.
 
-    The window runs per (key, hot-key chunk), so Spark plans one hash exchange
-    on those columns (no global order is needed, hence no range sampling).  A
+    The window runs per (key, hot-key chunk), so there is one hash exchange
+    on those columns (into as many partitions as the input's bytes ask for; no global order is needed, hence no range sampling).  A
     hot key's chunk takes the carry from its earlier chunks out of a small
     table with one row per hot chunk.
     """
@@ -231,7 +240,7 @@ def keyed_carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     order = [*order, "_tie"] if n_hot else order
     end = Window.currentRow if include_current else -1
     upto = Window.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, end)
-    carried = withc.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    carried = _dealt(withc, part).withColumn(out, F.last(value, ignorenulls=True).over(upto))
     if not n_hot:
         return carried
     tails = (withc.where(F.col("_hot") & F.col(value).isNotNull()).groupBy(*keys, "_chunk")

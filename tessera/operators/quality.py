@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import row_hash
+from tessera.functions.hashing import packed_hash, row_hash, shown_hash
 from tessera.operators.changes import cdc_filter, crud_code
 from tessera.operators.entity import DROP, FAIL, WARN, Entity, Rule
 from tessera.session import materialize_observed
@@ -88,12 +88,13 @@ def store_tagged(tagged: DataFrame, e: Entity, name: str) -> tuple[DataFrame, Da
     """The tagged rows written once, and the violations of every rule, of any severity, as one row per rule.
 
     The counts are observed on the write that stores the rows, so no run reads its rows again to be told what
-    it rejected.  Rules of severity drop are counted by the tag, the others by their own condition."""
+    it rejected.  The row hash is stored as its 32 bytes.  Rules of severity drop are counted by the tag, the others by their own condition."""
     def broken(r: Rule) -> Column:
         return F.array_contains("failed_rules", r.name) if r.severity == DROP else F.coalesce(F.expr(r.violation), F.lit(False))
 
     metrics = [F.count(F.lit(1)).alias("n"), *(F.count_if(broken(r)).alias(f"r{i}") for i, r in enumerate(e.rules))]
-    table, seen = materialize_observed(tagged, name, metrics)
+    table, seen = materialize_observed(tagged.withColumn("WA_HASH", packed_hash("WA_HASH")), name, metrics)
+    table = table.withColumn("WA_HASH", shown_hash("WA_HASH"))
     counts = [(e.name, r.name, r.severity, seen["n"], seen[f"r{i}"]) for i, r in enumerate(e.rules)]
     return table, tagged.sparkSession.createDataFrame(counts, COUNT_SCHEMA)
 

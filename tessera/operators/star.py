@@ -27,30 +27,59 @@ def conformed_keys(dwh: DataFrame, attr: str, wkr: str, mk: str) -> DataFrame:
     return dwh.groupBy(attr).agg(F.min(wkr).alias(mk))
 
 
+def _since_1970(dwh: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970, in the order of the times (a time without zone is not read in the session's)."""
+    c = F.col(ts)
+    if dwh.schema[ts].dataType.typeName() != "timestamp_ntz":
+        return F.unix_micros(c.cast("timestamp"))
+    clock = F.hour(c) * F.lit(3_600_000_000) + F.minute(c) * F.lit(60_000_000) + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return F.date_diff(c.cast("date"), F.lit("1970-01-01").cast("date")) * F.lit(86_400_000_000) + clock
+
+
+def _version_rank(dwh: DataFrame, wkr: str) -> Column:
+    """(WA_FROMDATE, root key) as one number in the same order, NULLs lowest: its maximum is a fixed-width aggregate,
+    which hashes, where a rank would sort every row of a map task."""
+    def from_zero(c: Column) -> Column:                     # NULL: 0, else 1 .. 2^64
+        return F.coalesce(c.cast("decimal(20,0)") + F.lit(str((1 << 63) + 1)).cast("decimal(20,0)"), F.lit(0)).cast("decimal(20,0)")
+
+    # times of the years 1 to 9999 are below 2^59, so the number has at most 38 digits
+    time = F.coalesce(_since_1970(dwh, "WA_FROMDATE"), F.lit(-(1 << 60))).cast("decimal(19,0)")
+    return (time * F.lit("20000000000000000000").cast("decimal(20,0)") + from_zero(F.col(wkr))).cast("decimal(38,0)")
+
+
+def _latest_versions(dwh: DataFrame, rows: DataFrame, by: Sequence[str], wkr: str, carried: Sequence[str],
+                     deletes_count: bool) -> DataFrame:
+    """One row per value of ``by`` in ``rows`` (versions of ``dwh`` with ``_rank``): its latest version's root key, end and
+    carried columns, the create/change dates and the smallest root key over all its versions.
+
+    All but the latest version's columns are one hash aggregate; these are looked up in ``dwh`` by rank, the values
+    broadcast when their counted size allows."""
+    change = F.when(F.col("WA_CRUD") != "C", F.col("WA_CRUDDTS"))
+    if deletes_count:
+        change = F.greatest(change, F.when(F.col("WA_UNTODATE") != open_end(), F.col("WA_UNTODATE")))
+    values, _ = sized_broadcast(rows.groupBy(*by).agg(
+        F.min("WA_CRUDDTS").alias("MA_CREATEDATE"), F.max(change).alias("MA_CHANGEDATE"),
+        F.min(wkr).alias("_conformed"), F.max("_rank").alias("_rank")))
+    versions = dwh.select(F.col(wkr).alias("_latest"), "WA_UNTODATE", *(F.col(c).alias(f"_c_{c}") for c in carried),
+                          _version_rank(dwh, wkr).alias("_rank"))
+    # a history has one version per root key and start; of several with the same, any is the latest
+    return latest_per_key(versions.join(values, "_rank"), by, ["_rank"])
+
+
 def dim_scd1(dwh: DataFrame, attr: str, wkr: str, mk: str, carried: Sequence[str] = (),
              key_mode: str = CONFORMED, deletes_count: bool = False) -> DataFrame:
     """SCD1 dimension over a history: one row per attribute value (NULL is the
     unknown bucket) from its latest version by ``WA_FROMDATE`` (root key as
     tie-break), with create/change dates over all its versions and a deleted flag.
 
-    The latest row is a rank alone in its window (partial ``WindowGroupLimit``
-    before the shuffle); the dates are a grouped aggregate; the two meet in a
-    null-safe join of two tables with one row per value.
+    Dates, keys and the latest version's rank are one grouped aggregate with one row
+    per value and map task; the latest version's columns are looked up by that rank.
     """
-    latest = latest_per_key(dwh.select(attr, wkr, "WA_FROMDATE", "WA_UNTODATE", *carried),
-                            [attr], ["WA_FROMDATE", wkr])
-    change = F.when(F.col("WA_CRUD") != "C", F.col("WA_CRUDDTS"))
-    if deletes_count:
-        change = F.greatest(change, F.when(F.col("WA_UNTODATE") != open_end(), F.col("WA_UNTODATE")))
-    dates = dwh.groupBy(attr).agg(
-        F.min("WA_CRUDDTS").alias("MA_CREATEDATE"),
-        F.max(change).alias("MA_CHANGEDATE"),
-        F.min(wkr).alias("_conformed"),
-    )
-    j = _join_keys(latest, dates, [attr], "inner")
-    key = F.col(wkr) if key_mode == AS_WRITTEN else F.col("_conformed")
+    rows = dwh.select(F.col(attr).alias("_v"), wkr, "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS", _version_rank(dwh, wkr).alias("_rank"))
+    j = _latest_versions(dwh, rows, ["_v"], wkr, carried, deletes_count)
+    key = F.col("_latest") if key_mode == AS_WRITTEN else F.col("_conformed")
     return j.select(
-        key.alias(mk), attr, *carried, "MA_CREATEDATE", "MA_CHANGEDATE",
+        key.alias(mk), F.col("_v").alias(attr), *(F.col(f"_c_{c}").alias(c) for c in carried), "MA_CREATEDATE", "MA_CHANGEDATE",
         F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0).alias("MA_ISDEL"),
     )
 
@@ -61,32 +90,21 @@ def dims_scd1_stacked(dwh: DataFrame, specs: Sequence[tuple[str, Sequence[str]]]
 
     ``specs`` lists (attribute, carried columns).  Every version row is exploded
     map-side into one (dimension number ``_d``, value as text ``_v``) row per
-    dimension; the latest-row rank (partial ``WindowGroupLimit``) and the date
-    aggregates (partial) collapse them per value before the shuffle, so the
-    stacking costs one scan and little shuffle volume.  Both key modes are kept
+    dimension; a hash aggregate (partial) collapses them per value before the
+    shuffle, so the stacking costs one scan and little shuffle volume, and no
+    task sorts the rows that it explodes.  Both key modes are kept
     (``_mk_conformed``, ``_mk_as_written``); :func:`dim_from_stacked` takes one
     dimension back out with its value in the original type.
     """
     carried_all = list(dict.fromkeys(c for _, cs in specs for c in cs))
-    elems = [F.struct(F.lit(i).alias("_d"), F.col(attr).cast("string").alias("_v"),
-                      *[(F.col(c) if c in cs else F.lit(None).cast(dwh.schema[c].dataType)).alias(c)
-                        for c in carried_all])
-             for i, (attr, cs) in enumerate(specs)]
-    meta = [wkr, "WA_FROMDATE", "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS"]
-    base = dwh.select(*meta, F.explode(F.array(*elems)).alias("_e")).select(*meta, "_e.*")
-    latest = latest_per_key(base.select("_d", "_v", wkr, "WA_FROMDATE", "WA_UNTODATE", *carried_all),
-                            ["_d", "_v"], ["WA_FROMDATE", wkr])
-    change = F.when(F.col("WA_CRUD") != "C", F.col("WA_CRUDDTS"))
-    if deletes_count:
-        change = F.greatest(change, F.when(F.col("WA_UNTODATE") != open_end(), F.col("WA_UNTODATE")))
-    dates = base.groupBy("_d", "_v").agg(
-        F.min("WA_CRUDDTS").alias("MA_CREATEDATE"),
-        F.max(change).alias("MA_CHANGEDATE"),
-        F.min(wkr).alias("_mk_conformed"),
-    )
-    j = _join_keys(latest, dates, ["_d", "_v"], "inner")
+    elems = [F.struct(F.lit(i).alias("_d"), F.col(attr).cast("string").alias("_v")) for i, (attr, _) in enumerate(specs)]
+    meta = [wkr, "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS", "_rank"]
+    base = dwh.withColumn("_rank", _version_rank(dwh, wkr)).select(*meta, F.explode(F.array(*elems)).alias("_e")).select(*meta, "_e.*")
+    j = _latest_versions(dwh, base, ["_d", "_v"], wkr, carried_all, deletes_count)
+    has = {c: [i for i, (_, cs) in enumerate(specs) if c in cs] for c in carried_all}
     return j.select(
-        "_d", "_v", F.col(wkr).alias("_mk_as_written"), "_mk_conformed", *carried_all,
+        "_d", "_v", F.col("_latest").alias("_mk_as_written"), F.col("_conformed").alias("_mk_conformed"),
+        *(F.when(F.col("_d").isin(has[c]), F.col(f"_c_{c}")).alias(c) for c in carried_all),
         "MA_CREATEDATE", "MA_CHANGEDATE",
         F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0).alias("MA_ISDEL"),
     )
@@ -179,35 +197,31 @@ def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) ->
                         "WA_CRUDDTS")
 
 
-def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts", how: str = "inner") -> DataFrame:
+def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts", how: str = "inner",
+               columns: Sequence[str] | None = None) -> DataFrame:
     """Line-grain view: current lines with the header version valid at the line's
-    event time, header attributes denormalised onto each line."""
-    d = dwh_detail.where(F.col("WA_ISCURR") == 1).select(
-        "WK_ORDER_DETAIL", "WKR_ORDER_DETAIL", "order_detail_id", "order_id", "menu_item_id", "quantity",
-        "unit_price", "price", "order_item_discount_amount", "line_number", at,
-        "WA_CRUDDTS", "WA_CRUD", "WA_SRC", "WA_RUNID")
-    h = dwh_header.select(
-        "WK_ORDER_HEADER", "WKR_ORDER_HEADER", "order_id", "truck_id", "location_id", "customer_id", "shift_id",
-        "discount_id", "shift_start_time", "shift_end_time", "order_channel", "order_ts", "served_ts",
-        "order_currency", "order_amount", "order_tax_amount", "order_discount_amount", "order_total",
-        "WA_FROMDATE", "WA_UNTODATE")
+    event time, header attributes denormalised onto each line.  ``columns`` names those that are
+    wanted (all by default): only what they need is shuffled."""
+    line = ("WK_ORDER_DETAIL", "WKR_ORDER_DETAIL", "order_detail_id", "order_id", "menu_item_id", "quantity", "unit_price", "price",
+            "order_item_discount_amount", "line_number", "WA_CRUDDTS", "WA_CRUD", "WA_SRC", "WA_RUNID")
+    header = ("WK_ORDER_HEADER", "WKR_ORDER_HEADER", "truck_id", "location_id", "customer_id", "shift_id", "discount_id",
+              "shift_start_time", "shift_end_time", "order_channel", "order_ts", "served_ts", "order_currency", "order_amount",
+              "order_tax_amount", "order_discount_amount", "order_total")
+    source = {**{c: f"d.{c}" for c in line}, **{c: f"h.{c}" for c in header}, "line_ts": f"d.{at}"}
+    wanted = list(columns or [
+        "WK_ORDER_DETAIL", "WKR_ORDER_DETAIL", "WK_ORDER_HEADER", "WKR_ORDER_HEADER", *line[2:10], *header[2:], "line_ts", *line[10:]])
+    d = dwh_detail.where(F.col("WA_ISCURR") == 1).select(*dict.fromkeys(["order_id", *(c for c in line if c in wanted), at]))
+    h = dwh_header.select("order_id", *(c for c in header if c in wanted), "WA_FROMDATE", "WA_UNTODATE")
     j = as_of_join(d, h, ["order_id"], at, how, names=("d", "h"))
-    return j.select(
-        "d.WK_ORDER_DETAIL", "d.WKR_ORDER_DETAIL", "h.WK_ORDER_HEADER", "h.WKR_ORDER_HEADER",
-        "d.order_detail_id", "d.order_id", "d.menu_item_id", "d.quantity", "d.unit_price", "d.price",
-        "d.order_item_discount_amount", "d.line_number",
-        "h.truck_id", "h.location_id", "h.customer_id", "h.shift_id", "h.discount_id", "h.shift_start_time",
-        "h.shift_end_time", "h.order_channel", F.col("h.order_ts").alias("order_ts"), "h.served_ts",
-        "h.order_currency", "h.order_amount", "h.order_tax_amount", "h.order_discount_amount", "h.order_total",
-        F.col(f"d.{at}").alias("line_ts"),
-        "d.WA_CRUDDTS", "d.WA_CRUD", "d.WA_SRC", "d.WA_RUNID",
-    )
+    return j.select(*(F.col(source[c]).alias(c) for c in wanted))
 
 
 def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str = CONFORMED,
                    how: str = "inner", lookup=None) -> DataFrame:
     """Line-grain fact: the as-of join of lines to header versions plus a subtotal."""
-    sl = sales_line(dwh_detail, dwh_header, how=how)
+    sl = sales_line(dwh_detail, dwh_header, how=how, columns=[
+        "WKR_ORDER_HEADER", "WKR_ORDER_DETAIL", *[a for _, a in HEADER_DIMS], "menu_item_id", "order_id", "order_detail_id",
+        "line_number", "quantity", "unit_price", "price", "order_item_discount_amount", "order_ts", "served_ts"])
     base = sl.select(
         date_key("order_ts").alias("MK_DATE"), "WKR_ORDER_HEADER", "WKR_ORDER_DETAIL",
         *[a for _, a in HEADER_DIMS], "menu_item_id", "order_id", "order_detail_id", "line_number",

@@ -64,7 +64,7 @@ def _dwh_detail(w):
 
 @register("scd2_tracked")
 def _scd2_tracked(w):
-    return history.scd2(quality.clean(w.events_tagged), EVENTS, track=["event_type"])
+    return history.scd2(quality.clean(w.events_tagged), EVENTS, track=["event_type"], hashed=True)
 
 
 @register("scd1_upsert")
@@ -90,8 +90,8 @@ def _scd2_refresh(w):
     """History rebuilt after more changes: versions known before keep their surrogates."""
     changes = quality.clean(w.events_tagged)
     last_hour = F.date_trunc("hour", changes.agg(F.max("_commit_timestamp")).scalar()).cast("timestamp_ntz")
-    early = cut_lineage(history.scd2(changes.where(F.col("_commit_timestamp") < last_hour), EVENTS), "early")
-    late = history.scd2(changes, EVENTS, previous=early)
+    early = cut_lineage(history.scd2(changes.where(F.col("_commit_timestamp") < last_hour), EVENTS, hashed=True), "early")
+    late = history.scd2(changes, EVENTS, previous=early, hashed=True)
     known = early.select(*EVENTS.keys, "__START_AT", F.col(EVENTS.wk).alias("known_wk"))
     top = F.coalesce(early.agg(F.max(EVENTS.wk)).scalar(), F.lit(0))
     return late.join(known, [*EVENTS.keys, "__START_AT"], "left").select(

@@ -150,9 +150,9 @@ def conformed_dim_lookup(w: Warehouse) -> DataFrame:
 def fct_temporal_left(w: Warehouse) -> DataFrame:
     """Current lines with the header version, and the customer's event version, valid at the line
     time; unmatched lines kept. Each dimension costs one shuffle on its key."""
-    lines = star.sales_line(w.dwh_detail, w.dwh_header, how="left").select(
+    lines = star.sales_line(w.dwh_detail, w.dwh_header, how="left", columns=[
         "order_detail_id", "order_id", "line_number", "line_ts", "WK_ORDER_HEADER", "order_currency", "customer_id",
-        "quantity", "price")
+        "quantity", "price"])
     events = w.dwh_events.select("user_id", "WK_USER_EVENT", "event_type", "WA_FROMDATE", "WA_UNTODATE")
     both = as_of_join(lines, events, {"customer_id": "user_id"}, "line_ts", "left", names=("d", "e"))
     return both.select("d.order_detail_id", "d.order_id", "d.line_number", "d.line_ts", "d.WK_ORDER_HEADER",

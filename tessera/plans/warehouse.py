@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.operators import history, quality, star
 from tessera.operators.keyed import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, sized_broadcast
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
-from tessera.session import cut_lineage, folder_stamp, release_tables, scratch_path, stored_bytes
+from tessera.session import CODEC, cut_lineage, folder_stamp, release_tables, scratch_path, stored_bytes
 from tessera.sources import fixtures
 
 # Header dimensions built in one pass: attribute, surrogate column, carried columns.
@@ -150,15 +150,15 @@ class Warehouse:
     # history tables (materialised by the surrogate numbering, root key included)
     @property
     def _dw_header(self) -> DataFrame:
-        return self._shared("_dw_header", lambda: history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True))
+        return self._shared("_dw_header", lambda: history.scd2(quality.clean(self.header_tagged), HEADER, with_root=True, hashed=True))
 
     @property
     def _dw_detail(self) -> DataFrame:
-        return self._shared("_dw_detail", lambda: history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True))
+        return self._shared("_dw_detail", lambda: history.scd2(quality.clean(self.detail_tagged), DETAIL, with_root=True, hashed=True))
 
     @property
     def _dw_events(self) -> DataFrame:
-        return self._shared("_dw_events", lambda: history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True))
+        return self._shared("_dw_events", lambda: history.scd2(quality.clean(self.events_tagged), EVENTS, with_root=True, hashed=True))
 
     @property
     def dw_header(self) -> DataFrame:
@@ -194,7 +194,7 @@ class Warehouse:
         def build():
             path = scratch_path(self.spark, "tables", f"header_dims-{uuid.uuid4().hex}")
             stacked = star.dims_scd1_stacked(self.dwh_header, [(a, c) for a, _, c in HEADER_DIM_SPECS], HEADER.wkr)
-            stacked.write.mode("error").partitionBy("_d").parquet(path)
+            stacked.write.mode("error").option("compression", CODEC).partitionBy("_d").parquet(path)
             counts = self.spark.read.parquet(path).groupBy("_d").agg(F.count(F.lit(1)).alias("n")).collect()
             return path, {r["_d"]: r["n"] for r in counts}
         return self._shared("header_dims", build)

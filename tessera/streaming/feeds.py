@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import CODEC
+
 
 def write_feed(feed: DataFrame, path: str, split_by: str = "_commit_timestamp") -> str:
     """Write a change feed range partitioned by ``split_by`` into twice as many files as the session
     has shuffle partitions, so an incremental reader sees several arrivals in that order."""
     files = 2 * int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    feed.repartitionByRange(files, F.col(split_by)).write.mode("overwrite").parquet(path)
+    feed.repartitionByRange(files, F.col(split_by)).write.mode("overwrite").option("compression", CODEC).parquet(path)
     return path
 
 

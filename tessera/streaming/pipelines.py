@@ -22,7 +22,7 @@ from tessera.operators.entity import Entity
 from tessera.operators.keyed import global_row_number, sized_broadcast
 from tessera.operators.quality import ADMIN
 from tessera.operators.temporal import as_of_join
-from tessera.session import cut_lineage
+from tessera.session import CODEC, cut_lineage
 from tessera.streaming.state import BATCH_BITS, SpliceStore
 
 
@@ -80,7 +80,7 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
         numbered = global_row_number(clean, order, "_place") \
             .withColumn(e.wk, F.lit(batch_id << BATCH_BITS).cast("long") + F.col("_place")).drop("_place")
         # numbering writes the batch, so a broken fail rule has stopped the run before this line
-        quality.quarantine(tagged, e).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
+        quality.quarantine(tagged, e).write.mode("overwrite").option("compression", CODEC).parquet(f"{root}/quarantine/batch={batch_id}")
         if e.rules:
             counts.coalesce(1).write.mode("overwrite").parquet(f"{root}/rule_counts/batch={batch_id}")
         delta = store.apply(numbered, batch_id, deltas=on_delta is not None)
@@ -125,7 +125,7 @@ def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFra
         j = as_of_join(lines, history_part, keys, at, how, names=("d", "h"))
         out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
                        *[F.col(f"h.{c}").alias(c) for c in columns])
-        out.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        out.write.mode("overwrite").option("compression", CODEC).parquet(f"{target}/batch={batch_id}")
 
     _drain_batches(stream, join, checkpoint)
     return target

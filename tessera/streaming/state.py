@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.entity import Entity
 from tessera.operators.keyed import HOT_KEY_ROWS, _join_keys, keyed_carry, latest_per_key, range_lead
-from tessera.session import cut_lineage, materialize
+from tessera.session import CODEC, cut_lineage, materialize
 
 BATCH_BITS = 40         # a surrogate is the batch number, then the change's place in the batch
 FAN = 4                 # runs of one level that are merged to one of the next
@@ -124,7 +124,7 @@ class SpliceStore(Runs):
         """A run: buckets as folders, a large bucket over several tasks, closed intervals first in every file."""
         rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).hint("rebalance", "_bucket") \
             .sortWithinPartitions("_bucket", F.asc_nulls_last(END), *self.keys) \
-            .write.mode("overwrite").partitionBy("_bucket").parquet(self._path(span))
+            .write.mode("overwrite").option("compression", CODEC).partitionBy("_bucket").parquet(self._path(span))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, [*self.keys, START], [AT])
@@ -204,7 +204,7 @@ class SpliceStore(Runs):
         gone = spliced.where("_old IS NOT NULL").select("_old.*").where(shown)
         path = f"{self.root}/deltas/batch={batch_id}"
         now.select(*kept, F.lit(1).alias("_sign")).unionByName(gone.select(*kept, F.lit(-1).alias("_sign"))) \
-            .write.mode("overwrite").parquet(path)
+            .write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.parquet(path)
 
     def _combine(self, live: list[tuple[int, int]], span: tuple[int, int]) -> None:
