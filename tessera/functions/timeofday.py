@@ -12,6 +12,12 @@ def millis_to_hms_sql(c: str) -> str:
     return f"concat_ws(':', {two(f'{c} / 3600000')}, {two(f'({c} % 3600000) / 60000')}, {two(f'({c} % 60000) / 1000')})"
 
 
+def hms_to_millis_sql(c: str) -> str:
+    """SQL text for ``HH:mm:ss`` back to milliseconds since midnight, NULL for any other text."""
+    part = lambda i: f"TRY_CAST(substring({c}, {i}, 2) AS BIGINT)"
+    return f"({part(1)} * 3600000 + {part(4)} * 60000 + {part(7)} * 1000)"
+
+
 def millis_to_hms(c: str) -> Column:
     return F.expr(millis_to_hms_sql(c))
 

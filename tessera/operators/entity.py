@@ -24,6 +24,8 @@ class Entity:
     ``columns`` maps each typed output column to a SQL expression over the staged
     columns; ``hash_columns`` are the staged columns of the row signature;
     drop rules are evaluated on staged columns, warn rules on typed columns.
+    ``staged`` gives staged hash columns back by SQL over the typed columns, where the typed column of that
+    name has another text; a row for which that is not its staged text keeps its hash.
     """
 
     name: str
@@ -34,6 +36,7 @@ class Entity:
     sequence: str = "_commit_timestamp"
     tiebreak: tuple[str, ...] = ()
     delete_when: str = "WA_CRUD = 'D'"
+    staged: tuple[tuple[str, str], ...] = ()
 
     @property
     def surrogate(self) -> str:

@@ -13,7 +13,7 @@ from tessera.operators.keyed import (
     CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, global_row_number, keyed_carry, latest_per_key,
     number_in_place, range_lead, sized_broadcast,
 )
-from tessera.operators.quality import ADMIN, enforce_fail_rules
+from tessera.operators.quality import ADMIN, enforce_fail_rules, spare_hash, whole_hash
 from tessera.session import cut_lineage
 
 # Fixed value: open end of a current version.
@@ -66,12 +66,12 @@ def scd2(changes: DataFrame, e: Entity, track: Sequence[str] | None = None, hot_
     ``with_root`` the key's first surrogate ``WKR_`` is added from that place
     (plus, for a split hot key, the survivors of its earlier chunks), so the
     history view needs no further shuffle.  ``hashed`` says that every ``WA_HASH`` is a row hash, which
-    is then shuffled and stored as its 32 bytes.
+    is then shuffled and stored, as its 32 bytes, only where the typed columns don't give it back.
     """
     if hashed:
-        packed = changes.withColumn("WA_HASH", packed_hash("WA_HASH"))
+        packed = changes.withColumn("WA_HASH", packed_hash(spare_hash(e)))
         return scd2(packed, e, track, hot_rows, chunk_rows, fraction, with_root, previous) \
-            .withColumn("WA_HASH", shown_hash("WA_HASH"))
+            .withColumn("WA_HASH", whole_hash(e, shown_hash("WA_HASH")))
     found = versions(changes, e, track, hot_rows, chunk_rows, fraction)
     hot = "_chunk" in found.columns
     found = found.select(*e.column_names, *ADMIN, "__START_AT", "__END_AT", "_pos", *(["_chunk", "_hot"] if hot else []))

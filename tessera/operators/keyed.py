@@ -32,7 +32,7 @@ CHUNK_ROWS = 500_000          # target rows per chunk of a hot key
 SAMPLE_FRACTION = 0.01        # share of rows sampled to find hot keys
 GROUP_CUTS = 256              # cuts that a row of a hot key is compared with in one step
 MAX_BROADCAST_ROWS = 2_000_000
-PARTITION_BYTES = 16 << 20    # stored bytes of a sorted partition's input; its rows take about ten times that in memory
+PARTITION_BYTES = 8 << 20     # stored bytes of a sorted partition's input; its rows take about twenty times that in memory
 MAX_BROADCAST_BYTES = 64 << 20    # compressed parquet on storage; in memory it is a few times larger
 
 

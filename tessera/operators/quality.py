@@ -50,6 +50,26 @@ def tag(feed: DataFrame, e: Entity) -> DataFrame:
     )
 
 
+def _derived_hash(e: Entity) -> Column | None:
+    """The row hash as the typed columns give it; None where a hash column has no typed one."""
+    back = dict(e.staged)
+    if not set(e.hash_columns) <= {*e.column_names, *back}:
+        return None
+    return row_hash([F.expr(back[c]) if c in back else F.col(c) for c in e.hash_columns])
+
+
+def spare_hash(e: Entity) -> Column:
+    """``WA_HASH`` as shuffles and tables carry it: NULL where the row's typed columns give the same hash."""
+    derived, h = _derived_hash(e), F.col("WA_HASH")
+    return h if derived is None else F.when(derived != h, h)
+
+
+def whole_hash(e: Entity, kept: Column | None = None) -> Column:
+    """The row hash back from what :func:`spare_hash` kept (``WA_HASH`` by default): computed only by those who read it."""
+    derived, h = _derived_hash(e), F.col("WA_HASH") if kept is None else kept
+    return h if derived is None else F.coalesce(h, derived)
+
+
 def clean(tagged: DataFrame) -> DataFrame:
     """Rows that break no drop rule, without the tag columns (``* EXCEPT``)."""
     return tagged.where(F.size("failed_rules") == 0).drop("failed_rules", "_change_type")
@@ -88,13 +108,13 @@ def store_tagged(tagged: DataFrame, e: Entity, name: str) -> tuple[DataFrame, Da
     """The tagged rows written once, and the violations of every rule, of any severity, as one row per rule.
 
     The counts are observed on the write that stores the rows, so no run reads its rows again to be told what
-    it rejected.  The row hash is stored as its 32 bytes.  Rules of severity drop are counted by the tag, the others by their own condition."""
+    it rejected.  The row hash is stored, as its 32 bytes, only where the typed columns don't give it back.  Rules of severity drop are counted by the tag, the others by their own condition."""
     def broken(r: Rule) -> Column:
         return F.array_contains("failed_rules", r.name) if r.severity == DROP else F.coalesce(F.expr(r.violation), F.lit(False))
 
     metrics = [F.count(F.lit(1)).alias("n"), *(F.count_if(broken(r)).alias(f"r{i}") for i, r in enumerate(e.rules))]
-    table, seen = materialize_observed(tagged.withColumn("WA_HASH", packed_hash("WA_HASH")), name, metrics)
-    table = table.withColumn("WA_HASH", shown_hash("WA_HASH"))
+    table, seen = materialize_observed(tagged.withColumn("WA_HASH", packed_hash(spare_hash(e))), name, metrics)
+    table = table.withColumn("WA_HASH", whole_hash(e, shown_hash("WA_HASH")))
     counts = [(e.name, r.name, r.severity, seen["n"], seen[f"r{i}"]) for i, r in enumerate(e.rules)]
     return table, tagged.sparkSession.createDataFrame(counts, COUNT_SCHEMA)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.functions.timeofday import millis_to_hms_sql
+from tessera.functions.timeofday import hms_to_millis_sql, millis_to_hms_sql
 from tessera.operators.entity import DROP, FAIL, WARN, Entity, Rule
 
 
@@ -42,6 +42,11 @@ HEADER = Entity(
         Rule("shift_start_before_end", "shift_start_time > shift_end_time", WARN),
         Rule("order_id_not_null", "order_id IS NULL", FAIL),
     ),
+    staged=(
+        ("location_id", "CAST(location_id AS DOUBLE)"),
+        ("shift_start_time", hms_to_millis_sql("shift_start_time")),
+        ("shift_end_time", hms_to_millis_sql("shift_end_time")),
+    ),
 )
 
 DETAIL = Entity(

@@ -77,7 +77,8 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
         tagged, counts = quality.store_tagged(quality.tag(batch, e), e, "tagged_batch")
         clean = quality.enforce_fail_rules(quality.clean(tagged), e)
         order = [*e.keys, e.sequence, *e.tiebreak]
-        numbered = global_row_number(clean, order, "_place") \
+        # the store holds a row's hash only where its typed columns don't give it back
+        numbered = global_row_number(clean.withColumn("WA_HASH", quality.spare_hash(e)), order, "_place") \
             .withColumn(e.wk, F.lit(batch_id << BATCH_BITS).cast("long") + F.col("_place")).drop("_place")
         # numbering writes the batch, so a broken fail rule has stopped the run before this line
         quality.quarantine(tagged, e).write.mode("overwrite").option("compression", CODEC).parquet(f"{root}/quarantine/batch={batch_id}")
@@ -85,7 +86,7 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
             counts.coalesce(1).write.mode("overwrite").parquet(f"{root}/rule_counts/batch={batch_id}")
         delta = store.apply(numbered, batch_id, deltas=on_delta is not None)
         if delta is not None and on_delta is not None:
-            on_delta(delta, batch_id)
+            on_delta(delta.withColumn("WA_HASH", quality.whole_hash(e)), batch_id)
 
     _drain_batches(stream, merge, checkpoint)
     tagged = quality.tag(spark.createDataFrame([], stream.schema), e)
@@ -94,6 +95,7 @@ def run_history_stream(stream: DataFrame, e: Entity, scd_type: int, root: str, c
         found = store.current(clean.select(*e.column_names, *ADMIN, "__START_AT")).withColumnRenamed("__START_AT", "WA_FROMDATE")
     else:
         found = store.versions(clean.select(e.wk, *e.column_names, *ADMIN, "__START_AT", "__END_AT"))
+    found = found.withColumn("WA_HASH", quality.whole_hash(e))
     bad = quality.quarantine(tagged, e)
     if e.rules:
         counts = spark.read.schema(f"{quality.COUNT_SCHEMA}, batch long").option("basePath", f"{root}/rule_counts") \

@@ -138,3 +138,35 @@ def test_version_history_picks(spark):
         [(0, False, True), (1, True, False), (3, False, False)]
     one = changes.version_history(spark.createDataFrame(rows[:1], "_commit_version long, _commit_timestamp timestamp_ntz, _change_type string"))
     assert [(r.is_previous, r.is_earliest) for r in one.collect()] == [(False, True)]
+
+
+def test_hash_is_stored_only_where_the_typed_columns_do_not_give_it(spark):
+    from tessera.operators import history
+    typed = Entity(name="t", keys=("k",), columns=(("k", "k"), ("a", "TRY_CAST(a AS INT)"), ("b", "b")), hash_columns=("a", "b"))
+    other = Entity(name="t", keys=("k",), columns=(("k", "k"), ("b", "b")), hash_columns=("a", "b"))     # a is not typed
+    feed = staged(spark, [(1, "7", 5), (2, "07", 5), (3, None, None), (4, "x", 1), (5, "", 2)])
+    for e, kept in ((typed, [2, 4]), (other, [1, 2, 3, 4, 5])):
+        tagged = quality.tag(feed, e)
+        whole = {r.k: r.WA_HASH for r in tagged.collect()}
+        spare = tagged.withColumn("WA_HASH", quality.spare_hash(e))
+        assert sorted(r.k for r in spare.where("WA_HASH IS NOT NULL").collect()) == kept
+        assert {r.k: r.WA_HASH for r in spare.withColumn("WA_HASH", quality.whole_hash(e)).collect()} == whole
+        table, _ = quality.store_tagged(tagged, e, "t")
+        assert {r.k: r.WA_HASH for r in table.collect()} == whole
+        assert {r.k: r.WA_HASH for r in history.scd2(quality.clean(table), e, hashed=True).collect()} == whole
+
+
+def test_header_hash_comes_back_from_typed_columns(spark):
+    from tessera.plans.entities import HEADER
+    from tessera.sources.fixtures import chg_order_header
+    orders = spark.createDataFrame(
+        [(k, k * 3, "O", 12.34 * k, dt.datetime(1995, 1, k % 28 + 1), "1-URGENT") for k in range(1, 60)] + [(61, None, "F", None, None, None)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    import tempfile
+    with tempfile.TemporaryDirectory() as d:
+        orders.write.parquet(f"{d}/orders.parquet")
+        tagged = quality.tag(chg_order_header(spark, d), HEADER)
+        spare = tagged.withColumn("WA_HASH", quality.spare_hash(HEADER))
+        assert spare.where("WA_HASH IS NOT NULL AND order_id < 60").count() == 0
+        whole = spare.withColumn("WA_HASH", quality.whole_hash(HEADER))
+        assert sorted(map(str, whole.collect())) == sorted(map(str, tagged.collect()))
