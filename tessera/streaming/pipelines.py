@@ -117,13 +117,15 @@ def run_stream_static_asof(stream: DataFrame, e: Entity, static_history: DataFra
     folder per batch id, so a replayed batch overwrites its own rows.
     """
 
+    versions = static_history.select(*dict.fromkeys([*keys, *columns, "WA_FROMDATE", "WA_UNTODATE"]))
+
     def join(batch: DataFrame, batch_id: int) -> None:
-        lines = cut_lineage(quality.clean(quality.tag(batch, e)), "asof_batch")
+        lines = cut_lineage(quality.clean(quality.tag(batch, e)).select(*dict.fromkeys([*e.column_names, *keys, at])), "asof_batch")
         # only versions of the batch's keys take part: the history is filtered by a
         # semi join (the key set broadcast when its counted size allows), so a
         # micro-batch never shuffles the whole history
         batch_keys, _ = sized_broadcast(lines.select(*keys).distinct())
-        history_part = static_history.join(batch_keys, list(keys), "left_semi")
+        history_part = versions.join(batch_keys, list(keys), "left_semi")
         j = as_of_join(lines, history_part, keys, at, how, names=("d", "h"))
         out = j.select(*[F.col(f"d.{c}").alias(c) for c in e.column_names],
                        *[F.col(f"h.{c}").alias(c) for c in columns])
