@@ -11,7 +11,8 @@ and writes these intervals only, however long the history is:
   history is skipped by row group) and by a join with the batch's keys and their first and last time.
 * The batch's changes and the found intervals are ordered per key (hot keys in chunks): a change ends at
   the next change of the batch or at the end of the interval that it falls into, whichever is first.
-* New and shortened intervals go to a run of their own, ``runs/<first batch>-<last batch>``.
+* New and shortened intervals go to a run of their own, ``runs/<first batch>-<last batch>``.  Unless a key is hot, one
+  shuffle by parts of buckets serves the order per key and the run's files.
 
 Splicing only shortens intervals, so of several rows for one start the one of the newest batch counts.
 Every ``FAN``-th batch merges the runs of its level to one, dropping rows that a newer one replaces;
@@ -32,7 +33,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.entity import Entity
-from tessera.operators.keyed import HOT_KEY_ROWS, _join_keys, keyed_carry, latest_per_key, range_lead
+from tessera.operators.keyed import (
+    CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, _join_keys, _partitions, hot_keys, keyed_carry, latest_per_key, range_lead,
+)
 from tessera.session import CODEC, cut_lineage, materialize
 
 BATCH_BITS = 40         # a surrogate is the batch number, then the change's place in the batch
@@ -120,32 +123,51 @@ class SpliceStore(Runs):
             out = out.unionByName(p)
         return out
 
-    def _write(self, rows: DataFrame, span: tuple[int, int]) -> None:
-        """A run: buckets as folders, a large bucket over several tasks, closed intervals first in every file."""
-        rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).hint("rebalance", "_bucket") \
-            .sortWithinPartitions("_bucket", F.asc_nulls_last(END), *self.keys) \
+    def _write(self, rows: DataFrame, span: tuple[int, int], dealt: bool = False) -> None:
+        """A run: buckets as folders, a large bucket over several tasks, closed intervals first in every file.  Rows that
+        are ``dealt`` out by bucket already are not moved again."""
+        placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        (placed if dealt else placed.hint("rebalance", "_bucket")).sortWithinPartitions("_bucket", F.asc_nulls_last(END), *self.keys) \
             .write.mode("overwrite").option("compression", CODEC).partitionBy("_bucket").parquet(self._path(span))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, [*self.keys, START], [AT])
 
     # a batch ---------------------------------------------------------------
-    def near(self, changes: DataFrame, batch_id: int, schema) -> DataFrame:
-        """Newest rows of the stored intervals that may hold a time of ``changes``: of the same key, and
-        between the key's first and last time in the batch."""
+    def _stored(self, changes: DataFrame, batch_id: int, schema) -> DataFrame | None:
+        """Rows of the stored intervals in the buckets and between the first and last time of ``changes``, old ones
+        included; None while nothing is stored."""
         spans = self.runs(before=batch_id)
         if not spans:
-            return self.spark.createDataFrame([], schema)
+            return None
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         lo, hi, buckets = changes.agg(F.min(self.sequence), F.max(self.sequence), F.collect_set(bucket)).first()
         kind = changes.schema[self.sequence].dataType       # two times and at most ``buckets`` numbers
-        stored = self._read(spans, schema).where(
+        return self._read(spans, schema).where(
             F.col("_bucket").isin(buckets) & (F.col(START).isNull() | (F.col(START) <= F.lit(hi).cast(kind)))
             & (F.col(END).isNull() | (F.col(END) > F.lit(lo).cast(kind))))
+
+    def near(self, changes: DataFrame, batch_id: int, schema) -> DataFrame:
+        """Newest rows of the stored intervals that may hold a time of ``changes``: of the same key, and
+        between the key's first and last time in the batch."""
+        stored = self._stored(changes, batch_id, schema)
+        if stored is None:
+            return self.spark.createDataFrame([], schema)
         mine = changes.groupBy(*self.keys).agg(F.min(self.sequence).alias("_lo"), F.max(self.sequence).alias("_hi"))
         inside = (F.col(START).isNull() | (F.col(START) <= F.col("_hi"))) & (F.col(END).isNull() | (F.col(END) > F.col("_lo")))
         return self._newest(stored.join(mine, list(self.keys)).where(inside)).drop("_bucket", "_lo", "_hi")
 
+    def _hot(self, changes: DataFrame, n: int, batch_id: int, schema, hot_rows: int, chunk_rows: int = CHUNK_ROWS,
+             fraction: float = SAMPLE_FRACTION) -> bool:
+        """Whether a key may have more than ``hot_rows`` rows among the ``n`` changes and the stored rows near them."""
+        spans = self.runs(before=batch_id)
+        if n + (self._read(spans, schema).count() if spans else 0) <= hot_rows:
+            return False
+        rows, stored = changes.select(*self.keys, self.sequence), self._stored(changes, batch_id, schema)
+        if stored is not None:
+            rows = rows.unionByName(stored.select(*self.keys, F.col(START).alias(self.sequence)))
+        return not hot_keys(rows, self.keys, self.sequence, hot_rows, chunk_rows, fraction).isEmpty()
+
     def apply(self, changes: DataFrame, batch_id: int, deltas: bool = False, hot_rows: int = HOT_KEY_ROWS, **hot) -> DataFrame | None:
         """Splice a batch of changes into the store.  With ``deltas`` the signed change of the current versions is
         kept with the batch and returned: rows that became current (``_sign`` 1) and rows that no longer are (-1)."""
@@ -160,28 +182,39 @@ class SpliceStore(Runs):
         row = F.struct(*columns)
         empty = F.lit(None).cast(self.spark.createDataFrame([], schema).select(row.alias("r")).schema["r"].dataType)
         at = [*self.keys, START]
+        # a slot is part of a bucket: dealt out once by slot, rows need no other shuffle until they lie in their bucket's files
+        slots = -(-_partitions(new, None) // self.buckets)
+        place = F.xxhash64(*self.keys)
+        slot = (F.pmod(place, F.lit(self.buckets)) + self.buckets * F.pmod(F.shiftright(place, 32), F.lit(slots))).cast("int")
         both = self.near(new, batch_id, schema).select(*at, row.alias("_old"), empty.alias("_new")) \
             .unionByName(new.withColumn(END, F.lit(None).cast(new.schema[START].dataType)).select(*at, empty.alias("_old"), row.alias("_new")))
+        calm = not self._hot(new, n, batch_id, schema, hot_rows, **hot)
+        if calm:
+            both = both.withColumn("_slot", slot).repartition(self.buckets * slots, "_slot")
+            at = ["_slot", *at]
         # of a stored and a new change at one time the later by tie-break stays; it has the stored one's interval
         pairs = both.groupBy(*at).agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("_old", "_new")))
         tie = {c: F.struct(F.lit(0).alias("_"), *(F.col(f"{c}.{t}") for t in self.tiebreak)) for c in ("_old", "_new")}
         wins = F.col("_new").isNotNull() & (F.col("_old").isNull() | (tie["_old"] < tie["_new"] if self.tiebreak else F.lit(True)))
-        pairs, n = materialize(pairs.withColumns({
+        pairs = pairs.withColumns({
             "_wins": wins, "_until": F.when(F.col("_old").isNotNull(), F.struct(F.col(f"_old.{END}").alias("at"))),
-            "_self": F.struct(F.col(START).alias("at"), (wins & F.col("_old").isNull()).alias("splits"))}), "splice_pairs")
-        if n <= hot_rows:                                   # too few rows for any key to be hot
-            by_key = Window.partitionBy(*self.keys).orderBy(START)
+            "_self": F.struct(F.col(START).alias("at"), (wins & F.col("_old").isNull()).alias("splits"))})
+        if calm:
+            by_key = Window.partitionBy("_slot", *self.keys).orderBy(START)
             pairs = pairs.withColumns({
                 "_inside": F.last("_until", ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, 0)),
-                "_next": F.lead("_self").over(by_key)})
+                "_next": F.lead("_self").over(by_key),
+                "_head": F.row_number().over(by_key) == 1})
         else:
-            pairs = keyed_carry(pairs, self.keys, [START], "_until", "_inside", hot_rows, **hot)
+            pairs = keyed_carry(cut_lineage(pairs, "splice_pairs"), self.keys, [START], "_until", "_inside", hot_rows, **hot)
             pairs = range_lead(pairs, self.keys, [START], "_self", "_next", hot_rows, **hot)
         end = F.col(f"_old.{END}")
         shortened = ~F.col("_wins") & F.coalesce(F.col("_next.splits"), F.lit(False)) & (end.isNull() | (F.col("_next.at") < end))
-        spliced = cut_lineage(pairs.where(F.col("_wins") | shortened).select(
+        spliced = pairs.where(F.col("_wins") | shortened).select(
             *at, "_old", "_new", "_wins", F.col("_inside").isNull().alias("_unseen"),
-            F.least("_inside.at", "_next.at").alias("_end")), "spliced")
+            F.least("_inside.at", "_next.at").alias("_end"), *(["_head"] if calm else []))
+        if deltas or not calm:
+            spliced = cut_lineage(spliced, "spliced")
 
         def spliced_row(which: str):
             return F.struct(*(F.lit(batch_id).cast("long").alias(c) if c == AT else F.col("_end").alias(c) if c == END
@@ -192,10 +225,13 @@ class SpliceStore(Runs):
                           else F.lit(None).cast(schema[c].dataType).alias(c) for c in columns))
         rows = F.when(~F.col("_wins"), F.array(spliced_row("_old"))).when(F.col("_first"), F.array(root, spliced_row("_new"))) \
             .otherwise(F.array(spliced_row("_new")))
-        earliest = spliced.where("_unseen").groupBy(*self.keys).agg(F.min(START).alias("_earliest"))
-        marked = _join_keys(spliced, earliest, self.keys, "left") \
-            .withColumn("_first", F.coalesce(F.col("_unseen") & (F.col(START) == F.col("_earliest")), F.lit(False)))
-        self._write(marked.select(F.explode(rows).alias("r")).select("r.*"), (batch_id, batch_id))
+        if calm:                                            # what no stored interval holds comes before all that one holds
+            marked = spliced.withColumn("_first", F.col("_unseen") & F.col("_head"))
+        else:
+            earliest = spliced.where("_unseen").groupBy(*self.keys).agg(F.min(START).alias("_earliest"))
+            marked = _join_keys(spliced, earliest, self.keys, "left") \
+                .withColumn("_first", F.coalesce(F.col("_unseen") & (F.col(START) == F.col("_earliest")), F.lit(False)))
+        self._write(marked.select(F.explode(rows).alias("r")).select("r.*"), (batch_id, batch_id), dealt=calm and not deltas)
         if not deltas:
             return None
         shown = F.expr(self.visible) & ~F.col(ROOT) & F.col(END).isNull()

@@ -8,6 +8,7 @@ import pytest
 
 from tessera.operators import history, quality
 from tessera.operators.entity import FAIL, Entity, Rule
+from tessera.streaming import state
 from tessera.streaming.pipelines import run_history_stream
 
 E = Entity(name="acct", keys=("k",), columns=(("k", "k"), ("v", "v")), hash_columns=("v",),
@@ -213,6 +214,20 @@ def test_a_batch_reads_the_intervals_around_its_changes(spark, tmp_path):
     assert store.versions(empty).count() == 40 * 9 + 1 and store.current(empty).count() == 40
 
 
+def test_a_large_batch_without_hot_keys_is_dealt_out_once(spark, tmp_path, monkeypatch):
+    """More rows than a hot key has, none of them hot: no split into chunks, and the run is written as the rows lie."""
+    def split(*a, **k):
+        raise AssertionError("no key is hot")
+
+    monkeypatch.setattr(state, "keyed_carry", split)
+    store, seen = _store(spark, tmp_path / "s"), []
+    for i in range(2):
+        rows = [(k, i, i * 10 + d, "insert") for k in range(12) for d in (0, 3)]
+        store.apply(_changes(spark, rows), i, hot_rows=20, fraction=1.0)
+        seen += rows
+    assert _versions(spark, store) == _expected(seen)
+
+
 def test_only_deletes_of_a_key_leave_no_version(spark, tmp_path):
     store = _store(spark, tmp_path / "s")
     store.apply(_changes(spark, [(1, None, 3, "delete")]), 0)
