@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.narrow import exchanged
 from tessera.session import cut_lineage, input_bytes, materialize_sized
 
 HOT_KEY_ROWS = 2_000_000      # a key above this many rows is split
@@ -212,7 +213,9 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                              .alias("_next_head"))
         heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
         withc = _join_keys(withc, heads_b, keys, "left", extra=["_chunk"])
-    ranged = withc.repartitionByRange(_partitions(df, partitions), *part).sortWithinPartitions(*part, *order)
+    n = _partitions(df, partitions)
+    ranged = exchanged(withc, lambda rows: rows.repartitionByRange(n, *part), order[0], [*part, *order, value]) \
+        .sortWithinPartitions(*part, *order)
     ahead = Window.partitionBy(*part).orderBy(*_cols(order))
     if not n_hot:
         return ranged.withColumn(out, F.lead(value).over(ahead))

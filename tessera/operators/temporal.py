@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.keyed import CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, keyed_carry
+from tessera.operators.narrow import narrow_columns
+
+# types of which equal values are the same value
+EXACT = ("byte", "short", "integer", "long", "date", "timestamp", "timestamp_ntz")
 
 
 def _pairs(keys: Sequence[str] | dict[str, str]) -> list[tuple[str, str]]:
@@ -32,14 +36,22 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
     this equals the interval join, but no key ever pairs all its rows with all
     its versions.  A stream takes it per micro-batch
     (:func:`~tessera.streaming.pipelines.run_stream_static_asof`).
+
+    Rows are shuffled narrow (:mod:`~tessera.operators.narrow`), without the key and time that they are shuffled by.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"as-of join supports inner and left, not {how!r}")
     pairs = _pairs(keys)
     ln, rn = names
     kcols = [f"_k{i}" for i in range(len(pairs))]
-    lrow = F.struct(*[F.col(c) for c in left.columns])
-    hrow = F.struct(*[F.col(c) for c in history.columns])
+    lcols, lwhole = narrow_columns(left, at)
+    hcols, hwhole = narrow_columns(history, frm, [until])
+    same = {k: p for k, p in zip(kcols, pairs) if _exact(left, p[0], history, p[1])}
+    lfrom = {lk: k for k, (lk, _) in same.items()} | ({at: "_t"} if _exact(left, at, history, frm) else {})
+    hfrom = {hk: k for k, (_, hk) in same.items() if hk not in (frm, until)}
+    lfrom = lfrom if len(lfrom) < len(lcols) else {}
+    lrow = F.struct(*[c for n, c in lcols.items() if n not in lfrom])
+    hrow = F.struct(*[c for n, c in hcols.items() if n not in hfrom])
     ltype = left.select(lrow.alias("x")).schema["x"].dataType
     htype = history.select(hrow.alias("x")).schema["x"].dataType
     lside = left.select(*[F.col(lk).alias(k) for (lk, _), k in zip(pairs, kcols)],
@@ -57,9 +69,21 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
     rows = carried.where(F.col("_side") == 1)
     ok = _all([F.col(k).isNotNull() for k in kcols] + [F.col("_t").isNotNull(), F.col("_m").isNotNull(),
                                                        F.col("_t") < F.col(f"_m.{until}")])
+    lout = F.struct(*lwhole(lambda c: _back("_l", c, lfrom)))
+    rout = F.struct(*hwhole(lambda c: _back("_m", c, hfrom)))
     if how == "inner":
-        return rows.where(ok).select(F.col("_l").alias(ln), F.col("_m").alias(rn))
-    return rows.select(F.col("_l").alias(ln), F.when(ok, F.col("_m")).alias(rn))
+        return rows.where(ok).select(lout.alias(ln), rout.alias(rn))
+    return rows.select(lout.alias(ln), F.when(ok, rout).alias(rn))
+
+
+def _exact(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
+    kind = left.schema[a].dataType
+    return kind == right.schema[b].dataType and kind.typeName() in EXACT
+
+
+def _back(row: str, name: str, shuffled_as: dict[str, str]) -> Column:
+    """A row's column, from what it was shuffled by where that holds it."""
+    return F.col(shuffled_as[name]).alias(name) if name in shuffled_as else F.col(row).getField(name).alias(name)
 
 
 def _all(conds):
