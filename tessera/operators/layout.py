@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.narrow import exchanged
 from tessera.session import CODEC
 
 SAMPLE_ROWS = 50_000        # key rows sent to the driver to find cuts and boxes, or 20 per file: the bound of the sample
@@ -117,8 +118,9 @@ def clustered_write(df: DataFrame, path: str, keys: Sequence[str], files: int |
         .select(F.explode(F.sequence("first", "last")).alias("_cell"), "_box", "_share")
     placed = df.withColumn("_curve", curve).withColumn("_cell", F.shiftright("_curve", unused)).join(F.broadcast(cells), "_cell") \
         .withColumn("_box", F.col("_box") + F.pmod(F.xxhash64(*df.columns), F.col("_share")).cast("int"))
-    placed.repartitionById(number, F.col("_box")).sortWithinPartitions("_curve", *keys) \
-        .select(*df.columns).write.mode(mode).option("compression", CODEC).parquet(path)
+    time = next((k for k in keys if df.schema[k].dataType.typeName().startswith("timestamp")), None)
+    exchanged(placed, lambda rows: rows.repartitionById(number, F.col("_box")), time, [*keys, "_box", "_curve"]) \
+        .sortWithinPartitions("_curve", *keys).select(*df.columns).write.mode(mode).option("compression", CODEC).parquet(path)
 
 
 def file_ranges(table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import layout
+from tessera.operators.narrow import exchanged
 
 
 def opened(spark, path, keys):
@@ -71,3 +72,19 @@ def test_place_of_a_row_equals_its_column(spark):
     curve = layout._interleaved([layout._rank(F.col(k), df.schema[k].dataType, c) for k, c in zip("abc", cuts)], 4)
     got = df.select("a", "b", "c", curve.alias("z")).collect()
     assert all(r["z"] == layout._place(r[:3], cuts, 4) for r in got) and len({r["z"] for r in got}) > 50
+
+
+def test_rows_are_shuffled_narrow_and_come_back_whole(spark, tmp_path, monkeypatch):
+    """Decimals of 38 digits that fit in 18 are shuffled as those; what doesn't fit comes back too."""
+    seen = []
+    monkeypatch.setattr(layout, "exchanged", lambda df, exchange, *a: exchanged(df, lambda rows: seen.append(rows.dtypes) or exchange(rows), *a))
+    df = spark.range(0, 3000).select(
+        F.col("id").alias("k"), F.timestamp_add("DAY", (F.col("id") % 50).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz")).alias("at"),
+        F.when(F.col("id") % 7 != 0, F.col("id") / 7).cast("decimal(38,4)").alias("price"),
+        F.when(F.col("id") % 9 == 0, F.lit("9" * 30)).otherwise("1").cast("decimal(38,4)").alias("big")) \
+        .withColumn("load", F.when(F.col("k") % 4 != 0, F.col("at")))
+    path = str(tmp_path / "t")
+    layout.clustered_write(df, path, ["k", "at"], files=4)
+    back = spark.read.parquet(path)
+    assert back.dtypes == df.dtypes and back.exceptAll(df).count() == df.exceptAll(back).count() == 0
+    assert {"price": "decimal(18,4)", "big": "decimal(18,4)"}.items() <= dict(seen[0]).items()
