@@ -11,8 +11,10 @@ from tessera.functions.timeofday import hms_to_seconds
 from tessera.operators.history import OPEN_END, open_end
 from tessera.operators.keyed import _join_keys, latest_per_key, sized_broadcast
 from tessera.operators.temporal import as_of_join
+from tessera.session import cut_lineage
 
 CONFORMED, AS_WRITTEN = "conformed", "as_written"
+_RANKS = "40000000000000000000"              # above twice the root keys, NULL included
 
 
 def date_key(ts: str | Column) -> Column:
@@ -37,33 +39,45 @@ def _since_1970(dwh: DataFrame, ts: str) -> Column:
 
 
 def _version_rank(dwh: DataFrame, wkr: str) -> Column:
-    """(WA_FROMDATE, root key) as one number in the same order, NULLs lowest: its maximum is a fixed-width aggregate,
-    which hashes, where a rank would sort every row of a map task."""
+    """(WA_FROMDATE, root key, whether it has ended) as one number in the same order, NULLs lowest: its maximum is a
+    fixed-width aggregate, which hashes, where a rank would sort every row of a map task."""
     def from_zero(c: Column) -> Column:                     # NULL: 0, else 1 .. 2^64
         return F.coalesce(c.cast("decimal(20,0)") + F.lit(str((1 << 63) + 1)).cast("decimal(20,0)"), F.lit(0)).cast("decimal(20,0)")
 
     # times of the years 1 to 9999 are below 2^59, so the number has at most 38 digits
+    ended = F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0)
     time = F.coalesce(_since_1970(dwh, "WA_FROMDATE"), F.lit(-(1 << 60))).cast("decimal(19,0)")
-    return (time * F.lit("20000000000000000000").cast("decimal(20,0)") + from_zero(F.col(wkr))).cast("decimal(38,0)")
+    return (time * F.lit(_RANKS).cast("decimal(20,0)") + from_zero(F.col(wkr)) * 2 + ended).cast("decimal(38,0)")
 
 
-def _latest_versions(dwh: DataFrame, rows: DataFrame, by: Sequence[str], wkr: str, carried: Sequence[str],
-                     deletes_count: bool) -> DataFrame:
-    """One row per value of ``by`` in ``rows`` (versions of ``dwh`` with ``_rank``): its latest version's root key, end and
-    carried columns, the create/change dates and the smallest root key over all its versions.
+def _ranked(rank: Column, kind) -> tuple[Column, Column]:
+    """Root key and end flag out of a :func:`_version_rank`."""
+    low = F.pmod(rank, F.lit(_RANKS).cast("decimal(20,0)")).cast("decimal(20,0)")
+    ended = F.pmod(low, F.lit(2)).cast("int")
+    zero = ((low - ended) / 2).cast("decimal(20,0)")
+    return F.when(zero > 0, (zero - F.lit(str((1 << 63) + 1)).cast("decimal(20,0)")).cast(kind)), ended
 
-    All but the latest version's columns are one hash aggregate; these are looked up in ``dwh`` by rank, the values
-    broadcast when their counted size allows."""
+
+def _grouped_versions(dwh: DataFrame, rows: DataFrame, by: Sequence[str], wkr: str, deletes_count: bool) -> DataFrame:
+    """One row per value of ``by`` in ``rows`` (versions of ``dwh`` with ``_rank``): the latest version's rank, root key and
+    deleted flag, the create/change dates and the smallest root key over all its versions, by one hash aggregate."""
     change = F.when(F.col("WA_CRUD") != "C", F.col("WA_CRUDDTS"))
     if deletes_count:
         change = F.greatest(change, F.when(F.col("WA_UNTODATE") != open_end(), F.col("WA_UNTODATE")))
-    values, _ = sized_broadcast(rows.groupBy(*by).agg(
+    latest, ended = _ranked(F.col("_rank"), dwh.schema[wkr].dataType)
+    return rows.groupBy(*by).agg(
         F.min("WA_CRUDDTS").alias("MA_CREATEDATE"), F.max(change).alias("MA_CHANGEDATE"),
-        F.min(wkr).alias("_conformed"), F.max("_rank").alias("_rank")))
-    versions = dwh.select(F.col(wkr).alias("_latest"), "WA_UNTODATE", *(F.col(c).alias(f"_c_{c}") for c in carried),
-                          _version_rank(dwh, wkr).alias("_rank"))
+        F.min(wkr).alias("_conformed"), F.max("_rank").alias("_rank")) \
+        .withColumns({"_latest": latest, "MA_ISDEL": ended})
+
+
+def _with_carried(dwh: DataFrame, values: DataFrame, by: Sequence[str], wkr: str, carried: Sequence[str]) -> DataFrame:
+    """:func:`_grouped_versions` with columns of the latest version, which is looked up by its rank; the values are
+    broadcast when their counted size allows."""
+    few, _ = sized_broadcast(values)
+    versions = dwh.select(*(F.col(c).alias(f"_c_{c}") for c in carried), _version_rank(dwh, wkr).alias("_rank"))
     # a history has one version per root key and start; of several with the same, any is the latest
-    return latest_per_key(versions.join(values, "_rank"), by, ["_rank"])
+    return latest_per_key(versions.join(few, "_rank"), by, ["_rank"])
 
 
 def dim_scd1(dwh: DataFrame, attr: str, wkr: str, mk: str, carried: Sequence[str] = (),
@@ -72,16 +86,16 @@ def dim_scd1(dwh: DataFrame, attr: str, wkr: str, mk: str, carried: Sequence[str
     unknown bucket) from its latest version by ``WA_FROMDATE`` (root key as
     tie-break), with create/change dates over all its versions and a deleted flag.
 
-    Dates, keys and the latest version's rank are one grouped aggregate with one row
-    per value and map task; the latest version's columns are looked up by that rank.
+    Dates, keys, the flag and the latest version's rank are one grouped aggregate with one row
+    per value and map task; carried columns alone are looked up by that rank.
     """
     rows = dwh.select(F.col(attr).alias("_v"), wkr, "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS", _version_rank(dwh, wkr).alias("_rank"))
-    j = _latest_versions(dwh, rows, ["_v"], wkr, carried, deletes_count)
+    j = _grouped_versions(dwh, rows, ["_v"], wkr, deletes_count)
+    if carried:
+        j = _with_carried(dwh, j, ["_v"], wkr, carried)
     key = F.col("_latest") if key_mode == AS_WRITTEN else F.col("_conformed")
-    return j.select(
-        key.alias(mk), F.col("_v").alias(attr), *(F.col(f"_c_{c}").alias(c) for c in carried), "MA_CREATEDATE", "MA_CHANGEDATE",
-        F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0).alias("MA_ISDEL"),
-    )
+    return j.select(key.alias(mk), F.col("_v").alias(attr), *(F.col(f"_c_{c}").alias(c) for c in carried),
+                    "MA_CREATEDATE", "MA_CHANGEDATE", "MA_ISDEL")
 
 
 def dims_scd1_stacked(dwh: DataFrame, specs: Sequence[tuple[str, Sequence[str]]], wkr: str,
@@ -92,7 +106,8 @@ def dims_scd1_stacked(dwh: DataFrame, specs: Sequence[tuple[str, Sequence[str]]]
     map-side into one (dimension number ``_d``, value as text ``_v``) row per
     dimension; a hash aggregate (partial) collapses them per value before the
     shuffle, so the stacking costs one scan and little shuffle volume, and no
-    task sorts the rows that it explodes.  Both key modes are kept
+    task sorts the rows that it explodes.  Only values of dimensions with carried
+    columns are looked up again.  Both key modes are kept
     (``_mk_conformed``, ``_mk_as_written``); :func:`dim_from_stacked` takes one
     dimension back out with its value in the original type.
     """
@@ -100,13 +115,16 @@ def dims_scd1_stacked(dwh: DataFrame, specs: Sequence[tuple[str, Sequence[str]]]
     elems = [F.struct(F.lit(i).alias("_d"), F.col(attr).cast("string").alias("_v")) for i, (attr, _) in enumerate(specs)]
     meta = [wkr, "WA_UNTODATE", "WA_CRUD", "WA_CRUDDTS", "_rank"]
     base = dwh.withColumn("_rank", _version_rank(dwh, wkr)).select(*meta, F.explode(F.array(*elems)).alias("_e")).select(*meta, "_e.*")
-    j = _latest_versions(dwh, base, ["_d", "_v"], wkr, carried_all, deletes_count)
+    j = _grouped_versions(dwh, base, ["_d", "_v"], wkr, deletes_count)
+    if carried_all:
+        values, carries = cut_lineage(j, "dim_values"), F.col("_d").isin([i for i, (_, cs) in enumerate(specs) if cs])
+        j = _with_carried(dwh, values.where(carries), ["_d", "_v"], wkr, carried_all) \
+            .unionByName(values.where(~carries), allowMissingColumns=True)
     has = {c: [i for i, (_, cs) in enumerate(specs) if c in cs] for c in carried_all}
     return j.select(
         "_d", "_v", F.col("_latest").alias("_mk_as_written"), F.col("_conformed").alias("_mk_conformed"),
         *(F.when(F.col("_d").isin(has[c]), F.col(f"_c_{c}")).alias(c) for c in carried_all),
-        "MA_CREATEDATE", "MA_CHANGEDATE",
-        F.when(F.col("WA_UNTODATE") != open_end(), 1).otherwise(0).alias("MA_ISDEL"),
+        "MA_CREATEDATE", "MA_CHANGEDATE", "MA_ISDEL",
     )
 
 
@@ -207,6 +225,7 @@ def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts
     header = ("WK_ORDER_HEADER", "WKR_ORDER_HEADER", "truck_id", "location_id", "customer_id", "shift_id", "discount_id",
               "shift_start_time", "shift_end_time", "order_channel", "order_ts", "served_ts", "order_currency", "order_amount",
               "order_tax_amount", "order_discount_amount", "order_total")
+    header += tuple(mk for mk, _ in HEADER_DIMS if mk in dwh_header.columns)
     source = {**{c: f"d.{c}" for c in line}, **{c: f"h.{c}" for c in header}, "line_ts": f"d.{at}"}
     wanted = list(columns or [
         "WK_ORDER_DETAIL", "WKR_ORDER_DETAIL", "WK_ORDER_HEADER", "WKR_ORDER_HEADER", *line[2:10], *header[2:], "line_ts", *line[10:]])
@@ -219,12 +238,19 @@ def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts
 def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str = CONFORMED,
                    how: str = "inner", lookup=None) -> DataFrame:
     """Line-grain fact: the as-of join of lines to header versions plus a subtotal."""
-    sl = sales_line(dwh_detail, dwh_header, how=how, columns=[
-        "WKR_ORDER_HEADER", "WKR_ORDER_DETAIL", *[a for _, a in HEADER_DIMS], "menu_item_id", "order_id", "order_detail_id",
+    # an inner join takes keys that its versions have; a line without a version has the keys of the unknown values
+    early = key_mode != AS_WRITTEN and how == "inner"
+    found = (lambda a, m: lookup("header", a, m)) if lookup else None
+    header = dwh_header
+    if early:
+        header = lookup_conformed(dwh_header.select("order_id", "WA_FROMDATE", "WA_UNTODATE", *[a for _, a in HEADER_DIMS], "order_ts", "served_ts"),
+                                  dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found)
+    taken = [mk for mk, _ in HEADER_DIMS] if early else ["WKR_ORDER_HEADER", *[a for _, a in HEADER_DIMS]]
+    sl = sales_line(dwh_detail, header, how=how, columns=[
+        *taken, "WKR_ORDER_DETAIL", "menu_item_id", "order_id", "order_detail_id",
         "line_number", "quantity", "unit_price", "price", "order_item_discount_amount", "order_ts", "served_ts"])
     base = sl.select(
-        date_key("order_ts").alias("MK_DATE"), "WKR_ORDER_HEADER", "WKR_ORDER_DETAIL",
-        *[a for _, a in HEADER_DIMS], "menu_item_id", "order_id", "order_detail_id", "line_number",
+        date_key("order_ts").alias("MK_DATE"), "WKR_ORDER_DETAIL", *taken, "menu_item_id", "order_id", "order_detail_id", "line_number",
         "quantity", "unit_price", "price", "order_item_discount_amount",
         (F.col("quantity") * F.col("unit_price")).cast("decimal(38,4)").alias("line_subtotal"),
         "order_ts", "served_ts",
@@ -233,8 +259,7 @@ def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str =
         keyed = base.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS}) \
             .withColumn("MK_MENU_ITEM", F.col("WKR_ORDER_DETAIL"))
     else:
-        keyed = lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS,
-                                 (lambda a, m: lookup("header", a, m)) if lookup else None)
+        keyed = base if early else lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found)
         keyed = lookup_conformed(keyed, dwh_detail, "WKR_ORDER_DETAIL", [("MK_MENU_ITEM", "menu_item_id")],
                                  (lambda a, m: lookup("detail", a, m)) if lookup else None)
     return keyed.select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "MK_MENU_ITEM", "order_id", "order_detail_id",

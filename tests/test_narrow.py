@@ -7,6 +7,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from tessera.operators import star
 from tessera.operators.keyed import range_lead
 from tessera.operators.narrow import exchanged, narrow_columns
 from tessera.operators.temporal import as_of_join
@@ -42,3 +43,40 @@ def test_shuffles_of_lead_and_as_of_are_narrow(spark):
     assert sorted(map(repr, joined.select("l.*").collect())) == sorted(map(repr, df.collect()))
     found = [r for r in joined.collect() if r["r"] is not None]
     assert len(found) == 4 and all(tuple(r["l"]) == tuple(r["r"])[:-1] for r in found)
+
+
+def test_line_fact_takes_header_keys_before_the_join(spark):
+    """Large dimensions are looked up for versions, not for lines; unknown values have their key."""
+    header = spark.createDataFrame(
+        [(1, 1, 1, None, "E"), (2, 1, 2, 5, "E"), (3, 3, 2, 5, None)],
+        "WK_ORDER_HEADER long, WKR_ORDER_HEADER long, order_id long, truck_id int, order_currency string") \
+        .select("*", *(F.lit(None).cast(t).alias(c) for c, t in (
+            ("location_id", "int"), ("customer_id", "long"), ("shift_id", "int"), ("order_channel", "string"), ("discount_id", "int"))),
+            F.lit(T0).cast("timestamp_ntz").alias("WA_FROMDATE"), F.lit(T1).cast("timestamp_ntz").alias("WA_UNTODATE"),
+            F.lit(T0).cast("timestamp_ntz").alias("order_ts"), F.lit(T1).cast("timestamp_ntz").alias("served_ts"))
+    detail = spark.createDataFrame(
+        [(i, i, i * 10, o, 7, 2, D("1.5"), D("3.0"), None, 1, T0, 1) for i, o in enumerate((1, 2, 2, 9), 1)],
+        "WK_ORDER_DETAIL long, WKR_ORDER_DETAIL long, order_detail_id long, order_id long, menu_item_id long, quantity int, "
+        "unit_price decimal(38,4), price decimal(38,4), order_item_discount_amount decimal(38,4), line_number int, order_ts timestamp_ntz, WA_ISCURR int")
+    header = header.where("WK_ORDER_HEADER <> 2 or truck_id = 5").where("WK_ORDER_HEADER <> 3")
+    fact = star.fct_sales_line(detail, header)
+    left = star.fct_sales_line(detail, header, how="left")
+    keys = ("order_id", "MK_TRUCK", "MK_CURRENCY", "MK_CUSTOMER", "MK_MENU_ITEM", "line_subtotal")
+    want = [(1, 1, 1, 1, 1, D("3.0000")), (2, 1, 1, 1, 1, D("3.0000")), (2, 1, 1, 1, 1, D("3.0000"))]
+    assert sorted(tuple(r) for r in fact.select(*keys).collect()) == want
+    assert (9, 1, None) in [(r["order_id"], r["MK_TRUCK"], r["MK_CURRENCY"]) for r in left.collect()]
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = plan[plan.index("Union"):]
+    assert "MK_TRUCK" in shuffled and "MK_CUSTOMER" in shuffled
+
+
+def test_latest_root_key_and_flag_come_with_the_rank(spark):
+    """One aggregate, without a join, gives a dimension that carries no columns."""
+    end = dt.datetime(9999, 12, 31)
+    rows = [(-(1 << 63), "a", T0, T1, "C", T0), ((1 << 63) - 1, "a", T0, end, "U", T0), (5, "b", T1, T1, "U", T1), (6, "b", None, end, "C", T0),
+            (None, "c", T0, T1, "C", T0), (0, None, dt.datetime(1, 1, 1), end, "C", T0), (0, "d", dt.datetime(1, 1, 1), T0, "C", T0)]
+    dwh = spark.createDataFrame(rows, "WKR long, v string, WA_FROMDATE timestamp_ntz, WA_UNTODATE timestamp_ntz, WA_CRUD string, WA_CRUDDTS timestamp_ntz")
+    dim = star.dim_scd1(dwh, "v", "WKR", "MK", key_mode=star.AS_WRITTEN)
+    assert "Join" not in dim._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["v"]: (r["MK"], r["MA_ISDEL"]) for r in dim.collect()} == {
+        "a": ((1 << 63) - 1, 0), "b": (5, 1), "c": (None, 1), None: (0, 0), "d": (0, 1)}
