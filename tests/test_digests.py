@@ -59,3 +59,13 @@ def test_empty_sides(spark):
     assert digests.diff_by_digest(none, old, ["k"], 1, ts()).where("_change_type = 'insert'").count() == 52
     assert [tuple(r) for r in digests.reconcile_by_digest(none.withColumn("WA_HASH", F.lit("")), none.withColumn("WA_HASH", F.lit("")),
                                                           ["k"]).collect()] == [(None, "match", 0)]
+
+
+def test_hashes_of_the_reconciliation_are_packed(spark, monkeypatch):
+    """32 bytes of a hash are stored and shuffled, not its text."""
+    from tessera.plans.registry import QUERIES
+    seen, plain = [], digests.reconcile_by_digest
+    monkeypatch.setattr(digests, "reconcile_by_digest", lambda s, t, *a: seen.extend([s, t]) or plain(s, t, *a))
+    found = QUERIES["digest_reconcile"](spark, "/root/testdata/sf0.001")
+    assert [df.schema["WA_HASH"].dataType.typeName() for df in seen] == ["binary", "binary"]
+    assert found.columns == ["order_id", "status", "key_count"] and seen[0].where("length(WA_HASH) = 32").count() == seen[0].count()
