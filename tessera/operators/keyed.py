@@ -62,6 +62,11 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return (F.broadcast(small) if n <= max_rows and size <= max_bytes else small), n
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether :func:`sized_broadcast` (or the caller) marked the table to be broadcast."""
+    return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], seq: str, hot_rows: int = HOT_KEY_ROWS,
              chunk_rows: int = CHUNK_ROWS, fraction: float = SAMPLE_FRACTION,
              partitions: int | None = None) -> DataFrame:
@@ -214,7 +219,7 @@ def range_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         heads_b, _ = sized_broadcast(heads)       # one row per chunk of a hot key
         withc = _join_keys(withc, heads_b, keys, "left", extra=["_chunk"])
     n = _partitions(df, partitions)
-    ranged = exchanged(withc, lambda rows: rows.repartitionByRange(n, *part), order[0], [*part, *order, value]) \
+    ranged = exchanged(withc, lambda rows: rows.repartitionByRange(n, *part), order[0], part) \
         .sortWithinPartitions(*part, *order)
     ahead = Window.partitionBy(*part).orderBy(*_cols(order))
     if not n_hot:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.timeofday import hms_to_seconds
 from tessera.operators.history import OPEN_END, open_end
-from tessera.operators.keyed import _join_keys, latest_per_key, sized_broadcast
+from tessera.operators.keyed import _join_keys, is_broadcast, latest_per_key, sized_broadcast
+from tessera.operators.narrow import narrow_columns, packed_columns
 from tessera.operators.temporal import as_of_join
 from tessera.session import cut_lineage
 
@@ -182,17 +183,38 @@ HEADER_DIMS = (
 )
 
 
+Store = Callable[[DataFrame, str], DataFrame]
+
+
 def lookup_conformed(fact: DataFrame, dwh: DataFrame, wkr: str, dims: Sequence[tuple[str, str]],
-                     tables=None) -> DataFrame:
+                     tables=None, before: Store | None = None, after: Store | None = None) -> DataFrame:
     """Attach each attribute's conformed surrogate via null-safe lookups.
     Each lookup table has one row per attribute value; it is broadcast when its
     counted size allows, otherwise joined by shuffle.  ``tables(attr, mk)`` may
-    supply prebuilt lookup tables."""
+    supply prebuilt lookup tables.
+
+    Rows are shuffled narrow (:mod:`~tessera.operators.narrow`).  Where a lookup shuffles, ``before`` stores the rows that it
+    shuffles, so the shuffles that made them need not stay on disk beside it, and ``after`` its result, for callers that
+    read it more than once."""
+    found = {attr: tables(attr, mk) if tables else sized_broadcast(conformed_keys(dwh, attr, wkr, mk))[0] for mk, attr in dims}
+    large = {attr: keys for attr, keys in found.items() if not is_broadcast(keys)}
     out = fact
-    for mk, attr in dims:
-        keys = tables(attr, mk) if tables else sized_broadcast(conformed_keys(dwh, attr, wkr, mk))[0]
-        out = _join_keys(out, keys, [attr], "left")
-    return out
+    if large:
+        def get(c: str) -> Column:
+            return F.col(f"`{c}`")
+        taken = [mk for mk, attr in dims if attr in large]
+        columns, whole = narrow_columns(fact, skip=list(large))
+        rows = fact.select(*columns.values())
+        rows = before(rows, "lookup_rows") if before else rows
+        packed, unpacked = packed_columns(rows, skip=list(large))
+        out = rows.select(*packed.values())
+        for attr, keys in large.items():
+            out = _join_keys(out, keys, [attr], "left")
+        out = out.select(*unpacked(get), *taken).select(*whole(get), *taken)
+    for attr, keys in found.items():
+        if attr not in large:
+            out = _join_keys(out, keys, [attr], "left")
+    return after(out, "looked_up") if after and large else out
 
 
 def fct_order(dwh_header: DataFrame, key_mode: str = CONFORMED, lookup=None) -> DataFrame:
@@ -236,33 +258,34 @@ def sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, at: str = "order_ts
 
 
 def fct_sales_line(dwh_detail: DataFrame, dwh_header: DataFrame, key_mode: str = CONFORMED,
-                   how: str = "inner", lookup=None) -> DataFrame:
-    """Line-grain fact: the as-of join of lines to header versions plus a subtotal."""
+                   how: str = "inner", lookup=None, store: Store = cut_lineage) -> DataFrame:
+    """Line-grain fact: the as-of join of lines to header versions plus a subtotal.
+
+    Where dimensions are too large to be broadcast, ``store`` keeps the versions with their keys (the as-of join reads
+    them twice) and the joined lines (the join's shuffle then need not stay beside that of the item lookup)."""
     # an inner join takes keys that its versions have; a line without a version has the keys of the unknown values
     early = key_mode != AS_WRITTEN and how == "inner"
     found = (lambda a, m: lookup("header", a, m)) if lookup else None
     header = dwh_header
     if early:
         header = lookup_conformed(dwh_header.select("order_id", "WA_FROMDATE", "WA_UNTODATE", *[a for _, a in HEADER_DIMS], "order_ts", "served_ts"),
-                                  dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found)
+                                  dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found, after=store)
     taken = [mk for mk, _ in HEADER_DIMS] if early else ["WKR_ORDER_HEADER", *[a for _, a in HEADER_DIMS]]
     sl = sales_line(dwh_detail, header, how=how, columns=[
         *taken, "WKR_ORDER_DETAIL", "menu_item_id", "order_id", "order_detail_id",
         "line_number", "quantity", "unit_price", "price", "order_item_discount_amount", "order_ts", "served_ts"])
-    base = sl.select(
-        date_key("order_ts").alias("MK_DATE"), "WKR_ORDER_DETAIL", *taken, "menu_item_id", "order_id", "order_detail_id", "line_number",
-        "quantity", "unit_price", "price", "order_item_discount_amount",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(38,4)").alias("line_subtotal"),
-        "order_ts", "served_ts",
-    )
     if key_mode == AS_WRITTEN:
-        keyed = base.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS}) \
+        keyed = sl.withColumns({mk: F.col("WKR_ORDER_HEADER") for mk, _ in HEADER_DIMS}) \
             .withColumn("MK_MENU_ITEM", F.col("WKR_ORDER_DETAIL"))
     else:
-        keyed = base if early else lookup_conformed(base, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found)
+        sl = sl.drop("WKR_ORDER_DETAIL", "WKR_ORDER_HEADER")
+        keyed = sl if early else lookup_conformed(sl, dwh_header, "WKR_ORDER_HEADER", HEADER_DIMS, found, store)
         keyed = lookup_conformed(keyed, dwh_detail, "WKR_ORDER_DETAIL", [("MK_MENU_ITEM", "menu_item_id")],
-                                 (lambda a, m: lookup("detail", a, m)) if lookup else None)
-    return keyed.select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "MK_MENU_ITEM", "order_id", "order_detail_id",
+                                 (lambda a, m: lookup("detail", a, m)) if lookup else None, store)
+    return keyed.withColumns({
+        "MK_DATE": date_key("order_ts"),
+        "line_subtotal": (F.col("quantity") * F.col("unit_price")).cast("decimal(38,4)"),
+    }).select("MK_DATE", *[mk for mk, _ in HEADER_DIMS], "MK_MENU_ITEM", "order_id", "order_detail_id",
                         "line_number", "quantity", "unit_price", "price", "order_item_discount_amount",
                         "line_subtotal", "order_ts", "served_ts")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.keyed import CHUNK_ROWS, HOT_KEY_ROWS, SAMPLE_FRACTION, keyed_carry
-from tessera.operators.narrow import narrow_columns
+from tessera.operators.narrow import packed_columns
 
 # types of which equal values are the same value
 EXACT = ("byte", "short", "integer", "long", "date", "timestamp", "timestamp_ntz")
@@ -44,8 +44,8 @@ def as_of_join(left: DataFrame, history: DataFrame, keys: Sequence[str] | dict[s
     pairs = _pairs(keys)
     ln, rn = names
     kcols = [f"_k{i}" for i in range(len(pairs))]
-    lcols, lwhole = narrow_columns(left, at)
-    hcols, hwhole = narrow_columns(history, frm, [until])
+    lcols, lwhole = packed_columns(left, at, apart=[lk for lk, _ in pairs])
+    hcols, hwhole = packed_columns(history, frm, [until], apart=[hk for _, hk in pairs])
     same = {k: p for k, p in zip(kcols, pairs) if _exact(left, p[0], history, p[1])}
     lfrom = {lk: k for k, (lk, _) in same.items()} | ({at: "_t"} if _exact(left, at, history, frm) else {})
     hfrom = {hk: k for k, (_, hk) in same.items() if hk not in (frm, until)}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.operators import history, quality, star
 from tessera.operators.keyed import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, sized_broadcast
 from tessera.plans.entities import DETAIL, EVENTS, HEADER
-from tessera.session import CODEC, cut_lineage, folder_stamp, release_tables, scratch_path, stored_bytes
+from tessera.session import CODEC, cut_lineage, drop_table, folder_stamp, release_tables, scratch_path, stored_bytes
 from tessera.sources import fixtures
 
 # Header dimensions built in one pass: attribute, surrogate column, carried columns.
@@ -261,9 +261,18 @@ class Warehouse:
 
     @property
     def fct_sales_line(self) -> DataFrame:
-        return self._once("fct_sales_line", lambda: cut_lineage(
-            star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode, lookup=self.conformed),
-            "fct_sales_line"))
+        def build():
+            passing: list[DataFrame] = []
+
+            def store(rows: DataFrame, name: str) -> DataFrame:
+                passing.append(cut_lineage(rows, name))
+                return passing[-1]
+            fact = cut_lineage(star.fct_sales_line(self.dwh_detail, self.dwh_header, self.key_mode, lookup=self.conformed, store=store),
+                               "fct_sales_line")
+            for table in passing:
+                drop_table(table)
+            return fact
+        return self._once("fct_sales_line", build)
 
     def conformed(self, src: str, attr: str, mk: str) -> DataFrame:
         """Conformed key table of one attribute (one row per value, NULL included).
